@@ -157,8 +157,9 @@ def fit_history(train: DataFrame, max_broadcast_rows: int = DEFAULT_MAX_BROADCAS
     One scan of the training rows computes every table as a grouping set;
     partial aggregation runs map-side right after the expansion, so only
     per-key partial sums cross the shuffle. The result (one row per key of
-    every table) is checkpointed to the shared folder and counted per table
-    from that small copy, which decides broadcast vs shuffle for each join.
+    every table) is written to the shared checkpoint folder and counted per
+    table from that small copy, which decides broadcast vs shuffle for each
+    join.
     """
     sets = [["ORIGIN"], ["DEST"], ["OP_CARRIER"], ["ORIGIN", "DEST"],
             ["OP_CARRIER", "ORIGIN", "DEST"], ["dep_hour"], []]
@@ -166,23 +167,24 @@ def fit_history(train: DataFrame, max_broadcast_rows: int = DEFAULT_MAX_BROADCAS
                .agg(F.avg("DEP_DELAY").alias("avg_delay"),
                     F.avg("weather_delay_signal").alias("avg_weather"),
                     F.grouping_id().alias("gid")))
-    stored = materialize(grouped)
+    stored = materialize(grouped, "delay-history")
     # grouping_id bits follow the grouping column order ORIGIN, DEST, OP_CARRIER, dep_hour
     # (1 = rolled up), so each set has a fixed id.
     def gid(keys):
         bits = [0 if col in keys else 1 for col in ["ORIGIN", "DEST", "OP_CARRIER", "dep_hour"]]
         return int("".join(str(b) for b in bits), 2)
 
-    counts = {r["gid"]: r["n"] for r in stored.groupBy("gid").agg(F.count(F.lit(1)).alias("n"))
-              .collect()}
+    # One small job over the stored table: rows per table and the global mean
+    # (the grand-total set has exactly one row).
+    meta = {r["gid"]: (r["n"], r["mean"]) for r in stored.groupBy("gid").agg(
+        F.count(F.lit(1)).alias("n"), F.max("avg_delay").alias("mean")).collect()}
     tables, rows = {}, {}
     for name, (keys, source, col) in HISTORY_SPECS.items():
         g = gid(keys)
         value = "avg_weather" if source == "weather_delay_signal" else "avg_delay"
         tables[name] = stored.where(c("gid") == g).select(*keys, c(value).alias(col))
-        rows[name] = int(counts.get(g, 0))
-    overall = stored.where(c("gid") == gid([])).select("avg_delay").collect()
-    mean = overall[0][0] if overall else None
+        rows[name] = int(meta.get(g, (0, None))[0])
+    mean = meta.get(gid([]), (0, None))[1]
     return HistoryModel(tables, rows, mean, max_broadcast_rows)
 
 

@@ -2,6 +2,9 @@
 
 from __future__ import annotations
 
+import os
+import uuid
+
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
@@ -13,15 +16,20 @@ from tarmac.session import ensure_checkpoint_dir
 DEFAULT_MAX_BROADCAST_ROWS = 500_000
 
 
-def materialize(df: DataFrame) -> DataFrame:
-    """Write ``df`` to the reliable checkpoint folder and cut its lineage.
+def materialize(df: DataFrame, name: str = "table") -> DataFrame:
+    """Write ``df`` as parquet under the session's checkpoint folder and read it back.
 
-    The folder is the session's ``spark.checkpoint.dir`` (a shared folder on
-    a cluster), so a lost executor does not force recomputation of the
-    upstream scan.
+    The folder is ``spark.checkpoint.dir`` (a shared folder on a cluster), so
+    the lineage is cut and a lost executor never forces a rescan of the
+    upstream data. Unlike an eager ``checkpoint()`` the plan runs once (no
+    second job to write the checkpoint), and the planner gets exact file
+    sizes for the read-back table.
     """
-    ensure_checkpoint_dir(df.sparkSession)
-    return df.checkpoint(eager=True)
+    spark = df.sparkSession
+    root = ensure_checkpoint_dir(spark)
+    path = os.path.join(root, "tables", f"{name}-{uuid.uuid4().hex}")
+    df.write.mode("overwrite").parquet(path)
+    return spark.read.parquet(path)
 
 
 def checked_broadcast(small: DataFrame, rows: int,

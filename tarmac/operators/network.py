@@ -21,33 +21,37 @@ NODE_COLUMNS = ["airport", "outbound_routes", "total_departures", "avg_dep_delay
 def airport_nodes(flights: DataFrame) -> DataFrame:
     """AGG-26/27 + GRF-1..3: degree, weighted degree, delays and importance per airport.
 
-    One scan: each flight becomes a departure row and an arrival row, one
-    aggregate by (airport, role) computes distinct partners, count and mean
-    delay, and a second aggregate over that small result puts the two roles
-    side by side. Missing sides are 0, as after the reference's outer join
-    and ``fillna(0)``.
+    One scan: each flight becomes a departure row and an arrival row; a
+    route-level aggregate (map-side partial, so a hub airport never reaches
+    one task as raw rows) feeds a second aggregate over that small result
+    that puts both roles side by side. Two shuffles of partial aggregates
+    replace the reference's two scans, two count-distinct plans and a full
+    outer join. Missing sides are 0, as after the outer join and
+    ``fillna(0)``.
     """
     roles = airport_roles(
         flights,
         dep={"partner": c("DEST"), "delay": c("DEP_DELAY")},
         arr={"partner": c("ORIGIN"), "delay": c("ARR_DELAY")},
     )
-    per_role = (roles.groupBy("airport", "null_side", "is_dep")
-                .agg(F.count_distinct("partner").alias("routes"),
-                     F.count(F.lit(1)).alias("flights"),
-                     ravg("delay").alias("avg_delay")))
-
-    def side(is_dep: bool, col: str):
-        return F.coalesce(F.max(F.when(c("is_dep") == F.lit(is_dep), c(col))),
-                          F.lit(0.0 if col == "avg_delay" else 0))
-
-    nodes = (per_role.groupBy("airport", "null_side")
-             .agg(side(True, "routes").alias("outbound_routes"),
-                  side(True, "flights").alias("total_departures"),
-                  side(True, "avg_delay").alias("avg_dep_delay"),
-                  side(False, "routes").alias("inbound_routes"),
-                  side(False, "flights").alias("total_arrivals"),
-                  side(False, "avg_delay").alias("avg_arr_delay")))
+    # Route level first: one row per (airport, role, partner) with count, sum and
+    # count of delays. Distinct partners are then just the non-null partner rows.
+    per_route = (roles.groupBy("airport", "null_side", "is_dep", "partner")
+                 .agg(F.count(F.lit(1)).alias("n"), F.sum("delay").alias("s"),
+                      F.count("delay").alias("k")))
+    dep, arr = c("is_dep"), ~c("is_dep")
+
+    def mean(side):
+        return F.round(F.coalesce(F.try_divide(F.sum(F.when(side, c("s"))),
+                                               F.sum(F.when(side, c("k")))), F.lit(0.0)), 2)
+
+    nodes = (per_route.groupBy("airport", "null_side")
+             .agg(F.count(F.when(dep, c("partner"))).alias("outbound_routes"),
+                  F.coalesce(F.sum(F.when(dep, c("n"))), F.lit(0)).alias("total_departures"),
+                  mean(dep).alias("avg_dep_delay"),
+                  F.count(F.when(arr, c("partner"))).alias("inbound_routes"),
+                  F.coalesce(F.sum(F.when(arr, c("n"))), F.lit(0)).alias("total_arrivals"),
+                  mean(arr).alias("avg_arr_delay")))
     nodes = nodes.withColumns({
         "total_degree": c("outbound_routes") + c("inbound_routes"),
         "total_traffic": c("total_departures") + c("total_arrivals"),
