@@ -1 +1 @@
-"""streaming"""
+"""Structured Streaming: incremental maintenance of the flight summary."""
