@@ -23,14 +23,19 @@ def repair_fare_scale(fares: DataFrame, batch_keys=BATCH_KEYS, threshold: float
     """RAM-1: batches whose mean positive fare is below ``threshold`` were stored
     ``factor`` times too small; scale their fare and yield back up.
 
-    The batch means are a partial aggregate (one row per batch: a calendar
-    quarter, so at most four per year), broadcast back to the rows: the fact
-    table is never shuffled. The input is not modified.
+    The batch means are a partial aggregate with one row per batch. With the
+    default calendar-quarter batches that is at most four rows per year, a
+    proven bound, so the means are broadcast back to the rows and the fact
+    table is never shuffled. Other batch keys (e.g. a source-file column)
+    are left to AQE, which broadcasts only below its measured-size
+    threshold. The input is not modified.
     """
     keys = list(batch_keys)
     means = batch_fare_means(fares, keys).select(*keys, "batch_avg_fare")
+    if tuple(keys) == BATCH_KEYS:
+        means = F.broadcast(means)
     scaled = c("batch_avg_fare") < threshold
-    out = fares.join(F.broadcast(means), on=keys, how="left")
+    out = fares.join(means, on=keys, how="left")
     return out.withColumns({
         "ITIN_FARE": F.when(scaled, c("ITIN_FARE") * factor).otherwise(c("ITIN_FARE")),
         "ITIN_YIELD": F.when(scaled, c("ITIN_YIELD") * factor).otherwise(c("ITIN_YIELD")),

@@ -104,3 +104,39 @@ def route_report(requests: DataFrame, recommendations: DataFrame, lookup: DataFr
             .select("ORIGIN", "DEST", "travel_date", "day_of_week", "is_weekend",
                     "expected_delay_min", "estimated_fare_usd", "delay_risk", "ensemble_score",
                     "recommendation", "weekday_avg_delay", "carriers_on_route", "best_carrier"))
+
+
+# The published description of the recommendation layer.
+ENSEMBLE_WEIGHTS = {"delay_score": 0.50, "fare_score": 0.35, "volume_score": 0.15}
+RECOMMENDATION_LOGIC = {"BUY": "ensemble_score >= 0.75",
+                        "HOLD": "0.45 <= ensemble_score < 0.75",
+                        "AVOID": "ensemble_score < 0.45"}
+ENSEMBLE_INPUTS = ["hist_avg_dep_delay", "hist_avg_arr_delay", "hist_avg_fare",
+                   "hist_avg_yield", "total_flights"]
+# The thresholds record as published (it describes the rules
+# loosely; the scoring above is what is applied).
+THRESHOLDS_RECORD = {
+    "hist_avg_delay_min": 9.0, "hist_avg_fare_usd": 400.0, "low_delay_threshold": 10.0,
+    "high_delay_threshold": 25.0, "cheap_fare_threshold": 300.0,
+    "expensive_fare_threshold": 500.0,
+}
+THRESHOLDS_LOGIC = {"BUY": "delay < 10 min AND fare below historical average",
+                    "HOLD": "delay 10-25 min OR fare near historical average",
+                    "AVOID": "delay > 25 min OR fare above $500"}
+
+
+def ensemble_summary_record(spark):
+    """SNK-2: one-row description of the ensemble layer (type, inputs, weights, logic)."""
+    return spark.createDataFrame(
+        [("weighted_route_recommendation_layer", ENSEMBLE_INPUTS, ENSEMBLE_WEIGHTS,
+          RECOMMENDATION_LOGIC)],
+        "ensemble_type string, inputs array<string>, weights map<string,double>, "
+        "recommendation_logic map<string,string>")
+
+
+def thresholds_record(spark):
+    """SNK-2: one-row thresholds record, published verbatim."""
+    cols = ", ".join(f"{k} double" for k in THRESHOLDS_RECORD)
+    return spark.createDataFrame(
+        [tuple(THRESHOLDS_RECORD.values()) + (THRESHOLDS_LOGIC,)],
+        cols + ", recommendation_logic map<string,string>")

@@ -79,3 +79,11 @@ def test_save_table_csv_and_parquet(spark, tmp_path):
     save_table(df, str(tmp_path / "c"), fmt="csv")
     assert spark.read.parquet(str(tmp_path / "p")).count() == 5
     assert spark.read.option("header", True).csv(str(tmp_path / "c")).count() == 5
+
+
+def test_published_records(spark):
+    from tarmac.operators.recommend import ensemble_summary_record, thresholds_record
+    e = ensemble_summary_record(spark).first()
+    assert e.weights["delay_score"] == 0.5 and e.recommendation_logic["BUY"].startswith(">=") is False
+    t = thresholds_record(spark).first()
+    assert t.cheap_fare_threshold == 300.0 and "AVOID" in t.recommendation_logic

@@ -64,3 +64,19 @@ def test_metrics_if_exists(spark, tmp_path):
     p = str(tmp_path / "m")
     spark.createDataFrame([(1.0, 2.0, 0.5)], "rmse double, mae double, r2 double").write.json(p)
     assert files.read_metrics_if_exists(spark, p).first().rmse == 1.0
+
+
+def test_convert_csv_partitions_by_year(spark, tmp_path):
+    from tarmac.sources.convert import convert_csv
+    header = ",".join(f.name for f in FLIGHT_CSV_SCHEMA.fields)
+    rows = []
+    for date in ("2018-12-31", "2019-01-01"):
+        r = [date, "AA", "1", "ATL", "ORD", "900"] + [""] * 22
+        rows.append(",".join(r))
+    path = _write(tmp_path, "f.csv", header + "\n" + "\n".join(rows) + "\n")
+    out = str(tmp_path / "pq")
+    convert_csv(spark, "flights", [path], out)
+    back = spark.read.parquet(out)
+    assert sorted(r.year for r in back.select("year").collect()) == [2018, 2019]
+    plan = back.where("year = 2019")._jdf.queryExecution().executedPlan().toString()
+    assert "PartitionFilters" in plan
