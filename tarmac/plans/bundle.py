@@ -78,7 +78,8 @@ def section_counts(sections: dict[str, DataFrame]) -> DataFrame:
 
 def results_bundle(spark: SparkSession, sections: dict[str, DataFrame]) -> DataFrame:
     """One row: ``meta`` plus one array-of-struct column per section."""
-    lists = {name: sections[name].select(F.collect_list(F.struct("*"))).scalar()
+    # Missing numbers read as 0 in the exported records, as in the reference.
+    lists = {name: sections[name].na.fill(0).select(F.collect_list(F.struct("*"))).scalar()
              for name in SECTIONS}
     meta = F.struct(F.current_timestamp().alias("generated"),
                     F.size(lists["airports"]).alias("total_airports"),

@@ -194,11 +194,19 @@ def test_history_fit_and_transform(spark):
 def test_history_falls_back_to_shuffle_join(spark):
     rows = [flight("A", "B", dep=10.0), flight("C", "D", dep=20.0)]
     base = ft.delay_base(flights_df(spark, rows))
-    model = ft.fit_history(base, max_broadcast_rows=1)
-    plan = model.transform(base)._jdf.queryExecution().executedPlan().toString()
-    out = {r.ORIGIN: r.origin_avg_delay for r in model.transform(base).collect()}
+    model = ft.fit_history(base, max_broadcast_rows=0)
+    hinted = ft.fit_history(base)
+    prev = spark.conf.get("spark.sql.autoBroadcastJoinThreshold")
+    spark.conf.set("spark.sql.autoBroadcastJoinThreshold", "-1")
+    try:
+        over = model.transform(base)._jdf.queryExecution().sparkPlan().toString()
+        under = hinted.transform(base)._jdf.queryExecution().sparkPlan().toString()
+        out = {r.ORIGIN: r.origin_avg_delay for r in model.transform(base).collect()}
+    finally:
+        spark.conf.set("spark.sql.autoBroadcastJoinThreshold", prev)
     assert out == {"A": 10.0, "C": 20.0}
-    assert "SortMergeJoin" in plan or "ShuffledHashJoin" in plan or "AdaptiveSparkPlan" in plan
+    assert "SortMergeJoin" in over and "BroadcastHashJoin" not in over
+    assert "BroadcastHashJoin" in under and "SortMergeJoin" not in under
 
 
 def _reference_nodes(df):
