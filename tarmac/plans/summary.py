@@ -2,9 +2,10 @@
 
 Run one by one, the reports of the delay, weather and network steps scan the
 flights table about twenty times. Here the flights are scanned once into a
-summary keyed by (ORIGIN, DEST, OP_CARRIER, month, day_of_week) holding only
-mergeable measures (counts, sums, conditional counts, max). Its size is
-bounded by airports x airports x carriers x 12 x 7, not by the number of
+summary holding only mergeable measures (counts, sums, conditional counts,
+max) for two grouping sets computed in the same pass: carrier-routes
+(ORIGIN, DEST, OP_CARRIER) and calendar cells (month, day_of_week). Its size
+is bounded by airports x airports x carriers + 84 rows, not by the number of
 flights, so after the one scan every report is a small roll-up. Averages are
 ``sum / count`` of the same non-null rows ``avg`` would use, so the reports
 equal the direct operators'.
@@ -22,6 +23,25 @@ from tarmac.functions.exprs import c, quarter_label
 from tarmac.operators.recommend import delay_risk
 
 FLIGHT_KEYS = ["ORIGIN", "DEST", "OP_CARRIER", "month", "day_of_week"]
+ROUTE_SET = ["ORIGIN", "DEST", "OP_CARRIER"]
+CALENDAR_SET = ["month", "day_of_week"]
+
+
+def _gid(keys: list[str]) -> int:
+    """grouping_id of a set: one bit per FLIGHT_KEYS column, 1 = rolled up."""
+    return int("".join("0" if k in keys else "1" for k in FLIGHT_KEYS), 2)
+
+
+ROUTE_GID, CALENDAR_GID = _gid(ROUTE_SET), _gid(CALENDAR_SET)
+
+
+def routes_part(s: DataFrame) -> DataFrame:
+    return s.where(c("gid") == ROUTE_GID)
+
+
+def calendar_part(s: DataFrame) -> DataFrame:
+    return s.where(c("gid") == CALENDAR_GID)
+
 
 CAUSES = {"CARRIER_DELAY": "carrier", "WEATHER_DELAY": "weather", "NAS_DELAY": "nas",
           "SECURITY_DELAY": "security", "LATE_AIRCRAFT_DELAY": "late"}
@@ -50,7 +70,8 @@ def flight_summary(flights: DataFrame) -> DataFrame:
         measures += _sum_n(col, name) + [F.count_if(c(col) > 0).alias(f"{name}_pos")]
     return (flights.withColumns({"month": F.month("FL_DATE"),
                                  "day_of_week": F.dayofweek("FL_DATE")})
-            .groupBy(*FLIGHT_KEYS).agg(*measures))
+            .groupingSets([ROUTE_SET, CALENDAR_SET], *FLIGHT_KEYS)
+            .agg(*measures, F.grouping_id().alias("gid")))
 
 
 def _avg(name: str, digits: int = 2):
@@ -66,6 +87,7 @@ def _total(col: str):
 
 
 def traffic_reports(s: DataFrame, top_n: int = 25) -> dict[str, DataFrame]:
+    s = routes_part(s)
     dep = s.groupBy("ORIGIN").agg(_total("n").alias("departure_count"))
     arr = s.groupBy("DEST").agg(_total("n").alias("arrival_count"))
     both = (dep.withColumnRenamed("ORIGIN", "airport")
@@ -87,6 +109,8 @@ def traffic_reports(s: DataFrame, top_n: int = 25) -> dict[str, DataFrame]:
 
 
 def delay_reports(s: DataFrame, t: dict) -> dict[str, DataFrame]:
+    cal, s = calendar_part(s), routes_part(s)
+
     def by_airport(key, side, name, min_n):
         return (s.groupBy(key)
                 .agg(_avg(side).alias(name), F.sum(f"{side}_n").alias("total_flights"),
@@ -95,13 +119,13 @@ def delay_reports(s: DataFrame, t: dict) -> dict[str, DataFrame]:
                 .orderBy(F.desc(name), F.asc_nulls_last(key)))
 
     def by_period(key):
-        return (s.where(c("dep_n") > 0).groupBy(key).agg(_avg("dep").alias("avg_dep_delay"))
+        return (cal.where(c("dep_n") > 0).groupBy(key).agg(_avg("dep").alias("avg_dep_delay"))
                 .orderBy(key))
 
     return {
         "top_dep_delays": by_airport("ORIGIN", "dep", "avg_dep_delay_min", t["top_dep_delays"]),
         "top_arr_delays": by_airport("DEST", "arr", "avg_arr_delay_min", t["top_arr_delays"]),
-        "delay_causes": s.agg(*[_avg(name).alias(alias) for name, alias in [
+        "delay_causes": cal.agg(*[_avg(name).alias(alias) for name, alias in [
             ("carrier", "avg_carrier_delay_min"), ("weather", "avg_weather_delay_min"),
             ("nas", "avg_nas_delay_min"), ("security", "avg_security_delay_min"),
             ("late", "avg_late_aircraft_min")]]),
@@ -119,6 +143,7 @@ def delay_reports(s: DataFrame, t: dict) -> dict[str, DataFrame]:
 
 
 def weather_delay_reports(s: DataFrame, t: dict) -> dict[str, DataFrame]:
+    cal, s = calendar_part(s), routes_part(s)
     return {
         "weather_delays_by_airport": (
             s.groupBy("ORIGIN")
@@ -128,7 +153,7 @@ def weather_delay_reports(s: DataFrame, t: dict) -> dict[str, DataFrame]:
             .where(c("weather_delayed_flights") > t["weather_delays_by_airport"])
             .orderBy(F.desc("avg_weather_delay_min"), F.asc_nulls_last("ORIGIN"))),
         "weather_delays_by_month": (
-            s.where(c("weather_n") > 0).groupBy("month")
+            cal.where(c("weather_n") > 0).groupBy("month")
             .agg(_avg("weather").alias("avg_weather_delay"),
                  _avg("dep_wx").alias("avg_total_delay"),
                  F.sum("weather_n").alias("total_flights"))
@@ -140,7 +165,7 @@ def weather_delay_reports(s: DataFrame, t: dict) -> dict[str, DataFrame]:
                  F.sum("n").alias("total_flights"))
             .where(c("total_flights") > t["worst_weather_airports"])
             .orderBy(F.desc_nulls_last("avg_weather_delay_min"), F.asc_nulls_last("ORIGIN"))),
-        "delay_type_breakdown": s.agg(*[
+        "delay_type_breakdown": cal.agg(*[
             _pct(f"{name}_pos", "n").alias(alias) for name, alias in [
                 ("weather", "pct_weather_caused"), ("carrier", "pct_carrier_caused"),
                 ("nas", "pct_nas_caused"), ("late", "pct_late_aircraft_caused"),
@@ -149,6 +174,7 @@ def weather_delay_reports(s: DataFrame, t: dict) -> dict[str, DataFrame]:
 
 
 def network_reports(s: DataFrame, t: dict) -> dict[str, DataFrame]:
+    s = routes_part(s)
     routes = s.groupBy("ORIGIN", "DEST").agg(
         F.sum("n").alias("n"), F.sum("dep_sum").alias("dep_sum"), F.sum("dep_n").alias("dep_n"),
         F.sum("arr_sum").alias("arr_sum"), F.sum("arr_n").alias("arr_n"),

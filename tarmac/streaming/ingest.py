@@ -71,6 +71,7 @@ def merged_summary(spark: SparkSession, table_dir: str) -> DataFrame:
     ``flight_summary`` over all ingested files.
     """
     parts = spark.read.parquet(os.path.join(table_dir, "deltas")).drop("batch_id")
-    measures = [c for c in parts.columns if c not in FLIGHT_KEYS]
-    return parts.groupBy(*FLIGHT_KEYS).agg(*[
+    keys = FLIGHT_KEYS + ["gid"]
+    measures = [c for c in parts.columns if c not in keys]
+    return parts.groupBy(*keys).agg(*[
         (F.max(m) if m.endswith("_max") else F.sum(m)).alias(m) for m in measures])
