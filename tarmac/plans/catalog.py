@@ -137,8 +137,17 @@ def record_counts(spark, d):
 
 
 def bundle_sections(spark, d):
-    from tarmac.plans.bundle import section_counts, bundle_inputs
-    return section_counts(bundle_inputs(spark, d))
+    """RAM-6: rows per section of the results bundle.
+
+    The sections come from the one-scan pipeline (flights, fares and weather
+    each scanned once into a shared summary), not from ~20 separate scans.
+    """
+    from tarmac.plans.bundle import section_counts
+    from tarmac.plans.pipeline import build_reports, bundle_sections_from
+    carriers = dimensions.carriers(spark)
+    reports = build_reports(spark, _flights(spark, d), tv.fares(spark, d), tv.weather(spark, d),
+                            tv.airports(spark, d), carriers, thresholds=FIX)
+    return section_counts(bundle_sections_from(reports, carriers))
 
 
 def queries() -> dict[str, Callable[[SparkSession, str], DataFrame]]:

@@ -17,6 +17,7 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from tarmac.operators import features as ft
+from tarmac.session import ensure_checkpoint_dir
 
 
 def regression_metrics(preds: DataFrame, label: str, prediction: str = "prediction",
@@ -71,6 +72,9 @@ def train_delay_rf(flights: DataFrame, sample_fraction: float = 0.40, seed: int
                    num_trees: int = 50, max_depth: int = 8, min_instances: int = 10
                    ) -> TrainedModel:
     """ML-4: RandomForest on the baseline delay frame (Step-5 model)."""
+    # Tree learners checkpoint to the shared folder (checkpointInterval) when
+    # one is set; set it before fitting.
+    ensure_checkpoint_dir(flights.sparkSession)
     data = ft.rf_features(flights)
     train, test = ft.random_split(data, sample_fraction, 0.8, seed)
     card = ft.category_cardinality(train).first()
@@ -100,6 +104,9 @@ def train_fare_gbt(fares: DataFrame, sample_fraction: float = 0.40, seed: int =
                    max_iter: int = 50, max_depth: int = 6, step_size: float = 0.1
                    ) -> TrainedModel:
     """ML-5: GBT on the fare frame (expects batch-repaired fares)."""
+    # GBT checkpoints its running predictions every checkpointInterval (10)
+    # iterations into the shared folder, which cuts lineage across iterations.
+    ensure_checkpoint_dir(fares.sparkSession)
     data = ft.fare_features(fares)
     train, test = ft.random_split(data, sample_fraction, 0.8, seed)
     max_bins = int(ft.fare_cardinality(train).first()["max_bins"])
@@ -129,6 +136,9 @@ def train_delay_gbt(flights: DataFrame, sample_fraction: float = 0.20, seed: int
     before departure; the reference keeps it. ``split_key`` switches the
     random split to the repeatable key split.
     """
+    # GBT checkpoints its running predictions every checkpointInterval (10)
+    # iterations into the shared folder, which cuts lineage across iterations.
+    ensure_checkpoint_dir(flights.sparkSession)
     keep = (split_key,) if split_key else ()
     data = ft.delay_base(flights, keep=keep)
     if split_key:
