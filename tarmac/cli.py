@@ -53,6 +53,7 @@ def cmd_reports(args) -> None:
 
 def cmd_models(args) -> None:
     """Step 5 and 5A: train, evaluate and save the three regressors."""
+    from pyspark.sql import functions as F
     from tarmac.operators.fares import repair_fare_scale
     from tarmac.plans import models
     from tarmac.plans.sinks import save_record, save_table
@@ -73,8 +74,10 @@ def cmd_models(args) -> None:
     save_record(fare.metrics, os.path.join(processed, "fare_model_metrics"))
 
     v2 = models.train_delay_gbt(flights, exclude_leaky=args.exclude_leaky)
-    v2.save(os.path.join(out, "delay_rf_model_v2"))
-    save_record(v2.metrics, os.path.join(processed, "delay_model_metrics_v2"))
+    v2_path = os.path.join(out, "delay_rf_model_v2")
+    v2.save(v2_path)
+    save_record(v2.metrics.withColumn("model_path", F.lit(v2_path)),
+                os.path.join(processed, "delay_model_metrics_v2"))
     save_table(v2.importances.coalesce(1), os.path.join(processed, "delay_feature_importance_v2"),
                "csv")
     baseline = read_metrics_if_exists(spark, os.path.join(processed, "delay_model_metrics"))

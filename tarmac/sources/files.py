@@ -106,5 +106,25 @@ def read_metrics_if_exists(spark: SparkSession, path: str) -> DataFrame | None:
     return spark.read.json(path)
 
 
+def read_saved_report(spark: SparkSession, path: str, fmt: str = "parquet",
+                      schema: StructType | None = None) -> DataFrame | None:
+    """SRC-8: a report saved by an earlier run, missing numbers as 0.
+
+    A report that was never written gives an empty DataFrame of ``schema``
+    (or None without one) instead of failing, so a later step can still
+    assemble what exists.
+    """
+    jvm = spark.sparkContext._jvm
+    hpath = jvm.org.apache.hadoop.fs.Path(path)
+    fs = hpath.getFileSystem(spark.sparkContext._jsc.hadoopConfiguration())
+    if not fs.exists(hpath):
+        return spark.createDataFrame([], schema) if schema is not None else None
+    reader = spark.read.format(fmt)
+    if fmt == "csv":
+        reader = reader.option("header", True)
+        reader = reader.schema(schema) if schema is not None else reader.option("inferSchema", True)
+    return reader.load(path).na.fill(0)
+
+
 __all__ = ["drop_if_present", "select_existing", "read_flights", "read_fares", "read_weather",
-           "read_metrics_if_exists", "FLIGHT_COLUMNS"]
+           "read_metrics_if_exists", "read_saved_report", "FLIGHT_COLUMNS"]

@@ -80,3 +80,14 @@ def test_convert_csv_partitions_by_year(spark, tmp_path):
     assert sorted(r.year for r in back.select("year").collect()) == [2018, 2019]
     plan = back.where("year = 2019")._jdf.queryExecution().executedPlan().toString()
     assert "PartitionFilters" in plan
+
+
+def test_read_saved_report(spark, tmp_path):
+    from pyspark.sql.types import DoubleType, StringType, StructField, StructType
+    schema = StructType([StructField("ORIGIN", StringType()), StructField("avg", DoubleType())])
+    assert files.read_saved_report(spark, str(tmp_path / "none"), schema=schema).count() == 0
+    assert files.read_saved_report(spark, str(tmp_path / "none")) is None
+    p = str(tmp_path / "r")
+    spark.createDataFrame([("A", None), ("B", 2.0)], schema).write.parquet(p)
+    got = {r.ORIGIN: r.avg for r in files.read_saved_report(spark, p).collect()}
+    assert got == {"A": 0.0, "B": 2.0}
