@@ -96,12 +96,16 @@ def read_weather(spark: SparkSession, paths, fmt: str = "csv") -> DataFrame:
     return _read(spark, files, fmt, WEATHER_SCHEMA, WEATHER_SCHEMA)
 
 
-def read_metrics_if_exists(spark: SparkSession, path: str) -> DataFrame | None:
-    """SRC-9: a saved metrics table, or None when it was never written."""
+def path_exists(spark: SparkSession, path: str) -> bool:
+    """True when ``path`` exists on its (Hadoop) file system."""
     jvm = spark.sparkContext._jvm
     hpath = jvm.org.apache.hadoop.fs.Path(path)
-    fs = hpath.getFileSystem(spark.sparkContext._jsc.hadoopConfiguration())
-    if not fs.exists(hpath):
+    return hpath.getFileSystem(spark.sparkContext._jsc.hadoopConfiguration()).exists(hpath)
+
+
+def read_metrics_if_exists(spark: SparkSession, path: str) -> DataFrame | None:
+    """SRC-9: a saved metrics table, or None when it was never written."""
+    if not path_exists(spark, path):
         return None
     return spark.read.json(path)
 
@@ -114,15 +118,13 @@ def read_saved_report(spark: SparkSession, path: str, fmt: str = "parquet",
     (or None without one) instead of failing, so a later step can still
     assemble what exists.
     """
-    jvm = spark.sparkContext._jvm
-    hpath = jvm.org.apache.hadoop.fs.Path(path)
-    fs = hpath.getFileSystem(spark.sparkContext._jsc.hadoopConfiguration())
-    if not fs.exists(hpath):
+    if not path_exists(spark, path):
         return spark.createDataFrame([], schema) if schema is not None else None
     reader = spark.read.format(fmt)
+    if schema is not None:
+        reader = reader.schema(schema)
     if fmt == "csv":
         reader = reader.option("header", True)
-        reader = reader.schema(schema) if schema is not None else reader.option("inferSchema", True)
     return reader.load(path).na.fill(0)
 
 
