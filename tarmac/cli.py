@@ -1,4 +1,4 @@
-"""Command line: the reference's step scripts as Spark jobs.
+"""Command line: the batch jobs (convert, reports, models) and ingestion.
 
     python -m tarmac.cli convert  --kind flights --input 'Delays/*.csv' --output wh/flights
     python -m tarmac.cli reports  --flights wh/flights --fares wh/fares --weather wh/weather \
@@ -40,7 +40,7 @@ def _inputs(spark, args):
 
 
 def cmd_reports(args) -> None:
-    """Steps 1-4 and 6 plus Step 5's route tables, and the results bundle."""
+    """Traffic, delay, fare, weather and network reports, route tables and the bundle."""
     from tarmac.operators.recommend import ensemble_summary_record, thresholds_record
     from tarmac.plans.pipeline import run
     from tarmac.plans.sinks import save_record
@@ -52,7 +52,7 @@ def cmd_reports(args) -> None:
 
 
 def cmd_models(args) -> None:
-    """Step 5 and 5A: train, evaluate and save the three regressors."""
+    """Train, evaluate and save the baseline delay, fare and improved delay models."""
     from pyspark.sql import functions as F
     from tarmac.operators.fares import repair_fare_scale
     from tarmac.plans import models

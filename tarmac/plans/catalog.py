@@ -152,7 +152,7 @@ def bundle_sections(spark, d):
 
 def queries() -> dict[str, Callable[[SparkSession, str], DataFrame]]:
     q: dict[str, Callable[[SparkSession, str], DataFrame]] = {
-        # Step 1 / Step 2: traffic and delays
+        # traffic and delays
         "airport_traffic_top": lambda s, d: traffic.airport_traffic(_flights(s, d), top_n=25),
         "most_departures": lambda s, d: traffic.most_departures(_flights(s, d)),
         "most_arrivals": lambda s, d: traffic.most_arrivals(_flights(s, d)),
@@ -173,7 +173,7 @@ def queries() -> dict[str, Callable[[SparkSession, str], DataFrame]]:
         "airports_in_state": lambda s, d: ap.airports_in_state(tv.airports(s, d), FIX["state"]),
         "airport_pairs": lambda s, d: ap.airport_pairs(tv.airports(s, d), 5),
         "airports_by_state": lambda s, d: ap.airports_by_state(tv.airports(s, d)),
-        # Step 3: fares
+        # fares
         "fare_scale_repair": lambda s, d: _fares(s, d),
         "fare_batch_audit": lambda s, d: fr.fare_batch_audit(tv.fares(s, d)),
         "fare_by_year": lambda s, d: fr.fare_by_year(_clean_fares(s, d)),
@@ -187,7 +187,7 @@ def queries() -> dict[str, Callable[[SparkSession, str], DataFrame]]:
                                                                    FIX["origin_fares"]),
         "fare_summary": lambda s, d: fr.fare_summary(_clean_fares(s, d)),
         "fare_by_origin": lambda s, d: fr.fare_by_origin(_fares(s, d)),
-        # Step 4: weather
+        # weather
         "weather_by_station": lambda s, d: wx.weather_by_station(tv.weather(s, d)),
         "weather_delays_by_airport": lambda s, d: wx.weather_delays_by_airport(
             _flights(s, d), FIX["weather_delays_by_airport"]),
@@ -196,10 +196,10 @@ def queries() -> dict[str, Callable[[SparkSession, str], DataFrame]]:
             _flights(s, d), FIX["worst_weather_airports"]),
         "delay_type_breakdown": lambda s, d: wx.delay_type_breakdown(_flights(s, d)),
         "seasonal_weather": lambda s, d: wx.seasonal_weather(tv.weather(s, d)),
-        # Step 5: routes and recommendation
+        # routes and recommendation
         "route_statistics": _route_stats,
         "route_recommendations": _recommendations,
-        # Step 6: network
+        # network
         "airport_nodes": lambda s, d: network.airport_nodes(_flights(s, d)),
         "route_edges": lambda s, d: network.route_edges(_flights(s, d)),
         "route_lookup": _lookup,

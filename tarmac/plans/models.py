@@ -71,7 +71,7 @@ RF_NAMES = ["carrier", "origin", "destination", "month", "day_of_week", "is_week
 def train_delay_rf(flights: DataFrame, sample_fraction: float = 0.40, seed: int = 42,
                    num_trees: int = 50, max_depth: int = 8, min_instances: int = 10
                    ) -> TrainedModel:
-    """ML-4: RandomForest on the baseline delay frame (Step-5 model)."""
+    """ML-4: RandomForest on the baseline delay frame (baseline model)."""
     # Tree learners checkpoint to the shared folder (checkpointInterval) when
     # one is set; set it before fitting.
     ensure_checkpoint_dir(flights.sparkSession)

@@ -1,5 +1,5 @@
-"""The whole report pipeline (the reference's Steps 1-4 and 6, plus Step 5's
-route tables) as Spark jobs over shared summaries.
+"""The whole report pipeline (traffic, delay, fare, weather and network
+reports plus the route tables) as Spark jobs over shared summaries.
 
 Scans: flights once, fares twice (batch means, then the repaired summary),
 weather once. The three summaries are written to the session's checkpoint
@@ -20,7 +20,7 @@ from tarmac.plans import summary as sm
 from tarmac.plans.bundle import SECTIONS, results_bundle
 from tarmac.plans.sinks import save_record, save_table
 
-# Reference thresholds (Step 2, 3, 4, 5, 6 defaults).
+# Reference thresholds (the defaults of its reports).
 REFERENCE_THRESHOLDS = {
     "top_dep_delays": 10000, "top_arr_delays": 10000, "worst_weather_airports": 10000,
     "cancellation_rates": 50000, "route_statistics": 100, "route_lookup": 100,
