@@ -19,7 +19,7 @@ def batch_fare_means(fares: DataFrame, batch_keys=BATCH_KEYS) -> DataFrame:
 
 
 def repair_fare_scale(fares: DataFrame, batch_keys=BATCH_KEYS, threshold: float = 50.0,
-                      factor: float = 100.0) -> DataFrame:
+                      factor: float = 100.0, means: DataFrame | None = None) -> DataFrame:
     """RAM-1: batches whose mean positive fare is below ``threshold`` were stored
     ``factor`` times too small; scale their fare and yield back up.
 
@@ -28,10 +28,12 @@ def repair_fare_scale(fares: DataFrame, batch_keys=BATCH_KEYS, threshold: float
     proven bound, so the means are broadcast back to the rows and the fact
     table is never shuffled. Other batch keys (e.g. a source-file column)
     are left to AQE, which broadcasts only below its measured-size
-    threshold. The input is not modified.
+    threshold. The input is not modified. ``means`` may pass batch means
+    computed (and stored) once for several uses.
     """
     keys = list(batch_keys)
-    means = batch_fare_means(fares, keys).select(*keys, "batch_avg_fare")
+    means = (means if means is not None else batch_fare_means(fares, keys)).select(
+        *keys, "batch_avg_fare")
     if tuple(keys) == BATCH_KEYS:
         means = F.broadcast(means)
     scaled = c("batch_avg_fare") < threshold
@@ -43,11 +45,11 @@ def repair_fare_scale(fares: DataFrame, batch_keys=BATCH_KEYS, threshold: float
 
 
 def fare_batch_audit(fares: DataFrame, batch_keys=BATCH_KEYS, threshold: float = 50.0,
-                     factor: float = 100.0) -> DataFrame:
+                     factor: float = 100.0, means: DataFrame | None = None) -> DataFrame:
     """RAM-2: one row per batch with its mean, row count and repair status."""
     keys = list(batch_keys)
     scaled = c("batch_avg_fare") < threshold
-    return (batch_fare_means(fares, keys)
+    return ((means if means is not None else batch_fare_means(fares, keys))
             .select(*keys,
                     F.round("batch_avg_fare", 2).alias("batch_avg_fare"),
                     "batch_rows",

@@ -38,7 +38,8 @@ def build_reports(spark: SparkSession, flights: DataFrame, fares: DataFrame, wea
     """
     t = {**REFERENCE_THRESHOLDS, **(thresholds or {})}
     flight_sum = materialize(sm.flight_summary(flights), "flight-summary")
-    repaired = fr.repair_fare_scale(fares)
+    means = materialize(fr.batch_fare_means(fares), "fare-batch-means")
+    repaired = fr.repair_fare_scale(fares, means=means)
     fare_sum = materialize(sm.fare_summary_table(fr.clean_fares(repaired)), "fare-summary")
     weather_sum = materialize(sm.weather_summary(weather), "weather-summary")
 
@@ -49,7 +50,7 @@ def build_reports(spark: SparkSession, flights: DataFrame, fares: DataFrame, wea
     reports.update(sm.network_reports(flight_sum, t))
     reports.update(sm.fare_reports(fare_sum, t))
     reports.update(sm.weather_reports(weather_sum))
-    reports["fare_batch_audit"] = fr.fare_batch_audit(fares)
+    reports["fare_batch_audit"] = fr.fare_batch_audit(fares, means=means)
     reports["route_recommendations"] = recommend.route_recommendations(
         reports["route_statistics"], reports["fare_by_origin"], fare_cuts=t["fare_cuts"],
         volume_cuts=t["volume_cuts"])
