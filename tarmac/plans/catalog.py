@@ -118,22 +118,28 @@ def model_eval(spark, d):
 
 
 def record_counts(spark, d):
-    """AGG-33: row totals of the inputs and of the model frames."""
-    parts = {
-        "flights": _flights(spark, d),
-        "fares": tv.fares(spark, d),
-        "clean_fares": _clean_fares(spark, d),
-        "weather": tv.weather(spark, d),
-        "rf_features": ft.rf_features(_flights(spark, d)),
-        "fare_features": ft.fare_features(_fares(spark, d)),
-        "delay_base": ft.delay_base(_flights(spark, d)),
-    }
-    out = None
-    for name, df in parts.items():
-        one = df.agg(F.count(F.lit(1)).alias("row_count")).select(
-            F.lit(name).alias("table_name"), "row_count")
-        out = one if out is None else out.unionByName(one)
-    return out
+    """AGG-33: row totals of the inputs and of the model frames.
+
+    One scan per source: every total of a source is a conditional count in
+    the same aggregate (the fares also pay the one batch-means pass of the
+    repair).
+    """
+    def rows(df, counts):
+        agg = df.agg(*[F.count_if(cond).alias(f"c{i}") for i, (_, cond) in enumerate(counts)])
+        pairs = ", ".join(f"'{name}', c{i}" for i, (name, _) in enumerate(counts))
+        return agg.selectExpr(f"stack({len(counts)}, {pairs}) AS (table_name, row_count)")
+
+    everything = F.lit(True)
+    flights = rows(_flights(spark, d), [("flights", everything),
+                                        ("rf_features", ft.rf_rows()),
+                                        ("delay_base", ft.delay_rows())])
+    fares = rows(ft.with_fare_derived(_fares(spark, d)),
+                 [("fares", everything),
+                  ("clean_fares", F.col("ITIN_FARE").isNotNull() & (F.col("ITIN_FARE") > 10)
+                   & (F.col("ITIN_FARE") < 5000)),
+                  ("fare_features", ft.fare_rows() & ft.fare_yield_ok())])
+    weather = rows(tv.weather(spark, d), [("weather", everything)])
+    return flights.unionByName(fares).unionByName(weather)
 
 
 def bundle_sections(spark, d):
