@@ -86,14 +86,26 @@ def _total(col: str):
     return F.sum(col)
 
 
+def _by_airport(sides: DataFrame):
+    """Group departure-side and arrival-side rows by airport, keeping a null
+    departure code apart from a null arrival code (full-outer-join semantics
+    without a join)."""
+    return sides.groupBy("airport", F.when(c("airport").isNull(), c("is_dep")).alias("null_side"))
+
+
 def traffic_reports(s: DataFrame, top_n: int = 25) -> dict[str, DataFrame]:
     s = routes_part(s)
     dep = s.groupBy("ORIGIN").agg(_total("n").alias("departure_count"))
     arr = s.groupBy("DEST").agg(_total("n").alias("arrival_count"))
-    both = (dep.withColumnRenamed("ORIGIN", "airport")
-            .join(arr.withColumnRenamed("DEST", "airport"), on="airport", how="outer")
-            .na.fill(0, ["departure_count", "arrival_count"])
-            .withColumn("total_traffic", c("departure_count") + c("arrival_count")))
+    sides = (dep.select(c("ORIGIN").alias("airport"), F.lit(True).alias("is_dep"),
+                        c("departure_count").alias("k"))
+             .unionByName(arr.select(c("DEST").alias("airport"), F.lit(False).alias("is_dep"),
+                                     c("arrival_count").alias("k"))))
+    both = (_by_airport(sides)
+            .agg(F.coalesce(F.sum(F.when(c("is_dep"), c("k"))), F.lit(0)).alias("departure_count"),
+                 F.coalesce(F.sum(F.when(~c("is_dep"), c("k"))), F.lit(0)).alias("arrival_count"))
+            .select("airport", "departure_count", "arrival_count",
+                    (c("departure_count") + c("arrival_count")).alias("total_traffic")))
     busiest = (dep.select(c("ORIGIN").alias("airport"), c("departure_count").alias("k"))
                .unionByName(arr.select(c("DEST").alias("airport"), c("arrival_count").alias("k")))
                .groupBy("airport").agg(F.sum("k").alias("total_traffic")))
@@ -181,17 +193,24 @@ def network_reports(s: DataFrame, t: dict) -> dict[str, DataFrame]:
         F.sum("arr_dep_sum").alias("arr_dep_sum"), F.sum("arr_dep_n").alias("arr_dep_n"),
         F.sum("dist_sum").alias("dist_sum"), F.sum("dist_n").alias("dist_n"))
 
-    def side(key, partner, delay, prefix):
-        return routes.groupBy(key).agg(
-            F.count(partner).alias(f"{prefix}_routes"), F.sum("n").alias(f"total_{prefix}"),
-            F.round(F.try_divide(F.sum(f"{delay}_sum"), F.sum(f"{delay}_n")), 2)
-            .alias(f"avg_{delay}_delay")).withColumnRenamed(key, "airport")
-
-    out_ = side("ORIGIN", "DEST", "dep", "outbound").withColumnRenamed(
-        "total_outbound", "total_departures")
-    in_ = side("DEST", "ORIGIN", "arr", "inbound").withColumnRenamed(
-        "total_inbound", "total_arrivals")
-    nodes = (out_.join(in_, on="airport", how="outer").na.fill(0)
+    def side(key, partner, delay, is_dep):
+        return routes.groupBy(c(key).alias("airport")).agg(
+            F.lit(is_dep).alias("is_dep"), F.count(partner).alias("routes"),
+            F.sum("n").alias("total"),
+            F.round(F.try_divide(F.sum(f"{delay}_sum"), F.sum(f"{delay}_n")), 2).alias("avg"))
+
+    def pick(is_dep: bool, col: str, zero):
+        cond = c("is_dep") if is_dep else ~c("is_dep")
+        return F.coalesce(F.max(F.when(cond, c(col))), F.lit(zero))
+
+    sides = side("ORIGIN", "DEST", "dep", True).unionByName(side("DEST", "ORIGIN", "arr", False))
+    nodes = (_by_airport(sides)
+             .agg(pick(True, "routes", 0).alias("outbound_routes"),
+                  pick(True, "total", 0).alias("total_departures"),
+                  pick(True, "avg", 0.0).alias("avg_dep_delay"),
+                  pick(False, "routes", 0).alias("inbound_routes"),
+                  pick(False, "total", 0).alias("total_arrivals"),
+                  pick(False, "avg", 0.0).alias("avg_arr_delay"))
              .withColumns({"total_degree": c("outbound_routes") + c("inbound_routes"),
                            "total_traffic": c("total_departures") + c("total_arrivals")})
              .withColumn("network_importance_score",
