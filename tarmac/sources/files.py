@@ -1,9 +1,10 @@
-"""Readers for the flight, fare and weather files (SRC-1..5, SRC-9, SRC-10).
+"""Readers for the flight, fare and weather files (SRC-1..5, SRC-8..10).
 
-CSV is read with an explicit schema (no inference pass); parquet is read by
-column name. Column pruning and predicate pushdown are left to Catalyst: the
-readers return every column of the schema and the operators select what they
-use, so ``ReadSchema`` in the plan only lists the used columns.
+Every reader returns the table's explicit schema (no inference pass): CSV
+columns are matched by header name and converted with ``try_cast``, parquet
+columns by name. Column pruning and predicate pushdown are left to Catalyst:
+the readers return every column of the schema and the operators select what
+they use, so ``ReadSchema`` in the plan only lists the used columns.
 """
 
 from __future__ import annotations
@@ -14,8 +15,7 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql.types import StructType
 
-from tarmac.schemas import (FARE_COLUMNS, FARE_SCHEMA, FLIGHT_COLUMNS, FLIGHT_CSV_SCHEMA,
-                            FLIGHT_SCHEMA, WEATHER_COLUMNS, WEATHER_SCHEMA)
+from tarmac.schemas import FARE_SCHEMA, FLIGHT_COLUMNS, FLIGHT_SCHEMA, WEATHER_SCHEMA
 
 JUNK_COLUMN = "Unnamed: 27"
 
@@ -39,61 +39,45 @@ def select_existing(df: DataFrame, needed: Iterable[str]) -> DataFrame:
     return df.select([F.col(f"`{c}`") for c in needed if c in df.columns])
 
 
-def _read(spark: SparkSession, paths, fmt: str, csv_schema: StructType,
-          table_schema: StructType) -> DataFrame:
-    files = _paths(paths)
-    if fmt == "csv":
-        df = (spark.read.schema(csv_schema).option("header", True)
-              .option("enforceSchema", False).option("mode", "PERMISSIVE")
-              .csv(files))
-    elif fmt == "parquet":
-        df = spark.read.parquet(*files)
-    else:
-        raise ValueError(f"unsupported format {fmt!r}")
-    df = drop_if_present(df, JUNK_COLUMN)
-    # Cast to the table schema by name; absent columns become typed nulls so
-    # every downstream operator sees one layout.
+def _conform(df: DataFrame, table_schema: StructType, cast) -> DataFrame:
+    """Select the table schema's columns by name; absent ones become typed nulls."""
     return df.select([
-        (F.col(f"`{f.name}`").cast(f.dataType) if f.name in df.columns
+        (cast(F.col(f"`{f.name}`"), f.dataType) if f.name in df.columns
          else F.lit(None).cast(f.dataType)).alias(f.name)
         for f in table_schema.fields
     ])
 
 
+def _read(spark: SparkSession, paths, fmt: str, table_schema: StructType) -> DataFrame:
+    """CSV by header name (any column order, extra columns ignored) or parquet.
+
+    CSV columns are read as text and converted with ``try_cast``, so a
+    malformed value becomes null instead of failing the job, and only the
+    selected columns are parsed (the CSV reader prunes the rest).
+    """
+    files = _paths(paths)
+    if fmt == "csv":
+        raw = drop_if_present(spark.read.option("header", True).csv(files), JUNK_COLUMN)
+        return _conform(raw, table_schema, lambda col, t: col.try_cast(t))
+    if fmt == "parquet":
+        raw = drop_if_present(spark.read.parquet(*files), JUNK_COLUMN)
+        return _conform(raw, table_schema, lambda col, t: col.cast(t))
+    raise ValueError(f"unsupported format {fmt!r}")
+
+
 def read_flights(spark: SparkSession, paths, fmt: str = "csv") -> DataFrame:
     """SRC-1: on-time performance files -> one flights DataFrame."""
-    return _read(spark, paths, fmt, FLIGHT_CSV_SCHEMA, FLIGHT_SCHEMA)
+    return _read(spark, paths, fmt, FLIGHT_SCHEMA)
 
 
 def read_fares(spark: SparkSession, paths, fmt: str = "csv") -> DataFrame:
-    """SRC-2: fare itinerary files -> one fares DataFrame.
-
-    The CSV layout varies by year, so CSV is read by header name.
-    """
-    files = _paths(paths)
-    if fmt == "csv":
-        raw = spark.read.option("header", True).csv(files)
-        raw = select_existing(raw, FARE_COLUMNS)
-        return raw.select([
-            (F.col(f.name).try_cast(f.dataType) if f.name in raw.columns
-             else F.lit(None).cast(f.dataType)).alias(f.name)
-            for f in FARE_SCHEMA.fields
-        ])
-    return _read(spark, files, fmt, FARE_SCHEMA, FARE_SCHEMA)
+    """SRC-2: fare itinerary files -> one fares DataFrame."""
+    return _read(spark, paths, fmt, FARE_SCHEMA)
 
 
 def read_weather(spark: SparkSession, paths, fmt: str = "csv") -> DataFrame:
-    """SRC-3: daily station files -> one weather DataFrame (by header name)."""
-    files = _paths(paths)
-    if fmt == "csv":
-        raw = spark.read.option("header", True).csv(files)
-        raw = select_existing(raw, WEATHER_COLUMNS)
-        return raw.select([
-            (F.col(f.name).try_cast(f.dataType) if f.name in raw.columns
-             else F.lit(None).cast(f.dataType)).alias(f.name)
-            for f in WEATHER_SCHEMA.fields
-        ])
-    return _read(spark, files, fmt, WEATHER_SCHEMA, WEATHER_SCHEMA)
+    """SRC-3: daily station files -> one weather DataFrame."""
+    return _read(spark, paths, fmt, WEATHER_SCHEMA)
 
 
 def path_exists(spark: SparkSession, path: str) -> bool:

@@ -91,3 +91,15 @@ def test_read_saved_report(spark, tmp_path):
     spark.createDataFrame([("A", None), ("B", 2.0)], schema).write.parquet(p)
     got = {r.ORIGIN: r.avg for r in files.read_saved_report(spark, p).collect()}
     assert got == {"A": 0.0, "B": 2.0}
+
+
+def test_read_flights_by_header_name(spark, tmp_path):
+    text = ("DEST,ORIGIN,FL_DATE,DEP_DELAY,EXTRA,OP_CARRIER\n"
+            "ORD,ATL,2015-07-04,12.5,zzz,DL\n"
+            "JFK,BOS,not-a-date,oops,zzz,B6\n")
+    df = files.read_flights(spark, _write(tmp_path, "f2.csv", text))
+    rows = {r.ORIGIN: r for r in df.collect()}
+    assert rows["ATL"].DEST == "ORD" and rows["ATL"].DEP_DELAY == 12.5
+    assert str(rows["ATL"].FL_DATE) == "2015-07-04" and rows["ATL"].DISTANCE is None
+    # malformed values become null instead of failing the job
+    assert rows["BOS"].FL_DATE is None and rows["BOS"].DEP_DELAY is None
