@@ -56,7 +56,7 @@ def _sum_n(col: str, name: str, cond=None) -> list:
 def flight_summary(flights: DataFrame) -> DataFrame:
     """One scan of the flights -> mergeable measures per summary key."""
     dep, arr, wx = c("DEP_DELAY"), c("ARR_DELAY"), c("WEATHER_DELAY")
-    measures = [F.count(F.lit(1)).alias("n")]
+    measures = [F.count(F.lit(1)).alias("n"), F.max("FL_DATE").alias("date_max")]
     measures += _sum_n("DEP_DELAY", "dep") + [F.count_if(dep > 15).alias("dep_over15")]
     measures += _sum_n("ARR_DELAY", "arr") + [F.count_if(arr > 15).alias("arr_over15")]
     measures += _sum_n("ARR_DELAY", "arr_dep", dep.isNotNull())
@@ -93,6 +93,12 @@ def _by_airport(sides: DataFrame):
     return sides.groupBy("airport", F.when(c("airport").isNull(), c("is_dep")).alias("null_side"))
 
 
+def latest_route_dates(s: DataFrame) -> DataFrame:
+    """(ORIGIN, DEST, travel_date): every known route on its latest flight date."""
+    return (routes_part(s).where(c("ORIGIN").isNotNull() & c("DEST").isNotNull())
+            .groupBy("ORIGIN", "DEST").agg(F.max("date_max").alias("travel_date")))
+
+
 def traffic_reports(s: DataFrame, top_n: int = 25) -> dict[str, DataFrame]:
     s = routes_part(s)
     dep = s.groupBy("ORIGIN").agg(_total("n").alias("departure_count"))
