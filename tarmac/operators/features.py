@@ -138,11 +138,6 @@ def history_table(train: DataFrame, name: str, digits: int | None = None) -> Dat
     return train.groupBy(*keys).agg(value.alias(out))
 
 
-def global_mean(train: DataFrame, label: str = "DEP_DELAY") -> DataFrame:
-    """AGG-30: one-row mean label."""
-    return train.agg(F.avg(label).alias("global_avg_delay"))
-
-
 @dataclass
 class HistoryModel:
     """Materialized history tables plus the global mean used for unseen keys."""

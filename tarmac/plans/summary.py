@@ -82,10 +82,6 @@ def _pct(part: str, whole: str):
     return F.round(F.try_divide(F.sum(part), F.sum(whole)) * 100, 2)
 
 
-def _total(col: str):
-    return F.sum(col)
-
-
 def _by_airport(sides: DataFrame):
     """Group departure-side and arrival-side rows by airport, keeping a null
     departure code apart from a null arrival code (full-outer-join semantics
@@ -101,8 +97,8 @@ def latest_route_dates(s: DataFrame) -> DataFrame:
 
 def traffic_reports(s: DataFrame, top_n: int = 25) -> dict[str, DataFrame]:
     s = routes_part(s)
-    dep = s.groupBy("ORIGIN").agg(_total("n").alias("departure_count"))
-    arr = s.groupBy("DEST").agg(_total("n").alias("arrival_count"))
+    dep = s.groupBy("ORIGIN").agg(F.sum("n").alias("departure_count"))
+    arr = s.groupBy("DEST").agg(F.sum("n").alias("arrival_count"))
     sides = (dep.select(c("ORIGIN").alias("airport"), F.lit(True).alias("is_dep"),
                         c("departure_count").alias("k"))
              .unionByName(arr.select(c("DEST").alias("airport"), F.lit(False).alias("is_dep"),

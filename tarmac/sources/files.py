@@ -15,7 +15,7 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql.types import StructType
 
-from tarmac.schemas import FARE_SCHEMA, FLIGHT_COLUMNS, FLIGHT_SCHEMA, WEATHER_SCHEMA
+from tarmac.schemas import FARE_SCHEMA, FLIGHT_SCHEMA, WEATHER_SCHEMA
 
 JUNK_COLUMN = "Unnamed: 27"
 
@@ -113,4 +113,4 @@ def read_saved_report(spark: SparkSession, path: str, fmt: str = "parquet",
 
 
 __all__ = ["drop_if_present", "select_existing", "read_flights", "read_fares", "read_weather",
-           "read_metrics_if_exists", "read_saved_report", "FLIGHT_COLUMNS"]
+           "read_metrics_if_exists", "read_saved_report", "path_exists"]
