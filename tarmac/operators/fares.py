@@ -59,6 +59,17 @@ def fare_batch_audit(fares: DataFrame, batch_keys=BATCH_KEYS, threshold: float =
             .orderBy(*keys))
 
 
+def fare_batch_status(fares: DataFrame, batch_keys=BATCH_KEYS, threshold: float = 50.0,
+                      means: DataFrame | None = None) -> DataFrame:
+    """RAM-2 totals: how many batches (and rows) were clean and how many fixed."""
+    keys = list(batch_keys)
+    batches = means if means is not None else batch_fare_means(fares, keys)
+    status = F.when(c("batch_avg_fare") < threshold, "fixed").otherwise("clean")
+    return (batches.groupBy(status.alias("status"))
+            .agg(F.count(F.lit(1)).alias("batches"), F.sum("batch_rows").alias("rows"))
+            .orderBy("status"))
+
+
 def clean_fares(fares: DataFrame, low: float = 10, high: float = 5000) -> DataFrame:
     """FLT-3: fares strictly between ``low`` and ``high``."""
     return fares.where(c("ITIN_FARE").isNotNull() & (c("ITIN_FARE") > low)

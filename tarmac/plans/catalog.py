@@ -187,6 +187,7 @@ def queries() -> dict[str, Callable[[SparkSession, str], DataFrame]]:
         # fares
         "fare_scale_repair": lambda s, d: _fares(s, d),
         "fare_batch_audit": lambda s, d: fr.fare_batch_audit(tv.fares(s, d)),
+        "fare_batch_status": lambda s, d: fr.fare_batch_status(tv.fares(s, d)),
         "fare_by_year": lambda s, d: fr.fare_by_year(_clean_fares(s, d)),
         "fare_by_quarter": lambda s, d: fr.fare_by_quarter(_clean_fares(s, d)),
         "most_expensive_airports": lambda s, d: fr.most_expensive_airports(

@@ -51,6 +51,7 @@ def build_reports(spark: SparkSession, flights: DataFrame, fares: DataFrame, wea
     reports.update(sm.fare_reports(fare_sum, t))
     reports.update(sm.weather_reports(weather_sum))
     reports["fare_batch_audit"] = fr.fare_batch_audit(fares, means=means)
+    reports["fare_batch_status"] = fr.fare_batch_status(fares, means=means)
     reports["route_recommendations"] = recommend.route_recommendations(
         reports["route_statistics"], reports["fare_by_origin"], fare_cuts=t["fare_cuts"],
         volume_cuts=t["volume_cuts"])

@@ -348,6 +348,10 @@ def oracle_sql() -> dict[str, str]:
             "CASE WHEN batch_avg_fare < 50 THEN 'fixed' ELSE 'clean' END AS status, " +
             R("CASE WHEN batch_avg_fare < 50 THEN batch_avg_fare * 100 ELSE batch_avg_fare END") +
             " AS repaired_avg_fare FROM batch", "batch"),
+        "fare_batch_status": sql(
+            "SELECT CASE WHEN batch_avg_fare < 50 THEN 'fixed' ELSE 'clean' END AS status, "
+            "count(*) AS batches, CAST(sum(batch_rows) AS BIGINT) AS rows FROM batch GROUP BY 1",
+            "batch"),
         "fare_by_year": sql(
             f"SELECT YEAR, {R('avg(ITIN_FARE)')} AS avg_fare_usd, {R('min(ITIN_FARE)')} AS "
             f"min_fare_usd, {R('max(ITIN_FARE)')} AS max_fare_usd, count(*) AS "

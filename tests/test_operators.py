@@ -107,6 +107,8 @@ def test_fare_repair_scales_small_batches_only(spark):
     assert out[0].ITIN_YIELD == 1.0 and out[1].ITIN_YIELD is None
     audit = {(r.YEAR, r.status) for r in fr.fare_batch_audit(fares_df(spark, rows)).collect()}
     assert audit == {(1997, "fixed"), (1998, "clean")}
+    status = {r.status: (r.batches, r.rows) for r in fr.fare_batch_status(fares_df(spark, rows)).collect()}
+    assert status == {"fixed": (1, 2), "clean": (1, 2)}
 
 
 def test_fare_repair_is_idempotent(spark):

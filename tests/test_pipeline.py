@@ -27,7 +27,7 @@ NAMES = ["airport_traffic_top", "most_departures", "most_arrivals", "busiest_air
          "route_statistics", "route_lookup", "fare_by_year", "fare_by_quarter",
          "most_expensive_airports", "cheapest_airports", "price_trend", "best_value_airports",
          "fare_summary", "fare_by_origin", "weather_by_station", "seasonal_weather",
-         "fare_batch_audit", "route_recommendations", "airport_nodes_geo", "busiest_routes",
+         "fare_batch_audit", "fare_batch_status", "route_recommendations", "airport_nodes_geo", "busiest_routes",
          "route_lookup_export", "carrier_comparison"]
 
 
