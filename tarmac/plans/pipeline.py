@@ -81,6 +81,8 @@ def run(spark: SparkSession, flights: DataFrame, fares: DataFrame, weather: Data
     reports = build_reports(spark, flights, fares, weather, airports, carriers, thresholds)
     for name, df in reports.items():
         save_table(df, os.path.join(out_dir, name), fmt)
+    # SNK-2: the one-row fare summary is also published as a JSON record.
+    save_record(reports["fare_summary"], os.path.join(out_dir, "fare_summary_record"))
     bundle = results_bundle(spark, bundle_sections_from(reports, carriers))
     save_record(bundle, os.path.join(out_dir, "results_bundle"))
-    return sorted(reports) + ["results_bundle"]
+    return sorted(reports) + ["fare_summary_record", "results_bundle"]
