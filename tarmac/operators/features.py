@@ -150,19 +150,20 @@ class HistoryModel:
         """JON-4: left-join each history table; unseen keys get the global
         mean (weather: 0.0). Each table is broadcast only when its measured
         row count fits; otherwise Spark shuffles for that join."""
-        out = frame
-        for name, (keys, _, col) in HISTORY_SPECS.items():
-            side = checked_broadcast(self.tables[name], self.rows[name], self.max_broadcast_rows)
+        out, fill = frame, {}
+        for name, table in self.tables.items():
+            keys, source, col = HISTORY_SPECS[name]
+            side = checked_broadcast(table, self.rows[name], self.max_broadcast_rows)
             out = out.join(side, on=keys, how="left")
-        fill = {col: float(self.global_avg_delay) if self.global_avg_delay is not None else None
-                for col in HISTORY_COLUMNS if col != "origin_weather_delay_avg"}
-        fill = {k: v for k, v in fill.items() if v is not None}
-        fill["origin_weather_delay_avg"] = 0.0
-        return out.na.fill(fill)
+            if source == "weather_delay_signal":
+                fill[col] = 0.0
+            elif self.global_avg_delay is not None:
+                fill[col] = float(self.global_avg_delay)
+        return out.na.fill(fill) if fill else out
 
 
-def fit_history(train: DataFrame, max_broadcast_rows: int = DEFAULT_MAX_BROADCAST_ROWS
-                ) -> HistoryModel:
+def fit_history(train: DataFrame, max_broadcast_rows: int = DEFAULT_MAX_BROADCAST_ROWS,
+                names: tuple[str, ...] | None = None) -> HistoryModel:
     """AGG-30/31 in one pass: all seven history tables and the global mean.
 
     One scan of the training rows computes every table as a grouping set;
@@ -170,10 +171,14 @@ def fit_history(train: DataFrame, max_broadcast_rows: int = DEFAULT_MAX_BROADCAS
     per-key partial sums cross the shuffle. The result (one row per key of
     every table) is written to the shared checkpoint folder and counted per
     table from that small copy, which decides broadcast vs shuffle for each
-    join.
+    join. ``names`` restricts the fit to some of the tables.
     """
-    sets = [["ORIGIN"], ["DEST"], ["OP_CARRIER"], ["ORIGIN", "DEST"],
-            ["OP_CARRIER", "ORIGIN", "DEST"], ["dep_hour"], []]
+    specs = {n: HISTORY_SPECS[n] for n in (names or HISTORY_SPECS)}
+    sets = []
+    for keys, _, _ in specs.values():
+        if keys not in sets:
+            sets.append(keys)
+    sets.append([])
     grouped = (train.groupingSets(sets, "ORIGIN", "DEST", "OP_CARRIER", "dep_hour")
                .agg(F.avg("DEP_DELAY").alias("avg_delay"),
                     F.avg("weather_delay_signal").alias("avg_weather"),
@@ -190,7 +195,7 @@ def fit_history(train: DataFrame, max_broadcast_rows: int = DEFAULT_MAX_BROADCAS
     meta = {r["gid"]: (r["n"], r["mean"]) for r in stored.groupBy("gid").agg(
         F.count(F.lit(1)).alias("n"), F.max("avg_delay").alias("mean")).collect()}
     tables, rows = {}, {}
-    for name, (keys, source, col) in HISTORY_SPECS.items():
+    for name, (keys, source, col) in specs.items():
         g = gid(keys)
         value = "avg_weather" if source == "weather_delay_signal" else "avg_delay"
         tables[name] = stored.where(c("gid") == g).select(*keys, c(value).alias(col))

@@ -115,7 +115,7 @@ def model_eval(spark, d):
     """
     from tarmac.plans.models import regression_metrics
     _, train, test = _delay_split(spark, d)
-    hist = ft.fit_history(train.drop("ROW_KEY"))
+    hist = ft.fit_history(train.drop("ROW_KEY"), names=("route",))
     route = ft.checked_broadcast(hist.tables["route"], hist.rows["route"])
     preds = test.join(route, on=["ORIGIN", "DEST"], how="left").withColumn(
         "prediction", F.coalesce(F.col("route_avg_delay"), F.lit(hist.global_avg_delay)))
