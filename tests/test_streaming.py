@@ -34,3 +34,21 @@ def test_stream_summary_equals_batch(spark, tmp_path):
         h1, _ = _rows_hash(df.columns, [tuple(r) for r in df.collect()])
         h2, _ = _rows_hash(direct.columns, [tuple(r) for r in direct.collect()])
         assert h1 == h2, name
+
+
+def test_stream_reads_csv_drops(spark, tmp_path):
+    from tarmac.schemas import FLIGHT_CSV_SCHEMA
+    from tarmac.streaming.ingest import merged_summary, start_summary_stream
+    header = ",".join(f.name for f in FLIGHT_CSV_SCHEMA.fields)
+    land = tmp_path / "landing"
+    land.mkdir()
+    for i, date in enumerate(["2019-01-05", "2019-02-06"]):
+        row = [date, "AA", "12", "ATL", "ORD", "930", "935", "5", "10", "", "", "", "1100",
+               "1104", "4", "0", "", "0", "120", "119", "100", "606", "", "", "", "", "", ""]
+        (land / f"m{i}.csv").write_text(header + "\n" + ",".join(row) + "\n")
+    q = start_summary_stream(spark, str(land), str(tmp_path / "summary"), fmt="csv")
+    q.awaitTermination(300)
+    assert q.exception() is None
+    s = merged_summary(spark, str(tmp_path / "summary"))
+    routes = s.where("gid = 3").collect()
+    assert len(routes) == 1 and routes[0].n == 2 and routes[0].dep_sum == 10.0
