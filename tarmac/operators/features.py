@@ -121,10 +121,18 @@ def split_by_key(df: DataFrame, key: str = "ROW_KEY", train_tenths: int = 8
 
 
 def random_split(df: DataFrame, sample_fraction: float = 1.0, train_fraction: float = 0.8,
-                 seed: int = 42) -> tuple[DataFrame, DataFrame]:
-    """SMP-1/2 as in the reference: Bernoulli sample, then ``randomSplit``."""
+                 seed: int = 42, store: bool = False) -> tuple[DataFrame, DataFrame]:
+    """SMP-1/2 as in the reference: Bernoulli sample, then ``randomSplit``.
+
+    ``store`` writes the sampled frame to the checkpoint folder first, so the
+    several passes of model fitting (category counts, indexing, tree
+    growing, evaluation) read the small stored sample instead of rescanning
+    and re-deriving the source.
+    """
     if sample_fraction < 1.0:
         df = df.sample(fraction=sample_fraction, seed=seed)
+    if store:
+        df = materialize(df, "model-sample")
     train, test = df.randomSplit([train_fraction, 1.0 - train_fraction], seed=seed)
     return train, test
 

@@ -76,12 +76,13 @@ def train_delay_rf(flights: DataFrame, sample_fraction: float = 0.40, seed: int
     # one is set; set it before fitting.
     ensure_checkpoint_dir(flights.sparkSession)
     data = ft.rf_features(flights)
-    train, test = ft.random_split(data, sample_fraction, 0.8, seed)
+    train, test = ft.random_split(data, sample_fraction, 0.8, seed, store=True)
     card = ft.category_cardinality(train).first()
     max_bins = int(card["max_bins"])
-    stages = [StringIndexer(inputCol=i, outputCol=o, handleInvalid="keep")
-              for i, o in [("OP_CARRIER", "carrier_idx"), ("ORIGIN", "origin_idx"),
-                           ("DEST", "dest_idx")]]
+    # one indexer, one counting pass for all three category columns
+    stages = [StringIndexer(inputCols=["OP_CARRIER", "ORIGIN", "DEST"],
+                            outputCols=["carrier_idx", "origin_idx", "dest_idx"],
+                            handleInvalid="keep")]
     stages.append(VectorAssembler(inputCols=RF_INPUTS, outputCol="features",
                                   handleInvalid="keep"))
     stages.append(RandomForestRegressor(featuresCol="features", labelCol="DEP_DELAY",
@@ -108,7 +109,7 @@ def train_fare_gbt(fares: DataFrame, sample_fraction: float = 0.40, seed: int =
     # iterations into the shared folder, which cuts lineage across iterations.
     ensure_checkpoint_dir(fares.sparkSession)
     data = ft.fare_features(fares)
-    train, test = ft.random_split(data, sample_fraction, 0.8, seed)
+    train, test = ft.random_split(data, sample_fraction, 0.8, seed, store=True)
     max_bins = int(ft.fare_cardinality(train).first()["max_bins"])
     stages = [StringIndexer(inputCol="ORIGIN", outputCol="origin_idx", handleInvalid="keep"),
               VectorAssembler(inputCols=FARE_INPUTS, outputCol="features", handleInvalid="keep"),
@@ -145,7 +146,7 @@ def train_delay_gbt(flights: DataFrame, sample_fraction: float = 0.20, seed: int
         train, test = ft.split_by_key(data, split_key, 8)
         train, test = train.drop(split_key), test.drop(split_key)
     else:
-        train, test = ft.random_split(data, sample_fraction, 0.8, seed)
+        train, test = ft.random_split(data, sample_fraction, 0.8, seed, store=True)
     history = ft.fit_history(train)
     train_x, test_x = history.transform(train), history.transform(test)
     inputs = [c for c in DELAY_V2_INPUTS if not (exclude_leaky and c == "weather_delay_signal")]
