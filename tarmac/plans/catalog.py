@@ -16,6 +16,7 @@ from pyspark.sql import functions as F
 from tarmac.operators import airports as ap
 from tarmac.operators import delays, fares as fr, features as ft, network, recommend, traffic
 from tarmac.operators import weather as wx
+from tarmac.operators.joins import checked_broadcast, materialize
 from tarmac.sources import dimensions
 from tarmac.sources import testviews as tv
 
@@ -66,7 +67,6 @@ def route_report(spark, d):
     latest flight date). Requests, route statistics, carrier lookup and
     weekday delays all come from one materialized flight summary: one scan
     of the flights instead of four."""
-    from tarmac.operators.joins import materialize
     from tarmac.plans import summary as sm
     s = materialize(sm.flight_summary(_flights(spark, d)), "flight-summary")
     net = sm.network_reports(s, FIX)
@@ -116,7 +116,7 @@ def model_eval(spark, d):
     from tarmac.plans.models import regression_metrics
     _, train, test = _delay_split(spark, d)
     hist = ft.fit_history(train.drop("ROW_KEY"), names=("route",))
-    route = ft.checked_broadcast(hist.tables["route"], hist.rows["route"])
+    route = checked_broadcast(hist.tables["route"], hist.rows["route"])
     preds = test.join(route, on=["ORIGIN", "DEST"], how="left").withColumn(
         "prediction", F.coalesce(F.col("route_avg_delay"), F.lit(hist.global_avg_delay)))
     return regression_metrics(preds, "DEP_DELAY", "prediction")
