@@ -15,6 +15,7 @@ folder.
 
 from __future__ import annotations
 
+import hashlib
 import os
 
 from pyspark.sql import DataFrame, SparkSession
@@ -55,8 +56,9 @@ def start_summary_stream(spark: SparkSession, source_dir: str, table_dir: str,
         (flight_summary(batch)
          .write.mode("overwrite").parquet(os.path.join(deltas, f"batch_id={batch_id}")))
 
-    ckpt = os.path.join(ensure_checkpoint_dir(spark), "streams",
-                        "flight-summary-" + os.path.basename(os.path.normpath(table_dir)))
+    # one stream checkpoint per summary table (keyed by its full path)
+    key = hashlib.sha1(table_dir.rstrip("/").encode()).hexdigest()[:16]
+    ckpt = os.path.join(ensure_checkpoint_dir(spark), "streams", f"flight-summary-{key}")
     writer = (flight_file_stream(spark, source_dir, fmt, max_files_per_trigger).writeStream
               .foreachBatch(write_batch).option("checkpointLocation", ckpt))
     writer = (writer.trigger(availableNow=True) if available_now
