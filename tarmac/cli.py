@@ -42,7 +42,7 @@ def _inputs(spark, args):
 def cmd_reports(args) -> None:
     """Traffic, delay, fare, weather and network reports, route tables and the bundle."""
     from tarmac.operators.recommend import ensemble_summary_record, thresholds_record
-    from tarmac.plans.pipeline import run
+    from tarmac.plans.batch_reports import run
     from tarmac.plans.sinks import save_record
     spark = _session(args)
     flights, fares, weather, airports, carriers = _inputs(spark, args)

@@ -154,7 +154,7 @@ def bundle_sections(spark, d):
     each scanned once into a shared summary), not from ~20 separate scans.
     """
     from tarmac.plans.bundle import section_counts
-    from tarmac.plans.pipeline import build_reports, bundle_sections_from
+    from tarmac.plans.batch_reports import build_reports, bundle_sections_from
     carriers = dimensions.carriers(spark)
     reports = build_reports(spark, _flights(spark, d), tv.fares(spark, d), tv.weather(spark, d),
                             tv.airports(spark, d), carriers, thresholds=FIX)

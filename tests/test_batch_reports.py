@@ -1,4 +1,4 @@
-"""The one-scan pipeline must give exactly the registered (direct) reports."""
+"""The one-scan batch reports must give exactly the registered (direct) reports."""
 
 import pytest
 
@@ -10,13 +10,13 @@ SF = "/root/testdata/sf0.01"
 
 @pytest.fixture(scope="module")
 def reports(spark):
-    from tarmac.plans.pipeline import build_reports
+    from tarmac.plans.batch_reports import build_reports
     from tarmac.sources import dimensions, testviews as tv
     return build_reports(spark, tv.flights(spark, SF), tv.fares(spark, SF), tv.weather(spark, SF),
                          tv.airports(spark, SF), dimensions.carriers(spark), thresholds=FIX)
 
 
-def test_pipeline_covers_reports(reports):
+def test_batch_reports_cover_registered(reports):
     assert set(NAMES) <= set(reports)
 
 
@@ -32,7 +32,7 @@ NAMES = ["airport_traffic_top", "most_departures", "most_arrivals", "busiest_air
 
 
 @pytest.mark.parametrize("name", NAMES)
-def test_pipeline_equals_direct(spark, reports, name):
+def test_batch_report_equals_direct(spark, reports, name):
     direct = queries()[name](spark, SF)
     got = reports[name]
     assert sorted(got.columns) == sorted(direct.columns)
@@ -42,8 +42,8 @@ def test_pipeline_equals_direct(spark, reports, name):
     assert h1 == h2, (sorted(set(k1) - set(k2))[:3], sorted(set(k2) - set(k1))[:3])
 
 
-def test_pipeline_run_writes_everything(spark, tmp_path):
-    from tarmac.plans.pipeline import run
+def test_batch_run_writes_everything(spark, tmp_path):
+    from tarmac.plans.batch_reports import run
     from tarmac.sources import dimensions, testviews as tv
     sf = "/root/testdata/sf0.001"
     names = run(spark, tv.flights(spark, sf), tv.fares(spark, sf), tv.weather(spark, sf),
