@@ -63,8 +63,10 @@ def flight_summary(flights: DataFrame) -> DataFrame:
     measures += _sum_n("CANCELLED", "cancelled") + [F.count_if(c("CANCELLED") == 1)
                                                     .alias("cancelled_eq1")]
     measures += _sum_n("DISTANCE", "dist")
-    measures += _sum_n("WEATHER_DELAY", "wx_pos", wx > 0) + [
-        F.max(F.when(wx > 0, wx)).alias("wx_pos_max"), F.count_if(wx > 30).alias("wx_over30")]
+    # rows with a positive weather delay are counted by ``weather_pos`` below
+    measures += [F.sum(F.when(wx > 0, wx)).alias("wx_pos_sum"),
+                 F.max(F.when(wx > 0, wx)).alias("wx_pos_max"),
+                 F.count_if(wx > 30).alias("wx_over30")]
     measures += _sum_n("DEP_DELAY", "dep_wx", wx.isNotNull())
     for col, name in CAUSES.items():
         measures += _sum_n(col, name) + [F.count_if(c(col) > 0).alias(f"{name}_pos")]
@@ -161,8 +163,9 @@ def weather_delay_reports(s: DataFrame, t: dict) -> dict[str, DataFrame]:
     return {
         "weather_delays_by_airport": (
             s.groupBy("ORIGIN")
-            .agg(_avg("wx_pos").alias("avg_weather_delay_min"),
-                 F.sum("wx_pos_n").alias("weather_delayed_flights"),
+            .agg(F.round(F.try_divide(F.sum("wx_pos_sum"), F.sum("weather_pos")), 2)
+                 .alias("avg_weather_delay_min"),
+                 F.sum("weather_pos").alias("weather_delayed_flights"),
                  F.round(F.max("wx_pos_max"), 2).alias("max_weather_delay_min"))
             .where(c("weather_delayed_flights") > t["weather_delays_by_airport"])
             .orderBy(F.desc("avg_weather_delay_min"), F.asc_nulls_last("ORIGIN"))),
