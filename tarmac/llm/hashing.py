@@ -72,9 +72,10 @@ def shingles(texts: list[str], width: int = 5) -> tuple[np.ndarray, np.ndarray]:
     short = np.flatnonzero((count > 0) & (count < width))
     if len(short):
         first = np.cumsum(count) - count
-        own = [mix64(np.array([(h[first[d]:first[d] + count[d]] * factor[:count[d]]).sum(dtype=np.uint64)
-                               + np.uint64(count[d]) * _MIX2], np.uint64))[0] for d in short]
-        s, sdoc = np.concatenate((s, np.array(own, np.uint64))), np.concatenate((sdoc, short))
+        sums = np.array([(h[first[d]:first[d] + count[d]] * factor[:count[d]]).sum(dtype=np.uint64)
+                         for d in short], np.uint64)
+        own = mix64(sums + count[short].astype(np.uint64) * _MIX2)
+        s, sdoc = np.concatenate((s, own)), np.concatenate((sdoc, short))
     order = np.lexsort((s, sdoc))
     s, sdoc = s[order], sdoc[order]
     if len(s):

@@ -8,7 +8,8 @@ import public_tokenizers
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from tarmac.llm import bpe, mixing, quality_rules, sharding, token_counts, warc
+from tarmac.llm import (bpe, importance, mixing, mtree, near_dups, pii, quality_rules, sharding,
+                        token_counts, warc)
 from tarmac.llm.common import table
 
 
@@ -22,6 +23,15 @@ def op2_quality_rules(spark: SparkSession, sf_dir: str) -> DataFrame:
         "base_failed", "kept")
 
 
+def op3_importance(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return importance.resample(table(spark, sf_dir, "documents"), table(spark, sf_dir, "labels"))
+
+
+def op4_mtree(spark: SparkSession, sf_dir: str) -> DataFrame:
+    found = mtree.top_k(table(spark, sf_dir, "embeddings"), F.col("id") % 20 == 0)
+    return found.select("query_id", "rank", F.col("id").alias("vec_id"), "score")
+
+
 def op5_token_counts(spark: SparkSession, sf_dir: str) -> DataFrame:
     counts = token_counts.token_counts(table(spark, sf_dir, "documents"),
                                        public_tokenizers.path("byte_bpe_50k.json"))
@@ -33,6 +43,15 @@ def op6_sharding(spark: SparkSession, sf_dir: str) -> DataFrame:
     return sharding.shard_documents(table(spark, sf_dir, "documents"))
 
 
+def op7_near_dups(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return near_dups.near_duplicates(table(spark, sf_dir, "documents"), percent=85).select(
+        "doc_id", "n_shingles", "component_id", "kept")
+
+
+def op8_pii(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return pii.find_pii(table(spark, sf_dir, "documents"))
+
+
 def op9_mixing(spark: SparkSession, sf_dir: str) -> DataFrame:
     return mixing.mix(table(spark, sf_dir, "documents")).select(
         "doc_id", "source", "n_copies", "copy", "shuffle_key", "text")
@@ -46,8 +65,12 @@ def op10_bpe(spark: SparkSession, sf_dir: str) -> DataFrame:
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     "op1_warc": op1_warc,
     "op2_quality_rules": op2_quality_rules,
+    "op3_importance": op3_importance,
+    "op4_mtree": op4_mtree,
     "op5_token_counts": op5_token_counts,
     "op6_sharding": op6_sharding,
+    "op7_near_dups": op7_near_dups,
+    "op8_pii": op8_pii,
     "op9_mixing": op9_mixing,
     "op10_bpe": op10_bpe,
 }
@@ -137,8 +160,21 @@ SELECT doc_id, source, n_copies, i::INT AS copy, md5(concat_ws('|', 'order{mixin
 FROM n, unnest(range(1, n_copies + 1)) AS x(i)"""
 
 
+_TOP_K_SQL = """
+WITH v AS (
+  SELECT vec_id, list_transform(embedding, lambda x: floor(64 * x::DOUBLE)) AS v FROM embeddings
+  WHERE vec_id IS NOT NULL AND len(embedding) > 0
+    AND len(list_filter(embedding, lambda x: x IS NOT NULL AND isfinite(x))) = len(embedding)),
+s AS (
+  SELECT q.vec_id AS query_id, c.vec_id, list_inner_product(q.v, c.v)::BIGINT AS score
+  FROM v q JOIN v c ON q.vec_id <> c.vec_id WHERE q.vec_id % 20 = 0),
+r AS (SELECT *, row_number() OVER (PARTITION BY query_id ORDER BY score DESC, vec_id)::INT AS rank FROM s)
+SELECT query_id, rank, vec_id, score FROM r WHERE rank <= 20"""
+
+
 ORACLE_SQL: dict[str, str] = {
     "op1_warc": _WARC_SQL,
     "op2_quality_rules": _quality_sql(),
+    "op4_mtree": _TOP_K_SQL,
     "op9_mixing": _MIXING_SQL,
 }
