@@ -1,35 +1,46 @@
 """Convert the raw CSV drops to parquet once.
 
 CSV is row-based and re-parsed by every job; parquet gives column pruning,
-predicate pushdown and vectorized reads. Flights are written partitioned by
-year so year filters prune whole folders.
+predicate pushdown and vectorized reads. Tables are written partitioned by
+``part_year`` (a name no source column has), so year filters prune whole folders;
+fares keep the file each row came from, the batch of the scale repair.
 """
 
 from __future__ import annotations
 
-from pyspark.sql import DataFrame, SparkSession
-from pyspark.sql import functions as F
+from pyspark.sql import DataFrame, Observation, SparkSession
 
-from tarmac.sources.files import read_fares, read_flights, read_weather
-
-READERS = {"flights": read_flights, "fares": read_fares, "weather": read_weather}
+from tarmac.sources.files import (PART_YEAR, _conform, _csv_parts, _paths, malformed_counts,
+                                  row_year)
 
 
 def partition_column(kind: str, df: DataFrame) -> DataFrame:
-    if kind == "flights":
-        return df.withColumn("year", F.year("FL_DATE"))
-    if kind == "weather":
-        return df.withColumn("year", F.year("DATE"))
-    return df.withColumn("year", F.col("YEAR"))
-
-
-def convert_csv(spark: SparkSession, kind: str, paths, out_dir: str) -> None:
-    """Read one kind of CSV drop with its explicit schema and write parquet by year."""
-    df = partition_column(kind, READERS[kind](spark, paths, fmt="csv"))
+    return df.withColumn(PART_YEAR, row_year(kind))
+
+
+def convert_csv(spark: SparkSession, kind: str, paths, out_dir: str) -> dict[str, int]:
+    """Read one kind of CSV drop with its explicit schema and write parquet by year.
+
+    Returns, for each column, how many values were malformed and became null; they
+    are counted while the rows are written, without another pass.
+    """
+    files = _paths(paths)
+    observed, df = [], None
+    for raw in _csv_parts(spark, files, with_file=(kind == "fares")):
+        seen = Observation()
+        watched = raw.observe(seen, *[agg.alias(n) for n, agg in malformed_counts(kind, raw).items()])
+        part = _conform(watched, kind, lambda col, t: col.try_cast(t), ", ".join(files))
+        df = part if df is None else df.unionByName(part)
+        observed.append(seen)
     # No shuffle: the source files are monthly or yearly, so each input split
     # (spark.sql.files.maxPartitionBytes) writes into one or two year folders.
     # Hash-repartitioning by year would leave one task per year (a handful
     # of tasks each writing terabytes); the files per year are bounded by the
     # split count and maxRecordsPerFile instead.
-    (df.write.mode("overwrite").partitionBy("year")
+    (partition_column(kind, df).write.mode("overwrite").partitionBy(PART_YEAR)
      .option("maxRecordsPerFile", 5_000_000).parquet(out_dir))
+    bad: dict[str, int] = {}
+    for seen in observed:
+        for name, n in seen.get.items():
+            bad[name] = bad.get(name, 0) + n
+    return bad

@@ -1,23 +1,37 @@
 """Readers for the flight, fare and weather files (SRC-1..5, SRC-8..10).
 
-Every reader returns the table's explicit schema (no inference pass): CSV
-columns are matched by header name and converted with ``try_cast``, parquet
-columns by name. Column pruning and predicate pushdown are left to Catalyst:
-the readers return every column of the schema and the operators select what
-they use, so ``ReadSchema`` in the plan only lists the used columns.
+Every reader returns the table's explicit schema (no inference pass). Columns are
+matched by name, case ignored: CSV files are grouped by their own header line first,
+since Spark would apply one header to all files of a read. A file without
+a key column of its table is an error; other absent columns become typed nulls.
+CSV values are converted with ``try_cast``; ``malformed_counts`` says how many
+values that turns into nulls. Pruning and pushdown are left to Catalyst: operators
+select what they use, so ``ReadSchema`` lists the used columns alone.
 """
 
 from __future__ import annotations
 
+from collections import defaultdict
 from collections.abc import Iterable
 
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
-from pyspark.sql.types import StructType
+from pyspark.sql.types import StringType, StructField, StructType
 
 from tarmac.schemas import FARE_SCHEMA, FLIGHT_SCHEMA, WEATHER_SCHEMA
 
 JUNK_COLUMN = "Unnamed: 27"
+#: Partition column of converted tables; kept by the readers so that filters on it prune folders.
+PART_YEAR = "part_year"
+#: The file a fare row came from: one file is one batch of the scale repair.
+SOURCE_FILE = "source_file"
+
+KEY_COLUMNS = {
+    "flights": ("FL_DATE", "ORIGIN", "DEST"),
+    "fares": ("YEAR", "QUARTER", "ORIGIN", "ITIN_FARE"),
+    "weather": ("NAME", "DATE"),
+}
+SCHEMAS = {"flights": FLIGHT_SCHEMA, "fares": FARE_SCHEMA, "weather": WEATHER_SCHEMA}
 
 
 def _paths(paths: str | Iterable[str]) -> list[str]:
@@ -39,45 +53,141 @@ def select_existing(df: DataFrame, needed: Iterable[str]) -> DataFrame:
     return df.select([F.col(f"`{c}`") for c in needed if c in df.columns])
 
 
-def _conform(df: DataFrame, table_schema: StructType, cast) -> DataFrame:
-    """Select the table schema's columns by name; absent ones become typed nulls."""
+def _named(columns: Iterable[str], where: str) -> dict[str, str]:
+    """Lower-cased column name -> column; two columns that differ in case only are an error."""
+    out: dict[str, str] = {}
+    for column in columns:
+        if out.setdefault(column.strip().lower(), column) != column:
+            raise ValueError(f"{where}: columns {out[column.strip().lower()]!r} and {column!r} clash")
+    return out
+
+
+def _conform(df: DataFrame, kind: str, cast, where: str) -> DataFrame:
+    """Select the table schema's columns by name, whatever their case and order."""
+    have = _named(df.columns, where)
+    missing = [k for k in KEY_COLUMNS[kind] if k.lower() not in have]
+    if missing:
+        raise ValueError(f"{where}: no column {', '.join(missing)} among {', '.join(df.columns)}")
+    carried = [c for c in (PART_YEAR, SOURCE_FILE) if c in df.columns]
     return df.select([
-        (cast(F.col(f"`{f.name}`"), f.dataType) if f.name in df.columns
+        (cast(F.col(f"`{have[f.name.lower()]}`"), f.dataType) if f.name.lower() in have
          else F.lit(None).cast(f.dataType)).alias(f.name)
-        for f in table_schema.fields
-    ])
+        for f in SCHEMAS[kind].fields
+    ] + carried)
 
 
-def _read(spark: SparkSession, paths, fmt: str, table_schema: StructType) -> DataFrame:
-    """CSV by header name (any column order, extra columns ignored) or parquet.
-
-    CSV columns are read as text and converted with ``try_cast``, so a
-    malformed value becomes null instead of failing the job, and only the
-    selected columns are parsed (the CSV reader prunes the rest).
-    """
+def _csv_headers(spark: SparkSession, paths: list[str]) -> dict[tuple[str, ...], list[str]]:
+    """Header -> the files that have it. Reads the first line of each file, nothing else."""
+    jvm = spark.sparkContext._jvm
+    conf = spark.sparkContext._jsc.hadoopConfiguration()
+    codecs = jvm.org.apache.hadoop.io.compress.CompressionCodecFactory(conf)
+    groups: dict[tuple[str, ...], list[str]] = defaultdict(list)
+
+    def visit(fs, status) -> None:
+        path = status.getPath()
+        if path.getName()[:1] in "._":
+            return
+        if status.isDirectory():
+            for child in fs.listStatus(path):
+                visit(fs, child)
+            return
+        stream, codec = fs.open(path), codecs.getCodec(path)
+        if codec is not None:
+            stream = codec.createInputStream(stream)
+        reader = jvm.java.io.BufferedReader(jvm.java.io.InputStreamReader(stream, "UTF-8"))
+        try:
+            line = reader.readLine()
+        finally:
+            reader.close()
+        if line:
+            names = jvm.com.univocity.parsers.csv.CsvParser(
+                jvm.com.univocity.parsers.csv.CsvParserSettings()).parseLine(line.lstrip("\ufeff"))
+            # pandas writes an empty name for a trailing column
+            header = tuple((n or "").strip() or f"_c{i}" for i, n in enumerate(names))
+            groups[header].append(path.toString())
+
+    for pattern in paths:
+        path = jvm.org.apache.hadoop.fs.Path(pattern)
+        fs = path.getFileSystem(conf)
+        found = fs.globStatus(path)
+        if not found:
+            raise FileNotFoundError(f"no file matches {pattern}")
+        for status in found:
+            visit(fs, status)
+    if not groups:
+        raise ValueError(f"no header line in {', '.join(paths)}")
+    return groups
+
+
+def _csv_parts(spark: SparkSession, paths: list[str], with_file: bool) -> list[DataFrame]:
+    """One DataFrame of texts per distinct header."""
+    parts = []
+    for header, group in _csv_headers(spark, paths).items():
+        _named(header, group[0])
+        names = StructType([StructField(n, StringType()) for n in header])
+        raw = spark.read.option("header", True).schema(names).csv(group)
+        if with_file:
+            raw = raw.withColumn(SOURCE_FILE, F.col("_metadata.file_path"))
+        parts.append(drop_if_present(raw, JUNK_COLUMN))
+    return parts
+
+
+def _read(spark: SparkSession, paths, fmt: str, kind: str, years: tuple[int, int] | None = None,
+          with_file: bool = False) -> DataFrame:
     files = _paths(paths)
     if fmt == "csv":
-        raw = drop_if_present(spark.read.option("header", True).csv(files), JUNK_COLUMN)
-        return _conform(raw, table_schema, lambda col, t: col.try_cast(t))
-    if fmt == "parquet":
-        raw = drop_if_present(spark.read.parquet(*files), JUNK_COLUMN)
-        return _conform(raw, table_schema, lambda col, t: col.cast(t))
-    raise ValueError(f"unsupported format {fmt!r}")
+        parts = [_conform(raw, kind, lambda col, t: col.try_cast(t), ", ".join(files))
+                 for raw in _csv_parts(spark, files, with_file)]
+        out = parts[0]
+        for part in parts[1:]:
+            out = out.unionByName(part)
+    elif fmt == "parquet":
+        raw = spark.read.parquet(*files)
+        if with_file and SOURCE_FILE not in raw.columns:
+            raw = raw.withColumn(SOURCE_FILE, F.col("_metadata.file_path"))
+        out = _conform(drop_if_present(raw, JUNK_COLUMN), kind, lambda col, t: col.cast(t), ", ".join(files))
+    else:
+        raise ValueError(f"unsupported format {fmt!r}")
+    if years is not None:
+        if PART_YEAR in out.columns:
+            out = out.where(F.col(PART_YEAR).between(*years))
+        else:
+            out = out.where(row_year(kind).between(*years))
+    return out
+
+
+def row_year(kind: str):
+    """The year a row belongs to."""
+    return {"flights": F.year("FL_DATE"), "weather": F.year("DATE"), "fares": F.col("YEAR")}[kind]
+
 
+def malformed_counts(kind: str, raw: DataFrame) -> dict:
+    """Column -> aggregate counting texts that ``try_cast`` turns into null."""
+    have = _named(raw.columns, kind)
+    return {f.name: F.count_if(F.col(f"`{have[f.name.lower()]}`").isNotNull()
+                               & F.col(f"`{have[f.name.lower()]}`").try_cast(f.dataType).isNull())
+            for f in SCHEMAS[kind].fields if f.name.lower() in have}
 
-def read_flights(spark: SparkSession, paths, fmt: str = "csv") -> DataFrame:
+
+def read_flights(spark: SparkSession, paths, fmt: str = "csv",
+                 years: tuple[int, int] | None = None) -> DataFrame:
     """SRC-1: on-time performance files -> one flights DataFrame."""
-    return _read(spark, paths, fmt, FLIGHT_SCHEMA)
+    return _read(spark, paths, fmt, "flights", years)
+
 
+def read_fares(spark: SparkSession, paths, fmt: str = "csv", years: tuple[int, int] | None = None,
+               with_file: bool = False) -> DataFrame:
+    """SRC-2: fare itinerary files -> one fares DataFrame.
 
-def read_fares(spark: SparkSession, paths, fmt: str = "csv") -> DataFrame:
-    """SRC-2: fare itinerary files -> one fares DataFrame."""
-    return _read(spark, paths, fmt, FARE_SCHEMA)
+    ``with_file`` adds the column ``source_file``, the batch key of the scale repair.
+    """
+    return _read(spark, paths, fmt, "fares", years, with_file)
 
 
-def read_weather(spark: SparkSession, paths, fmt: str = "csv") -> DataFrame:
+def read_weather(spark: SparkSession, paths, fmt: str = "csv",
+                 years: tuple[int, int] | None = None) -> DataFrame:
     """SRC-3: daily station files -> one weather DataFrame."""
-    return _read(spark, paths, fmt, WEATHER_SCHEMA)
+    return _read(spark, paths, fmt, "weather", years)
 
 
 def path_exists(spark: SparkSession, path: str) -> bool:

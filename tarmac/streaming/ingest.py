@@ -8,36 +8,44 @@ summary (mergeable counts, sums and maxima) and stored under its batch id.
 Reports read the merged summary, which equals the summary of all files.
 
 Exactly once: the partial summary of batch ``b`` is written to its own
-folder with overwrite, so a retried batch replaces its own output; the
-stream's checkpoint (offsets of files seen) lives in the shared checkpoint
-folder.
+folder with overwrite, so a retried batch replaces its own output. The stream's
+checkpoint (files seen) lives beside the partial summaries in ``table_dir``, so
+the next application goes on where the last one ended; it is not in
+``spark.checkpoint.dir``, where every application has a folder of its own.
+``compact`` folds the partial summaries of finished batches into one.
 """
 
 from __future__ import annotations
 
-import hashlib
+import json
 import os
+import uuid
 
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql.streaming import StreamingQuery
 
 from tarmac.plans.summary import FLIGHT_KEYS, flight_summary
-from tarmac.schemas import FLIGHT_CSV_SCHEMA, FLIGHT_SCHEMA
-from tarmac.session import ensure_checkpoint_dir
+from tarmac.schemas import FLIGHT_SCHEMA
+from tarmac.sources.files import SCHEMAS, path_exists, read_flights
 
 
 def flight_file_stream(spark: SparkSession, source_dir: str, fmt: str = "parquet",
                        max_files_per_trigger: int | None = None) -> DataFrame:
-    """Streaming DataFrame over the flight files landing in ``source_dir``."""
-    reader = spark.readStream.format(fmt)
+    """Streaming DataFrame over the flight files landing in ``source_dir``.
+
+    Parquet columns are found by name. A CSV stream gives the names of the new files
+    only (``path``): each has a header of its own, which the batch reader follows.
+    """
+    reader = spark.readStream
     if max_files_per_trigger:
         reader = reader.option("maxFilesPerTrigger", max_files_per_trigger)
     if fmt == "csv":
-        stream = reader.schema(FLIGHT_CSV_SCHEMA).option("header", True).load(source_dir)
-    else:
-        stream = reader.schema(FLIGHT_SCHEMA).load(source_dir)
-    return stream.select(*[f.name for f in FLIGHT_SCHEMA.fields])
+        # header only: no column of the file is parsed to learn its name
+        return reader.schema("first string").option("header", False).csv(source_dir) \
+            .select(F.col("_metadata.file_path").alias("path")).distinct()
+    return reader.format(fmt).schema(FLIGHT_SCHEMA).load(source_dir) \
+        .select(*[f.name for f in SCHEMAS["flights"].fields])
 
 
 def start_summary_stream(spark: SparkSession, source_dir: str, table_dir: str,
@@ -53,27 +61,65 @@ def start_summary_stream(spark: SparkSession, source_dir: str, table_dir: str,
     deltas = os.path.join(table_dir, "deltas")
 
     def write_batch(batch: DataFrame, batch_id: int) -> None:
+        if fmt == "csv":
+            paths = [r["path"] for r in batch.collect()]  # the files of one batch
+            if not paths:
+                return
+            batch = read_flights(spark, paths)
         (flight_summary(batch)
          .write.mode("overwrite").parquet(os.path.join(deltas, f"batch_id={batch_id}")))
 
-    # one stream checkpoint per summary table (keyed by its full path)
-    key = hashlib.sha1(table_dir.rstrip("/").encode()).hexdigest()[:16]
-    ckpt = os.path.join(ensure_checkpoint_dir(spark), "streams", f"flight-summary-{key}")
-    writer = (flight_file_stream(spark, source_dir, fmt, max_files_per_trigger).writeStream
-              .foreachBatch(write_batch).option("checkpointLocation", ckpt))
+    stream = flight_file_stream(spark, source_dir, fmt, max_files_per_trigger)
+    writer = stream.writeStream.foreachBatch(write_batch) \
+        .option("checkpointLocation", os.path.join(table_dir, "_checkpoint"))
+    if fmt == "csv":
+        writer = writer.outputMode("update")
     writer = (writer.trigger(availableNow=True) if available_now
               else writer.trigger(processingTime=processing_time or "10 minutes"))
     return writer.start()
 
 
+def _merge(parts: DataFrame) -> DataFrame:
+    keys = FLIGHT_KEYS + ["gid"]
+    measures = [c for c in parts.columns if c not in keys]
+    return parts.groupBy(*keys).agg(*[
+        (F.max(m) if m.endswith("_max") else F.sum(m)).alias(m) for m in measures])
+
+
+def _parts(spark: SparkSession, table_dir: str) -> tuple[DataFrame, int]:
+    """The stored partial summaries, and the last batch folded into the compacted one."""
+    upto, base = -1, None
+    pointer = os.path.join(table_dir, "compacted")
+    if path_exists(spark, pointer):
+        # the newest pointer names the compacted table and its last batch
+        newest = max((json.loads(r["value"]) for r in spark.read.text(pointer).collect()),
+                     key=lambda x: x["upto"])
+        upto, base = newest["upto"], newest["path"]
+    deltas = spark.read.parquet(os.path.join(table_dir, "deltas")).where(F.col("batch_id") > upto) \
+        .drop("batch_id")
+    if base is not None:
+        deltas = deltas.unionByName(spark.read.parquet(base))
+    return deltas, upto
+
+
 def merged_summary(spark: SparkSession, table_dir: str) -> DataFrame:
     """Merge the stored partial summaries into one flight summary.
 
     Counts and sums add up, maxima take the max: the result equals
     ``flight_summary`` over all ingested files.
     """
-    parts = spark.read.parquet(os.path.join(table_dir, "deltas")).drop("batch_id")
-    keys = FLIGHT_KEYS + ["gid"]
-    measures = [c for c in parts.columns if c not in keys]
-    return parts.groupBy(*keys).agg(*[
-        (F.max(m) if m.endswith("_max") else F.sum(m)).alias(m) for m in measures])
+    return _merge(_parts(spark, table_dir)[0])
+
+
+def compact(spark: SparkSession, table_dir: str) -> int:
+    """Fold every finished batch into one table; the last batch folded.
+
+    The table is written first and the pointer to it after, so readers see either the old
+    or the new state. Batch folders stay until the user removes those up to the last batch.
+    """
+    last = spark.read.parquet(os.path.join(table_dir, "deltas")).agg(F.max("batch_id")).first()[0]
+    path = os.path.join(table_dir, f"folded-{uuid.uuid4().hex}")
+    _merge(_parts(spark, table_dir)[0]).write.parquet(path)
+    spark.createDataFrame([(json.dumps({"upto": int(last), "path": path}),)], "value string") \
+        .coalesce(1).write.mode("append").text(os.path.join(table_dir, "compacted"))
+    return int(last)

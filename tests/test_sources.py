@@ -77,9 +77,12 @@ def test_convert_csv_partitions_by_year(spark, tmp_path):
     out = str(tmp_path / "pq")
     convert_csv(spark, "flights", [path], out)
     back = spark.read.parquet(out)
-    assert sorted(r.year for r in back.select("year").collect()) == [2018, 2019]
-    plan = back.where("year = 2019")._jdf.queryExecution().executedPlan().toString()
-    assert "PartitionFilters" in plan
+    assert sorted(r.part_year for r in back.select("part_year").collect()) == [2018, 2019]
+    for read in (files.read_flights(spark, out, "parquet", years=(2019, 2019)),
+                 files.read_flights(spark, out, "parquet").where("part_year = 2019")):
+        plan = read._jdf.queryExecution().executedPlan().toString()
+        assert "part_year" in plan.split("PartitionFilters: [")[1].split("]")[0]
+        assert [str(r.FL_DATE) for r in read.collect()] == ["2019-01-01"]
 
 
 def test_read_saved_report(spark, tmp_path):
@@ -103,3 +106,34 @@ def test_read_flights_by_header_name(spark, tmp_path):
     assert str(rows["ATL"].FL_DATE) == "2015-07-04" and rows["ATL"].DISTANCE is None
     # malformed values become null instead of failing the job
     assert rows["BOS"].FL_DATE is None and rows["BOS"].DEP_DELAY is None
+
+
+def test_convert_keeps_fare_year_and_batches(spark, tmp_path):
+    from tarmac.operators.fares import repair_fare_scale
+    from tarmac.sources.convert import convert_csv
+    rows = "".join(f"2015,1,ATL,{3.9 + i / 100},0.01,500\n" for i in range(11))
+    path = _write(tmp_path, "fares.csv", "YEAR,QUARTER,ORIGIN,ITIN_FARE,ITIN_YIELD,DISTANCE\n" + rows + "bad,1,ATL,x,,\n")
+    out = str(tmp_path / "pq")
+    bad = convert_csv(spark, "fares", path, out)
+    assert bad["YEAR"] == 1 and bad["ITIN_FARE"] == 1 and bad["ORIGIN"] == 0
+    back = files.read_fares(spark, out, "parquet", with_file=True)
+    assert {r.YEAR for r in back.collect()} == {2015, None}
+    assert {r.source_file.rsplit("/", 1)[1] for r in back.collect()} == {"fares.csv"}
+    repaired = repair_fare_scale(back, ("source_file",)).where("YEAR = 2015")
+    assert round(repaired.agg({"ITIN_FARE": "avg"}).first()[0], 2) == 395.0
+
+
+def test_each_file_by_its_own_header(spark, tmp_path):
+    a = _write(tmp_path, "a.csv", "ORIGIN,DEST,FL_DATE\nATL,ORD,2015-07-04\n")
+    b = _write(tmp_path, "b.csv", "dest,origin,fl_date,DEP_DELAY\nSFO,LAX,2015-07-05,4\n")
+    got = {(r.ORIGIN, r.DEST, str(r.FL_DATE), r.DEP_DELAY) for r in files.read_flights(spark, [a, b]).collect()}
+    assert got == {("ATL", "ORD", "2015-07-04", None), ("LAX", "SFO", "2015-07-05", 4.0)}
+
+
+def test_absent_key_or_clashing_columns_raise(spark, tmp_path):
+    with pytest.raises(ValueError, match="DEST"):
+        files.read_flights(spark, _write(tmp_path, "a.csv", "ORIGIN,FL_DATE\nATL,2015-07-04\n"))
+    with pytest.raises(ValueError, match="clash"):
+        files.read_flights(spark, _write(tmp_path, "b.csv", "ORIGIN,origin,DEST,FL_DATE\nA,B,C,2015-07-04\n"))
+    with pytest.raises(FileNotFoundError):
+        files.read_flights(spark, str(tmp_path / "none*.csv"))

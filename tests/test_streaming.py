@@ -52,3 +52,38 @@ def test_stream_reads_csv_drops(spark, tmp_path):
     s = merged_summary(spark, str(tmp_path / "summary"))
     routes = s.where("gid = 3").collect()
     assert len(routes) == 1 and routes[0].n == 2 and routes[0].dep_sum == 10.0
+
+
+RUN = """
+import sys
+sys.path.insert(0, {root!r})
+from tarmac.session import get_spark
+from tarmac.streaming.ingest import compact, merged_summary, start_summary_stream
+spark = get_spark("local[2]", "ingest", {{"spark.checkpoint.dir": {ckpt!r}, "spark.sql.shuffle.partitions": "2"}})
+q = start_summary_stream(spark, {land!r}, {table!r}, fmt="csv")
+q.awaitTermination(200)
+assert q.exception() is None
+print("N", sum(r.n for r in merged_summary(spark, {table!r}).where("gid = 3").collect()))
+compact(spark, {table!r})
+print("N", sum(r.n for r in merged_summary(spark, {table!r}).where("gid = 3").collect()))
+spark.stop()
+"""
+
+
+def test_two_applications_ingest_each_file_once(tmp_path):
+    import subprocess
+    import sys
+    land = tmp_path / "landing"
+    land.mkdir()
+    root = os.path.dirname(os.path.dirname(os.path.abspath(__file__)))
+    code = RUN.format(root=root, ckpt=str(tmp_path / "ckpt"), land=str(land), table=str(tmp_path / "summary"))
+    seen = []
+    for i, files in enumerate((["a", "b"], ["c"])):
+        for name in files:  # each file with a column order of its own
+            order = ["DEST", "ORIGIN", "FL_DATE", "DEP_DELAY"][:: 1 if name == "a" else -1]
+            row = {"DEST": "ORD", "ORIGIN": "ATL", "FL_DATE": "2019-01-05", "DEP_DELAY": "5"}
+            (land / f"{name}.csv").write_text(",".join(order) + "\n" + ",".join(row[c] for c in order) + "\n")
+        out = subprocess.run([sys.executable, "-c", code], capture_output=True, text=True, timeout=250, cwd=root)
+        assert out.returncode == 0, out.stderr[-2000:]
+        seen.append([line for line in out.stdout.splitlines() if line.startswith("N ")])
+    assert seen == [["N 2", "N 2"], ["N 3", "N 3"]]
