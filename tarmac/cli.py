@@ -81,9 +81,8 @@ def cmd_models(args) -> None:
     save_table(v2.importances.coalesce(1), os.path.join(processed, "delay_feature_importance_v2"),
                "csv")
     baseline = read_metrics_if_exists(spark, os.path.join(processed, "delay_model_metrics"))
-    comparison = models.model_comparison(baseline, v2.metrics)
-    if comparison is not None:
-        save_record(comparison, os.path.join(processed, "delay_model_comparison_v2"))
+    save_record(models.model_comparison(baseline, v2.metrics),
+                os.path.join(processed, "delay_model_comparison_v2"))
 
 
 def cmd_ingest(args) -> None:

@@ -18,6 +18,15 @@ def batch_fare_means(fares: DataFrame, batch_keys=BATCH_KEYS) -> DataFrame:
                  F.count(F.lit(1)).alias("batch_rows")))
 
 
+def batch_status(threshold: float = 50.0):
+    """A batch's status by its mean: one rule for repair and audit.
+
+    A batch without a positive fare has no mean; it is left alone as ``unclassified``.
+    """
+    return (F.when(c("batch_avg_fare").isNull(), "unclassified")
+            .when(c("batch_avg_fare") < threshold, "fixed").otherwise("clean"))
+
+
 def repair_fare_scale(fares: DataFrame, batch_keys=BATCH_KEYS, threshold: float = 50.0,
                       factor: float = 100.0, means: DataFrame | None = None) -> DataFrame:
     """RAM-1: batches whose mean positive fare is below ``threshold`` were stored
@@ -33,11 +42,14 @@ def repair_fare_scale(fares: DataFrame, batch_keys=BATCH_KEYS, threshold: float
     """
     keys = list(batch_keys)
     means = (means if means is not None else batch_fare_means(fares, keys)).select(
-        *keys, "batch_avg_fare")
+        *[c(k).alias(f"_batch_{k}") for k in keys], "batch_avg_fare")
     if tuple(keys) == BATCH_KEYS:
         means = F.broadcast(means)
-    scaled = c("batch_avg_fare") < threshold
-    out = fares.join(means, on=keys, how="left")
+    scaled = batch_status(threshold) == "fixed"
+    same = F.lit(True)
+    for k in keys:  # rows with a null key are a batch too, as in the audit
+        same = same & c(k).eqNullSafe(c(f"_batch_{k}"))
+    out = fares.join(means, on=same, how="left")
     return out.withColumns({
         "ITIN_FARE": F.when(scaled, c("ITIN_FARE") * factor).otherwise(c("ITIN_FARE")),
         "ITIN_YIELD": F.when(scaled, c("ITIN_YIELD") * factor).otherwise(c("ITIN_YIELD")),
@@ -48,12 +60,12 @@ def fare_batch_audit(fares: DataFrame, batch_keys=BATCH_KEYS, threshold: float =
                      factor: float = 100.0, means: DataFrame | None = None) -> DataFrame:
     """RAM-2: one row per batch with its mean, row count and repair status."""
     keys = list(batch_keys)
-    scaled = c("batch_avg_fare") < threshold
+    scaled = batch_status(threshold) == "fixed"
     return ((means if means is not None else batch_fare_means(fares, keys))
             .select(*keys,
                     F.round("batch_avg_fare", 2).alias("batch_avg_fare"),
                     "batch_rows",
-                    F.when(scaled, "fixed").otherwise("clean").alias("status"),
+                    batch_status(threshold).alias("status"),
                     F.round(F.when(scaled, c("batch_avg_fare") * factor)
                             .otherwise(c("batch_avg_fare")), 2).alias("repaired_avg_fare"))
             .orderBy(*keys))
@@ -64,8 +76,7 @@ def fare_batch_status(fares: DataFrame, batch_keys=BATCH_KEYS, threshold: float
     """RAM-2 totals: how many batches (and rows) were clean and how many fixed."""
     keys = list(batch_keys)
     batches = means if means is not None else batch_fare_means(fares, keys)
-    status = F.when(c("batch_avg_fare") < threshold, "fixed").otherwise("clean")
-    return (batches.groupBy(status.alias("status"))
+    return (batches.groupBy(batch_status(threshold).alias("status"))
             .agg(F.count(F.lit(1)).alias("batches"), F.sum("batch_rows").alias("rows"))
             .orderBy("status"))
 

@@ -120,6 +120,13 @@ def split_by_key(df: DataFrame, key: str = "ROW_KEY", train_tenths: int = 8
     return df.where(is_train), df.where(~is_train)
 
 
+def stored_sample(df: DataFrame, sample_fraction: float, seed: int) -> DataFrame:
+    """SMP-1: a Bernoulli sample (of 1.0: every row), written once for the passes of a fit."""
+    if sample_fraction < 1.0:
+        df = df.sample(fraction=sample_fraction, seed=seed)
+    return materialize(df, "model-sample")
+
+
 def random_split(df: DataFrame, sample_fraction: float = 1.0, train_fraction: float = 0.8,
                  seed: int = 42, store: bool = False) -> tuple[DataFrame, DataFrame]:
     """SMP-1/2 as in the reference: Bernoulli sample, then ``randomSplit``.
@@ -129,10 +136,10 @@ def random_split(df: DataFrame, sample_fraction: float = 1.0, train_fraction: fl
     growing, evaluation) read the small stored sample instead of rescanning
     and re-deriving the source.
     """
-    if sample_fraction < 1.0:
-        df = df.sample(fraction=sample_fraction, seed=seed)
     if store:
-        df = materialize(df, "model-sample")
+        df = stored_sample(df, sample_fraction, seed)
+    elif sample_fraction < 1.0:
+        df = df.sample(fraction=sample_fraction, seed=seed)
     train, test = df.randomSplit([train_fraction, 1.0 - train_fraction], seed=seed)
     return train, test
 

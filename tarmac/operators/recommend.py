@@ -63,13 +63,12 @@ def carrier_comparison(lookup: DataFrame, carriers: DataFrame) -> DataFrame:
     """RAM-8: carriers of each route side by side, with carrier names.
 
     ``rank_on_route`` orders the carriers of a route by average departure
-    delay (then code). The carrier dimension is a fixed 16-row table and is
-    broadcast.
+    delay (then code). The caller brings the carrier table, so its join is left to AQE.
     """
     names = carriers.select(c("code").alias("OP_CARRIER"), c("name").alias("carrier_name"))
     w = Window.partitionBy("ORIGIN", "DEST").orderBy(F.asc_nulls_last("avg_dep_delay_min"),
                                                      F.asc_nulls_last("OP_CARRIER"))
-    return (lookup.join(F.broadcast(names), on="OP_CARRIER", how="left")
+    return (lookup.join(names, on="OP_CARRIER", how="left")
             .select("ORIGIN", "DEST", "OP_CARRIER", "carrier_name", "total_flights",
                     "avg_dep_delay_min", "avg_arr_delay_min", "pct_delayed_over_15min",
                     "cancellation_rate_pct",

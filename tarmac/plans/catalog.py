@@ -17,6 +17,7 @@ from tarmac.operators import airports as ap
 from tarmac.operators import delays, fares as fr, features as ft, network, recommend, traffic
 from tarmac.operators import weather as wx
 from tarmac.operators.joins import checked_broadcast, materialize
+from tarmac.plans import roundtrip
 from tarmac.sources import dimensions
 from tarmac.sources import testviews as tv
 
@@ -221,7 +222,7 @@ def queries() -> dict[str, Callable[[SparkSession, str], DataFrame]]:
             network.route_edges(_flights(s, d)), 50),
         "route_lookup_export": lambda s, d: network.route_lookup_export(_lookup(s, d), 5000),
         "carrier_comparison": lambda s, d: recommend.carrier_comparison(
-            _lookup(s, d), dimensions.carriers(s)),
+            _lookup(s, d), tv.brand_carriers(s, d)),
         "route_report": route_report,
         # features
         "rf_features": lambda s, d: ft.rf_features(_flights(s, d)),
@@ -235,6 +236,7 @@ def queries() -> dict[str, Callable[[SparkSession, str], DataFrame]]:
         "record_counts": record_counts,
         "bundle_sections": bundle_sections,
     }
+    q.update(roundtrip.queries())
     for name in ft.HISTORY_SPECS:
         q[f"delay_history_{name}"] = _history(name)
     return q

@@ -17,7 +17,7 @@ _TRAINED: dict[tuple, models.TrainedModel] = {}
 
 
 def _trained(spark: SparkSession, sf_dir: str, name: str) -> models.TrainedModel:
-    key = (id(spark), sf_dir, name)
+    key = (spark.sparkContext.applicationId, sf_dir, name)
     if key not in _TRAINED:
         flights = tv.flights(spark, sf_dir)
         if name == "delay_rf":

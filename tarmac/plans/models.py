@@ -135,7 +135,7 @@ def train_delay_gbt(flights: DataFrame, sample_fraction: float = 0.20, seed: int
 
     ``exclude_leaky`` drops the same-flight weather delay, which is not known
     before departure; the reference keeps it. ``split_key`` switches the
-    random split to the repeatable key split.
+    random split to the repeatable key split; the sample is drawn and stored either way.
     """
     # GBT checkpoints its running predictions every checkpointInterval (10)
     # iterations into the shared folder, which cuts lineage across iterations.
@@ -143,7 +143,8 @@ def train_delay_gbt(flights: DataFrame, sample_fraction: float = 0.20, seed: int
     keep = (split_key,) if split_key else ()
     data = ft.delay_base(flights, keep=keep)
     if split_key:
-        train, test = ft.split_by_key(data, split_key, 8)
+        sample = ft.stored_sample(data, sample_fraction, seed)
+        train, test = ft.split_by_key(sample, split_key, 8)
         train, test = train.drop(split_key), test.drop(split_key)
     else:
         train, test = ft.random_split(data, sample_fraction, 0.8, seed, store=True)
@@ -165,17 +166,18 @@ def train_delay_gbt(flights: DataFrame, sample_fraction: float = 0.20, seed: int
     return TrainedModel(fitted, metrics, imp, preds)
 
 
-def model_comparison(baseline: DataFrame | None, improved: DataFrame) -> DataFrame | None:
-    """ML-11: improved - baseline per metric; None when no baseline exists.
+def model_comparison(baseline: DataFrame | None, improved: DataFrame) -> DataFrame:
+    """ML-11: one record ``baseline, improved_v2, delta`` (improved - baseline per metric).
 
-    Both inputs are one-row metric tables, so the pairing is a one-row join.
+    Without a baseline the record has ``improved_v2`` alone. Both inputs are one-row
+    metric tables, so the pairing is a one-row join.
     """
+    new = improved.select(F.lit(1).alias("_k"), F.struct(*improved.columns).alias("improved_v2"))
     if baseline is None:
-        return None
-    b = baseline.select(F.lit(1).alias("_k"), F.col("rmse").alias("b_rmse"),
-                        F.col("mae").alias("b_mae"), F.col("r2").alias("b_r2"))
-    i = improved.select(F.lit(1).alias("_k"), "rmse", "mae", "r2")
-    return i.join(b, on="_k").select(
-        F.round(F.col("rmse") - F.col("b_rmse"), 2).alias("rmse_change"),
-        F.round(F.col("mae") - F.col("b_mae"), 2).alias("mae_change"),
-        F.round(F.col("r2") - F.col("b_r2"), 4).alias("r2_change"))
+        return new.drop("_k")
+    old = baseline.select(F.lit(1).alias("_k"), F.struct(*baseline.columns).alias("baseline"))
+    change = lambda m, digits: F.round(
+        F.col(f"improved_v2.{m}") - F.col(f"baseline.{m}"), digits).alias(f"{m}_change")
+    return new.join(old, on="_k").select(
+        "baseline", "improved_v2",
+        F.struct(change("rmse", 2), change("mae", 2), change("r2", 4)).alias("delta"))

@@ -23,6 +23,9 @@ def PCT(cond: str, total: str = "count(*)") -> str:
     return R(f"CAST(count(CASE WHEN {cond} THEN 1 END) AS DOUBLE) / {total} * 100")
 
 
+BATCH_STATUS = ("CASE WHEN batch_avg_fare IS NULL THEN 'unclassified' WHEN batch_avg_fare < 50 "
+                "THEN 'fixed' ELSE 'clean' END")
+
 # Extra CTEs derived from the base views.
 DERIVED = {
     "batch": "batch AS (SELECT YEAR, QUARTER, avg(CASE WHEN ITIN_FARE > 0 THEN ITIN_FARE END) "
@@ -31,7 +34,7 @@ DERIVED = {
               "CASE WHEN b.batch_avg_fare < 50 THEN f.ITIN_FARE * 100 ELSE f.ITIN_FARE END "
               "AS ITIN_FARE, CASE WHEN b.batch_avg_fare < 50 THEN f.ITIN_YIELD * 100 "
               "ELSE f.ITIN_YIELD END AS ITIN_YIELD FROM fares f LEFT JOIN batch b "
-              "ON f.YEAR = b.YEAR AND f.QUARTER = b.QUARTER)",
+              "ON f.YEAR IS NOT DISTINCT FROM b.YEAR AND f.QUARTER IS NOT DISTINCT FROM b.QUARTER)",
     "cfares": "cfares AS (SELECT * FROM rfares WHERE ITIN_FARE IS NOT NULL AND ITIN_FARE > 10 "
               "AND ITIN_FARE < 5000)",
     "base": "base AS (SELECT ROW_KEY, OP_CARRIER, ORIGIN, DEST, "
@@ -128,7 +131,7 @@ NEEDS = {
     "recs": ["flights", "route_stats", "fares", "batch", "rfares", "cfares", "fbo"],
     "carriers": [],
 }
-VIEW_NAMES = ["flights", "fares", "weather", "airports"]
+VIEW_NAMES = ["flights", "fares", "weather", "airports", "brand_carriers"]
 
 
 def sql(body: str, *ctes: str) -> str:
@@ -345,11 +348,11 @@ def oracle_sql() -> dict[str, str]:
         "fare_scale_repair": sql("SELECT * FROM rfares", "rfares"),
         "fare_batch_audit": sql(
             f"SELECT YEAR, QUARTER, {R('batch_avg_fare')} AS batch_avg_fare, batch_rows, "
-            "CASE WHEN batch_avg_fare < 50 THEN 'fixed' ELSE 'clean' END AS status, " +
+            f"{BATCH_STATUS} AS status, " +
             R("CASE WHEN batch_avg_fare < 50 THEN batch_avg_fare * 100 ELSE batch_avg_fare END") +
             " AS repaired_avg_fare FROM batch", "batch"),
         "fare_batch_status": sql(
-            "SELECT CASE WHEN batch_avg_fare < 50 THEN 'fixed' ELSE 'clean' END AS status, "
+            f"SELECT {BATCH_STATUS} AS status, "
             "count(*) AS batches, CAST(sum(batch_rows) AS BIGINT) AS rows FROM batch GROUP BY 1",
             "batch"),
         "fare_by_year": sql(
@@ -439,8 +442,8 @@ def oracle_sql() -> dict[str, str]:
             "l.avg_dep_delay_min, l.avg_arr_delay_min, l.pct_delayed_over_15min, "
             "l.cancellation_rate_pct, CAST(row_number() OVER (PARTITION BY l.ORIGIN, l.DEST "
             "ORDER BY l.avg_dep_delay_min ASC NULLS LAST, l.OP_CARRIER ASC NULLS LAST) AS INTEGER) "
-            "AS rank_on_route FROM lookup l LEFT JOIN carriers c ON l.OP_CARRIER = c.code",
-            "lookup", "carriers"),
+            "AS rank_on_route FROM lookup l LEFT JOIN brand_carriers c ON l.OP_CARRIER = c.code",
+            "lookup", "brand_carriers"),
         "route_report": _route_report(),
         "rf_features": sql(RF_SELECT, "flights"),
         "fare_features": sql(FARE_FEATURE_SELECT, "rfares"),
@@ -460,6 +463,26 @@ def oracle_sql() -> dict[str, str]:
         "model_eval": _model_eval(),
         "record_counts": _record_counts(),
         "bundle_sections": _bundle_sections(),
+        "flights_roundtrip": sql(
+            "SELECT CAST(year(FL_DATE) AS INTEGER) AS year, ORIGIN, count(*) AS n, sum(CANCELLED) AS cancelled, "
+            "min(FL_DATE) AS first_date, max(DEP_DELAY) AS max_dep_delay, sum(ARR_DELAY) AS arr_sum, "
+            "count(WEATHER_DELAY) AS weather_n, max(DEST) AS last_dest, min(CRS_DEP_TIME) AS first_dep "
+            "FROM flights WHERE year(FL_DATE) BETWEEN 1993 AND 2100 GROUP BY 1, 2", "flights"),
+        "fares_roundtrip": sql(
+            f"SELECT YEAR, QUARTER, count(*) AS n, {R('avg(ITIN_FARE)')} AS avg_fare, "
+            "count(ITIN_YIELD) AS yield_n, max(ORIGIN) AS last_origin FROM rfares GROUP BY YEAR, QUARTER",
+            "rfares"),
+        "weather_roundtrip": sql(
+            "SELECT NAME, CAST(year(DATE) AS INTEGER) AS year, count(*) AS n, count(AWND) AS wind_n, "
+            "max(TMAX) AS max_temp, min(TMIN) AS min_temp, max(DATE) AS last_date FROM weather GROUP BY 1, 2",
+            "weather"),
+        "fare_file_audit": sql(
+            f"SELECT batch, {R('batch_avg_fare')} AS batch_avg_fare, batch_rows, {BATCH_STATUS} AS status, " +
+            R("CASE WHEN batch_avg_fare < 50 THEN batch_avg_fare * 100 ELSE batch_avg_fare END") +
+            " AS repaired_avg_fare FROM (SELECT batch, avg(CASE WHEN f > 0 THEN f END) AS batch_avg_fare, "
+            "count(*) AS batch_rows FROM (SELECT concat_ws('_', YEAR, QUARTER, ROW_KEY % 3) AS batch, "
+            "CASE WHEN ROW_KEY % 3 = 1 THEN ITIN_FARE / 100 WHEN ROW_KEY % 3 = 0 THEN ITIN_FARE END AS f "
+            "FROM fares) GROUP BY batch)", "fares"),
     }
     for name in HISTORY_SPECS:
         q[f"delay_history_{name}"] = _history(name)

@@ -11,9 +11,9 @@ SF = "/root/testdata/sf0.01"
 @pytest.fixture(scope="module")
 def reports(spark):
     from tarmac.plans.batch_reports import build_reports
-    from tarmac.sources import dimensions, testviews as tv
+    from tarmac.sources import testviews as tv
     return build_reports(spark, tv.flights(spark, SF), tv.fares(spark, SF), tv.weather(spark, SF),
-                         tv.airports(spark, SF), dimensions.carriers(spark), thresholds=FIX)
+                         tv.airports(spark, SF), tv.brand_carriers(spark, SF), thresholds=FIX)
 
 
 def test_batch_reports_cover_registered(reports):

@@ -34,4 +34,4 @@ def test_cli_models(spark, tmp_path):
     m = spark.read.json(str(processed / "delay_model_metrics_v2")).first()
     assert m.feature_count == 18 and m.model_path.endswith("delay_rf_model_v2")
     cmp = spark.read.json(str(processed / "delay_model_comparison_v2")).first()
-    assert cmp.rmse_change is not None
+    assert cmp.delta.rmse_change is not None and cmp.baseline.rmse > 0

@@ -52,8 +52,11 @@ def test_model_comparison(spark):
     b = spark.createDataFrame([(36.73, 18.08, 0.0175)], "rmse double, mae double, r2 double")
     i = spark.createDataFrame([(26.76, 14.92, 0.1132)], "rmse double, mae double, r2 double")
     r = model_comparison(b, i).first()
+    assert r.baseline.rmse == 36.73 and r.improved_v2.rmse == 26.76
+    r = r.delta
     assert (r.rmse_change, r.mae_change, r.r2_change) == (-9.97, -3.16, 0.0957)
-    assert model_comparison(None, i) is None
+    alone = model_comparison(None, i)
+    assert alone.columns == ["improved_v2"] and alone.first().improved_v2.r2 == 0.1132
 
 
 def test_results_bundle_writes_one_document(spark, tmp_path):
