@@ -44,9 +44,12 @@ def cmd_reports(args) -> None:
     from tarmac.operators.recommend import ensemble_summary_record, thresholds_record
     from tarmac.plans.batch_reports import run
     from tarmac.plans.sinks import save_record
+    from tarmac.streaming.ingest import merged_summary
     spark = _session(args)
     flights, fares, weather, airports, carriers = _inputs(spark, args)
-    run(spark, flights, fares, weather, airports, carriers, args.out, args.output_format)
+    summary = merged_summary(spark, args.flight_summary) if args.flight_summary else None
+    run(spark, flights, fares, weather, airports, carriers, args.out, args.output_format,
+        flight_summary=summary)
     save_record(ensemble_summary_record(spark), os.path.join(args.out, "ensemble_model_summary"))
     save_record(thresholds_record(spark), os.path.join(args.out, "recommendation_thresholds"))
 
@@ -115,6 +118,7 @@ def main(argv=None) -> None:
         s.set_defaults(func=func)
         if name == "reports":
             s.add_argument("--output-format", default="parquet", choices=["csv", "parquet"])
+            s.add_argument("--flight-summary", help="summary table kept by the ingest command")
         else:
             s.add_argument("--processed", required=True)
             s.add_argument("--exclude-leaky", action="store_true")

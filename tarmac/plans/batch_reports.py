@@ -11,6 +11,8 @@ with distributed writers; nothing is collected to the driver.
 from __future__ import annotations
 
 import os
+from collections.abc import Callable, Mapping
+from functools import cache
 
 from pyspark.sql import DataFrame, SparkSession
 
@@ -29,40 +31,83 @@ REFERENCE_THRESHOLDS = {
 }
 
 
+class Reports(Mapping):
+    """Reports by name; a report's group and the summary it needs are made on first use."""
+
+    def __init__(self, groups: dict[tuple[str, ...], Callable[[], dict[str, DataFrame]]]):
+        self._group = {name: key for key in groups for name in key}
+        self._make, self._made = groups, {}
+
+    def __getitem__(self, name: str) -> DataFrame:
+        key = self._group[name]
+        if key not in self._made:
+            self._made[key] = self._make[key]()
+        return self._made[key][name]
+
+    def __iter__(self):
+        return iter(self._group)
+
+    def __len__(self) -> int:
+        return len(self._group)
+
+
 def build_reports(spark: SparkSession, flights: DataFrame, fares: DataFrame, weather: DataFrame,
                   airports: DataFrame, carriers: DataFrame, thresholds: dict | None = None,
-                  top_airports: int = 25) -> dict[str, DataFrame]:
+                  top_airports: int = 25, flight_summary: DataFrame | None = None) -> Reports:
     """Every report as a DataFrame over the materialized summaries.
 
-    ``fares`` are raw (the batch repair is applied here).
+    Only what is asked for is built: without a weather report no weather is scanned.
+    ``fares`` are raw (the batch repair is applied here). ``flight_summary`` may bring
+    the summary that streaming ingestion keeps instead of a scan of ``flights``.
     """
     t = {**REFERENCE_THRESHOLDS, **(thresholds or {})}
-    flight_sum = materialize(sm.flight_summary(flights), "flight-summary")
-    means = materialize(fr.batch_fare_means(fares), "fare-batch-means")
-    repaired = fr.repair_fare_scale(fares, means=means)
-    fare_sum = materialize(sm.fare_summary_table(fr.clean_fares(repaired)), "fare-summary")
-    weather_sum = materialize(sm.weather_summary(weather), "weather-summary")
-
-    reports: dict[str, DataFrame] = {}
-    reports.update(sm.traffic_reports(flight_sum, top_airports))
-    reports.update(sm.delay_reports(flight_sum, t))
-    reports.update(sm.weather_delay_reports(flight_sum, t))
-    reports.update(sm.network_reports(flight_sum, t))
-    reports.update(sm.fare_reports(fare_sum, t))
-    reports.update(sm.weather_reports(weather_sum))
-    reports["fare_batch_audit"] = fr.fare_batch_audit(fares, means=means)
-    reports["fare_batch_status"] = fr.fare_batch_status(fares, means=means)
-    reports["route_recommendations"] = recommend.route_recommendations(
-        reports["route_statistics"], reports["fare_by_origin"], fare_cuts=t["fare_cuts"],
-        volume_cuts=t["volume_cuts"])
-    reports["airport_nodes_geo"] = network.airport_nodes_geo(reports["airport_nodes"], airports)
-    reports["busiest_routes"] = network.busiest_routes(reports["route_edges"])
-    reports["route_lookup_export"] = network.route_lookup_export(reports["route_lookup"])
-    reports["carrier_comparison"] = recommend.carrier_comparison(reports["route_lookup"], carriers)
+
+    @cache
+    def flight_sum() -> DataFrame:
+        return materialize(sm.flight_summary(flights) if flight_summary is None else flight_summary,
+                           "flight-summary")
+
+    @cache
+    def means() -> DataFrame:
+        return materialize(fr.batch_fare_means(fares), "fare-batch-means")
+
+    @cache
+    def fare_sum() -> DataFrame:
+        repaired = fr.repair_fare_scale(fares, means=means())
+        return materialize(sm.fare_summary_table(fr.clean_fares(repaired)), "fare-summary")
+
+    @cache
+    def weather_sum() -> DataFrame:
+        return materialize(sm.weather_summary(weather), "weather-summary")
+
+    one = lambda name, make: {(name,): lambda: {name: make()}}
+    reports: Reports = Reports({
+        ("airport_traffic_top", "most_departures", "most_arrivals", "busiest_airports"):
+            lambda: sm.traffic_reports(flight_sum(), top_airports),
+        ("top_dep_delays", "top_arr_delays", "delay_causes", "monthly_delays", "daily_delays",
+         "cancellation_rates"): lambda: sm.delay_reports(flight_sum(), t),
+        ("weather_delays_by_airport", "weather_delays_by_month", "worst_weather_airports",
+         "delay_type_breakdown"): lambda: sm.weather_delay_reports(flight_sum(), t),
+        ("airport_nodes", "route_edges", "route_statistics", "route_lookup"):
+            lambda: sm.network_reports(flight_sum(), t),
+        ("fare_by_year", "fare_by_quarter", "most_expensive_airports", "cheapest_airports",
+         "price_trend", "best_value_airports", "fare_summary", "fare_by_origin"):
+            lambda: sm.fare_reports(fare_sum(), t),
+        ("weather_by_station", "seasonal_weather"): lambda: sm.weather_reports(weather_sum()),
+        **one("fare_batch_audit", lambda: fr.fare_batch_audit(fares, means=means())),
+        **one("fare_batch_status", lambda: fr.fare_batch_status(fares, means=means())),
+        **one("route_recommendations", lambda: recommend.route_recommendations(
+            reports["route_statistics"], reports["fare_by_origin"], fare_cuts=t["fare_cuts"],
+            volume_cuts=t["volume_cuts"])),
+        **one("airport_nodes_geo", lambda: network.airport_nodes_geo(reports["airport_nodes"], airports)),
+        **one("busiest_routes", lambda: network.busiest_routes(reports["route_edges"])),
+        **one("route_lookup_export", lambda: network.route_lookup_export(reports["route_lookup"])),
+        **one("carrier_comparison", lambda: recommend.carrier_comparison(reports["route_lookup"], carriers)),
+    })
     return reports
 
 
-def bundle_sections_from(reports: dict[str, DataFrame], carriers: DataFrame
+def bundle_sections_from(reports: Mapping[str, DataFrame], carriers: DataFrame
                          ) -> dict[str, DataFrame]:
     """Map pipeline reports to the bundle's section names."""
     names = {"airports": "airport_nodes_geo", "busiest_routes": "busiest_routes",
@@ -76,9 +121,10 @@ def bundle_sections_from(reports: dict[str, DataFrame], carriers: DataFrame
 
 def run(spark: SparkSession, flights: DataFrame, fares: DataFrame, weather: DataFrame,
         airports: DataFrame, carriers: DataFrame, out_dir: str, fmt: str = "parquet",
-        thresholds: dict | None = None) -> list[str]:
+        thresholds: dict | None = None, flight_summary: DataFrame | None = None) -> list[str]:
     """Build and write every report plus the results bundle under ``out_dir``."""
-    reports = build_reports(spark, flights, fares, weather, airports, carriers, thresholds)
+    reports = build_reports(spark, flights, fares, weather, airports, carriers, thresholds,
+                            flight_summary=flight_summary)
     for name, df in reports.items():
         save_table(df, os.path.join(out_dir, name), fmt)
     # SNK-2: the one-row fare summary is also published as a JSON record.

@@ -2,9 +2,9 @@
 
 Each section is a bounded table (a top-k list or a small report keyed by
 airport, month, year ...). The bundle is one row whose columns are scalar
-subqueries ``collect_list(struct(*))`` over the sections; it is written as
-one JSON document. Sections are never re-read from files written by other
-steps: the upstream DataFrames are passed in directly.
+subqueries over the sections, in the sections' own order; carriers are a
+code -> name map. It is written as one JSON document. Sections are never re-read
+from files written by other steps: the upstream DataFrames are passed in directly.
 """
 
 from __future__ import annotations
@@ -12,10 +12,6 @@ from __future__ import annotations
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from tarmac.operators import delays, fares as fr, network, weather as wx
-from tarmac.sources import dimensions
-from tarmac.sources import testviews as tv
-
 # Bundle section names, in the order of the exported document.
 SECTIONS = ["airports", "busiest_routes", "route_lookup", "carrier_names", "fare_by_year",
             "fare_by_quarter", "monthly_delays", "daily_delays", "delay_causes",
@@ -23,49 +19,6 @@ SECTIONS = ["airports", "busiest_routes", "route_lookup", "carrier_names", "fare
             "top_arr_delays"]
 
 
-def build_sections(spark: SparkSession, flights: DataFrame, fares: DataFrame,
-                   airports: DataFrame, carriers: DataFrame, thresholds: dict | None = None
-                   ) -> dict[str, DataFrame]:
-    """All bundle sections from the entity DataFrames.
-
-    ``fares`` must already be batch-repaired; ``thresholds`` overrides the
-    group-size cut-offs of the reports (reference values by default).
-    """
-    t = {"top_dep_delays": 10000, "top_arr_delays": 10000, "worst_weather_airports": 10000,
-         "origin_fares": 500, "route_lookup": 100, **(thresholds or {})}
-    clean = fr.clean_fares(fares)
-    nodes = network.airport_nodes(flights)
-    return {
-        "airports": network.airport_nodes_geo(nodes, airports, 24),
-        "busiest_routes": network.busiest_routes(network.route_edges(flights), 50),
-        "route_lookup": network.route_lookup_export(
-            network.route_lookup(flights, t["route_lookup"]), 5000),
-        "carrier_names": carriers,
-        "fare_by_year": fr.fare_by_year(clean),
-        "fare_by_quarter": fr.fare_by_quarter(clean),
-        "monthly_delays": delays.monthly_delays(flights),
-        "daily_delays": delays.daily_delays(flights),
-        "delay_causes": delays.delay_causes(flights).na.fill(0),
-        "most_expensive": fr.most_expensive_airports(clean, t["origin_fares"]),
-        "cheapest": fr.cheapest_airports(clean, t["origin_fares"]),
-        "best_value": fr.best_value_airports(clean, t["origin_fares"]),
-        "worst_weather": wx.worst_weather_airports(flights, t["worst_weather_airports"]),
-        "top_dep_delays": delays.top_dep_delays(flights, t["top_dep_delays"]),
-        "top_arr_delays": delays.top_arr_delays(flights, t["top_arr_delays"]),
-    }
-
-
-def bundle_inputs(spark: SparkSession, sf_dir: str) -> dict[str, DataFrame]:
-    """Sections over the fixture views with the fixture thresholds."""
-    from tarmac.plans.catalog import FIX
-    return build_sections(
-        spark, tv.flights(spark, sf_dir), fr.repair_fare_scale(tv.fares(spark, sf_dir)),
-        tv.airports(spark, sf_dir), dimensions.carriers(spark),
-        {"top_dep_delays": FIX["top_dep_delays"], "top_arr_delays": FIX["top_arr_delays"],
-         "worst_weather_airports": FIX["worst_weather_airports"],
-         "origin_fares": FIX["origin_fares"], "route_lookup": FIX["route_lookup"]})
-
-
 def section_counts(sections: dict[str, DataFrame]) -> DataFrame:
     """(section, row_count) for every section of the bundle."""
     out = None
@@ -76,12 +29,24 @@ def section_counts(sections: dict[str, DataFrame]) -> DataFrame:
     return out
 
 
+def _in_order(section: DataFrame):
+    """The section's rows as one array, in its order.
+
+    ``collect_list`` alone takes partitions as they arrive; ids increase along a sorted frame.
+    """
+    rows = section.select(F.struct("*").alias("row")).withColumn("at", F.monotonically_increasing_id())
+    return rows.select(F.transform(F.array_sort(F.collect_list(F.struct("at", "row"))),
+                                   lambda x: x["row"])).scalar()
+
+
 def results_bundle(spark: SparkSession, sections: dict[str, DataFrame]) -> DataFrame:
     """One row: ``meta`` plus one array-of-struct column per section."""
     # Missing numbers read as 0 in the exported records, as in the reference.
-    lists = {name: sections[name].na.fill(0).select(F.collect_list(F.struct("*"))).scalar()
-             for name in SECTIONS}
+    lists = {name: _in_order(sections[name].na.fill(0)) for name in SECTIONS if name != "carrier_names"}
+    names = sections["carrier_names"].where("code is not null")
+    lists["carrier_names"] = names.select(F.map_from_entries(
+        F.array_sort(F.collect_set(F.struct("code", "name"))))).scalar()
     meta = F.struct(F.current_timestamp().alias("generated"),
                     F.size(lists["airports"]).alias("total_airports"),
                     F.size(lists["route_lookup"]).alias("total_routes")).alias("meta")
-    return spark.range(1).select(meta, *[col.alias(name) for name, col in lists.items()])
+    return spark.range(1).select(meta, *[lists[name].alias(name) for name in SECTIONS])

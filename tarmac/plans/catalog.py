@@ -69,7 +69,9 @@ def route_report(spark, d):
     weekday delays all come from one materialized flight summary: one scan
     of the flights instead of four."""
     from tarmac.plans import summary as sm
-    s = materialize(sm.flight_summary(_flights(spark, d)), "flight-summary")
+    measures = ("n", "date_max", "dep_sum", "dep_n")
+    s = sm.with_absent_measures(materialize(sm.flight_summary(_flights(spark, d), measures),
+                                            "flight-summary"))
     net = sm.network_reports(s, FIX)
     recs = recommend.route_recommendations(
         net["route_statistics"], fr.fare_by_origin(_fares(spark, d)),

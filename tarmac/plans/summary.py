@@ -21,6 +21,7 @@ from pyspark.sql import functions as F
 
 from tarmac.functions.exprs import c, quarter_label
 from tarmac.operators.recommend import delay_risk
+from tarmac.schemas import FLIGHT_SCHEMA
 
 FLIGHT_KEYS = ["ORIGIN", "DEST", "OP_CARRIER", "month", "day_of_week"]
 ROUTE_SET = ["ORIGIN", "DEST", "OP_CARRIER"]
@@ -53,8 +54,11 @@ def _sum_n(col: str, name: str, cond=None) -> list:
     return [F.sum(v).alias(f"{name}_sum"), F.count(v).alias(f"{name}_n")]
 
 
-def flight_summary(flights: DataFrame) -> DataFrame:
-    """One scan of the flights -> mergeable measures per summary key."""
+def flight_summary(flights: DataFrame, only: tuple[str, ...] | None = None) -> DataFrame:
+    """One scan of the flights -> mergeable measures per summary key.
+
+    ``only`` names the measures to compute; Catalyst drops the others and their columns.
+    """
     dep, arr, wx = c("DEP_DELAY"), c("ARR_DELAY"), c("WEATHER_DELAY")
     measures = [F.count(F.lit(1)).alias("n"), F.max("FL_DATE").alias("date_max")]
     measures += _sum_n("DEP_DELAY", "dep") + [F.count_if(dep > 15).alias("dep_over15")]
@@ -70,10 +74,18 @@ def flight_summary(flights: DataFrame) -> DataFrame:
     measures += _sum_n("DEP_DELAY", "dep_wx", wx.isNotNull())
     for col, name in CAUSES.items():
         measures += _sum_n(col, name) + [F.count_if(c(col) > 0).alias(f"{name}_pos")]
-    return (flights.withColumns({"month": F.month("FL_DATE"),
-                                 "day_of_week": F.dayofweek("FL_DATE")})
-            .groupingSets([ROUTE_SET, CALENDAR_SET], *FLIGHT_KEYS)
-            .agg(*measures, F.grouping_id().alias("gid")))
+    out = (flights.withColumns({"month": F.month("FL_DATE"),
+                                "day_of_week": F.dayofweek("FL_DATE")})
+           .groupingSets([ROUTE_SET, CALENDAR_SET], *FLIGHT_KEYS)
+           .agg(*measures, F.grouping_id().alias("gid")))
+    return out if only is None else out.select(*FLIGHT_KEYS, *only, "gid")
+
+
+def with_absent_measures(s: DataFrame) -> DataFrame:
+    """A summary of some measures with the others as nulls, so that every report can be planned."""
+    every = flight_summary(s.sparkSession.createDataFrame([], FLIGHT_SCHEMA)).schema
+    return s.select(*[F.col(f.name) if f.name in s.columns else F.lit(None).cast(f.dataType).alias(f.name)
+                      for f in every.fields])
 
 
 def _avg(name: str, digits: int = 2):

@@ -60,9 +60,16 @@ def test_model_comparison(spark):
 
 
 def test_results_bundle_writes_one_document(spark, tmp_path):
-    from tarmac.plans.bundle import SECTIONS, bundle_inputs, results_bundle
+    from tarmac.plans.batch_reports import build_reports, bundle_sections_from
+    from tarmac.plans.bundle import SECTIONS, results_bundle
+    from tarmac.plans.catalog import FIX
     from tarmac.plans.sinks import save_record
-    sections = bundle_inputs(spark, SF)
+    from tarmac.sources import dimensions, testviews as tv
+    carriers = dimensions.carriers(spark)
+    reports = build_reports(spark, tv.flights(spark, SF), tv.fares(spark, SF), tv.weather(spark, SF),
+                            tv.airports(spark, SF), carriers, FIX)
+    sections = bundle_sections_from(reports, carriers)
+    assert ("weather_by_station", "seasonal_weather") not in reports._made
     bundle = results_bundle(spark, sections)
     assert bundle.count() == 1
     out = str(tmp_path / "bundle")
@@ -71,7 +78,11 @@ def test_results_bundle_writes_one_document(spark, tmp_path):
     assert len(files) == 1
     doc = json.loads(open(os.path.join(out, files[0])).readline())
     assert set(SECTIONS) <= set(doc) and doc["meta"]["total_airports"] == len(doc["airports"])
-    assert len(doc["carrier_names"]) == 16
+    assert doc["carrier_names"]["DL"] == "Delta Air Lines" and len(doc["carrier_names"]) == 16
+    for name in SECTIONS:
+        if name != "carrier_names":
+            key = sections[name].columns[0]
+            assert [r.get(key) for r in doc[name]] == [r[key] for r in sections[name].collect()]
 
 
 def test_save_table_csv_and_parquet(spark, tmp_path):
