@@ -262,13 +262,12 @@ def near_rows(rng):
 
 
 @pytest.mark.parametrize("percent", [80, 85])
-def test_near_duplicates(spark, percent, monkeypatch):
+def test_near_duplicates(spark, percent):
     rows = near_rows(random.Random(percent)) + [(None if r[0] is None else 1000 + r[0], r[1])
                                                 for r in ROWS if r[0] != 9]
-    monkeypatch.setattr(near_dups, "SHORT", 16)
     frame = spark.createDataFrame(rows, "doc_id long, text string").withColumn("cid", F.lit(1)) \
         .withColumn("sign", F.lit("x"))
-    got = near_dups.near_duplicates(frame, percent, block=32).collect()
+    got = near_dups.near_duplicates(frame, percent, block=24).collect()
     key = lambda r: (r[0] is None, r[0] or 0, r[1], r[2])
     want = sorted(brute_components(rows, percent), key=key)
     assert sorted(((r["doc_id"], r["n_shingles"], r["component_id"]) for r in got), key=key) == want
