@@ -1,6 +1,10 @@
-"""Every relational key of queries() against its DuckDB oracle (the driver's check)."""
+"""Every relational key of queries() against its DuckDB oracle (the driver's check).
+
+The training-data queries, where installed, have their tests in tests/llm.
+"""
 
 import os
+import re
 
 import pytest
 
@@ -15,7 +19,11 @@ def con():
     return duck(SF)
 
 
-@pytest.mark.parametrize("name", sorted(oracle_sql()))
+def own(names):
+    return {n for n in names if not re.match(r"op\d+_|pipeline$", n)}
+
+
+@pytest.mark.parametrize("name", sorted(own(oracle_sql())))
 def test_matches_oracle(spark, con, name):
     from tarmac.testing.compare import compare
     r = compare(spark, name, SF, con)
@@ -26,7 +34,7 @@ def test_matches_oracle(spark, con, name):
 
 def test_every_key_is_registered():
     assert set(oracle_sql()) <= set(queries())
-    rows_only = set(queries()) - set(oracle_sql())
+    rows_only = own(set(queries()) - set(oracle_sql()))
     assert rows_only == {"delay_model_metrics", "delay_feature_importance", "fare_model_metrics",
                          "delay_model_v2_metrics", "delay_feature_importance_v2",
                          "model_comparison"}
