@@ -23,6 +23,7 @@ from __future__ import annotations
 
 import hashlib
 import re
+import unicodedata
 from bisect import bisect_right
 from collections.abc import Iterator
 
@@ -63,12 +64,14 @@ DIGIT_WORDS = {
 DOMAINS = ("com", "org", "net", "edu", "gov", "info", "io", "de", "fr", "es", "uk", "eu", "us")
 # ---- end of fixed values ----
 
-_FLAT = {ord(a): b for a, b in LOOK_ALIKES.items()} \
-    | {0xFF01 + i: chr(0x21 + i) for i in range(94)} | {0x1D7CE + i: str(i % 10) for i in range(50)}
-_FLAT_ANY = re.compile("[" + "".join(re.escape(chr(c)) for c in _FLAT) + "]")
+# compatibility forms (full-width, mathematical, circled ...) of one ASCII character, and look-alikes
+_FLAT = {c: flat for c in range(0xA0, 0x20000)
+         if len(flat := unicodedata.normalize("NFKC", chr(c))) == 1 and flat.isascii() and flat != chr(c)} \
+    | {ord(a): b for a, b in LOOK_ALIKES.items()}
+_FLAT_CHARS = frozenset(map(chr, _FLAT))
 _INVISIBLE = re.compile(f"[{INVISIBLE}]+")
 _BRACKETED = re.compile(r"[\[({<]\s*(?:(at|@)|dot|point|\.)\s*[\])}>]\s*", re.I)
-_BARE = re.compile(r"(?<=[A-Za-z0-9])([ \t]+at[ \t]+)([A-Za-z0-9-]+)((?:[ \t]+dot[ \t]+[A-Za-z0-9-]+)*"
+_BARE = re.compile(r"((?:[A-Za-z0-9_%+-]+[ \t]+dot[ \t]+)*)[A-Za-z0-9._%+-]+([ \t]+at[ \t]+)[A-Za-z0-9-]+((?:[ \t]+dot[ \t]+[A-Za-z0-9-]+)*"
                    rf"[ \t]+dot[ \t]+(?:{'|'.join(DOMAINS)})(?![A-Za-z0-9-]))", re.I)
 _BARE_DOT = re.compile(r"[ \t]+dot[ \t]+", re.I)
 _WORD = "|".join(sorted(DIGIT_WORDS, key=len, reverse=True))
@@ -165,6 +168,12 @@ class Rewrite:
         return source_end + at - last
 
 
+def _look_alike_edits(text: str) -> list[tuple[int, int, str]]:
+    if _FLAT_CHARS.isdisjoint(text):
+        return []
+    return [(i, i + 1, _FLAT[ord(c)]) for i, c in enumerate(text) if c in _FLAT_CHARS]
+
+
 def _left_of_blanks(text: str, at: int) -> int:
     while at and text[at - 1].isspace():
         at -= 1
@@ -176,8 +185,9 @@ def _disguise_edits(text: str) -> list[tuple[int, int, str]]:
               m.end(), "@" if m.group(1) else ".") for m in _BRACKETED.finditer(text)]
     if " dot" in text.lower() or "\tdot" in text.lower():
         for m in _BARE.finditer(text):
-            edits.append((m.start(1), m.end(1), "@"))
-            edits += [(d.start(), d.end(), ".") for d in _BARE_DOT.finditer(text, m.start(3), m.end(3))]
+            edits.append((m.start(2), m.end(2), "@"))
+            edits += [(d.start(), d.end(), ".") for part in (1, 3)
+                      for d in _BARE_DOT.finditer(text, m.start(part), m.end(part))]
     return edits
 
 
@@ -211,8 +221,7 @@ def deobfuscate(text: str) -> list[Rewrite]:
     steps: list[Rewrite] = []
     now = text
     finders = [lambda t: [(m.start(), m.end(), "") for m in _INVISIBLE.finditer(t)],
-               lambda t: [(m.start(), m.end(), _FLAT[ord(m.group())]) for m in _FLAT_ANY.finditer(t)]] \
-        if not text.isascii() else []
+               _look_alike_edits] if not text.isascii() else []
     for find in [*finders, _disguise_edits, _spelled_edits]:
         if edits := _apart(find(now)):
             steps.append(Rewrite(now, edits))
