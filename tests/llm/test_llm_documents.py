@@ -114,6 +114,8 @@ def test_base_spans_against_regex():
 @pytest.mark.parametrize("text, kind, source", [
     ("write to john.doe [at] example [dot] com now", "email", "john.doe [at] example [dot] com"),
     ("write to john at example dot com now", "email", "john at example dot com"),
+    ("write to john dot doe at mail dot example dot org now", "email", "john dot doe at mail dot example dot org"),
+    ("ip ①⓪.0.0.𝟏 x", "ip", "①⓪.0.0.𝟏"),
     ("ｊｏｈｎ＠example．com", "email", "ｊｏｈｎ＠example．com"),
     ("jo​hn@exa​mple.com x", "email", "jo​hn@exa​mple.com"),
     ("call plus one five five five one two three four five six seven ok", "phone",
