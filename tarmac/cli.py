@@ -17,7 +17,7 @@ from __future__ import annotations
 import argparse
 import os
 
-from tarmac.session import get_spark
+from tarmac.session import get_spark, remove_tables
 
 
 def _session(args):
@@ -131,7 +131,10 @@ def main(argv=None) -> None:
     i.set_defaults(func=cmd_ingest)
 
     args = p.parse_args(argv)
-    args.func(args)
+    try:
+        args.func(args)
+    finally:  # outputs are written: this run's intermediate tables go
+        remove_tables(_session(args))
 
 
 if __name__ == "__main__":

@@ -5,6 +5,7 @@ from __future__ import annotations
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
+from tarmac.functions.defaults import THRESHOLDS
 from tarmac.functions.exprs import c, pct_rows, ravg
 
 
@@ -18,14 +19,14 @@ def _delay_by_airport(flights, key, delay_col, avg_name, min_flights, over_minut
             .orderBy(F.desc(avg_name), F.asc_nulls_last(key)))
 
 
-def top_dep_delays(flights: DataFrame, min_flights: int = 10000, over_minutes: float = 15
+def top_dep_delays(flights: DataFrame, min_flights: int = THRESHOLDS["top_dep_delays"], over_minutes: float = THRESHOLDS["over_minutes"]
                    ) -> DataFrame:
     """AGG-5: average departure delay per ORIGIN over flights with a delay."""
     return _delay_by_airport(flights, "ORIGIN", "DEP_DELAY", "avg_dep_delay_min",
                              min_flights, over_minutes)
 
 
-def top_arr_delays(flights: DataFrame, min_flights: int = 10000, over_minutes: float = 15
+def top_arr_delays(flights: DataFrame, min_flights: int = THRESHOLDS["top_arr_delays"], over_minutes: float = THRESHOLDS["over_minutes"]
                    ) -> DataFrame:
     """AGG-6: average arrival delay per DEST over flights with a delay."""
     return _delay_by_airport(flights, "DEST", "ARR_DELAY", "avg_arr_delay_min",
@@ -59,7 +60,7 @@ def daily_delays(flights: DataFrame) -> DataFrame:
             .orderBy("day_of_week"))
 
 
-def cancellation_rates(flights: DataFrame, min_flights: int = 50000) -> DataFrame:
+def cancellation_rates(flights: DataFrame, min_flights: int = THRESHOLDS["cancellation_rates"]) -> DataFrame:
     """AGG-10: cancelled share per carrier, in percent."""
     return (flights.groupBy("OP_CARRIER")
             .agg(F.round(F.avg(c("CANCELLED").cast("double")) * 100, 2)

@@ -10,6 +10,7 @@ from __future__ import annotations
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
+from tarmac.functions.defaults import THRESHOLDS
 from tarmac.functions.exprs import c, pct_rows, ravg
 from tarmac.operators.traffic import airport_roles
 
@@ -71,7 +72,7 @@ def route_edges(flights: DataFrame) -> DataFrame:
                      F.asc_nulls_last("DEST")))
 
 
-def route_lookup(flights: DataFrame, min_flights: int = 100, over_minutes: float = 15
+def route_lookup(flights: DataFrame, min_flights: int = THRESHOLDS["route_lookup"], over_minutes: float = THRESHOLDS["over_minutes"]
                  ) -> DataFrame:
     """AGG-29: per (ORIGIN, DEST, OP_CARRIER) delay and cancellation profile."""
     return (flights.groupBy("ORIGIN", "DEST", "OP_CARRIER")

@@ -6,6 +6,7 @@ from __future__ import annotations
 from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
+from tarmac.functions.defaults import THRESHOLDS
 from tarmac.functions.exprs import c, ravg, tiered
 
 
@@ -14,7 +15,7 @@ def delay_risk(avg_delay):
     return tiered(avg_delay, [(10, "LOW"), (25, "MEDIUM")], "HIGH")
 
 
-def route_statistics(flights: DataFrame, min_flights: int = 100) -> DataFrame:
+def route_statistics(flights: DataFrame, min_flights: int = THRESHOLDS["route_statistics"]) -> DataFrame:
     """AGG-24: per-route historical delays and a risk label."""
     return (flights.where(c("ORIGIN").isNotNull() & c("DEST").isNotNull()
                           & c("DEP_DELAY").isNotNull())

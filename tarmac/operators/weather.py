@@ -5,6 +5,7 @@ from __future__ import annotations
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
+from tarmac.functions.defaults import THRESHOLDS
 from tarmac.functions.exprs import c, pct_of_total, pct_rows, ravg
 
 
@@ -20,7 +21,7 @@ def weather_by_station(weather: DataFrame) -> DataFrame:
             .orderBy(F.desc_nulls_last("avg_daily_precipitation"), F.asc_nulls_last("NAME")))
 
 
-def weather_delays_by_airport(flights: DataFrame, min_flights: int = 100) -> DataFrame:
+def weather_delays_by_airport(flights: DataFrame, min_flights: int = THRESHOLDS["weather_delays_by_airport"]) -> DataFrame:
     """AGG-19: flights with a positive weather delay, per ORIGIN."""
     return (flights.where(c("WEATHER_DELAY").isNotNull() & (c("WEATHER_DELAY") > 0))
             .groupBy("ORIGIN")
@@ -41,8 +42,8 @@ def weather_delays_by_month(flights: DataFrame) -> DataFrame:
             .orderBy("month"))
 
 
-def worst_weather_airports(flights: DataFrame, min_flights: int = 10000,
-                           severe_minutes: float = 30) -> DataFrame:
+def worst_weather_airports(flights: DataFrame, min_flights: int = THRESHOLDS["worst_weather_airports"],
+                           severe_minutes: float = THRESHOLDS["severe_minutes"]) -> DataFrame:
     """AGG-21: average over recorded weather delays; severe share over all flights."""
     return (flights.groupBy("ORIGIN")
             .agg(ravg("WEATHER_DELAY").alias("avg_weather_delay_min"),

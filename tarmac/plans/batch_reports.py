@@ -16,21 +16,13 @@ from functools import cache
 
 from pyspark.sql import DataFrame, SparkSession
 
+from tarmac.functions.defaults import THRESHOLDS
 from tarmac.operators import fares as fr, network, recommend
 from tarmac.operators.joins import materialize
 from tarmac.plans import summary as sm
 from tarmac.plans.bundle import SECTIONS, results_bundle
 from tarmac.plans.sinks import save_record, save_table
 
-# Reference thresholds (the defaults of its reports).
-REFERENCE_THRESHOLDS = {
-    "top_dep_delays": 10000, "top_arr_delays": 10000, "worst_weather_airports": 10000,
-    "cancellation_rates": 50000, "route_statistics": 100, "route_lookup": 100,
-    "weather_delays_by_airport": 100, "origin_fares": 500,
-    "fare_cuts": (300, 500), "volume_cuts": (1000, 300),
-}
-
-
 class Reports(Mapping):
     """Reports by name; a report's group and the summary it needs are made on first use."""
 
@@ -60,12 +52,13 @@ def build_reports(spark: SparkSession, flights: DataFrame, fares: DataFrame, wea
     ``fares`` are raw (the batch repair is applied here). ``flight_summary`` may bring
     the summary that streaming ingestion keeps instead of a scan of ``flights``.
     """
-    t = {**REFERENCE_THRESHOLDS, **(thresholds or {})}
+    t = {**THRESHOLDS, **(thresholds or {})}
 
     @cache
     def flight_sum() -> DataFrame:
-        return materialize(sm.flight_summary(flights) if flight_summary is None else flight_summary,
-                           "flight-summary")
+        made = sm.flight_summary(flights, None, t["over_minutes"], t["severe_minutes"]) \
+            if flight_summary is None else flight_summary
+        return materialize(made, "flight-summary")
 
     @cache
     def means() -> DataFrame:

@@ -19,6 +19,7 @@ from __future__ import annotations
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
+from tarmac.functions.defaults import THRESHOLDS
 from tarmac.functions.exprs import c, quarter_label
 from tarmac.operators.recommend import delay_risk
 from tarmac.schemas import FLIGHT_SCHEMA
@@ -54,15 +55,20 @@ def _sum_n(col: str, name: str, cond=None) -> list:
     return [F.sum(v).alias(f"{name}_sum"), F.count(v).alias(f"{name}_n")]
 
 
-def flight_summary(flights: DataFrame, only: tuple[str, ...] | None = None) -> DataFrame:
+def flight_summary(flights: DataFrame, only: tuple[str, ...] | None = None,
+                   over_minutes: float = THRESHOLDS["over_minutes"],
+                   severe_minutes: float = THRESHOLDS["severe_minutes"]) -> DataFrame:
     """One scan of the flights -> mergeable measures per summary key.
 
+    ``dep_over`` and ``arr_over`` count delays over ``over_minutes``, ``wx_severe`` weather
+    delays over ``severe_minutes``.
+
     ``only`` names the measures to compute; Catalyst drops the others and their columns.
     """
     dep, arr, wx = c("DEP_DELAY"), c("ARR_DELAY"), c("WEATHER_DELAY")
     measures = [F.count(F.lit(1)).alias("n"), F.max("FL_DATE").alias("date_max")]
-    measures += _sum_n("DEP_DELAY", "dep") + [F.count_if(dep > 15).alias("dep_over15")]
-    measures += _sum_n("ARR_DELAY", "arr") + [F.count_if(arr > 15).alias("arr_over15")]
+    measures += _sum_n("DEP_DELAY", "dep") + [F.count_if(dep > over_minutes).alias("dep_over")]
+    measures += _sum_n("ARR_DELAY", "arr") + [F.count_if(arr > over_minutes).alias("arr_over")]
     measures += _sum_n("ARR_DELAY", "arr_dep", dep.isNotNull())
     measures += _sum_n("CANCELLED", "cancelled") + [F.count_if(c("CANCELLED") == 1)
                                                     .alias("cancelled_eq1")]
@@ -70,7 +76,7 @@ def flight_summary(flights: DataFrame, only: tuple[str, ...] | None = None) -> D
     # rows with a positive weather delay are counted by ``weather_pos`` below
     measures += [F.sum(F.when(wx > 0, wx)).alias("wx_pos_sum"),
                  F.max(F.when(wx > 0, wx)).alias("wx_pos_max"),
-                 F.count_if(wx > 30).alias("wx_over30")]
+                 F.count_if(wx > severe_minutes).alias("wx_severe")]
     measures += _sum_n("DEP_DELAY", "dep_wx", wx.isNotNull())
     for col, name in CAUSES.items():
         measures += _sum_n(col, name) + [F.count_if(c(col) > 0).alias(f"{name}_pos")]
@@ -142,7 +148,7 @@ def delay_reports(s: DataFrame, t: dict) -> dict[str, DataFrame]:
     def by_airport(key, side, name, min_n):
         return (s.groupBy(key)
                 .agg(_avg(side).alias(name), F.sum(f"{side}_n").alias("total_flights"),
-                     _pct(f"{side}_over15", f"{side}_n").alias("pct_over_15min"))
+                     _pct(f"{side}_over", f"{side}_n").alias("pct_over_15min"))
                 .where(c("total_flights") > min_n)
                 .orderBy(F.desc(name), F.asc_nulls_last(key)))
 
@@ -190,7 +196,7 @@ def weather_delay_reports(s: DataFrame, t: dict) -> dict[str, DataFrame]:
         "worst_weather_airports": (
             s.groupBy("ORIGIN")
             .agg(_avg("weather").alias("avg_weather_delay_min"),
-                 _pct("wx_over30", "n").alias("pct_severe_weather_delay"),
+                 _pct("wx_severe", "n").alias("pct_severe_weather_delay"),
                  F.sum("n").alias("total_flights"))
             .where(c("total_flights") > t["worst_weather_airports"])
             .orderBy(F.desc_nulls_last("avg_weather_delay_min"), F.asc_nulls_last("ORIGIN"))),
@@ -251,7 +257,7 @@ def network_reports(s: DataFrame, t: dict) -> dict[str, DataFrame]:
               .agg(F.sum("n").alias("total_flights"), _avg("dep").alias("avg_dep_delay_min"),
                    _avg("arr").alias("avg_arr_delay_min"), _avg("weather").alias("avg_weather_delay"),
                    _avg("carrier").alias("avg_carrier_delay"),
-                   _pct("dep_over15", "n").alias("pct_delayed_over_15min"),
+                   _pct("dep_over", "n").alias("pct_delayed_over_15min"),
                    _pct("cancelled_eq1", "n").alias("cancellation_rate_pct"))
               .where(c("total_flights") > t["route_lookup"]))
     return {

@@ -34,6 +34,16 @@ def get_spark(master: str | None = None, app_name: str = "tarmac",
     return spark
 
 
+def remove_tables(spark: SparkSession) -> None:
+    """Remove the tables that ``materialize`` wrote for this application.
+
+    Call it when no DataFrame that reads them is needed any more.
+    """
+    jvm = spark.sparkContext._jvm
+    path = jvm.org.apache.hadoop.fs.Path(os.path.join(ensure_checkpoint_dir(spark), "tables"))
+    path.getFileSystem(spark.sparkContext._jsc.hadoopConfiguration()).delete(path, True)
+
+
 def ensure_checkpoint_dir(spark: SparkSession) -> str:
     """Return the reliable checkpoint folder, setting it from the session.
 

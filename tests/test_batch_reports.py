@@ -50,3 +50,20 @@ def test_batch_run_writes_everything(spark, tmp_path):
                 tv.airports(spark, sf), dimensions.carriers(spark), str(tmp_path / "out"))
     assert "results_bundle" in names
     assert spark.read.parquet(str(tmp_path / "out" / "airport_traffic_top")).count() == 25
+
+
+def test_other_minutes_on_both_paths(spark):
+    from tarmac.operators import delays, network, weather
+    from tarmac.plans.batch_reports import build_reports
+    from tarmac.sources import testviews as tv
+    flights = tv.flights(spark, SF)
+    t = {**FIX, "over_minutes": 40, "severe_minutes": 75}
+    reports = build_reports(spark, flights, tv.fares(spark, SF), tv.weather(spark, SF),
+                            tv.airports(spark, SF), tv.brand_carriers(spark, SF), thresholds=t)
+    direct = {"top_dep_delays": delays.top_dep_delays(flights, t["top_dep_delays"], 40),
+              "route_lookup": network.route_lookup(flights, t["route_lookup"], 40),
+              "worst_weather_airports": weather.worst_weather_airports(flights, t["worst_weather_airports"], 75)}
+    for name, want in direct.items():
+        got = reports[name].select(*want.columns)
+        assert _rows_hash(want.columns, [tuple(r) for r in got.collect()])[0] \
+            == _rows_hash(want.columns, [tuple(r) for r in want.collect()])[0], name

@@ -35,3 +35,5 @@ def test_cli_models(spark, tmp_path):
     assert m.feature_count == 18 and m.model_path.endswith("delay_rf_model_v2")
     cmp = spark.read.json(str(processed / "delay_model_comparison_v2")).first()
     assert cmp.delta.rmse_change is not None and cmp.baseline.rmse > 0
+    from tarmac.session import ensure_checkpoint_dir
+    assert not os.path.exists(os.path.join(ensure_checkpoint_dir(spark).removeprefix("file:"), "tables"))
