@@ -110,6 +110,45 @@ def carrier_index(spark, d):
     return spark.createDataFrame(labels, "OP_CARRIER string, carrier_idx double")
 
 
+def index_tables(spark, d):
+    """ML-1: StringIndexer order of the delay model's airports and the fare model's origins."""
+    from pyspark.ml.feature import StringIndexer
+    _, train, _ = _delay_split(spark, d)
+    fares = ft.fare_features(_fares(spark, d)).select(F.col("ORIGIN").alias("FARE_ORIGIN"))
+    labels = []
+    for frame, column in ((train, "ORIGIN"), (train, "DEST"), (fares, "FARE_ORIGIN")):
+        model = StringIndexer(inputCol=column, outputCol="idx", handleInvalid="keep").fit(frame)
+        labels += [(column, lab, float(i)) for i, lab in enumerate(model.labelsArray[0])]
+    return spark.createDataFrame(labels, "column_name string, label string, idx double")
+
+
+ASSEMBLED = ("month", "day_of_week", "dep_hour", "is_weekend", "DISTANCE", "weather_delay_signal")
+
+
+def assembled_features(spark, d):
+    """ML-2: the assembler's vectors of the delay model's numeric inputs, taken apart again."""
+    from pyspark.ml.feature import VectorAssembler
+    from pyspark.ml.functions import vector_to_array
+    base, _, _ = _delay_split(spark, d)
+    vectors = VectorAssembler(inputCols=list(ASSEMBLED), outputCol="features",
+                              handleInvalid="keep").transform(base)
+    parts = vectors.select("ROW_KEY", vector_to_array("features").alias("v"))
+    return parts.select("ROW_KEY", *[F.col("v")[i].alias(f"f{i}") for i in range(len(ASSEMBLED))])
+
+
+def metrics_comparison(spark, d):
+    """ML-10, ML-11, JON-6: the comparison record of two predictors that need no training:
+    the global mean (baseline) and the route mean (improved)."""
+    from tarmac.plans.models import model_comparison, regression_metrics
+    _, train, test = _delay_split(spark, d)
+    mean = ft.fit_history(train.drop("ROW_KEY"), names=("route",)).global_avg_delay
+    constant = test.withColumn("prediction", F.lit(mean))
+    record = model_comparison(regression_metrics(constant, "DEP_DELAY"), model_eval(spark, d))
+    return record.select(*[F.col(f"{part}.{m}").alias(f"{part}_{m}")
+                           for part in ("baseline", "improved_v2") for m in ("rmse", "mae", "r2")],
+                         "delta.*")
+
+
 def model_eval(spark, d):
     """ML-8: rmse / mae / r2 of a route-mean predictor on the held-out rows.
 
@@ -235,6 +274,9 @@ def queries() -> dict[str, Callable[[SparkSession, str], DataFrame]]:
             ft.rf_features(_flights(s, d))),
         "fare_cardinality": lambda s, d: ft.fare_cardinality(ft.fare_features(_fares(s, d))),
         "model_eval": model_eval,
+        "index_tables": index_tables,
+        "assembled_features": assembled_features,
+        "metrics_comparison": metrics_comparison,
         "record_counts": record_counts,
         "bundle_sections": bundle_sections,
     }

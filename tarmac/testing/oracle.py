@@ -236,6 +236,33 @@ def _model_eval() -> str:
     return sql(body, "train", "test")
 
 
+def _metrics_comparison() -> str:
+    def metrics(name: str, p: str) -> str:
+        return (f"SELECT {R('sqrt(avg((y - ' + p + ') * (y - ' + p + ')))')} AS {name}_rmse, "
+                f"{R('avg(abs(y - ' + p + '))')} AS {name}_mae, "
+                + R(f"1 - sum((y - {p}) * (y - {p})) / (var_pop(y) * count(*))", 4) + f" AS {name}_r2 FROM e")
+    body = (
+        "SELECT b.*, i.*, " + R("improved_v2_rmse - baseline_rmse") + " AS rmse_change, " +
+        R("improved_v2_mae - baseline_mae") + " AS mae_change, " +
+        R("improved_v2_r2 - baseline_r2", 4) + " AS r2_change FROM (" +
+        metrics("baseline", "gm") + ") b CROSS JOIN (" + metrics("improved_v2", "p") + ") i")
+    errors = (
+        "e AS (SELECT t.DEP_DELAY AS y, coalesce(r.m, g.gm) AS p, g.gm FROM test t "
+        "LEFT JOIN (SELECT ORIGIN, DEST, avg(DEP_DELAY) AS m FROM train GROUP BY ORIGIN, DEST) r "
+        "ON t.ORIGIN = r.ORIGIN AND t.DEST = r.DEST "
+        "CROSS JOIN (SELECT avg(DEP_DELAY) AS gm FROM train) g)")
+    return sql("SELECT * FROM (WITH " + errors + " " + body + ") x", "train", "test")
+
+
+def _index_tables() -> str:
+    def one(column: str, label: str, source: str) -> str:
+        return (f"SELECT '{column}' AS column_name, {label} AS label, CAST(row_number() OVER "
+                f"(ORDER BY count(*) DESC, {label}) - 1 AS DOUBLE) AS idx FROM {source} GROUP BY {label}")
+    body = " UNION ALL ".join([one("ORIGIN", "ORIGIN", "train"), one("DEST", "DEST", "train"),
+                               one("FARE_ORIGIN", "ORIGIN", f"({FARE_FEATURE_SELECT}) f")])
+    return sql(body, "train", "rfares")
+
+
 def _record_counts() -> str:
     parts = [
         ("flights", "SELECT count(*) FROM flights"),
@@ -461,6 +488,11 @@ def oracle_sql() -> dict[str, str]:
             "AS max_bins FROM (SELECT count(DISTINCT ORIGIN) AS num_fare_origins FROM "
             f"({FARE_FEATURE_SELECT}) x) y", "rfares"),
         "model_eval": _model_eval(),
+        "index_tables": _index_tables(),
+        "metrics_comparison": _metrics_comparison(),
+        "assembled_features": sql(
+            "SELECT ROW_KEY, CAST(month AS DOUBLE) AS f0, CAST(day_of_week AS DOUBLE) AS f1, dep_hour AS f2, "
+            "is_weekend AS f3, DISTANCE AS f4, CAST(weather_delay_signal AS DOUBLE) AS f5 FROM base", "base"),
         "record_counts": _record_counts(),
         "bundle_sections": _bundle_sections(),
         "flights_roundtrip": sql(
