@@ -33,12 +33,6 @@ def pct_of_total(cond: Column, total: Column, digits: int = 2) -> Column:
     return F.round(F.try_divide(F.count_if(cond), total) * 100, digits)
 
 
-def calendar_parts(df, date_col: str = "FL_DATE"):
-    """PRJ-1: year, month and day_of_week (1 = Sunday ... 7 = Saturday)."""
-    d = F.col(date_col)
-    return df.withColumns({"year": F.year(d), "month": F.month(d), "day_of_week": F.dayofweek(d)})
-
-
 def flag(cond: Column) -> Column:
     return F.when(cond, 1.0).otherwise(0.0)
 

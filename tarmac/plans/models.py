@@ -17,6 +17,7 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from tarmac.operators import features as ft
+from tarmac.plans.sinks import save_model
 from tarmac.session import ensure_checkpoint_dir
 
 
@@ -53,7 +54,7 @@ class TrainedModel:
 
     def save(self, path: str) -> None:
         """SNK-3: overwrite the fitted pipeline at ``path``."""
-        self.pipeline.write().overwrite().save(path)
+        save_model(self.pipeline, path)
 
 
 def _metrics_row(metrics: DataFrame, model: str, target: str, params: dict) -> DataFrame:
