@@ -25,7 +25,7 @@ import math
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from tarmac.llm.common import free_name, let
+from tarmac.llm.common import free_name, let, stored
 from tarmac.operators.joins import checked_broadcast
 
 #: Largest mean drawn at once, and the terms its distribution function gets.
@@ -53,18 +53,18 @@ def source_rates(docs: DataFrame, source: str = "source", weights: DataFrame | N
     ``weights`` (columns ``source, weight``) states the target shares; without
     it a source's share is proportional to ``n ** temperature``.
     """
-    counts = docs.groupBy(F.col(source).alias("source")).agg(F.count(F.lit(1)).alias("n"))
+    counts = stored(docs.groupBy(F.col(source).alias("source")).agg(F.count(F.lit(1)).alias("n")),
+                    "mixing-counts")
     if weights is None:
         weighed = counts.withColumn("weight", F.pow(F.col("n").cast("double"), F.lit(temperature)))
     else:
         w = weights.select(F.col("source").alias("_s"), F.col("weight").cast("double").alias("weight"))
         weighed = counts.join(w, F.col("source").eqNullSafe(F.col("_s"))).drop("_s") \
             .where("weight > 0")
-    total = counts.agg(F.sum("n").alias("rows"))
-    share = weighed.agg(F.sum("weight").alias("all"))
-    return weighed.join(F.broadcast(total)).join(F.broadcast(share)).select(
-        "source", "n",
-        (F.lit(rate) * F.col("rows") * F.col("weight") / F.col("all") / F.col("n")).alias("mean"))
+    rows = counts.agg(F.sum("n")).first()[0] or 0
+    every = weighed.agg(F.sum("weight")).first()[0] or 1.0
+    return weighed.select("source", "n", (
+        F.lit(float(rate)) * F.lit(rows) * F.col("weight") / F.lit(every) / F.col("n")).alias("mean"))
 
 
 def mix(docs: DataFrame, source: str = "source", key: str = "doc_id",

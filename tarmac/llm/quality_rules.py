@@ -1,7 +1,7 @@
 """Quality rules: a threshold table compiled into one Spark projection.
 
 ``RULES`` names a measure and the range a kept document's value lies in.
-``with_quality(docs, rules)`` turns the table into one ``select``: the measures
+``quality_projection(docs, keys, rules)`` turns the table into one ``select``: the measures
 are built-in functions over the words and lines of the whole text, each rule is
 one comparison, and no shuffle, user function or second pass takes part.
 
@@ -9,9 +9,8 @@ Defined results:
 
 * null or empty text: no words, every count 0, every ratio 0, ``base_failed`` true;
 * ratios over no words or no lines are 0;
-* repeated rows are judged alike, each on its own; other columns play no part,
-  and a column of the input whose name clashes with an added one is replaced
-  (``quality_projection`` returns the added columns alone);
+* repeated rows are judged alike, each on its own; only the text and the keys asked
+  for are read, so other columns cannot clash; an empty table gives an empty result;
 * very long texts: all steps are linear in the text, but for one sort of the
   word windows of texts in which a window recurs.
 """
