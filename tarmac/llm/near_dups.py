@@ -8,15 +8,16 @@
    threshold agree in at least ``matches`` coordinates but for a chance below 1e-6, so
    they share a pair among the ``COORDINATES - matches + 1`` rarest of either
    (prefix); the others are skipped, and so are classes with too few shared pairs.
-3. Links are looked for in rounds. First each posting list's most central class is
-   compared with the others of the list. Then, in lists that still hold several
-   components, each class outside the list's largest component meets the list in blocks:
-   collisions of whole signatures are counted, and its best partners of other
-   components are compared; the last round takes every partner that is left. Classes
-   that are already connected are never compared, so a group of thousands of near
-   copies costs a few comparisons for each of its members, and no link between
-   components is left out.
-4. Every pair is confirmed on the full shingle sets. Components come from
+3. Each posting list's most central class is compared with the others of the list.
+   Then, for lists that still hold several components, the lists with the same
+   largest component are taken together: each class outside that component meets all
+   classes of these lists, both sides in blocks. A task counts the collisions of
+   whole signatures, compares full sets where there are enough of them, best partners
+   first, and stops at the first link to a component. So classes that are already
+   connected are never compared, a group of thousands of near copies costs its
+   members a few comparisons each, what leaves a task is links alone, and no link
+   between components is left out.
+4. Every link is confirmed on the full shingle sets. Components come from
    alternating star contraction; a document's component is the smallest id in it.
 
 Defined results:
@@ -36,7 +37,7 @@ from collections.abc import Iterator
 
 import numpy as np
 import pandas as pd
-from pyspark.sql import DataFrame
+from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from tarmac.llm import hashing
@@ -48,12 +49,9 @@ THRESHOLD_PERCENT = 80
 COORDINATES = 64
 #: A pair at the threshold has fewer matches than counted on with at most this chance.
 MISS = 1e-6
-#: Classes of a posting list that meet in one task.
-BLOCK = 2048
-#: Lists up to this long are joined with themselves in the first round; longer ones meet in blocks.
-SHORT = 64
-#: Partners per class, long list and block in the rounds; None: all that are left.
-PARTNERS = (8, None)
+#: Classes of either side that meet in one task; smaller gatherings share tasks.
+BLOCK = 512
+BLOCK_SHINGLES = 2_000_000
 _SEEDS = hashing.mix64(np.arange(1, 2 * COORDINATES + 1, dtype=np.uint64) * np.uint64(0x9E3779B97F4A7C15))
 _XOR, _MUL = _SEEDS[:COORDINATES], _SEEDS[COORDINATES:] | np.uint64(1)
 
@@ -214,57 +212,98 @@ def _colliding(pairs: DataFrame, signs: DataFrame, matches: int) -> DataFrame:
         .mapInPandas(run, "a long, b long")
 
 
-def _residual_pairs(postings: DataFrame, signs: DataFrame, roots: DataFrame, tested: DataFrame,
-                    matches: int, partners: int | None, block: int) -> DataFrame:
-    """Untested colliding pairs of different components that share a list.
+def _linked_blocks(asked: tuple, listed: tuple, matches: int, percent: int) -> list[tuple[int, int]]:
+    """Links from classes to classes of other components, at most one for each two components.
 
-    Short lists give all of theirs in the first round, long ones the best ``partners``
-    of each class outside the list's main component.
+    Either side is (ids, roots, signatures, sets).
     """
+    joined: dict[int, int] = {}
+
+    def top(root: int) -> int:
+        while joined.get(root, root) != root:
+            root = joined[root]
+        return root
+
+    ids, roots, signs, sets = listed
+    sizes = np.array([len(x) for x in sets])
+    links = []
+    for cid, root, sign, own in zip(*asked, strict=True):
+        same = (signs == sign).sum(1)
+        n = len(own)
+        at = np.flatnonzero((same >= matches) & (roots != root)
+                            & (100 * np.minimum(sizes, n) >= percent * np.maximum(sizes, n)))
+        at = at[np.argsort(-same[at], kind="stable")]
+        while len(at):
+            at = at[[top(roots[i]) != top(root) for i in at[:32]] + [True] * max(0, len(at) - 32)]
+            some, at = at[:32], at[32:]
+            if not len(some):
+                continue
+            parts = [sets[i] for i in some]
+            every = np.concatenate(parts)
+            place = np.minimum(np.searchsorted(own, every), n - 1)
+            first = np.cumsum([0] + [len(x) for x in parts[:-1]])
+            common = np.add.reduceat((own[place] == every).astype(np.int64), first)
+            for i, c in zip(some, common, strict=True):
+                if 100 * c >= percent * (n + sizes[i] - c) and top(roots[i]) != top(root):
+                    joined[top(roots[i])] = top(root)
+                    links.append((cid, ids[i]))
+    return links
+
+
+def _residual_links(postings: DataFrame, signs: DataFrame, sets: DataFrame, roots: DataFrame,
+                    matches: int, percent: int, block: int) -> DataFrame:
+    """Links between different components whose classes share a list."""
     rooted = postings.select("token", "cid").join(roots, F.col("cid") == F.col("node"), "left") \
         .select("token", "cid", F.coalesce("root", "cid").alias("root"))
     sizes = rooted.groupBy("token", "root").agg(F.count(F.lit(1)).alias("n"))
-    lists = sizes.groupBy("token").agg(F.count(F.lit(1)).alias("roots"), F.sum("n").alias("rows"),
+    lists = sizes.groupBy("token").agg(F.count(F.lit(1)).alias("roots"),
                                        F.max(F.struct("n", "root")).alias("top")).where("roots > 1") \
-        .select("token", "rows", F.col("top.root").alias("main"),
-                F.ceil(F.col("rows") / block).cast("int").alias("blocks"))
-    listed = rooted.join(lists, "token")
-    signed = signs.select(F.col("cid").alias("_c"), "sign")
-    live = listed.where(F.col("rows") > SHORT).join(signed, F.col("cid") == F.col("_c")).drop("_c")
-    members = live.withColumn("block", F.pmod(F.xxhash64("cid"), F.col("blocks").cast("long")))
-    asking = live.where("root <> main").withColumn(
-        "block", F.explode(F.sequence(F.lit(0).cast("long"), F.col("blocks").cast("long") - 1)))
+        .select("token", F.col("top.root").alias("main"))
+    # a gathering: the classes of all lists with one largest component, each once
+    gathered = rooted.join(lists, "token").select("main", "cid", "root").distinct()
+    facts = signs.join(sets.select(F.col("cid").alias("_c"), "shingles", "size"), F.col("cid") == F.col("_c")) \
+        .select(F.col("cid").alias("_cid"), "sign", "shingles", "size")
+    full = stored(gathered.join(facts, F.col("cid") == F.col("_cid")).drop("_cid"), "nd-gathered")
+
+    def parts(when: Column) -> Column:
+        """Blocks that hold so many classes and so many shingles at most, on average."""
+        return F.greatest(F.ceil(F.count_if(when) / block),
+                          F.ceil(F.sum(F.when(when, F.col("size"))) / BLOCK_SHINGLES)).cast("int")
+
+    counts = full.groupBy("main").agg(parts(F.lit(True)).alias("mb"),
+                                      parts(F.col("root") != F.col("main")).alias("ab"))
+    packs = max(1, full.agg(parts(F.lit(True))).first()[0] or 1)
+    pack = F.when(F.col("mb") == 1, F.pmod(F.xxhash64("main"), F.lit(packs))).otherwise(F.col("main") + packs)
+    known = full.join(counts, "main").withColumn("pack", pack)
+    span = lambda c: F.explode(F.sequence(F.lit(0), F.col(c) - 1))
+    own = lambda c: F.pmod(F.xxhash64("cid"), F.col(c).cast("long")).cast("int")
+    members = known.withColumn("m", own("mb")).withColumn("a", span("ab"))
+    asking = known.where("root <> main").withColumn("a", own("ab")).withColumn("m", span("mb"))
+
+    def side(rows: pd.DataFrame, prefix: str) -> dict:
+        """main -> (ids, roots, signatures, sets)."""
+        if not len(rows):
+            return {}
+        sign = np.frombuffer(b"".join(rows[f"{prefix}sign"]), "<u4").reshape(-1, COORDINATES)
+        ids, root, main = (rows[f"{prefix}{c}"].to_numpy() for c in ("cid", "root", "main"))
+        shingles = [np.asarray(x).view(np.uint64) for x in rows[f"{prefix}shingles"]]
+        order = np.argsort(main, kind="stable")
+        out = {}
+        for at in np.split(order, np.flatnonzero(np.diff(main[order])) + 1):
+            out[main[at[0]]] = (ids[at], root[at], sign[at], [shingles[i] for i in at])
+        return out
 
     def meet(asked: pd.DataFrame, listed: pd.DataFrame) -> pd.DataFrame:
-        if not len(asked) or not len(listed):
-            return pd.DataFrame({"a": np.zeros(0, np.int64), "b": np.zeros(0, np.int64)})
-        y = np.frombuffer(b"".join(listed["m_sign"]), "<u4").reshape(-1, COORDINATES)
-        ids, own = listed["m_cid"].to_numpy(), listed["m_root"].to_numpy()
-        a, b = [], []
-        for cid, root, sign in zip(asked["cid"], asked["root"], asked["sign"], strict=True):
-            same = (y == np.frombuffer(sign, "<u4")).sum(1)
-            at = np.flatnonzero((same >= matches) & (own != root))
-            if partners is not None and len(at) > partners:
-                at = at[np.argsort(-same[at], kind="stable")[:partners]]
-            a.append(np.full(len(at), cid))
-            b.append(ids[at])
-        a, b = np.concatenate(a), np.concatenate(b)
-        pairs = pd.DataFrame({"a": np.minimum(a, b), "b": np.maximum(a, b)})
-        return pairs.drop_duplicates()
-
-    columns = ["token", "block", "cid", "root", "sign"]
+        members_of = side(listed, "m_")
+        links = [link for main, own_side in side(asked, "").items() if main in members_of
+                 for link in _linked_blocks(own_side, members_of[main], matches, percent)]
+        return pd.DataFrame({"a": np.array([a for a, _ in links], np.int64),
+                             "b": np.array([b for _, b in links], np.int64)})
+
+    columns = ["pack", "a", "m", "main", "cid", "root", "sign", "shingles"]
     renamed = [F.col(c).alias(f"m_{c}") for c in columns]
-    found = asking.select(*columns).groupBy("token", "block").cogroup(
-        members.select(*renamed).groupBy("m_token", "m_block")).applyInPandas(meet, "a long, b long")
-    found = found.distinct().join(tested, ["a", "b"], "left_anti")
-    if partners is None:
-        return found
-    short = listed.where(F.col("rows") <= SHORT)
-    left = short.where("root <> main").select("token", F.col("cid").alias("a"), F.col("root").alias("ra"))
-    right = short.select(F.col("token").alias("t"), F.col("cid").alias("b"), F.col("root").alias("rb"))
-    pairs = left.join(right, F.col("token") == F.col("t")).where("ra <> rb") \
-        .select(F.least("a", "b").alias("a"), F.greatest("a", "b").alias("b")).distinct()
-    return found.union(_colliding(pairs.join(tested, ["a", "b"], "left_anti"), signs, matches)).distinct()
+    return asking.select(*columns).groupBy("pack", "a", "m").cogroup(
+        members.select(*renamed).groupBy("m_pack", "m_a", "m_m")).applyInPandas(meet, "a long, b long")
 
 
 def near_duplicates(docs: DataFrame, percent: int = THRESHOLD_PERCENT, key: str = "doc_id",
@@ -283,18 +322,12 @@ def near_duplicates(docs: DataFrame, percent: int = THRESHOLD_PERCENT, key: str
     sets = stored(_shingle_sets(docs, live.select("cid", "one.id", "one.mark"), key, text, width), "nd-sets")
 
     ordered = lambda p: p.select(F.least("a", "b").alias("a"), F.greatest("a", "b").alias("b")).distinct()
-    tested = stored(ordered(_first_pairs(postings, signs, matches)), "nd-pairs")
-    links = stored(_confirmed(tested, sets, percent), "nd-links")
+    first = ordered(_first_pairs(postings, signs, matches))
+    links = stored(_confirmed(first, sets, percent), "nd-links")
     roots = components(links)
-    for partners in PARTNERS:
-        more = stored(_residual_pairs(postings, signs, roots, tested, matches, partners, block), "nd-pairs")
-        if more.isEmpty():
-            continue
-        tested = tested.union(more)
-        new = stored(_confirmed(more, sets, percent), "nd-links")
-        if not new.isEmpty():
-            links = links.union(new)
-            roots = components(links)
+    more = stored(_residual_links(postings, signs, sets, roots, matches, percent, block), "nd-links")
+    if not more.isEmpty():
+        roots = components(links.union(more))
 
     rooted = classes.join(roots, F.col("cid") == F.col("node"), "left") \
         .select("print", "least", F.coalesce("root", "cid").alias("root"))
