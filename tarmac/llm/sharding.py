@@ -1,12 +1,14 @@
 """Balanced label propagation: linked documents gather in shards of equal counts.
 
 Documents with equal texts are linked. Every document starts in a shard drawn by
-hash; in each round the documents of a group move towards the shard that holds
-most of their group, as far as that shard has room (its quota less the linked
-documents in it). Documents of one group in one shard are exchangeable, so the
-rounds run on counts per (group, shard), at most one row for each shard a group
-touches: joins and sums of pre-aggregated rows, never rows of one group in one
-task. Unlinked documents fill up each shard to its quota, so counts differ by one at
+hash; in each round the documents of a group ask for the shard that holds most of their
+group, those of a group above the quota for as many shards as it needs. A shard lets in
+as many as it has room for (its quota less the linked documents in it) and as leave it in
+the same round, so full shards exchange documents. Documents of one group in one shard are
+exchangeable, so the rounds run on counts per (group, shard), at most one row for each shard
+a group touches: joins and sums of pre-aggregated rows, never rows of one group in one
+task. Every move adds pairs of linked documents within a shard; the rounds end when two
+in a row add none. Unlinked documents fill up each shard to its quota, so counts differ by one at
 most (law ``rows``), and positions follow from one global sort.
 
 Defined results:
@@ -20,6 +22,7 @@ Defined results:
 
 from __future__ import annotations
 
+import numpy as np
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql.window import Window
@@ -27,9 +30,6 @@ from pyspark.sql.window import Window
 from tarmac.llm.common import stored
 
 SHARDS = 40
-ROUNDS = 4
-#: More movers than this of one group are let in in proportion, fewer all or none.
-WHOLE = 64
 _ROW_BITS = 33  # of monotonically_increasing_id: the row's place in its partition
 
 
@@ -63,38 +63,111 @@ def _loads(held: DataFrame, shards: int) -> list[int]:
     return [got.get(s, 0) for s in range(shards)]
 
 
-def propagate(held: DataFrame, quotas: list[int], round_no: int) -> tuple[DataFrame, int]:
-    """One round over ``held`` (grp, shard, n); the new counts, and how many documents moved."""
+def _together(held: DataFrame) -> int:
+    """Sum of the squared counts: it grows as the cut falls."""
+    return int(held.agg(F.sum((F.col("n") * F.col("n")).cast("decimal(38,0)"))).first()[0] or 0)
+
+
+def _let_in(wanted: np.ndarray, rooms: list[int]) -> np.ndarray:
+    """How many of the ``wanted`` moves (from, to) may be made: no shard takes in more than
+    its room and what leaves it."""
+    room, asked = np.array(rooms, float), np.maximum(wanted.sum(0), 1)
+    share = np.ones(len(rooms))
+    for _ in range(200):
+        less = np.minimum(share, np.clip((room + wanted @ share) / asked, 0, 1))
+        if np.allclose(less, share, rtol=0, atol=1e-9):
+            break
+        share = less
+    flow = np.floor(wanted * share).astype(np.int64)
+    slack = np.array(rooms, np.int64) - flow.sum(0) + flow.sum(1)
+    while len(over := np.flatnonzero((slack < 0) & (flow.sum(0) > 0))):  # what rounding down cost
+        for to in over:
+            for source in np.argsort(-flow[:, to], kind="stable"):
+                back = min(flow[source, to], max(0, -slack[to]))
+                flow[source, to] -= back
+                slack[to] += back
+                slack[source] -= back
+    added = True
+    while added:  # single moves that still fit
+        added = False
+        for source, to in np.argwhere((flow < wanted) & (slack > 0)[None]):
+            more = min(wanted[source, to] - flow[source, to], slack[to])
+            if more > 0:
+                flow[source, to] += more
+                slack[to] -= more
+                slack[source] += more
+                added = True
+    rest = wanted - flow
+    both = np.minimum(rest, rest.T)  # plain exchanges, then longer rings
+    flow, rest = flow + both, rest - both
+    while True:
+        while len(ends := np.flatnonzero((rest.sum(0) > 0) != (rest.sum(1) > 0))):
+            rest[ends], rest[:, ends] = 0, 0
+        if not rest.any():
+            return flow
+        ring = [int(rest.sum(1).argmax())]
+        while (to := int(rest[ring[-1]].argmax())) not in ring:
+            ring.append(to)
+        ring = ring[ring.index(to):]
+        steps = ring, [*ring[1:], ring[0]]
+        flow[steps] += (more := rest[steps].min())
+        rest[steps] -= more
+
+
+def propagate(held: DataFrame, quotas: list[int], round_no: int) -> DataFrame:
+    """One round over ``held`` (grp, shard, n): the new counts.
+
+    In even rounds a group asks for the shards with most of its documents, full or not; in odd
+    ones for shards that have room for it, if there are any.
+    """
     shards = len(quotas)
-    rooms = [max(0, q - n) for q, n in zip(quotas, _loads(held, shards), strict=True)]
-    rank = F.struct(F.col("n"), F.xxhash64("grp", "shard"), F.col("shard"))
-    best = held.where(_pick(rooms, F.col("shard")) > 0).groupBy("grp").agg(F.max(rank).alias("b"))
-    asked = held.join(best, "grp", "left").withColumn("to", F.when(F.col("b") > rank, F.col("b.shard"))) \
-        .drop("b")
-    wanted = {r["to"]: r["n"] for r in asked.where("to is not null").groupBy("to")
-              .agg(F.sum("n").alias("n")).collect()}
-    if not wanted:
-        return held, 0
-    share = [min(1.0, rooms[s] / wanted[s]) if wanted.get(s) else 0.0 for s in range(shards)]
-    let_in = F.get(F.array(*[F.lit(x) for x in share]), F.col("to"))
-    chance = F.pmod(F.xxhash64("grp", "to", F.lit(round_no)), F.lit(1 << 20)) / (1 << 20)
-    moved = F.when(F.col("n") > WHOLE, F.floor(F.col("n") * let_in)) \
-        .otherwise(F.when(chance < let_in, F.col("n")).otherwise(0)).cast("long")
-    split = asked.withColumn("m", F.when(F.col("to").isNull(), F.lit(0)).otherwise(moved))
-    pieces = split.select("grp", F.explode(F.array(
-        F.struct(F.col("shard").alias("shard"), (F.col("n") - F.col("m")).alias("n")),
-        F.struct(F.coalesce("to", "shard").alias("shard"), F.col("m").alias("n")))).alias("x")) \
-        .select("grp", "x.*").where("n > 0")
-    new = stored(pieces.groupBy("grp", "shard").agg(F.sum("n").alias("n")), "shard-counts")
-    return new, sum(wanted.values())
-
-
-def shard_documents(docs: DataFrame, shards: int = SHARDS, rounds: int = ROUNDS,
+    rooms = [q - n for q, n in zip(quotas, _loads(held, shards), strict=True)]
+    room = _pick(quotas, F.col("shard")) - F.col("n") if round_no % 2 == 0 else _pick(rooms, F.col("shard"))
+    group = Window.partitionBy("grp")
+    best = group.orderBy(F.desc("fits"), F.desc("n"), "tie", "shard")
+    ranked = held.withColumn("room", F.greatest(room, F.lit(0).cast("long"))) \
+        .withColumn("size", F.sum("n").over(group)) \
+        .withColumn("fits", F.col("n") + F.col("room") >= F.col("size")) \
+        .withColumn("tie", F.xxhash64("grp", "shard", F.lit(round_no))) \
+        .withColumn("place", F.row_number().over(best)) \
+        .withColumn("before", F.sum(F.col("n") + F.col("room")).over(
+            best.rowsBetween(Window.unboundedPreceding, Window.currentRow)) - F.col("n") - F.col("room")) \
+        .withColumn("stays", F.col("before") < F.col("size"))
+    # at most one entry per shard in a group's list
+    listed = ranked.withColumn("targets", F.collect_list(F.when(
+        F.col("stays") & (F.col("room") > 0), F.struct("shard", "n"))).over(group)) \
+        .withColumn("staying", F.count_if("stays").over(group))
+    turn = F.pmod(F.col("place") - F.col("staying") - 1, F.greatest(F.size("targets"), F.lit(1))).cast("int")
+    asked = stored(listed.withColumn("target", F.when(~F.col("stays"), F.get("targets", turn)))
+                   .select("grp", "shard", "n", "tie", F.col("target.shard").alias("to"),
+                           F.col("target.n").alias("there")), "shard-asked")
+    wanted = np.zeros((shards, shards), np.int64)
+    for r in asked.where("to is not null").groupBy("shard", "to").agg(F.sum("n").alias("n")).collect():
+        wanted[r["shard"], r["to"]] = r["n"]
+    flow = _let_in(wanted, rooms)
+    moves = [(int(s), int(t), int(flow[s, t])) for s, t in np.argwhere(flow > 0)]
+    if not moves:
+        return held
+    allowed = held.sparkSession.createDataFrame(moves, "shard int, to int, allowed long")
+    queue = Window.partitionBy("shard", "to").orderBy(F.desc("there"), "tie", "grp") \
+        .rowsBetween(Window.unboundedPreceding, Window.currentRow)
+    left = F.col("allowed") - (F.sum("n").over(queue) - F.col("n"))
+    movers = asked.join(F.broadcast(allowed), ["shard", "to"]) \
+        .withColumn("m", F.least(F.col("n"), F.greatest(left, F.lit(0).cast("long")))) \
+        .where(F.col("m") > F.greatest(F.col("n") - F.col("there"), F.lit(0)))  # else the cut would not fall
+    pieces = held.select("grp", "shard", "n") \
+        .unionByName(movers.select("grp", "shard", (-F.col("m")).alias("n"))) \
+        .unionByName(movers.select("grp", F.col("to").alias("shard"), F.col("m").alias("n")))
+    return stored(pieces.groupBy("grp", "shard").agg(F.sum("n").alias("n")).where("n > 0"), "shard-counts")
+
+
+def shard_documents(docs: DataFrame, shards: int = SHARDS, rounds: int | None = None,
                     key: str = "doc_id", text: str = "text") -> DataFrame:
     """``key, size, text_crc32, law, shard, slot, grown_shard`` and ``start_shard`` of every row.
 
     ``start_shard`` is the shard a linked document was drawn into before the rounds
-    (null for others); with ``linked`` (boolean) it shows what the rounds gained.
+    (null for others); with ``linked`` (boolean) it shows what the rounds gained. ``rounds``
+    limits the rounds; without it they go on until the cut no longer falls.
     """
     whole = F.coalesce(F.col(text), F.lit(""))
     base = docs.select(
@@ -115,10 +188,11 @@ def shard_documents(docs: DataFrame, shards: int = SHARDS, rounds: int = ROUNDS,
     singles = total - linked.count()
     held = stored(linked.groupBy("grp", F.col("start_shard").alias("shard"))
                   .agg(F.count(F.lit(1)).alias("n")), "shard-counts")
-    for r in range(rounds):
-        held, moving = propagate(held, quotas, r)
-        if not moving:
-            break
+    together, idle, r = _together(held), 0, 0
+    while idle < 2 and (rounds is None or r < rounds):
+        held = propagate(held, quotas, r)
+        before, together = together, _together(held)
+        idle, r = (0 if together > before else idle + 1), r + 1
 
     # Per shard: its groups' documents in order up to the quota; what exceeds it joins the pool.
     quota = _pick(quotas, F.col("shard"))

@@ -335,6 +335,24 @@ def test_sharding_all_linked(spark):
     assert len(sizes) == 40 and max(sizes) - min(sizes) <= 1
 
 
+def test_sharding_of_a_group_above_the_quota(spark):
+    # one group of a third of all rows, quota 75
+    frame = spark.range(3000).select(F.col("id").alias("doc_id"), F.when(F.col("id") % 3 == 0, F.lit("one text"))
+                                     .otherwise(F.concat(F.lit("text "), "id")).alias("text"))
+    got = sharding.shard_documents(frame)
+    assert {r["count"] for r in got.groupBy("shard").count().collect()} == {75}
+    assert got.where("linked").select("shard").distinct().count() <= math.ceil(1000 / 75) + 1
+
+
+def test_sharding_of_pairs_only(spark):
+    frame = spark.range(4000).select(F.col("id").alias("doc_id"),
+                                     F.concat(F.lit("text "), F.floor(F.col("id") / 2)).alias("text"))
+    got = sharding.shard_documents(frame)
+    assert {r["count"] for r in got.groupBy("shard").count().collect()} == {100}
+    cut = got.groupBy("text_crc32").agg(F.count_distinct("shard").alias("n")).where("n > 1").count()
+    assert cut <= 100  # of 2,000; about 1,950 at the start
+
+
 def poisson_count(mean, key, seed):
     parts = math.ceil(mean / mixing.PART)
     part, total = mean / parts, 0
