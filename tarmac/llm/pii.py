@@ -4,8 +4,11 @@ Four kinds are found: ``email``, ``ip``, ``card``, ``phone``. The base finders r
 as it is. Then transducers rewrite disguises:
 
 * homoglyphs: full-width and look-alike letters, digits and signs; invisible characters go;
-* ``name [at] host (dot) com``, ``name at host dot com``, ``10[.]0[.]0[.]1``;
-* digits spelled out in English, German, French or Spanish, six or more in a row.
+* ``name [at] host (dot) com``, ``name at host dot com``, ``10[.]0[.]0[.]1``, ``10 dot 0 dot 0 dot 1``,
+  each mark on its own: ``name@host dot com``, ``name at host [dot] it``. Bracketed marks come first;
+  a bare ``at`` counts only where a disguised dot follows;
+* digits spelled out in English, German, French or Spanish, six or more in a row, first with
+  single numerals among them only, then with neighbouring numerals of any length.
 
 Each transducer keeps the list of its edits, so a span found in its output is
 mapped back through all of them to the characters it was made of. The base
@@ -64,20 +67,31 @@ DIGIT_WORDS = {
 DOMAINS = ("com", "org", "net", "edu", "gov", "info", "io", "de", "fr", "es", "uk", "eu", "us")
 # ---- end of fixed values ----
 
-# compatibility forms (full-width, mathematical, circled ...) of one ASCII character, and look-alikes
+# compatibility forms (full-width, mathematical, circled ...) of one ASCII character, decimal digits, look-alikes
 _FLAT = {c: flat for c in range(0xA0, 0x20000)
          if len(flat := unicodedata.normalize("NFKC", chr(c))) == 1 and flat.isascii() and flat != chr(c)} \
+    | {c: str(digit) for c in range(0xA0, 0x20000) if (digit := unicodedata.decimal(chr(c), None)) is not None} \
     | {ord(a): b for a, b in LOOK_ALIKES.items()}
 _FLAT_CHARS = frozenset(map(chr, _FLAT))
 _INVISIBLE = re.compile(f"[{INVISIBLE}]+")
 _BRACKETED = re.compile(r"[\[({<]\s*(?:(at|@)|dot|point|\.)\s*[\])}>]\s*", re.I)
-_BARE = re.compile(r"((?:[A-Za-z0-9_%+-]+[ \t]+dot[ \t]+)*)[A-Za-z0-9._%+-]+([ \t]+at[ \t]+)[A-Za-z0-9-]+((?:[ \t]+dot[ \t]+[A-Za-z0-9-]+)*"
-                   rf"[ \t]+dot[ \t]+(?:{'|'.join(DOMAINS)})(?![A-Za-z0-9-]))", re.I)
-_BARE_DOT = re.compile(r"[ \t]+dot[ \t]+", re.I)
+_HOST = r"[A-Za-z0-9-]+(?:{0}[A-Za-z0-9-]+)*{0}[A-Za-z]{{2,}}(?![A-Za-z0-9-])"
+# "point" is too common after "at" in prose
+_BARE = re.compile(r"(?<=[A-Za-z0-9._%+-])(?:([ \t]+at[ \t]+)("
+                   + _HOST.format(r"(?:\.|[ \t]+dot[ \t]+)") + ")|@("
+                   + _HOST.format(r"(?:\.|[ \t]+(?:dot|point)[ \t]+)") + "))", re.I)
+_LOCAL_DOT = re.compile(r"(?<=[A-Za-z0-9._%+-])[ \t]+dot[ \t]+(?=[A-Za-z0-9._%+-])", re.I)
+_NUMBER_DOT = re.compile(r"(?<=[0-9])[ \t]+(?:dot|point)[ \t]+(?=[0-9])", re.I)
+#: A host after a bare "at" is none of these, unless the domain ends in one of DOMAINS.
+_NO_HOST = frozenset("a an any each every his her its my no one our that the their this which your".split())
+_BARE_DOT = re.compile(r"[ \t]+(?:dot|point)[ \t]+", re.I)
 _WORD = "|".join(sorted(DIGIT_WORDS, key=len, reverse=True))
 _SPELLED = re.compile(rf"(?:plus[\s,-]+)?(?:{_WORD}|[0-9])(?:[\s,-]+(?:{_WORD}|[0-9]|dot|point)){{5,}}(?![^\W_])",
                       re.I)
-_SPELLED_PART = re.compile(rf"{_WORD}|[0-9]|dot|point|plus", re.I)
+_NUMERAL = r"[0-9]++(?:\.[0-9]++)*+"
+_JOINED = re.compile(rf"(?<![^\W_])(?<![0-9]\.)(?:(?:plus|\+)[\s,()-]*)?(?:{_WORD}|{_NUMERAL})"
+                     rf"(?:[\s,()-]+(?:{_WORD}|{_NUMERAL}|dot|point))+(?![^\W_])", re.I)
+_SPELLED_PART = re.compile(rf"{_WORD}|[0-9]|dot|point|plus|[.+]", re.I)
 _TWO_WORDS = re.compile(rf"(?:{_WORD})[\s,-]+(?:{_WORD}|[0-9]|dot|point)")
 
 Span = tuple[int, int, int]  # start, kind, end
@@ -180,28 +194,60 @@ def _left_of_blanks(text: str, at: int) -> int:
     return at
 
 
-def _disguise_edits(text: str) -> list[tuple[int, int, str]]:
-    edits = [(_left_of_blanks(text, m.start()),
-              m.end(), "@" if m.group(1) else ".") for m in _BRACKETED.finditer(text)]
-    if " dot" in text.lower() or "\tdot" in text.lower():
-        for m in _BARE.finditer(text):
-            edits.append((m.start(2), m.end(2), "@"))
-            edits += [(d.start(), d.end(), ".") for part in (1, 3)
-                      for d in _BARE_DOT.finditer(text, m.start(part), m.end(part))]
-    return edits
+def _bracket_edits(text: str) -> list[tuple[int, int, str]]:
+    return [(_left_of_blanks(text, m.start()),
+             m.end(), "@" if m.group(1) else ".") for m in _BRACKETED.finditer(text)]
+
+
+def _last_label(host: str) -> str:
+    """What follows the last dot, plain or bare; empty without one."""
+    return labels[-1].lower() if len(labels := re.split(r"\.|\s+", host)) > 1 else ""
 
 
-def _spelled_edits(text: str) -> list[tuple[int, int, str]]:
+def _bare_edits(text: str, dots: frozenset[int] = frozenset()) -> list[tuple[int, int, str]]:
+    """Bare marks; ``dots`` are the places of dots that were written in brackets."""
+    low = text.lower()
+    if not dots and not any(mark in low for mark in (" dot", "\tdot", " point", "\tpoint")):
+        return []
+    edits = [(m.start(), m.end(), ".") for m in _NUMBER_DOT.finditer(text)]
+    joins = {m.end(): m.start() for m in _LOCAL_DOT.finditer(text)}
+    free = 0  # the last match ends here
+    for m in _BARE.finditer(text):
+        part = 2 if m.group(1) else 3
+        bare = [d.span() for d in _BARE_DOT.finditer(text, m.start(part), m.end(part))]
+        last = _last_label(m.group(part))
+        if m.group(1):
+            if not bare and not any(m.start(part) <= d < m.end(part) for d in dots):
+                continue
+            if m.group(part).lower().split()[0] in _NO_HOST and last not in DOMAINS:
+                continue
+            edits.append((m.start(1), m.end(1), "@"))
+        elif bare and last not in DOMAINS and _last_label(text[m.start(part):bare[0][0]]) in DOMAINS:
+            bare = []  # a whole address before a word of the sentence
+        edits += [(*span, ".") for span in bare]
+        start = m.start()
+        while True:
+            while start > free and text[start - 1] in _LOCAL:
+                start -= 1
+            if joins.get(start, -1) < free:
+                break
+            edits.append((joins[start], start, "."))
+            start = joins[start]
+        free = m.end()
+    return sorted(set(edits))
+
+
+def _spelled_edits(text: str, joined: bool = False) -> list[tuple[int, int, str]]:
     edits = []
     low = text.lower()
-    if not DIGIT_WORDS.keys().isdisjoint(low.replace(",", " ").replace("-", " ").split()) and _TWO_WORDS.search(low):
-        for m in _SPELLED.finditer(text):
+    if not DIGIT_WORDS.keys().isdisjoint(re.sub("[,()-]", " ", low).split()) and _TWO_WORDS.search(low):
+        for m in (_JOINED if joined else _SPELLED).finditer(text):
             if m.start() and text[m.start() - 1].isalpha():
                 continue
             parts = [p.group().lower() for p in _SPELLED_PART.finditer(m.group())]
-            if any(p in DIGIT_WORDS for p in parts):
+            if len(parts) >= 6 and any(p in DIGIT_WORDS for p in parts):
                 edits.append((m.start(), m.end(), "".join(
-                    "+" if p == "plus" else "." if p in ("dot", "point") else DIGIT_WORDS.get(p, p)
+                    "+" if p in ("plus", "+") else "." if p in ("dot", "point", ".") else DIGIT_WORDS.get(p, p)
                     for p in parts)))
     return edits
 
@@ -216,32 +262,52 @@ def _apart(edits: list[tuple[int, int, str]]) -> list[tuple[int, int, str]]:
     return out
 
 
-def deobfuscate(text: str) -> list[Rewrite]:
-    """The rewrites that change ``text``, each of the one before; empty if there is no disguise."""
+def deobfuscate(text: str) -> list[list[Rewrite]]:
+    """Chains of rewrites that change ``text``, each rewrite of the one before; none if there is no disguise.
+
+    Chains differ in the reading of numerals beside spelled digits.
+    """
     steps: list[Rewrite] = []
     now = text
-    finders = [lambda t: [(m.start(), m.end(), "") for m in _INVISIBLE.finditer(t)],
-               _look_alike_edits] if not text.isascii() else []
-    for find in [*finders, _disguise_edits, _spelled_edits]:
-        if edits := _apart(find(now)):
+
+    def step(edits: list[tuple[int, int, str]]) -> bool:
+        nonlocal now
+        if edits := _apart(edits):
             steps.append(Rewrite(now, edits))
             now = steps[-1].text
-    return steps
+        return bool(edits)
+
+    if not text.isascii():
+        step([(m.start(), m.end(), "") for m in _INVISIBLE.finditer(now)])
+        step(_look_alike_edits(now))
+    dots = frozenset()
+    if step(_bracket_edits(now)):
+        dots = frozenset(s for s, e, _, _ in steps[-1].shift if steps[-1].text[s:e] == ".")
+    step(_bare_edits(now, dots))
+    chains = [steps] if steps else []
+    spelled = [_apart(_spelled_edits(now, joined)) for joined in (False, True)]
+    if spelled[0] or spelled[1]:
+        chains = [[*steps, Rewrite(now, e)] for i, e in enumerate(spelled) if e and e not in spelled[:i]]
+    return chains
 
 
 def all_spans(text: str) -> tuple[list[Span], list[Span]]:
     """(base spans, all spans); both by start and kind."""
     base = base_spans(text)
-    steps = deobfuscate(text)
-    if not steps:
-        return base, base
+    whole, kept = set(base), []
     found = set(base)
-    for start, kind, end in base_spans(steps[-1].text):
-        for step in reversed(steps):
-            start, end = step.back(start, end)
-        if not any(k == kind and s <= start and end <= e for s, k, e in base):
+    for steps in deobfuscate(text):
+        for start, kind, end in base_spans(steps[-1].text):
+            for step in reversed(steps):
+                start, end = step.back(start, end)
             found.add((start, kind, end))
-    return base, sorted(found)
+    ends = dict.fromkeys(range(len(KINDS)), -1)
+    for span in sorted(found, key=lambda x: (x[0], -x[2], x not in whole)):
+        start, kind, end = span
+        if span in whole or end > ends[kind]:  # not within another of its kind
+            kept.append(span)
+        ends[kind] = max(ends[kind], end)
+    return base, sorted(kept)
 
 
 def written(spans: list[Span]) -> str:

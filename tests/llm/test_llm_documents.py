@@ -5,6 +5,7 @@ import hashlib
 import math
 import random
 import re
+import time
 
 import pytest
 from pyspark.sql import functions as F
@@ -137,6 +138,47 @@ def test_clean_text_has_no_spans(text):
     assert pii.all_spans(text) == ([], []) and pii.redacted(text) == text
 
 
+@pytest.mark.parametrize("kind, source", [
+    ("email", "jane [at] example dot com"), ("email", "jane at example [dot] com"),
+    ("email", "jane@example dot com"), ("email", "jane at example dot it"),
+    ("email", "jane at mail.example (dot) ch"), ("email", "jane dot doe [at] example.org"),
+    ("ip", "10 dot 0 dot 0 dot 1"), ("ip", "192 dot 168 dot 1 dot 20"), ("ip", "192[.]168 dot 1.20"),
+    ("ip", "10 dot zero dot zero dot one"),
+    ("card", "four one one one 1111 1111 1111"), ("phone", "+1 five five five 123 4567"),
+    ("ip", "١٠.٠.٠.١"), ("card", "४१११ ११११ ११११ ११११"),
+])
+def test_mixed_disguises_map_back(kind, source):
+    text = f"write: {source}, thanks"
+    assert (kind, source) in {(pii.KINDS[k], text[s:e]) for s, k, e in pii.all_spans(text)[1]}
+    assert pii.redacted(text) == f"write: <{kind.upper()}>, thanks"
+
+
+@pytest.mark.parametrize("text", ["look at each dot in the pattern", "from 3 point 5 to 4 point 2",
+                                  "he was at home. Then at work", "at one point in time we met at noon",
+                                  "one 2000 two 300 three of them",
+                                  "at some point it became clear"])
+def test_prose_with_marks_has_no_spans(text):
+    assert pii.all_spans(text) == ([], [])
+
+
+def test_an_address_before_a_bare_mark_stays_as_it_is():
+    assert pii.redacted("mail bob@example.com point taken") == "mail <EMAIL> point taken"
+    assert pii.redacted("a dot b@c dot com " * 2) == "<EMAIL> " * 2
+
+
+def test_disguise_finders_are_linear():
+    for text in ("a" * 200_000, "1.1" * 100_000, " " * 200_000, "a dot " * 40_000, "1 " * 100_000, "@a.a" * 50_000):
+        began = time.perf_counter()
+        pii.all_spans(text + " one two [at] x dot com")
+        assert time.perf_counter() - began < 10
+
+
+def test_numerals_after_a_spelled_card_do_not_hide_it():
+    card = "four one one one " + "one " * 11 + "one"
+    text = f"card {card}, 20 times"
+    assert ("card", card) in {(pii.KINDS[k], text[s:e]) for s, k, e in pii.all_spans(text)[1]}
+
+
 def test_find_pii(docs, empty):
     for r in pii.find_pii(docs).join(docs.select("doc_id", "text"), "doc_id").collect():
         base = brute_spans(r["text"] or "")
