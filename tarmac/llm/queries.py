@@ -8,8 +8,8 @@ import public_tokenizers
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from tarmac.llm import (bpe, importance, mixing, mtree, near_dups, pii, quality_rules, sharding,
-                        token_counts, warc)
+from tarmac.llm import (bpe, importance, mixing, mtree, near_dups, periodic_runs, pii, quality_rules,
+                        sharding, token_counts, warc)
 from tarmac.llm.common import table
 
 
@@ -62,6 +62,11 @@ def op10_bpe(spark: SparkSession, sf_dir: str) -> DataFrame:
                              public_tokenizers.path("word_bpe_49k.json"), full=False)
 
 
+def op11_periodic_runs(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Per document: its runs of four or more periods, the densest one, and the text without repeats."""
+    return periodic_runs.run_report(table(spark, sf_dir, "documents"))
+
+
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     "op1_warc": op1_warc,
     "op2_quality_rules": op2_quality_rules,
@@ -73,6 +78,7 @@ QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     "op8_pii": op8_pii,
     "op9_mixing": op9_mixing,
     "op10_bpe": op10_bpe,
+    "op11_periodic_runs": op11_periodic_runs,
 }
 
 
