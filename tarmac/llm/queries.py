@@ -9,7 +9,7 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from tarmac.llm import (bpe, importance, mixing, mtree, near_dups, periodic_runs, pii, quality_rules,
-                        sharding, token_counts, warc)
+                        sharding, simhash, spelling, token_counts, warc)
 from tarmac.llm.common import table
 
 
@@ -67,6 +67,16 @@ def op11_periodic_runs(spark: SparkSession, sf_dir: str) -> DataFrame:
     return periodic_runs.run_report(table(spark, sf_dir, "documents"))
 
 
+def op12_spelling(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Per word of the corpus: its more frequent form one letter away, and the last such form."""
+    return spelling.variant_groups(spelling.word_counts(table(spark, sf_dir, "documents")))
+
+
+def op13_simhash(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Per document: its fingerprint and the smallest id linked with it by close fingerprints."""
+    return simhash.simhash_report(table(spark, sf_dir, "documents"))
+
+
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     "op1_warc": op1_warc,
     "op2_quality_rules": op2_quality_rules,
@@ -79,6 +89,8 @@ QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     "op9_mixing": op9_mixing,
     "op10_bpe": op10_bpe,
     "op11_periodic_runs": op11_periodic_runs,
+    "op12_spelling": op12_spelling,
+    "op13_simhash": op13_simhash,
 }
 
 
