@@ -6,8 +6,10 @@
   (base32, as WARC headers state it) and the record that carries it;
 * ``headers``: each record's exact header block, with the SHA-256 of its payload.
 
+Payloads of one SHA-256 are verified equal as they are stored, by their lengths and MD5s.
 ``read_archive`` joins them back to whole records, checks each payload against
-its digest, and takes every field from the header block as a WARC reader would.
+its digest, and takes every field from the lines of the WARC header, which end at CRLF and
+nowhere else, as a WARC reader would.
 Of the records with one payload that with the largest id is the ``response``; the
 others are ``revisit`` records that refer to it.
 
@@ -18,7 +20,8 @@ skew handling.
 Defined results:
 
 * null payload: archived as an empty one; null URL: no ``WARC-Target-URI`` line;
-* control characters in a URL are percent-encoded, as a header must be;
+* control characters and Unicode line ends in a URL are percent-encoded, each by its own UTF-8
+  bytes, as a header must be; so no URL can add a field;
 * null id: never referred to; a revisit if a record of the same payload has an id;
 * rows repeated with the largest id are all responses;
 * an empty table gives an empty archive; other columns are not archived.
@@ -26,12 +29,10 @@ Defined results:
 
 from __future__ import annotations
 
-import uuid
-
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from tarmac.session import ensure_checkpoint_dir
+from tarmac.operators.joins import scratch_path
 
 CRLF = "\r\n"
 PROFILE = "http://netpreserve.org/warc/1.1/revisit/identical-payload-digest"
@@ -48,6 +49,18 @@ def base32_sha1(data: Column) -> Column:
                        "ABCDEFGHIJKLMNOPQRSTUVWXYZ234567")
 
 
+#: What must not stand in a header value: C0 and C1 control characters, DEL, line and paragraph separators.
+UNSAFE = [chr(c) for c in (*range(0x20), *range(0x7F, 0xA0), 0x2028, 0x2029)]
+
+
+def encoded(value: Column) -> Column:
+    """``value`` with every unsafe character percent-encoded by its UTF-8 bytes."""
+    codes = F.array(*[F.struct(F.lit(c).alias("c"), F.lit("".join(f"%{b:02X}" for b in c.encode())).alias("p"))
+                      for c in UNSAFE])
+    return F.when(value.rlike(r"[\x00-\x1F\x7F-\x9F\x{2028}\x{2029}]"), F.aggregate(
+        codes, value, lambda text, x: F.replace(text, x["c"], x["p"]))).otherwise(value)
+
+
 def _line(name: str, *value: Column) -> Column:
     """A header line; nothing if a part of its value is null."""
     return F.coalesce(F.concat(F.lit(f"{name}: "), *value, F.lit(CRLF)), F.lit(""))
@@ -61,18 +74,16 @@ def write_archive(pages: DataFrame, path: str, key: str = "page_id", url: str =
                   payload: str = "html", min_bytes: int = MIN_REVISIT_BYTES) -> None:
     """Write one WARC record for each row of ``pages`` below ``path``."""
     body = F.coalesce(F.col(payload), F.lit("")).cast("binary")
-    clean = F.translate(F.col(url), "\r\n\t", "\0\0\0")
-    clean = F.regexp_replace(clean, "\\x00", "%0A")
-    rows = pages.select(F.col(key).cast("long").alias("id"), clean.alias("url"), body.alias("payload")) \
+    rows = pages.select(F.col(key).cast("long").alias("id"), encoded(F.col(url)).alias("url"), body.alias("payload")) \
         .withColumn("sha256", F.sha2("payload", 256))
+    seal = F.struct(F.octet_length("payload").alias("bytes"), F.md5("payload").alias("md5"))
     payloads = rows.groupBy("sha256").agg(
         F.max("id").alias("holder"), F.first("payload").alias("payload"),
-        F.min(F.octet_length("payload")).alias("least"),
-        F.max(F.octet_length("payload")).alias("most"))
+        F.min(seal).alias("least"), F.max(seal).alias("most"))
     checked = payloads.withColumn("payload", F.when(F.col("least") == F.col("most"), F.col("payload"))
                                   .otherwise(F.raise_error(F.lit("payloads of one digest differ"))))
     checked.select("sha256", base32_sha1(F.col("payload")).alias("sha1"), "holder",
-                   F.col("most").cast("long").alias("bytes"), "payload") \
+                   F.col("most.bytes").cast("long").alias("bytes"), "payload") \
         .write.parquet(f"{path}/payloads")
 
     spark = pages.sparkSession
@@ -107,8 +118,12 @@ def read_archive(spark: SparkSession, path: str) -> DataFrame:
     headers = spark.read.parquet(f"{path}/headers")
     good = F.when(F.sha2("payload", 256) == F.col("sha256"), F.col("payload")) \
         .otherwise(F.raise_error(F.lit("payload does not match its digest")))
-    field = lambda name, pattern: F.nullif(F.regexp_extract(
-        "header", rf"(?m)^{name}: {pattern}\r?$", 1), F.lit(""))
+    lines = F.split(F.substring_index("header", CRLF + CRLF, 1), CRLF)  # those of the WARC header alone
+
+    def field(name: str, pattern: str) -> Column:
+        value = F.substring(F.get(F.filter(lines, lambda x: x.startswith(f"{name}: ")), F.lit(0)), len(name) + 3, 1 << 30)
+        return F.when(value.rlike(rf"(?s)\A{pattern}\z"), F.regexp_extract(value, rf"(?s)\A{pattern}\z", 1))
+
     whole = headers.join(payloads, "sha256").withColumn("payload", good)
     kind = field("WARC-Type", "(response|revisit)")
     return whole.select(
@@ -125,7 +140,7 @@ def read_archive(spark: SparkSession, path: str) -> DataFrame:
 
 def archive_folder(spark: SparkSession) -> str:
     """A new folder in the cluster's shared checkpoint folder."""
-    return f"{ensure_checkpoint_dir(spark)}/archives/{uuid.uuid4().hex}"
+    return scratch_path(spark, "archive")
 
 
 def archive_report(pages: DataFrame, path: str | None = None) -> DataFrame:
