@@ -47,6 +47,22 @@ def free_name(df: DataFrame, name: str) -> str:
     return name
 
 
+#: A key with more than this part of all rows is joined by broadcast: at most as many keys.
+HOT_KEYS = 1000
+
+
+def join_counted(rows: DataFrame, small: DataFrame, key: str, total: int) -> DataFrame:
+    """``rows`` left joined with ``small`` (``key``, ``n``: its rows, more) by ``key``.
+
+    Keys with more than a ``HOT_KEYS``-th of all ``total`` rows, so at most that many,
+    are joined by broadcast, where no task gets a key's rows together.
+    """
+    often = F.col("n") * HOT_KEYS > total
+    hot, cold = F.broadcast(small.where(often)).drop("n"), small.where(~often).drop("n")
+    return rows.join(hot, key).unionByName(
+        rows.join(hot.select(key), key, "left_anti").join(cold, key, "left"))
+
+
 def ship_package(spark: SparkSession) -> None:
     """Let Python workers import this package from where the driver found it."""
     root = os.path.dirname(os.path.dirname(os.path.dirname(os.path.abspath(__file__))))

@@ -41,7 +41,7 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
-from tarmac.llm.common import ship_package, stored
+from tarmac.llm.common import join_counted, ship_package, stored
 from tarmac.llm.near_dups import components
 from tarmac.operators.joins import checked_broadcast
 
@@ -56,8 +56,6 @@ HOT = 1 << 27
 PASS = 1 << 22
 #: Bits by which a node is split.
 STEP = 4
-#: A key with more than this part of all rows is joined by broadcast: at most as many keys.
-HOT_KEYS = 1000
 
 
 def fingerprint(text: str | None, width: int = WIDTH) -> int:
@@ -228,18 +226,6 @@ def ball_links(prints: DataFrame, count: int, node: int = NODE, hot: int = HOT,
     return every.groupBy("depth", "node").applyInPandas(run, "a long, b long")
 
 
-def _joined(rows: DataFrame, small: DataFrame, key: str, total: int) -> DataFrame:
-    """``rows`` left joined with ``small`` (``key``, ``n``: its rows, more) by ``key``.
-
-    Keys with more than a ``HOT_KEYS``-th of all ``total`` rows, so at most that many,
-    are joined by broadcast, where no task gets a key's rows together.
-    """
-    often = F.col("n") * HOT_KEYS > total
-    hot, cold = F.broadcast(small.where(often)).drop("n"), small.where(~often).drop("n")
-    return rows.join(hot, key).unionByName(
-        rows.join(hot.select(key), key, "left_anti").join(cold, key, "left"))
-
-
 def simhash_groups(docs: DataFrame, key: str = "doc_id", text: str = "text", width: int = WIDTH,
                    node: int = NODE, hot: int = HOT, most: int = PASS) -> DataFrame:
     """``key, print, component_id`` of every row: the smallest id reachable over links."""
@@ -252,9 +238,9 @@ def simhash_groups(docs: DataFrame, key: str = "doc_id", text: str = "text", wid
     rooted = stored(classes.join(roots, "print", "left")
                     .select("print", "n", "least", F.coalesce("root", "print").alias("root")), "sim-rooted")
     smallest = rooted.groupBy("root").agg(F.min("least").alias("component_id"), F.count(F.lit(1)).alias("n"))
-    named = _joined(rooted.select("print", "root", F.col("n").alias("rows")), stored(smallest, "sim-least"),
+    named = join_counted(rooted.select("print", "root", F.col("n").alias("rows")), stored(smallest, "sim-least"),
                     "root", count).select("print", F.col("rows").alias("n"), "component_id")
-    return _joined(signed, stored(named, "sim-named"), "print", total) \
+    return join_counted(signed, stored(named, "sim-named"), "print", total) \
         .select(F.col("id").alias(key), "print", "component_id")
 
 
