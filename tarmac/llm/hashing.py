@@ -1,30 +1,21 @@
 """Vectorised word and shingle hashes over a batch of texts (numpy, no per-word Python).
 
 Words are maximal runs of bytes outside ``[\\x20\\x09-\\x0D]``; A-Z is lowered
-on request. A word's hash is a polynomial over its bytes modulo 2**64, taken from
-prefix sums, so a whole batch is hashed without a Python loop over words.
+on request. A word's hash is the sum of its bytes, each times a random odd number of its
+place in the word, modulo 2**64: two different words agree with a chance of about 2**-56
+over the choice of the numbers, whatever their pattern (powers of one base would not do:
+some patterns cancel out for every base). A whole batch is hashed without a Python loop
+over words.
 """
 
 from __future__ import annotations
 
 import numpy as np
 
-_BASE = np.uint64(0x9E3779B97F4A7C55)
-_BASE_INV = np.uint64(pow(0x9E3779B97F4A7C55, -1, 1 << 64))
 _MIX1 = np.uint64(0xFF51AFD7ED558CCD)
 _MIX2 = np.uint64(0xC4CEB9FE1A85EC53)
-_POWERS: dict[str, np.ndarray] = {}
-
-
-def _powers(n: int) -> tuple[np.ndarray, np.ndarray]:
-    """BASE**i and BASE**-i for i < n, kept and grown per worker."""
-    if len(_POWERS.get("up", ())) < n:
-        size = max(1 << 20, 1 << (n - 1).bit_length())
-        for name, base in (("up", _BASE), ("down", _BASE_INV)):
-            p = np.ones(size, np.uint64)
-            p[1:] = base
-            _POWERS[name] = np.multiply.accumulate(p)
-    return _POWERS["up"][:n], _POWERS["down"][:n]
+_SPAN = 1 << 20
+_PLACES: list[np.ndarray] = []
 
 
 def mix64(x: np.ndarray) -> np.ndarray:
@@ -34,6 +25,16 @@ def mix64(x: np.ndarray) -> np.ndarray:
     return x ^ (x >> np.uint64(33))
 
 
+def _places(place: np.ndarray, most: int) -> np.ndarray:
+    """The factor of each place below ``most``: one table, and beyond its span a second factor a span."""
+    if not _PLACES:
+        at = np.arange(_SPAN, dtype=np.uint64)
+        _PLACES.append(mix64(mix64(at + np.uint64(0x9E3779B97F4A7C55)) * _MIX2 + at) | np.uint64(1))
+    if most <= _SPAN:
+        return _PLACES[0][place]
+    return _PLACES[0][place % _SPAN] * (mix64(place.astype(np.uint64) // np.uint64(_SPAN) * _MIX1) | np.uint64(1))
+
+
 def words(texts: list[str], lower: bool = False) -> tuple[np.ndarray, np.ndarray]:
     """(hash of each word, index of its text), in text order. Texts must not be null."""
     raw = [t.encode("utf-8", "replace") for t in texts]
@@ -44,10 +45,13 @@ def words(texts: list[str], lower: bool = False) -> tuple[np.ndarray, np.ndarray
     gap = (b == 32) | ((b >= 9) & (b <= 13))
     edge = np.flatnonzero(np.diff(np.concatenate(([True], gap)).astype(np.int8)))
     start, end = edge[0::2], edge[1::2]
-    up, down = _powers(len(b))
-    total = np.zeros(len(b) + 1, np.uint64)
-    np.cumsum((b.astype(np.uint64) + np.uint64(1)) * up, out=total[1:])
-    h = mix64((total[end] - total[start]) * down[start])
+    if not len(start):
+        return np.zeros(0, np.uint64), np.zeros(0, np.int64)
+    size = end - start
+    first = np.cumsum(size) - size
+    inside = b[~gap].astype(np.uint64) + np.uint64(1)  # the bytes of all words, one after another
+    place = np.arange(len(inside)) - np.repeat(first, size)
+    h = mix64(np.add.reduceat(inside * _places(place, int(size.max())), first))
     return h, np.searchsorted(np.cumsum(sizes), start, side="right")
 
 

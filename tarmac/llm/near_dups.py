@@ -25,7 +25,8 @@ Defined results:
 * null text, empty text or text without words: empty set, a component of its own;
 * fewer words than the shingle width: the whole sequence is the one shingle;
 * null ids: members like others, never the smallest id unless all ids are null;
-  ``kept`` is ``id = component_id``, with null equal to null;
+  ``kept`` is ``id = component_id``, with null equal to null; ``drop_near_duplicates``
+  keeps one row of each group, whether or not ids are null or shared;
 * repeated rows are members of one class and share their verdict;
 * an empty table gives an empty result; other columns are not read.
 """
@@ -41,7 +42,7 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from tarmac.llm import hashing
-from tarmac.llm.common import ship_package, stored
+from tarmac.llm.common import free_name, join_counted, ship_package, stored
 from tarmac.operators.joins import checked_broadcast
 
 WIDTH = 5
@@ -88,19 +89,20 @@ def signatures(texts: list[str], width: int) -> tuple[np.ndarray, list, list]:
     return size, prints, signs
 
 
-def _sign(docs: DataFrame, key: str, text: str, width: int) -> DataFrame:
-    """``id, mark (MD5 of the text), size, print, sign`` of every row."""
-    rows = docs.select(F.col(key).alias("id"), F.md5(F.col(text)).alias("mark"),
-                       F.coalesce(F.col(text), F.lit("")).alias("text"))
+def _sign(docs: DataFrame, key: str, text: str, width: int, row: str | None = None) -> DataFrame:
+    """``id, row, mark (MD5 of the text), size, print, sign`` of every row; ``row``: a column that
+    numbers the rows."""
+    rows = docs.select(F.col(key).alias("id"), (F.col(row) if row else F.lit(0)).cast("long").alias("row"),
+                       F.md5(F.col(text)).alias("mark"), F.coalesce(F.col(text), F.lit("")).alias("text"))
     kind = rows.schema["id"].dataType.simpleString()
 
     def run(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
         for batch in batches:
             size, prints, signs = signatures(list(batch["text"]), width)
-            yield pd.DataFrame({"id": batch["id"], "mark": batch["mark"], "size": size,
+            yield pd.DataFrame({"id": batch["id"], "row": batch["row"], "mark": batch["mark"], "size": size,
                                 "print": prints, "sign": signs})
 
-    return rows.mapInPandas(run, f"id {kind}, mark string, size long, print binary, sign binary")
+    return rows.mapInPandas(run, f"id {kind}, row long, mark string, size long, print binary, sign binary")
 
 
 def _prefix_postings(classes: DataFrame, matches: int) -> DataFrame:
@@ -270,11 +272,13 @@ def _residual_links(postings: DataFrame, signs: DataFrame, sets: DataFrame, root
         return F.greatest(F.ceil(F.count_if(when) / block),
                           F.ceil(F.sum(F.when(when, F.col("size"))) / BLOCK_SHINGLES)).cast("int")
 
-    counts = full.groupBy("main").agg(parts(F.lit(True)).alias("mb"),
-                                      parts(F.col("root") != F.col("main")).alias("ab"))
-    packs = max(1, full.agg(parts(F.lit(True))).first()[0] or 1)
+    counts = stored(full.groupBy("main").agg(
+        F.count(F.lit(1)).alias("n"), parts(F.lit(True)).alias("mb"),
+        parts(F.col("root") != F.col("main")).alias("ab")), "nd-counts")
+    total, packs = full.agg(F.count(F.lit(1)), parts(F.lit(True))).first()
+    packs = max(1, packs or 1)
     pack = F.when(F.col("mb") == 1, F.pmod(F.xxhash64("main"), F.lit(packs))).otherwise(F.col("main") + packs)
-    known = full.join(counts, "main").withColumn("pack", pack)
+    known = join_counted(full, counts, "main", total).withColumn("pack", pack)
     span = lambda c: F.explode(F.sequence(F.lit(0), F.col(c) - 1))
     own = lambda c: F.pmod(F.xxhash64("cid"), F.col(c).cast("long")).cast("int")
     members = known.withColumn("m", own("mb")).withColumn("a", span("ab"))
@@ -306,14 +310,16 @@ def _residual_links(postings: DataFrame, signs: DataFrame, sets: DataFrame, root
         members.select(*renamed).groupBy("m_pack", "m_a", "m_m")).applyInPandas(meet, "a long, b long")
 
 
-def near_duplicates(docs: DataFrame, percent: int = THRESHOLD_PERCENT, key: str = "doc_id",
-                    text: str = "text", width: int = WIDTH, block: int = BLOCK) -> DataFrame:
-    """``key, mark, n_shingles, component_id, kept`` of every row (``mark``: MD5 of the text)."""
+def _grouped(docs: DataFrame, percent: int, key: str, text: str, width: int, block: int,
+             row: str | None = None) -> tuple[DataFrame, DataFrame]:
+    """Every row's ``id, row, mark, size, print``; and ``print, n`` (its rows), ``root, component_id``
+    of every distinct set."""
     ship_package(docs.sparkSession)
     matches = needed_matches(percent)
-    signed = stored(_sign(docs, key, text, width), "nd-signed")
+    signed = stored(_sign(docs, key, text, width, row), "nd-signed")
     classes = signed.where("size > 0").groupBy("print").agg(
-        F.min("id").alias("least"), F.min(F.struct("id", "mark")).alias("one"), F.first("sign").alias("sign"))
+        F.min("id").alias("least"), F.min(F.struct("id", "mark")).alias("one"), F.first("sign").alias("sign"),
+        F.count(F.lit(1)).alias("n"))
     classes = stored(classes.withColumn("cid", F.monotonically_increasing_id()), "nd-classes")
     postings = stored(_prefix_postings(classes, matches), "nd-postings")
     posted = postings.select("cid").distinct()
@@ -330,10 +336,17 @@ def near_duplicates(docs: DataFrame, percent: int = THRESHOLD_PERCENT, key: str
         roots = components(links.union(more))
 
     rooted = classes.join(roots, F.col("cid") == F.col("node"), "left") \
-        .select("print", "least", F.coalesce("root", "cid").alias("root"))
+        .select("print", "least", "n", F.coalesce("root", "cid").alias("root"))
     smallest = rooted.groupBy("root").agg(F.min("least").alias("component_id"))
-    named = rooted.join(smallest, "root").select(F.col("print").alias("_print"), "component_id")
-    out = signed.select("id", "mark", "size", "print").join(named, F.col("print") == F.col("_print"), "left")
+    return signed, stored(rooted.join(smallest, "root").select("print", "n", "root", "component_id"), "nd-named")
+
+
+def near_duplicates(docs: DataFrame, percent: int = THRESHOLD_PERCENT, key: str = "doc_id",
+                    text: str = "text", width: int = WIDTH, block: int = BLOCK) -> DataFrame:
+    """``key, mark, n_shingles, component_id, kept`` of every row (``mark``: MD5 of the text)."""
+    signed, named = _grouped(docs, percent, key, text, width, block)
+    total = named.agg(F.coalesce(F.sum("n"), F.lit(0))).first()[0]
+    out = join_counted(signed.select("id", "mark", "size", "print"), named.drop("root"), "print", total)
     component = F.when(F.col("print").isNull(), F.col("id")).otherwise(F.col("component_id"))
     return out.select(F.col("id").alias(key), "mark", F.col("size").alias("n_shingles"),
                       component.alias("component_id"), F.col("id").eqNullSafe(component).alias("kept"))
@@ -341,15 +354,20 @@ def near_duplicates(docs: DataFrame, percent: int = THRESHOLD_PERCENT, key: str
 
 def drop_near_duplicates(docs: DataFrame, percent: int = THRESHOLD_PERCENT, key: str = "doc_id",
                          text: str = "text", width: int = WIDTH) -> DataFrame:
-    """The rows of ``docs`` that stay: one document of each group of near copies.
+    """The rows of ``docs`` that stay: one of each group of near copies, that of the least id.
 
-    Rows repeated in id and text count as one document, of which the least row stays.
-    Documents without an id are told apart by their text alone.
+    Ties between rows of one id, or without any, go to the least MD5 of the text, then to the first
+    row. Of rows without shingles, those equal in id and text are one group. Survivors are
+    chosen by row number alone; texts and further columns of any type move once, at the end.
     """
-    verdicts = near_duplicates(docs, percent, key, text, width).where("kept")
-    name = lambda c: F.coalesce(c.cast("string"), F.lit("\0"))
-    kept = verdicts.select(name(F.col(key)).alias("_k"), name(F.col("mark")).alias("_m")).distinct()
-    rows = docs.select(F.struct(*[F.col(c) for c in docs.columns]).alias("row"),
-                       name(F.col(key)).alias("_key"), name(F.md5(F.col(text))).alias("_mark"))
-    single = rows.groupBy("_key", "_mark").agg(F.min("row").alias("row"))
-    return single.join(kept, (F.col("_key") == F.col("_k")) & (F.col("_mark") == F.col("_m"))).select("row.*")
+    row = free_name(docs, "row")
+    rows = stored(docs.withColumn(row, F.monotonically_increasing_id()), "nd-rows")
+    signed, named = _grouped(rows, percent, key, text, width, BLOCK, row)
+    total = named.agg(F.coalesce(F.sum("n"), F.lit(0))).first()[0]
+    order = F.struct(F.col("id").isNull().alias("none"), "id", "mark", "row")
+    some = join_counted(signed.where("print is not null").select("id", "mark", "row", "print"),
+                        named.select("print", "n", "root"), "print", total)
+    firsts = some.groupBy("root").agg(F.min(order).alias("first")).select("first.row")
+    bare = signed.where("print is null").groupBy("id", "mark").agg(F.min("row").alias("row")).select("row")
+    kept = firsts.unionByName(bare).withColumnRenamed("row", row)
+    return rows.join(kept, row, "left_semi").select(*docs.columns)
