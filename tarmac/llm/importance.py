@@ -1,11 +1,12 @@
 """Importance resampling: documents drawn by how much more the target would write them.
 
 Words and word pairs are hashed into ``BUCKETS`` buckets. Two generative models, the
-bucket frequencies of target text (documents labelled good) and of all text, give every
-n-gram a log ratio. A document's log weight is its mean log ratio times its number of
-n-grams, of which at most ``EFFECTIVE`` count, so that length alone decides nothing. Adding
-Gumbel noise to the log weights and keeping the ``k`` largest draws ``k`` documents
-without replacement with chances in proportion to their weights.
+bucket frequencies of target text (documents labelled good: ``GOOD``) and of all text, give
+every n-gram a log ratio. A document's log weight is the sum of its n-grams' log ratios, the
+log of the ratio of its likelihoods. Adding Gumbel noise to the log weights and keeping the
+``k`` largest draws ``k`` documents without replacement with chances in proportion to their
+weights. Such weights grow with the text; ``effective``, off unless asked for, lets at most so
+many n-grams count, at the document's mean log ratio.
 
 All documents count towards the raw model and all labelled ones towards the target
 model; bucket counts are added up in each task before the shuffle. The cut between
@@ -35,7 +36,8 @@ from tarmac.llm.common import ship_package, stored
 from tarmac.operators.joins import checked_broadcast
 
 BUCKETS = 1 << 16
-EFFECTIVE = 100
+#: The labelled rows that the target model is made of, and whose share is kept.
+GOOD = "quality = 1 AND coalesce(toxic, 0) = 0"
 SEED = 20240311
 #: Values of one histogram, and rows of the last bin that are looked at one by one.
 BINS = 1024
@@ -69,7 +71,7 @@ def _counted(rows: DataFrame) -> DataFrame:
 
 
 def log_ratios(docs: DataFrame, labels: DataFrame, key: str = "doc_id", text: str = "text",
-               good: str = "quality = 1 AND coalesce(toxic, 0) = 0") -> np.ndarray:
+               good: str = GOOD) -> np.ndarray:
     """Log ratio of target to raw frequency of each bucket (add-one smoothing)."""
     ids = labels.where(good).where(F.col(key).isNotNull()).select(F.col(key).alias("_id")).distinct()
     marked = docs.select(F.col(key).alias("id"), F.coalesce(F.col(text), F.lit("")).alias("text")) \
@@ -84,7 +86,7 @@ def log_ratios(docs: DataFrame, labels: DataFrame, key: str = "doc_id", text: st
     return target - raw
 
 
-def _scored(docs: DataFrame, ratios: np.ndarray, key: str, text: str, effective: int) -> DataFrame:
+def _scored(docs: DataFrame, ratios: np.ndarray, key: str, text: str, effective: int | None) -> DataFrame:
     rows = docs.select(F.col(key).alias("key"), F.coalesce(F.col(text), F.lit("")).alias("text"))
     kind = rows.schema["key"].dataType.simpleString()
 
@@ -96,8 +98,9 @@ def _scored(docs: DataFrame, ratios: np.ndarray, key: str, text: str, effective:
                 at, doc = gram_buckets(texts[lo:hi])
                 n[lo:hi] = np.bincount(doc, minlength=hi - lo)
                 total[lo:hi] = np.bincount(doc, weights=ratios[at], minlength=hi - lo)
-            some = np.maximum(n, 1)
-            weight = pd.array(np.where(n > 0, total / some * np.minimum(some, effective), 0.0), "Float64")
+            if effective is not None:
+                total = total / np.maximum(n, 1) * np.minimum(n, effective)
+            weight = pd.array(total, "Float64")
             weight[n == 0] = pd.NA
             yield pd.DataFrame({"key": batch["key"], "n_grams": n, "log_weight": weight})
 
@@ -137,16 +140,17 @@ def kth_largest(df: DataFrame, column: str, k: int) -> float | None:
 
 
 def resample(docs: DataFrame, labels: DataFrame, share: float | None = None, key: str = "doc_id",
-             text: str = "text", seed: int = SEED, effective: int = EFFECTIVE) -> DataFrame:
+             text: str = "text", seed: int = SEED, effective: int | None = None) -> DataFrame:
     """``key, n_grams, log_weight, gumbel_key, kept`` of every row.
 
-    ``share`` of the rows is kept; by default the share of good documents among the labelled.
+    ``share`` of the rows is kept; by default the share of good documents among those with a
+    quality label.
     """
     ship_package(docs.sparkSession)
     if share is None:
         by_id = labels.where("quality is not null").where(F.col(key).isNotNull()) \
-            .groupBy(key).agg(F.max("quality").alias("q"))
-        share = by_id.agg(F.avg((F.col("q") == 1).cast("double"))).first()[0]
+            .groupBy(key).agg(F.max(F.expr(f"coalesce({GOOD}, false)")).alias("good"))
+        share = by_id.agg(F.avg(F.col("good").cast("double"))).first()[0]
         share = 1.0 if share is None else share
     ratios = log_ratios(docs, labels, key, text)
     scored = _scored(docs, ratios, key, text, effective)
