@@ -27,7 +27,7 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql.window import Window
 
-from tarmac.llm.common import stored
+from tarmac.llm.common import join_counted, stored
 
 SHARDS = 40
 _ROW_BITS = 33  # of monotonically_increasing_id: the row's place in its partition
@@ -47,13 +47,38 @@ def numbered(df: DataFrame, order: list, name: str) -> DataFrame:
     for p, n in sorted((r[0], r[1]) for r in sizes.select("_part", count).collect()):
         starts[p] = start
         start += n
-    spark = df.sparkSession
-    table = spark.createDataFrame(list(starts.items()) or [(0, 0)], "_part long, _start long")
+    table = _literal(df, {"_part": "long", "_start": "long"}, list(starts.items()) or [(0, 0)])
     place = F.col("_id") - F.shiftleft(F.col("_p"), _ROW_BITS)
     return rows.withColumn("_p", part).join(F.broadcast(table), F.col("_p") == F.col("_part")) \
         .withColumn("at", place + F.col("_start")).drop("_id", "_p", "_part", "_start")
 
 
+def _literal(df: DataFrame, columns: dict[str, str], rows: list[tuple]) -> DataFrame:
+    """A small table as literals of the plan (no Python rows)."""
+    kinds = list(columns.values())
+    entries = [F.struct(*[F.lit(int(v)).cast(t).alias(c) for v, t, c in zip(row, kinds, columns, strict=True)])
+               for row in rows]
+    return df.sparkSession.range(1, numPartitions=1).select(F.inline(F.array(*entries)))
+
+
+def running(df: DataFrame, value: str, by: list[str], order: list, name: str) -> DataFrame:
+    """``df`` with ``upto``: the sum of ``value`` over the rows of its ``by`` up to and with each row.
+
+    One range sort; sums run within a partition's rows of one ``by``, and the partitions
+    before add theirs: at most one number for each partition and ``by``. So the work of one
+    ``by`` spreads over as many tasks as it has rows for.
+    """
+    rows = stored(df.orderBy(*by, *order).withColumn("_part", F.spark_partition_id()), name)
+    here = [*by, "_part"]
+    local = Window.partitionBy(*here).orderBy(*order).rowsBetween(Window.unboundedPreceding, Window.currentRow)
+    sums = rows.groupBy(*here).agg(F.sum(value).alias("_sum"))
+    before = Window.partitionBy(*by).orderBy("_part").rowsBetween(Window.unboundedPreceding, -1)
+    starts = stored(sums.withColumn("_before", F.coalesce(F.sum("_sum").over(before), F.lit(0).cast("long")))
+                    .drop("_sum"), f"{name}-starts")
+    return rows.withColumn("_upto", F.sum(value).over(local)).join(F.broadcast(starts), here) \
+        .withColumn("upto", F.col("_upto") + F.col("_before")).drop("_part", "_upto", "_before")
+
+
 def _pick(values: list[int], at: Column) -> Column:
     return F.get(F.array(*[F.lit(int(v)).cast("long") for v in values]), at)
 
@@ -148,11 +173,10 @@ def propagate(held: DataFrame, quotas: list[int], round_no: int) -> DataFrame:
     moves = [(int(s), int(t), int(flow[s, t])) for s, t in np.argwhere(flow > 0)]
     if not moves:
         return held
-    allowed = held.sparkSession.createDataFrame(moves, "shard int, to int, allowed long")
-    queue = Window.partitionBy("shard", "to").orderBy(F.desc("there"), "tie", "grp") \
-        .rowsBetween(Window.unboundedPreceding, Window.currentRow)
-    left = F.col("allowed") - (F.sum("n").over(queue) - F.col("n"))
-    movers = asked.join(F.broadcast(allowed), ["shard", "to"]) \
+    allowed = _literal(held, {"shard": "int", "to": "int", "allowed": "long"}, moves)
+    left = F.col("allowed") - (F.col("upto") - F.col("n"))
+    queue = asked.where("to is not null").join(F.broadcast(allowed), ["shard", "to"])
+    movers = running(queue, "n", ["shard", "to"], [F.desc("there"), F.asc("tie"), F.asc("grp")], "shard-queue") \
         .withColumn("m", F.least(F.col("n"), F.greatest(left, F.lit(0).cast("long")))) \
         .where(F.col("m") > F.greatest(F.col("n") - F.col("there"), F.lit(0)))  # else the cut would not fall
     pieces = held.select("grp", "shard", "n") \
@@ -175,14 +199,14 @@ def shard_documents(docs: DataFrame, shards: int = SHARDS, rounds: int | None =
         F.crc32(whole.cast("binary")).alias("text_crc32"),
         F.when(F.col(text).isNotNull(), F.unhex(F.sha2(F.col(text), 256))).alias("grp"))
     base = stored(base.withColumn("row", F.monotonically_increasing_id()), "shard-base")
-    groups = base.where("grp is not null").groupBy("grp").agg(F.count(F.lit(1)).alias("n")) \
-        .where("n > 1").select("grp", F.lit(True).alias("linked"))
-    flagged = base.join(groups, "grp", "left").withColumn("linked", F.col("linked").isNotNull())
+    total = base.count()
+    groups = stored(base.where("grp is not null").groupBy("grp").agg(F.count(F.lit(1)).alias("n"))
+                    .where("n > 1").withColumn("linked", F.lit(True)), "shard-groups")
+    flagged = join_counted(base, groups, "grp", total).withColumn("linked", F.col("linked").isNotNull())
     ranked = numbered(flagged, ["linked", "grp", "row"], "shard-ranked") \
         .withColumn("start_shard", F.when(F.col("linked"), F.pmod(
             F.xxhash64("row"), F.lit(shards)).cast("int")))
 
-    total = base.count()
     quotas = [total // shards + (s < total % shards) for s in range(shards)]
     linked = ranked.where("linked")
     singles = total - linked.count()
@@ -196,9 +220,7 @@ def shard_documents(docs: DataFrame, shards: int = SHARDS, rounds: int | None =
 
     # Per shard: its groups' documents in order up to the quota; what exceeds it joins the pool.
     quota = _pick(quotas, F.col("shard"))
-    before = Window.partitionBy("shard").orderBy("grp").rowsBetween(
-        Window.unboundedPreceding, Window.currentRow)
-    placed = held.withColumn("upto", F.sum("n").over(before)) \
+    placed = running(held, "n", ["shard"], [F.asc("grp")], "shard-held") \
         .withColumn("offset", F.col("upto") - F.col("n")) \
         .withColumn("stay", F.greatest(F.lit(0).cast("long"),
                                        F.least(F.col("upto"), quota) - F.col("offset")))
@@ -210,19 +232,16 @@ def shard_documents(docs: DataFrame, shards: int = SHARDS, rounds: int | None =
     in_group = Window.partitionBy("grp").orderBy("shard").rowsBetween(
         Window.unboundedPreceding, Window.currentRow)
     # Pool positions of what exceeds a quota follow those of the unlinked documents.
-    out = numbered(placed.where("out > 0").select("grp", "shard", "out"), ["shard", "grp"], "shard-out")
-    pool = Window.orderBy("at").rowsBetween(Window.unboundedPreceding, Window.currentRow)
-    if sum(kept) < total - singles:  # a shard was over its quota
-        out = out.withColumn("pool", F.sum("out").over(pool) - F.col("out") + singles)
-    else:
-        out = out.withColumn("pool", F.lit(0).cast("long"))
+    out = placed.where("out > 0").select("grp", "shard", "out", F.lit(0).alias("all"))
+    out = running(out, "out", ["all"], [F.asc("shard"), F.asc("grp")], "shard-out") \
+        .withColumn("pool", F.col("upto") - F.col("out") + singles)
     pieces = placed.join(out.select("grp", "shard", "pool"), ["grp", "shard"], "left") \
         .withColumn("last", F.sum("n").over(in_group))
     # at most one entry per shard in a group's list
     lists = pieces.groupBy("grp").agg(F.collect_list(F.struct(
         (F.col("last") - F.col("n")).alias("first"), "last", "shard", "offset", "stay", "pool"))
         .alias("pieces"))
-    firsts = linked.groupBy("grp").agg(F.min("at").alias("group_at"))
+    firsts = linked.groupBy("grp").agg(F.min("at").alias("group_at"), F.count(F.lit(1)).alias("n"))
 
     def by_pool(at: Column) -> Column:
         ends = F.array(*[F.lit(x).cast("long") for x in free_upto])
@@ -235,7 +254,7 @@ def shard_documents(docs: DataFrame, shards: int = SHARDS, rounds: int | None =
     in_pool = ranked.where("not linked").withColumn("shard", by_pool(F.col("at"))) \
         .withColumn("slot", pool_slot(F.col("at"), F.col("shard")))
     nth = F.col("at") - F.col("group_at")
-    placed_rows = linked.join(lists.join(firsts, "grp"), "grp") \
+    placed_rows = join_counted(linked, stored(lists.join(firsts, "grp"), "shard-pieces"), "grp", total - singles) \
         .withColumn("nth", nth) \
         .withColumn("piece", F.get(F.filter("pieces", lambda p: (p["first"] <= F.col("nth"))
                                             & (F.col("nth") < p["last"])), F.lit(0))) \
