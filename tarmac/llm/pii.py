@@ -3,10 +3,13 @@
 Four kinds are found: ``email``, ``ip``, ``card``, ``phone``. The base finders read the text
 as it is. Then transducers rewrite disguises:
 
-* homoglyphs: full-width and look-alike letters, digits and signs; invisible characters go;
+* character references (``&#64;``, ``&period;``) and percent codes (``%40``) of the signs;
+* homoglyphs: full-width, accented and look-alike letters, digits and signs, by compatibility forms
+  and Unicode names, Greek and Cyrillic ones by shape; invisible and combining characters go;
 * ``name [at] host (dot) com``, ``name at host dot com``, ``10[.]0[.]0[.]1``, ``10 dot 0 dot 0 dot 1``,
-  each mark on its own: ``name@host dot com``, ``name at host [dot] it``. Bracketed marks come first;
-  a bare ``at`` counts only where a disguised dot follows;
+  ``name _at_ host -dot- com``, ``name @ host . com``, in words of four languages (``arroba``,
+  ``punkt``, ``point`` ...), each mark on its own: ``name@host dot com``, ``name at host [dot] it``.
+  Bracketed marks come first; a bare ``at`` counts only where a disguised dot follows;
 * digits spelled out in English, German, French or Spanish, six or more in a row, first with
   single numerals among them only, then with neighbouring numerals of any length.
 
@@ -52,6 +55,10 @@ LOOK_ALIKES = {
     "Α": "A", "Β": "B", "Ε": "E", "Ο": "O", "Ρ": "P", "Τ": "T", "Χ": "X", "ı": "i", "ɡ": "g",
     "﹫": "@", "․": ".", "。": ".", "﹒": ".", "‐": "-", "‑": "-", "‒": "-", "–": "-", "−": "-",
     " ": " ", " ": " ", " ": " ",
+    "к": "k", "м": "m", "т": "t", "в": "b", "н": "h", "г": "r", "п": "n", "ѵ": "v", "ԁ": "d", "ԛ": "q", "ԝ": "w",
+    "Ѕ": "S", "І": "I", "Ј": "J", "У": "Y", "Ԛ": "Q", "Ԝ": "W",
+    "ι": "i", "κ": "k", "τ": "t", "υ": "u", "γ": "y", "χ": "x", "η": "n", "ω": "w", "ε": "e", "ϲ": "c", "ϳ": "j",
+    "Ι": "I", "Κ": "K", "Μ": "M", "Ν": "N", "Υ": "Y", "Ζ": "Z", "Η": "H", "ɑ": "a",
 }
 INVISIBLE = "­​‌‍⁠﻿"
 DIGIT_WORDS = {
@@ -64,35 +71,57 @@ DIGIT_WORDS = {
     "cero": "0", "uno": "1", "dos": "2", "tres": "3", "cuatro": "4", "cinco": "5", "seis": "6",
     "siete": "7", "ocho": "8", "nueve": "9",
 }
+#: Words for the two marks; "at" and "point" are words of prose too.
+AT_WORDS = ("arroba", "arobase", "arobas", "klammeraffe")
+DOT_WORDS = ("dot", "punkt", "punto")
+ENTITIES = {"commat": "@", "period": ".", "plus": "+", "hyphen": "-", "dash": "-", "lowbar": "_", "percnt": "%"}
 DOMAINS = ("com", "org", "net", "edu", "gov", "info", "io", "de", "fr", "es", "uk", "eu", "us")
 # ---- end of fixed values ----
 
-# compatibility forms (full-width, mathematical, circled ...) of one ASCII character, decimal digits, look-alikes
+_LATIN = re.compile(r"LATIN (?:(SMALL|CAPITAL) LETTER|LETTER SMALL CAPITAL) ([A-Z])(?: WITH .+)?")
+
+
+def _latin(c: str) -> str | None:
+    """The plain letter that a Latin letter is a form of, by its Unicode name."""
+    m = _LATIN.fullmatch(unicodedata.name(c, ""))
+    return m and (m[2] if m[1] == "CAPITAL" else m[2].lower())
+
+
+# compatibility forms (full-width, mathematical, circled ...) of one ASCII character, decimal digits, accented and
+# other forms of Latin letters, look-alikes
 _FLAT = {c: flat for c in range(0xA0, 0x20000)
          if len(flat := unicodedata.normalize("NFKC", chr(c))) == 1 and flat.isascii() and flat != chr(c)} \
     | {c: str(digit) for c in range(0xA0, 0x20000) if (digit := unicodedata.decimal(chr(c), None)) is not None} \
+    | {c: flat for c in range(0xA0, 0xAC00) if (flat := _latin(chr(c)))} \
     | {ord(a): b for a, b in LOOK_ALIKES.items()}
+DIGIT_WORDS |= {"".join(_FLAT.get(ord(c), c) for c in w): d for w, d in DIGIT_WORDS.items()}
 _FLAT_CHARS = frozenset(map(chr, _FLAT))
-_INVISIBLE = re.compile(f"[{INVISIBLE}]+")
-_BRACKETED = re.compile(r"[\[({<]\s*(?:(at|@)|dot|point|\.)\s*[\])}>]\s*", re.I)
+_INVISIBLE = re.compile(f"[{INVISIBLE}\u0300-\u036f]+")
+_CODED = re.compile(r"&#0*([0-9]{1,7});|&#[xX]0*([0-9a-fA-F]{1,6});|&(" + "|".join(ENTITIES) + r");|%(40|2[eE])")
+_AT, _DOT = "|".join(AT_WORDS), "|".join(DOT_WORDS)
+_BRACKETED = re.compile(rf"[\[({{<]\s*(?:(at|{_AT}|@)|{_DOT}|point|\.)\s*[\])}}>]\s*"
+                        rf"|(?<=\s)([_-])(?:(at|{_AT})|{_DOT}|point)\2\s\s*", re.I)
 _HOST = r"[A-Za-z0-9-]+(?:{0}[A-Za-z0-9-]+)*{0}[A-Za-z]{{2,}}(?![A-Za-z0-9-])"
+_SPACED = r"[ \t]+\.[ \t]+"
 # "point" is too common after "at" in prose
-_BARE = re.compile(r"(?<=[A-Za-z0-9._%+-])(?:([ \t]+at[ \t]+)("
-                   + _HOST.format(r"(?:\.|[ \t]+dot[ \t]+)") + ")|@("
-                   + _HOST.format(r"(?:\.|[ \t]+(?:dot|point)[ \t]+)") + "))", re.I)
-_LOCAL_DOT = re.compile(r"(?<=[A-Za-z0-9._%+-])[ \t]+dot[ \t]+(?=[A-Za-z0-9._%+-])", re.I)
-_NUMBER_DOT = re.compile(r"(?<=[0-9])[ \t]+(?:dot|point)[ \t]+(?=[0-9])", re.I)
+_WEAK_HOST = _HOST.format(rf"(?:\.|[ \t]+(?:{_DOT})[ \t]+|{_SPACED})")
+_SURE_HOST = _HOST.format(rf"(?:\.|[ \t]+(?:{_DOT}|point)[ \t]+|{_SPACED})")
+_BARE = re.compile(rf"(?<=[A-Za-z0-9._%+-])(?:([ \t]+at[ \t]+)({_WEAK_HOST})"
+                   rf"|([ \t]+(?:{_AT})[ \t]+|[ \t]+@[ \t]*|@[ \t]+)({_SURE_HOST})|@({_SURE_HOST}))", re.I)
+_LOCAL_DOT = re.compile(rf"(?<=[A-Za-z0-9._%+-])[ \t]+(?:{_DOT})[ \t]+(?=[A-Za-z0-9._%+-])", re.I)
+_NUMBER_DOT = re.compile(rf"(?<=[0-9])[ \t]+(?:{_DOT}|point|\.)[ \t]+(?=[0-9])", re.I)
 #: A host after a bare "at" is none of these, unless the domain ends in one of DOMAINS.
 _NO_HOST = frozenset("a an any each every his her its my no one our that the their this which your".split())
-_BARE_DOT = re.compile(r"[ \t]+(?:dot|point)[ \t]+", re.I)
+_BARE_DOT = re.compile(rf"[ \t]+(?:{_DOT}|point|\.)[ \t]+", re.I)
+_BARE_MARKS = re.compile(rf"[ \t](?:{_DOT}|point|{_AT}|[.@][ \t])|[ \t]@|@[ \t]", re.I)
 _WORD = "|".join(sorted(DIGIT_WORDS, key=len, reverse=True))
-_SPELLED = re.compile(rf"(?:plus[\s,-]+)?(?:{_WORD}|[0-9])(?:[\s,-]+(?:{_WORD}|[0-9]|dot|point)){{5,}}(?![^\W_])",
+_SPELLED = re.compile(rf"(?:plus[\s,-]+)?(?:{_WORD}|[0-9])(?:[\s,-]+(?:{_WORD}|[0-9]|{_DOT}|point)){{5,}}(?![^\W_])",
                       re.I)
 _NUMERAL = r"[0-9]++(?:\.[0-9]++)*+"
 _JOINED = re.compile(rf"(?<![^\W_])(?<![0-9]\.)(?:(?:plus|\+)[\s,()-]*)?(?:{_WORD}|{_NUMERAL})"
-                     rf"(?:[\s,()-]+(?:{_WORD}|{_NUMERAL}|dot|point))+(?![^\W_])", re.I)
-_SPELLED_PART = re.compile(rf"{_WORD}|[0-9]|dot|point|plus|[.+]", re.I)
-_TWO_WORDS = re.compile(rf"(?:{_WORD})[\s,-]+(?:{_WORD}|[0-9]|dot|point)")
+                     rf"(?:[\s,()-]+(?:{_WORD}|{_NUMERAL}|{_DOT}|point))+(?![^\W_])", re.I)
+_SPELLED_PART = re.compile(rf"{_WORD}|[0-9]|{_DOT}|point|plus|[.+]", re.I)
+_TWO_WORDS = re.compile(rf"(?:{_WORD})[\s,-]+(?:{_WORD}|[0-9]|{_DOT}|point)")
 
 Span = tuple[int, int, int]  # start, kind, end
 
@@ -196,7 +225,17 @@ def _left_of_blanks(text: str, at: int) -> int:
 
 def _bracket_edits(text: str) -> list[tuple[int, int, str]]:
     return [(_left_of_blanks(text, m.start()),
-             m.end(), "@" if m.group(1) else ".") for m in _BRACKETED.finditer(text)]
+             m.end(), "@" if m.group(1) or m.group(3) else ".") for m in _BRACKETED.finditer(text)]
+
+
+def _coded_edits(text: str) -> list[tuple[int, int, str]]:
+    """Character references and percent codes of printable ASCII."""
+    edits = []
+    for m in _CODED.finditer(text):
+        code = int(m[1]) if m[1] else int(m[2] or m[4] or "0", 16)
+        if m[3] or 0x20 < code < 0x7F:
+            edits.append((m.start(), m.end(), ENTITIES[m[3]] if m[3] else chr(code)))
+    return edits
 
 
 def _last_label(host: str) -> str:
@@ -206,22 +245,25 @@ def _last_label(host: str) -> str:
 
 def _bare_edits(text: str, dots: frozenset[int] = frozenset()) -> list[tuple[int, int, str]]:
     """Bare marks; ``dots`` are the places of dots that were written in brackets."""
-    low = text.lower()
-    if not dots and not any(mark in low for mark in (" dot", "\tdot", " point", "\tpoint")):
+    if not dots and not _BARE_MARKS.search(text):
         return []
     edits = [(m.start(), m.end(), ".") for m in _NUMBER_DOT.finditer(text)]
     joins = {m.end(): m.start() for m in _LOCAL_DOT.finditer(text)}
     free = 0  # the last match ends here
     for m in _BARE.finditer(text):
-        part = 2 if m.group(1) else 3
+        part = 2 if m.group(1) else 4 if m.group(3) else 5
         bare = [d.span() for d in _BARE_DOT.finditer(text, m.start(part), m.end(part))]
         last = _last_label(m.group(part))
+        if last not in DOMAINS and re.search(_SPACED, m.group(part)):
+            continue  # a full stop between blanks may end a sentence
         if m.group(1):
             if not bare and not any(m.start(part) <= d < m.end(part) for d in dots):
                 continue
             if m.group(part).lower().split()[0] in _NO_HOST and last not in DOMAINS:
                 continue
             edits.append((m.start(1), m.end(1), "@"))
+        elif m.group(3):
+            edits.append((m.start(3), m.end(3), "@"))
         elif bare and last not in DOMAINS and _last_label(text[m.start(part):bare[0][0]]) in DOMAINS:
             bare = []  # a whole address before a word of the sentence
         edits += [(*span, ".") for span in bare]
@@ -247,7 +289,7 @@ def _spelled_edits(text: str, joined: bool = False) -> list[tuple[int, int, str]
             parts = [p.group().lower() for p in _SPELLED_PART.finditer(m.group())]
             if len(parts) >= 6 and any(p in DIGIT_WORDS for p in parts):
                 edits.append((m.start(), m.end(), "".join(
-                    "+" if p in ("plus", "+") else "." if p in ("dot", "point", ".") else DIGIT_WORDS.get(p, p)
+                    "+" if p in ("plus", "+") else "." if p in (*DOT_WORDS, "point", ".") else DIGIT_WORDS.get(p, p)
                     for p in parts)))
     return edits
 
@@ -277,7 +319,9 @@ def deobfuscate(text: str) -> list[list[Rewrite]]:
             now = steps[-1].text
         return bool(edits)
 
-    if not text.isascii():
+    if "&" in text or "%" in text:
+        step(_coded_edits(now))
+    if not now.isascii():
         step([(m.start(), m.end(), "") for m in _INVISIBLE.finditer(now)])
         step(_look_alike_edits(now))
     dots = frozenset()
