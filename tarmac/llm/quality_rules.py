@@ -9,6 +9,9 @@ Defined results:
 
 * null or empty text: no words, every count 0, every ratio 0, ``base_failed`` true;
 * ratios over no words or no lines are 0;
+* the stop-word rule judges texts of ``STOP_LANGUAGES`` alone, by the language column: no list
+  says anything about a text in Russian or of an unknown language; without that column (or
+  with ``lang=None``) it judges all;
 * repeated rows are judged alike, each on its own; only the text and the keys asked
   for are read, so other columns cannot clash; an empty table gives an empty result;
 * very long texts: all steps are linear in the text, but for one sort of the
@@ -55,6 +58,8 @@ RULES = (
     Rule("ellipses", "ellipsis_line_ratio", None, 0.30),
 )
 
+#: Languages that ``STOP_WORDS`` has a list for, as the language column names them.
+STOP_LANGUAGES = ("en", "de", "fr", "es")
 #: Frequent function words of English, German, French and Spanish.
 STOP_WORDS = (
     "a", "and", "are", "as", "at", "be", "for", "from", "in", "is", "it", "of", "on", "that",
@@ -144,8 +149,13 @@ def ratio_columns(c: Column) -> dict[str, Column]:
     }
 
 
-def quality_struct(text: Column, rules: tuple[Rule, ...] = RULES) -> Column:
-    """Counts, ratios, ``base_failed``, ``failed_rules`` and ``kept`` of one text, as a struct."""
+def quality_struct(text: Column, rules: tuple[Rule, ...] = RULES, lang: Column | None = None) -> Column:
+    """Counts, ratios, ``base_failed``, ``failed_rules`` and ``kept`` of one text, as a struct.
+
+    ``lang``: the text's language, which decides whether stop words judge it.
+    """
+    listed = F.lit(True) if lang is None else F.coalesce(F.lower(lang).isin(*STOP_LANGUAGES), F.lit(False))
+
     def judge(c: Column) -> Column:
         ratios = ratio_columns(c)
 
@@ -153,7 +163,8 @@ def quality_struct(text: Column, rules: tuple[Rule, ...] = RULES) -> Column:
             value = ratios[rule.measure]
             low = F.lit(False) if rule.low is None else value < rule.low
             high = F.lit(False) if rule.high is None else value > rule.high
-            return F.when(low | high, F.lit(rule.name))
+            applies = listed if rule.measure == "stop_ratio" else F.lit(True)
+            return F.when(applies & (low | high), F.lit(rule.name))
 
         base_failed = ((c["n_words"] < MIN_WORDS)
                        | (100 * c["n_repeat_words"] > MAX_REPEAT_PERCENT * c["n_words"]))
@@ -170,13 +181,18 @@ def quality_struct(text: Column, rules: tuple[Rule, ...] = RULES) -> Column:
     return let(let(_base(text), judge), verdict)
 
 
+def _language(docs: DataFrame, lang: str | None) -> Column | None:
+    return F.col(lang).cast("string") if lang in docs.columns else None
+
+
 def quality_projection(docs: DataFrame, keys: list[str], rules: tuple[Rule, ...] = RULES,
-                       text: str = "text") -> DataFrame:
+                       text: str = "text", lang: str | None = "lang") -> DataFrame:
     """``keys`` and the quality columns of every row."""
-    return docs.select(*keys, quality_struct(F.col(text), rules).alias("_quality")) \
-        .select(*keys, "_quality.*")
+    judged = quality_struct(F.col(text), rules, _language(docs, lang))
+    return docs.select(*keys, judged.alias("_quality")).select(*keys, "_quality.*")
 
 
-def keep_quality(docs: DataFrame, rules: tuple[Rule, ...] = RULES, text: str = "text") -> DataFrame:
+def keep_quality(docs: DataFrame, rules: tuple[Rule, ...] = RULES, text: str = "text",
+                 lang: str | None = "lang") -> DataFrame:
     """The rows of ``docs`` that no rule rejects, unchanged."""
-    return docs.where(quality_struct(F.col(text), rules)["kept"])
+    return docs.where(quality_struct(F.col(text), rules, _language(docs, lang))["kept"])

@@ -14,25 +14,30 @@ from tarmac.llm.common import table
 
 
 def op1_warc(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Per page: size and digest of its payload, and whether its record carries it or refers to another."""
     return warc.archive_report(table(spark, sf_dir, "pages"))
 
 
 def op2_quality_rules(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Per document: the counts behind the quality rules and their verdict."""
     return quality_rules.quality_projection(table(spark, sf_dir, "documents"), ["doc_id"]).select(
         "doc_id", "n_words", "word_chars", "n_symbols", "n_dup_lines", "n_repeat_words",
         "base_failed", "kept")
 
 
 def op3_importance(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Per document: its log weight towards the labelled good ones, its draw, and whether it is kept."""
     return importance.resample(table(spark, sf_dir, "documents"), table(spark, sf_dir, "labels"))
 
 
 def op4_mtree(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Per query vector: its 20 largest inner products with all others."""
     found = mtree.top_k(table(spark, sf_dir, "embeddings"), F.col("id") % 20 == 0)
     return found.select("query_id", "rank", F.col("id").alias("vec_id"), "score")
 
 
 def op5_token_counts(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Per document: bytes and tokens of the byte-level vocabulary."""
     counts = token_counts.token_counts(table(spark, sf_dir, "documents"),
                                        public_tokenizers.path("byte_bpe_50k.json"))
     return counts.select("doc_id", "n_bytes", "n_tokens",
@@ -40,24 +45,29 @@ def op5_token_counts(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 
 def op6_sharding(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Per document: its shard and place, equal texts together as far as even counts allow."""
     return sharding.shard_documents(table(spark, sf_dir, "documents"))
 
 
 def op7_near_dups(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Per document: its shingles, the smallest id among its near copies, and whether it stays."""
     return near_dups.near_duplicates(table(spark, sf_dir, "documents"), percent=85).select(
         "doc_id", "n_shingles", "component_id", "kept")
 
 
 def op8_pii(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Per document: counts and places of personal data, disguised ones included."""
     return pii.find_pii(table(spark, sf_dir, "documents"))
 
 
 def op9_mixing(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Every copy of every document drawn towards the sources' target weights, in shuffled order."""
     return mixing.mix(table(spark, sf_dir, "documents")).select(
         "doc_id", "source", "n_copies", "copy", "shuffle_key", "text")
 
 
 def op10_bpe(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Per document: its number of tokens and digests of the ids and of the text they decode to."""
     return bpe.encode_decode(table(spark, sf_dir, "documents"),
                              public_tokenizers.path("word_bpe_49k.json"), full=False)
 
@@ -111,11 +121,13 @@ def _quality_sql() -> str:
               "dup_line_ratio": ratio("n_dup_lines", "n_lines"),
               "bullet_line_ratio": ratio("n_bullets", "n_lines"),
               "ellipsis_line_ratio": ratio("n_ellipses", "n_lines")}
-    rules = [f"({ratios[r.measure]}) {op} {bound}" for r in q.RULES
+    languages = ", ".join(f"'{x}'" for x in q.STOP_LANGUAGES)
+    unlisted = f" OR coalesce(lower(lang), '') NOT IN ({languages})"
+    rules = [f"(({ratios[r.measure]}) {op} {bound}{unlisted if r.measure == 'stop_ratio' else ''})" for r in q.RULES
              for op, bound in ((">=", r.low), ("<=", r.high)) if bound is not None]
     return f"""
 WITH split AS (
-  SELECT row_number() OVER () AS rid, doc_id, coalesce(text, '') AS t,
+  SELECT row_number() OVER () AS rid, doc_id, lang, coalesce(text, '') AS t,
     regexp_extract_all(coalesce(text, ''), '{word}+') AS w,
     list_filter(string_split(coalesce(text, ''), chr(10)), lambda x: regexp_matches(x, '{word}')) AS l
   FROM documents),
@@ -126,7 +138,7 @@ repeats AS (
   SELECT rid, count(DISTINCT i + j) AS n FROM windows, unnest(range(0, {q.WINDOW})) AS o(j)
   WHERE c > 1 GROUP BY rid),
 counts AS (
-  SELECT split.rid, doc_id, len(w)::BIGINT AS n_words, length(array_to_string(w, ''))::BIGINT AS word_chars,
+  SELECT split.rid, doc_id, lang, len(w)::BIGINT AS n_words, length(array_to_string(w, ''))::BIGINT AS word_chars,
     len(regexp_extract_all(t, '[#*$%&|<>]'))::BIGINT AS n_symbols,
     (len(l) - len(list_distinct(l)))::BIGINT AS n_dup_lines,
     coalesce(repeats.n, 0)::BIGINT AS n_repeat_words, len(l) AS n_lines,
