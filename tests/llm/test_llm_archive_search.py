@@ -12,7 +12,7 @@ import pytest
 from pyspark.sql import functions as F
 
 import corpus_pipeline
-from tarmac.llm import bpe, importance, mixing, mtree, near_dups, pii, quality_rules, warc
+from tarmac.llm import bpe, importance, mixing, mtree, near_dups, pii, quality_rules, sharding, warc
 
 PAGES = [
     (1, "http://a/1", "<p>one</p>"), (2, "http://a/2", "<p>one</p>"), (3, None, "<p>one</p>"),
@@ -66,6 +66,22 @@ def test_records_are_whole(spark, archive):
         assert fields["WARC-Payload-Digest"] == "sha1:" + sha1 == "sha1:" + r["stated_digest"]
 
 
+def test_urls_cannot_add_fields(spark):
+    """Every control character and line end in a URL is kept, encoded, and ends no line."""
+    odd = [chr(c) for c in (*range(0x20), *range(0x7F, 0xA0), 0x2028, 0x2029)]
+    urls = [f"http://a/{c}WARC-Refers-To: <urn:page:99>{c}WARC-Payload-Digest: sha1:FORGED" for c in odd] + ["http://a/\tb\rc"]
+    rows = spark.createDataFrame([(i, u, f"page {i}") for i, u in enumerate(urls)], "page_id long, url string, html string")
+    path = warc.archive_folder(spark)
+    warc.write_archive(rows, path)
+    got = {r.page_id: r for r in warc.read_archive(spark, path).collect()}
+    for i, u in enumerate(urls):
+        want = "".join("".join(f"%{b:02X}" for b in c.encode()) if c in odd else c for c in u)
+        assert got[i].url == want and got[i].refers_to is None and got[i].record_type == "response"
+        sha1 = base64.b32encode(hashlib.sha1(f"page {i}".encode()).digest()).decode()
+        assert got[i].stated_digest == sha1
+    assert got[len(odd)].url == "http://a/%09b%0Dc"
+
+
 def test_payloads_are_stored_once(spark, archive):
     payloads = spark.read.parquet(f"{archive}/payloads")
     assert payloads.count() == payloads.select("sha256").distinct().count() == len({h or "" for *_, h in PAGES})
@@ -109,6 +125,49 @@ def test_top_k(spark, routers, page, leaf, block):
     assert sorted(map(tuple, got)) == brute_top(ints, [r for r in ints if r[0] % 20 == 0], 20)
 
 
+def exact_top(rows, k, every):
+    """(query id, score) lists of the k best other rows, by Python integers."""
+    out = {}
+    for at, (q, v) in enumerate(rows):
+        if q % every == 0:
+            scores = sorted(((-sum(a * b for a, b in zip(v, x, strict=False)), i) for j, (i, x) in enumerate(rows) if j != at))
+            out.setdefault(q, []).append([(i, -s) for s, i in scores[:k]])
+    return out
+
+
+@pytest.mark.parametrize("dims, size", [(2000, 62_000.0), (3, 2.0e7), (40, 900_000.0)])
+def test_scores_of_large_components_are_exact(spark, dims, size):
+    rng = np.random.default_rng(dims)
+    rows = [(i, [float(x) for x in rng.uniform(-size, size, dims)]) for i in range(50)]
+    frame = spark.createDataFrame(rows, "vec_id long, embedding array<double>")
+    ints = [(i, [math.floor(64 * x) for x in v]) for i, v in rows]
+    got = {}
+    for r in mtree.top_k(frame, F.col("id") % 10 == 0, 7, routers=5, page_rows=10, leaf_rows=3).orderBy("rank").collect():
+        got.setdefault(r.query_id, []).append((r.id, r.score))
+    assert got == {q: lists[0] for q, lists in exact_top(ints, 7, 10).items()}
+
+
+def test_rows_of_one_id_are_candidates_each(spark):
+    rows = [(1, [1.0, 0.0]), (3, [2.0, 0.0]), (3, [9.0, 0.0]), (4, [70000.0, 0.0]), (5, [1.0, 1.0]), (5, [1.0, 1.0])]
+    got = [tuple(r) for r in mtree.top_k(spark.createDataFrame(rows, "vec_id long, embedding array<double>"),
+                                         F.col("id") == 1).orderBy("rank").collect()]
+    assert got == [(1, 1, 4, 64 * 64 * 70000), (1, 2, 3, 64 * 64 * 9), (1, 3, 3, 64 * 64 * 2), (1, 4, 5, 64 * 64)]
+
+
+def test_a_hot_vector_is_searched_once(spark):
+    """A vector that half of all rows share: every row of it gets its own answers, itself left out."""
+    rng = np.random.default_rng(9)
+    v = [float(x) for x in np.round(rng.normal(size=6), 2)]
+    rows = [(i, v if i % 2 else [float(x) for x in np.round(rng.normal(size=6), 2)]) for i in range(400)]
+    frame = spark.createDataFrame(rows, "vec_id long, embedding array<double>")
+    ints = [(i, [math.floor(64 * x) for x in x_]) for i, x_ in rows]
+    got = {}
+    for r in mtree.top_k(frame, F.col("id") % 5 == 0, 10, routers=9, page_rows=20, leaf_rows=4, query_block=3) \
+            .orderBy("rank").collect():
+        got.setdefault(r.query_id, []).append((r.id, r.score))
+    assert got == {q: lists[0] for q, lists in exact_top(ints, 10, 5).items()}
+
+
 def test_top_k_small_tables(spark):
     schema = "vec_id long, embedding array<float>"
     empty = spark.createDataFrame([], schema)
@@ -193,7 +252,7 @@ def test_pipeline_of_empty_table(spark, tmp_path):
 
 def test_no_python_in_native_operators(spark, corpus):
     docs = spark.read.parquet(f"{corpus[0]}/documents.parquet")
-    for frame in (quality_rules.quality_projection(docs, ["doc_id"]), mixing.mix(docs)):
+    for frame in (quality_rules.quality_projection(docs, ["doc_id"]), mixing.mix(docs), sharding.shard_documents(docs)):
         plan = frame._jdf.queryExecution().toString()
         assert "Pandas" not in plan and "Python" not in plan and "Arrow" not in plan
 

@@ -83,6 +83,18 @@ def test_quality_without_rules_and_rows(docs, empty):
     assert kept.columns == docs.columns and {r["doc_id"] for r in kept.collect()} >= {0, 1}
 
 
+def test_stop_words_judge_listed_languages_alone(spark):
+    russian = "старый корабль стоял в гавани и все моряки ушли в город на ночь так что никого не было " * 3
+    none = "bare words without stops here only nouns verbs adjectives " * 1 + "alpha beta gamma delta epsilon zeta eta theta " * 1
+    rows = [(1, russian, "ru"), (2, russian, None), (3, russian, "en"), (4, none + "kappa lambda sigma omega pi", "EN")]
+    docs = spark.createDataFrame(rows, "doc_id long, text string, lang string")
+    got = {r.doc_id: r.failed_rules for r in quality_rules.quality_projection(docs, ["doc_id"]).collect()}
+    assert "stop_words" not in got[1] + got[2] and "stop_words" in got[3] and "stop_words" in got[4]
+    blind = quality_rules.quality_projection(docs.drop("lang"), ["doc_id"]).collect()
+    assert all("stop_words" in r.failed_rules for r in blind)
+    assert quality_rules.keep_quality(docs).count() == quality_rules.quality_projection(docs, ["doc_id"]).where("kept").count()
+
+
 def test_quality_native(docs):
     plan = quality_rules.keep_quality(docs)._jdf.queryExecution().toString()
     assert "Python" not in plan and "Pandas" not in plan
@@ -153,6 +165,56 @@ def test_mixed_disguises_map_back(kind, source):
     assert pii.redacted(text) == f"write: <{kind.upper()}>, thanks"
 
 
+@pytest.mark.parametrize("kind, source", [
+    ("email", "jane arroba ejemplo punto com"), ("email", "max at beispiel punkt de"),
+    ("email", "jane [ät] beispiel [punkt] de"), ("email", "jane _at_ example _dot_ com"),
+    ("email", "jane -at- example -dot- com"), ("email", "jane @ example . com"), ("ip", "192 . 168 . 1 . 20"),
+    ("email", "jane&#64;example.com"), ("email", "jane&#x40;example&period;com"), ("email", "jane %40 example.com"),
+    ("email", "jane%40example.com"), ("email", "tоm@кino.com"), ("email", "ΙΝΚ@ΚΙΝΟ.com"),
+    ("email", "josé.pérez@exämple.com"), ("email", "marie arobase exemple point fr"), ("email", "jo(arroba)ex(punto)es"),
+    ("ip", "uno cero punto cero punto cero punto uno"), ("phone", "plus fünf fünf fünf eins zwei drei vier fünf sechs"),
+])
+def test_disguises_of_four_languages_map_back(kind, source):
+    text = f"write: {source}, thanks"
+    assert (kind, source) in {(pii.KINDS[k], text[s:e]) for s, k, e in pii.all_spans(text)[1]}
+    assert set(pii.base_spans(text)) <= set(pii.all_spans(text)[1])
+
+
+def test_catch_rate_of_generated_disguises():
+    """Of each family of disguises, at least 98 of 100 made-up addresses and numbers are found whole."""
+    rng = random.Random(17)
+    name = lambda: "".join(rng.choice("abcdefghijklmnoprstuvwz") for _ in range(rng.randint(3, 9)))
+    alike = {b: a for a, b in pii.LOOK_ALIKES.items() if b.isalpha()}
+    marks = {"bracketed": [" [at] ", " (dot) "], "bare": [" at ", " dot "], "german": [" at ", " punkt "],
+             "spanish": [" arroba ", " punto "], "french": [" arobase ", " point "], "underscores": [" _at_ ", " _dot_ "],
+             "hyphens": [" -at- ", " -dot- "], "spaced": [" @ ", " . "], "entities": ["&#64;", "&#46;"],
+             "percent": ["%40", "%2E"], "mixed": ["@", " dot "]}
+    words = {d: w for w, d in reversed(pii.DIGIT_WORDS.items())}
+    families = {k: lambda at=at, dot=dot: ("email", f"{name()}{at}{name()}{dot}{rng.choice(pii.DOMAINS)}")
+                for k, (at, dot) in marks.items()}
+    families["homoglyphs"] = lambda: ("email", "".join(
+        alike.get(c, c) if rng.random() < 0.5 else c for c in f"{name()}@{name()}.com"))
+    families["spelled ip"] = lambda: ("ip", " dot ".join(" ".join(
+        words[d] for d in str(rng.randint(10, 255))) for _ in range(4)))
+    families["ip marks"] = lambda: ("ip", rng.choice([" dot ", "[.]", " . ", " punkt "]).join(
+        str(rng.randint(0, 255)) for _ in range(4)))
+    families["spelled phone"] = lambda: ("phone", "plus " + " ".join(words[str(rng.randint(1, 9))] for _ in range(11)))
+    for family, make in families.items():
+        caught = 0
+        for _ in range(100):
+            kind, source = make()
+            text = f"please note: {source}, thank you"
+            caught += (kind, source) in {(pii.KINDS[k], text[s:e]) for s, k, e in pii.all_spans(text)[1]}
+        assert caught >= 98, (family, caught)
+
+
+@pytest.mark.parametrize("text", ["una arroba de patatas . Luego nada", "le point est clair . Puis rien", "der Punkt ist klar",
+                                  "we met @ home . Then we left", "50 % of 40 %, 100%", "fish &amp; chips &#8212; good",
+                                  "él está aquí, fünf Mal, où ça", "a - b - c _ d _ e"])
+def test_prose_of_four_languages_has_no_spans(text):
+    assert pii.all_spans(text) == ([], [])
+
+
 @pytest.mark.parametrize("text", ["look at each dot in the pattern", "from 3 point 5 to 4 point 2",
                                   "he was at home. Then at work", "at one point in time we met at noon",
                                   "one 2000 two 300 three of them",
@@ -328,6 +390,51 @@ def test_near_duplicates_stay_once(spark, docs, empty):
     assert near_dups.drop_near_duplicates(empty).count() == 0
 
 
+def test_one_of_a_group_stays_whatever_its_ids(spark):
+    near = [edited(PROSE * 4, i * 9) for i in range(3)]
+    schema = "doc_id long, text string"
+    for ids in ([None] * 3, [5] * 3, [7, None, 7]):
+        rows = spark.createDataFrame([*zip(ids, near, strict=True), (9, "one of a kind " * 9), (None, None), (None, None)], schema)
+        rows = rows.withColumn("m", F.create_map(F.lit("a"), F.col("doc_id"))).withColumn("row", F.lit(3))
+        kept = near_dups.drop_near_duplicates(rows)
+        assert kept.columns == rows.columns
+        assert sorted((r.doc_id or 0, r.text in near, r.text is None) for r in kept.collect()) == sorted(
+            [((5 if 5 in ids else 7 if 7 in ids else 0), True, False), (9, False, False), (0, False, True)])
+
+
+def test_words_that_cancel_out_in_powers_do_not_collide(spark):
+    bits = "".join("ab"[bin(i).count("1") % 2] for i in range(1024))  # Thue-Morse, and its complement
+    pair = [bits, bits.translate(str.maketrans("ab", "ba"))]
+    h, _ = near_dups.hashing.words(pair)
+    assert h[0] != h[1]
+    rows = spark.createDataFrame([(i, t + " " + t) for i, t in enumerate(pair)], "doc_id long, text string")
+    assert {r.component_id for r in near_dups.near_duplicates(rows).collect()} == {0, 1}
+    long = ["x" * 1_300_000, "x" * 1_299_999 + "y", "x" * 10 + "y" + "x" * 1_299_989]
+    assert len(set(near_dups.hashing.words(long)[0].tolist())) == 3
+    assert near_dups.hashing.words(["a b", "b  a", "", " "])[0].tolist()[0] == near_dups.hashing.words(["x b a"])[0].tolist()[2]
+
+
+def test_near_duplicates_of_a_whole_table(spark):
+    """All of the registered table against brute force: links by full sets, components by search."""
+    rows = [tuple(r) for r in spark.read.parquet("/root/testdata/sf0.01/documents.parquet").select("doc_id", "text").collect()]
+    got = {r.doc_id: r.component_id for r in near_dups.near_duplicates(
+        spark.createDataFrame(rows, "doc_id long, text string"), percent=85).collect()}
+    sets = {i: shingle_set(t) for i, t in rows}
+    by = collections.defaultdict(set)
+    for i, s_ in sets.items():
+        for x in s_:
+            by[x].add(i)
+    root = {i: i for i in sets}
+    for i in sorted(sets):
+        together = collections.Counter(j for x in sets[i] for j in by[x] if j > i)
+        for j, c in together.items():
+            if 100 * c >= 85 * (len(sets[i]) + len(sets[j]) - c):
+                lo, hi = sorted((root[i], root[j]))
+                if lo != hi:
+                    root = {k: lo if r == hi else r for k, r in root.items()}
+    assert got == root
+
+
 def test_needed_matches():
     for percent in (80, 85, 95):
         t = near_dups.needed_matches(percent)
@@ -472,6 +579,37 @@ def test_importance_weights_against_brute_force(spark):
         assert r["log_weight"] == pytest.approx(sum(map(ratio, grams(rows[r["doc_id"]][1]))), abs=1e-9)
 
 
+def test_importance_keeps_the_drawn(spark):
+    """Which rows stay, against a draw by hand; longer texts have larger weights, as their likelihoods do."""
+    rng = random.Random(4)
+    words_ = [f"w{i}" for i in range(60)]
+    rows = [(i, " ".join(rng.choice(words_[:40] if i % 3 else words_[20:]) for _ in range(rng.randint(5, 400))))
+            for i in range(90)]
+    labels_ = [(i, int(i % 3 > 0), int(i % 7 == 0)) for i in range(0, 90, 2)]
+    docs = spark.createDataFrame(rows, "doc_id long, text string")
+    labels = spark.createDataFrame(labels_, "doc_id long, quality int, toxic int")
+    good = {i for i, q, t in labels_ if q == 1 and t == 0}
+    ratios = importance.log_ratios(docs, labels)
+    share = len(good) / len(labels_)
+
+    def weight(text):
+        at, _ = importance.gram_buckets([text])
+        return float(ratios[at].sum())
+
+    def noise(i):
+        u = (int(hashlib.md5(f"{importance.SEED}|{i}".encode()).hexdigest()[:13], 16) + 0.5) / 2 ** 52
+        return -math.log(-math.log(u))
+
+    keys = {i: weight(t) + noise(i) for i, t in rows}
+    want = set(sorted(keys, key=lambda i: -keys[i])[:math.ceil(share * len(rows))])
+    got = importance.resample(docs, labels).collect()
+    assert {r.doc_id for r in got if r.kept} == want
+    assert all(abs(r.log_weight - weight(dict(rows)[r.doc_id])) < 1e-6 for r in got)
+    assert max(r.n_grams for r in got) > 500
+    bounded = importance.resample(docs, labels, effective=50).collect()
+    assert max(abs(r.log_weight) for r in bounded) < max(abs(r.log_weight) for r in got)
+
+
 def test_kth_largest(spark):
     rng = random.Random(4)
     values = [rng.gauss(0, 1) ** 3 for _ in range(30_000)] + [0.5] * 20_000
