@@ -5,7 +5,7 @@ from __future__ import annotations
 import os
 import uuid
 
-from pyspark.sql import DataFrame
+from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from tarmac.session import ensure_checkpoint_dir
@@ -16,20 +16,28 @@ from tarmac.session import ensure_checkpoint_dir
 DEFAULT_MAX_BROADCAST_ROWS = 500_000
 
 
-def materialize(df: DataFrame, name: str = "table") -> DataFrame:
+def scratch_path(spark: SparkSession, name: str) -> str:
+    """A new folder below the session's checkpoint folder, removed by ``remove_tables``."""
+    return os.path.join(ensure_checkpoint_dir(spark), "tables", f"{name}-{uuid.uuid4().hex}")
+
+
+def materialize(df: DataFrame, name: str = "table", partition_by: str | None = None) -> DataFrame:
     """Write ``df`` as parquet under the session's checkpoint folder and read it back.
 
     The folder is ``spark.checkpoint.dir`` (a shared folder on a cluster), so
     the lineage is cut and a lost executor never forces a rescan of the
     upstream data. Unlike an eager ``checkpoint()`` the plan runs once (no
     second job to write the checkpoint), and the planner gets exact file
-    sizes for the read-back table.
+    sizes for the read-back table. ``partition_by`` gives each value of that column a folder.
     """
     spark = df.sparkSession
-    root = ensure_checkpoint_dir(spark)
-    path = os.path.join(root, "tables", f"{name}-{uuid.uuid4().hex}")
-    df.write.mode("overwrite").parquet(path)
-    return spark.read.parquet(path)
+    path = scratch_path(spark, name)
+    writer = df.write.mode("overwrite")
+    if not partition_by:
+        writer.parquet(path)
+        return spark.read.parquet(path)
+    writer.partitionBy(partition_by).parquet(path)
+    return spark.read.schema(df.schema).parquet(path)  # an empty table has no file to tell its columns
 
 
 def checked_broadcast(small: DataFrame, rows: int,

@@ -7,21 +7,19 @@ what the readers give back.
 
 from __future__ import annotations
 
-import uuid
-
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from tarmac.functions.exprs import ravg
 from tarmac.operators import fares as fr
-from tarmac.session import ensure_checkpoint_dir
+from tarmac.operators.joins import scratch_path
 from tarmac.sources import testviews as tv
 from tarmac.sources.convert import convert_csv
-from tarmac.sources.files import SOURCE_FILE, read_fares, read_flights, read_weather
+from tarmac.sources.files import SOURCE_FILE, read_fares, read_flights, read_quarantine, read_weather
 
 
 def _folder(spark) -> str:
-    return f"{ensure_checkpoint_dir(spark)}/roundtrip/{uuid.uuid4().hex}"
+    return scratch_path(spark, "roundtrip")
 
 
 def _drops(view: DataFrame, folder: str, second) -> list[str]:
@@ -84,6 +82,27 @@ def fare_file_audit(spark, sf_dir: str) -> DataFrame:
     return fr.fare_batch_audit(fares, batch_keys=("batch",))
 
 
+def malformed_values(spark, sf_dir: str) -> DataFrame:
+    """SRC-1 bad rows: flights with unreadable values, set aside by the conversion; and how many were kept."""
+    folder = _folder(spark)
+    view = tv.flights(spark, sf_dir)
+    texts = view.select([F.col(c).cast("string").alias(c) for c in view.columns])
+    spoiled = {"DEP_DELAY": (97, F.lit("n/a")), "FL_DATE": (101, F.lit("someday")),
+               "DISTANCE": (103, F.concat("DISTANCE", F.lit(" mi")))}
+    texts = texts.withColumns({name: F.when(F.col("ROW_KEY").cast("long") % every == 0, text).otherwise(F.col(name))
+                               for name, (every, text) in spoiled.items()})
+    texts.write.option("header", True).csv(f"{folder}/drop")
+    report = convert_csv(spark, "flights", f"{folder}/drop", f"{folder}/table", quarantine=True)
+    kept = read_flights(spark, f"{folder}/table", "parquet")
+    assert report["kept"] + report["quarantined"] == report["rows"]
+    return read_quarantine(spark, f"{folder}/table").select(
+        F.get_json_object("row", "$.ROW_KEY").cast("long").alias("row_key"), F.col("column").alias("column_name"),
+        "text", "reason").unionByName(kept.agg(F.count(F.lit(1)).cast("string").alias("text")).select(
+            F.lit(None).cast("long").alias("row_key"), F.lit("kept").alias("column_name"), "text",
+            F.lit(None).cast("string").alias("reason")))
+
+
 def queries() -> dict:
     return {"flights_roundtrip": flights_roundtrip, "fares_roundtrip": fares_roundtrip,
-            "weather_roundtrip": weather_roundtrip, "fare_file_audit": fare_file_audit}
+            "weather_roundtrip": weather_roundtrip, "fare_file_audit": fare_file_audit,
+            "malformed_values": malformed_values}

@@ -59,3 +59,5 @@ AIRPORT_SCHEMA = _struct(
 )
 
 CARRIER_SCHEMA = _struct(("code", StringType()), ("name", StringType()))
+
+REQUEST_SCHEMA = _struct(("ORIGIN", StringType()), ("DEST", StringType()), ("travel_date", DateType()))

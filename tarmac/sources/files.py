@@ -5,20 +5,21 @@ matched by name, case ignored: CSV files are grouped by their own header line fi
 since Spark would apply one header to all files of a read. A file without
 a key column of its table is an error; other absent columns become typed nulls.
 CSV values are converted with ``try_cast``; ``malformed_counts`` says how many
-values that turns into nulls. Pruning and pushdown are left to Catalyst: operators
-select what they use, so ``ReadSchema`` lists the used columns alone.
+values that turns into nulls, and ``malformed_values`` which. Pruning and pushdown are left
+to Catalyst: operators select what they use, so ``ReadSchema`` lists the used columns alone.
 """
 
 from __future__ import annotations
 
-from collections import defaultdict
-from collections.abc import Iterable
+from collections.abc import Iterable, Iterator
 
-from pyspark.sql import DataFrame, SparkSession
+import pyarrow as pa
+from pyspark.errors import AnalysisException
+from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql.types import StringType, StructField, StructType
 
-from tarmac.schemas import FARE_SCHEMA, FLIGHT_SCHEMA, WEATHER_SCHEMA
+from tarmac.schemas import FARE_SCHEMA, FLIGHT_SCHEMA, REQUEST_SCHEMA, WEATHER_SCHEMA
 
 JUNK_COLUMN = "Unnamed: 27"
 #: Partition column of converted tables; kept by the readers so that filters on it prune folders.
@@ -26,12 +27,20 @@ PART_YEAR = "part_year"
 #: The file a fare row came from: one file is one batch of the scale repair.
 SOURCE_FILE = "source_file"
 
+#: Files below as many bytes are read through for their header line.
+SMALL_FILE = 8 << 20
+#: Partition column of tables converted with a quarantine: 1 for rows with malformed values, else 0.
+QUARANTINED = "quarantined"
+#: Beside them the record as it was read, and what is wrong with it.
+RECORD, MALFORMED = "quarantined_record", "quarantined_values"
+
 KEY_COLUMNS = {
     "flights": ("FL_DATE", "ORIGIN", "DEST"),
     "fares": ("YEAR", "QUARTER", "ORIGIN", "ITIN_FARE"),
     "weather": ("NAME", "DATE"),
+    "requests": ("ORIGIN", "DEST", "travel_date"),
 }
-SCHEMAS = {"flights": FLIGHT_SCHEMA, "fares": FARE_SCHEMA, "weather": WEATHER_SCHEMA}
+SCHEMAS = {"flights": FLIGHT_SCHEMA, "fares": FARE_SCHEMA, "weather": WEATHER_SCHEMA, "requests": REQUEST_SCHEMA}
 
 
 def _paths(paths: str | Iterable[str]) -> list[str]:
@@ -68,7 +77,7 @@ def _conform(df: DataFrame, kind: str, cast, where: str) -> DataFrame:
     missing = [k for k in KEY_COLUMNS[kind] if k.lower() not in have]
     if missing:
         raise ValueError(f"{where}: no column {', '.join(missing)} among {', '.join(df.columns)}")
-    carried = [c for c in (PART_YEAR, SOURCE_FILE) if c in df.columns]
+    carried = [c for c in (PART_YEAR, SOURCE_FILE, QUARANTINED, RECORD, MALFORMED) if c in df.columns]
     return df.select([
         (cast(F.col(f"`{have[f.name.lower()]}`"), f.dataType) if f.name.lower() in have
          else F.lit(None).cast(f.dataType)).alias(f.name)
@@ -76,59 +85,90 @@ def _conform(df: DataFrame, kind: str, cast, where: str) -> DataFrame:
     ] + carried)
 
 
+def _large_files(spark: SparkSession) -> SparkSession:
+    """A session that plans one partition for each file, however large, and hands rows on one by one."""
+    whole = spark.newSession()
+    for name, value in {"spark.sql.files.maxPartitionBytes": str(1 << 60),
+                        "spark.sql.files.openCostInBytes": str(1 << 60),
+                        "spark.sql.files.minPartitionNum": "1",
+                        "spark.sql.execution.arrow.maxRecordsPerBatch": "1"}.items():
+        whole.conf.set(name, value)
+    return whole
+
+
+def _first_lines(spark: SparkSession, paths: list[str]) -> list[tuple[str, str]]:
+    """(file, first line) of every file of ``paths``, read by tasks; the driver opens no file.
+
+    Files below ``SMALL_FILE`` bytes are packed and read through; of each larger one a task of
+    its own takes the first line and reads no further. Either plan lists its files alone.
+    """
+    def lines(session: SparkSession) -> DataFrame:
+        return session.read.option("recursiveFileLookup", True).text(paths)
+
+    file, size = F.col("_metadata.file_path").alias("file"), F.col("_metadata.file_size")
+    small = lines(spark).where((size < SMALL_FILE) & (F.col("_metadata.file_block_start") == 0)) \
+        .select(file, "value", F.monotonically_increasing_id().alias("at")) \
+        .groupBy("file").agg(F.min_by("value", "at").alias("value"))
+
+    def first(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        for batch in batches:
+            if batch.num_rows:
+                yield batch.slice(0, 1)
+                return
+
+    large = lines(_large_files(spark)).where(size >= SMALL_FILE).select(file, "value") \
+        .mapInArrow(first, "file string, value string")
+    return [tuple(r) for part in (small, large) for r in part.collect()]
+
+
 def _csv_headers(spark: SparkSession, paths: list[str]) -> dict[tuple[str, ...], list[str]]:
-    """Header -> the files that have it. Reads the first line of each file, nothing else."""
-    jvm = spark.sparkContext._jvm
-    conf = spark.sparkContext._jsc.hadoopConfiguration()
-    codecs = jvm.org.apache.hadoop.io.compress.CompressionCodecFactory(conf)
-    groups: dict[tuple[str, ...], list[str]] = defaultdict(list)
-
-    def visit(fs, status) -> None:
-        path = status.getPath()
-        if path.getName()[:1] in "._":
-            return
-        if status.isDirectory():
-            for child in fs.listStatus(path):
-                visit(fs, child)
-            return
-        stream, codec = fs.open(path), codecs.getCodec(path)
-        if codec is not None:
-            stream = codec.createInputStream(stream)
-        reader = jvm.java.io.BufferedReader(jvm.java.io.InputStreamReader(stream, "UTF-8"))
-        try:
-            line = reader.readLine()
-        finally:
-            reader.close()
-        if line:
-            names = jvm.com.univocity.parsers.csv.CsvParser(
-                jvm.com.univocity.parsers.csv.CsvParserSettings()).parseLine(line.lstrip("\ufeff"))
-            # pandas writes an empty name for a trailing column
-            header = tuple((n or "").strip() or f"_c{i}" for i, n in enumerate(names))
-            groups[header].append(path.toString())
-
-    for pattern in paths:
-        path = jvm.org.apache.hadoop.fs.Path(pattern)
-        fs = path.getFileSystem(conf)
-        found = fs.globStatus(path)
-        if not found:
-            raise FileNotFoundError(f"no file matches {pattern}")
-        for status in found:
-            visit(fs, status)
-    if not groups:
+    """Header -> the files that have it."""
+    try:
+        lines = _first_lines(spark, paths)
+    except AnalysisException as e:
+        if "PATH_NOT_FOUND" in str(e):
+            raise FileNotFoundError(f"no file matches {', '.join(paths)}") from e
+        raise
+    if not lines:
         raise ValueError(f"no header line in {', '.join(paths)}")
+    jvm = spark.sparkContext._jvm
+    by_line: dict[str, list[str]] = {}
+    for file, line in sorted(lines):
+        by_line.setdefault(line.lstrip("\ufeff"), []).append(file)
+    groups: dict[tuple[str, ...], list[str]] = {}
+    for line, names in by_line.items():
+        parsed = jvm.com.univocity.parsers.csv.CsvParser(
+            jvm.com.univocity.parsers.csv.CsvParserSettings()).parseLine(line)
+        # pandas writes an empty name for a trailing column
+        header = tuple((n or "").strip() or f"_c{i}" for i, n in enumerate(parsed or []))
+        groups.setdefault(header, []).extend(names)
     return groups
 
 
-def _csv_parts(spark: SparkSession, paths: list[str], with_file: bool) -> list[DataFrame]:
+def _faulty(header: tuple[str, ...], kind: str) -> str | None:
+    """Why files with this header cannot be read as ``kind``; ``None`` if they can."""
+    try:
+        have = _named(header, "header")
+    except ValueError as e:
+        return str(e)
+    missing = [k for k in KEY_COLUMNS[kind] if k.lower() not in have]
+    return f"no column {', '.join(missing)}" if missing else None
+
+
+def _csv_parts(spark: SparkSession, paths: list[str], with_file: bool,
+               headers: dict[tuple[str, ...], list[str]] | None = None) -> list[DataFrame]:
     """One DataFrame of texts per distinct header."""
     parts = []
-    for header, group in _csv_headers(spark, paths).items():
+    for header, group in (headers or _csv_headers(spark, paths)).items():
         _named(header, group[0])
         names = StructType([StructField(n, StringType()) for n in header])
         raw = spark.read.option("header", True).schema(names).csv(group)
         if with_file:
-            raw = raw.withColumn(SOURCE_FILE, F.col("_metadata.file_path"))
-        parts.append(drop_if_present(raw, JUNK_COLUMN))
+            raw = raw.select("*", F.col("_metadata.file_path").alias("_file"))
+        # names that the readers give columns of their own
+        own = {PART_YEAR, SOURCE_FILE, QUARANTINED, RECORD.lower(), MALFORMED.lower()}
+        raw = drop_if_present(raw, JUNK_COLUMN, *[n for n in header if n.lower() in own])
+        parts.append(raw.withColumnRenamed("_file", SOURCE_FILE) if with_file else raw)
     return parts
 
 
@@ -143,6 +183,8 @@ def _read(spark: SparkSession, paths, fmt: str, kind: str, years: tuple[int, int
             out = out.unionByName(part)
     elif fmt == "parquet":
         raw = spark.read.parquet(*files)
+        if QUARANTINED in raw.columns:  # a folder level: what was set aside is not read
+            raw = raw.where(F.col(QUARANTINED) == 0).drop(QUARANTINED, RECORD, MALFORMED)
         if with_file and SOURCE_FILE not in raw.columns:
             raw = raw.withColumn(SOURCE_FILE, F.col("_metadata.file_path"))
         out = _conform(drop_if_present(raw, JUNK_COLUMN), kind, lambda col, t: col.cast(t), ", ".join(files))
@@ -161,12 +203,41 @@ def row_year(kind: str):
     return {"flights": F.year("FL_DATE"), "weather": F.year("DATE"), "fares": F.col("YEAR")}[kind]
 
 
-def malformed_counts(kind: str, raw: DataFrame) -> dict:
-    """Column -> aggregate counting texts that ``try_cast`` turns into null."""
+def _malformed(kind: str, raw: DataFrame) -> dict[str, tuple[Column, Column, str]]:
+    """Column -> (whether its text is malformed, the text, the type it should have)."""
     have = _named(raw.columns, kind)
-    return {f.name: F.count_if(F.col(f"`{have[f.name.lower()]}`").isNotNull()
-                               & F.col(f"`{have[f.name.lower()]}`").try_cast(f.dataType).isNull())
-            for f in SCHEMAS[kind].fields if f.name.lower() in have}
+    out = {}
+    for f in SCHEMAS[kind].fields:
+        if f.name.lower() in have:
+            text = F.col(f"`{have[f.name.lower()]}`")
+            out[f.name] = (text.isNotNull() & text.try_cast(f.dataType).isNull(), text, f.dataType.simpleString())
+    return out
+
+
+def malformed_counts(kind: str, raw: DataFrame) -> dict[str, Column]:
+    """Column -> aggregate counting texts that ``try_cast`` turns into null."""
+    return {name: F.count_if(bad) for name, (bad, _, _) in _malformed(kind, raw).items()}
+
+
+def malformed_values(kind: str, raw: DataFrame) -> Column:
+    """The malformed values of a row: array of (column, text, reason), empty for a good row."""
+    return F.filter(F.array(*[
+        F.when(bad, F.struct(F.lit(name).alias("column"), text.alias("text"), F.lit(f"not {kind_}").alias("reason")))
+        for name, (bad, text, kind_) in _malformed(kind, raw).items()]), lambda v: v.isNotNull())
+
+
+def read_quarantine(spark: SparkSession, table: str) -> DataFrame:
+    """``file, row, column, text, reason`` of what ``convert_csv`` set aside beside ``table``.
+
+    One row per malformed value; ``row`` is the whole record as JSON, so that it can be
+    corrected and converted again. A file that could not be read at all has one row with
+    its reason alone.
+    """
+    raw = spark.read.parquet(table)
+    if QUARANTINED not in raw.columns:
+        return spark.createDataFrame([], "file string, row string, column string, text string, reason string")
+    return raw.where(F.col(QUARANTINED) == 1).select(F.col(SOURCE_FILE).alias("file"), F.col(RECORD).alias("row"),
+                                         F.explode(MALFORMED).alias("v")).select("file", "row", "v.*")
 
 
 def read_flights(spark: SparkSession, paths, fmt: str = "csv",
@@ -190,6 +261,11 @@ def read_weather(spark: SparkSession, paths, fmt: str = "csv",
     return _read(spark, paths, fmt, "weather", years)
 
 
+def read_requests(spark: SparkSession, paths, fmt: str = "csv") -> DataFrame:
+    """RAM-7: files of route requests (ORIGIN, DEST, travel_date); an unreadable date is null."""
+    return _read(spark, paths, fmt, "requests").select(*[f.name for f in REQUEST_SCHEMA.fields])
+
+
 def path_exists(spark: SparkSession, path: str) -> bool:
     """True when ``path`` exists on its (Hadoop) file system."""
     jvm = spark.sparkContext._jvm
@@ -223,4 +299,4 @@ def read_saved_report(spark: SparkSession, path: str, fmt: str = "parquet",
 
 
 __all__ = ["drop_if_present", "select_existing", "read_flights", "read_fares", "read_weather",
-           "read_metrics_if_exists", "read_saved_report", "path_exists"]
+           "read_requests", "read_metrics_if_exists", "read_saved_report", "read_quarantine", "path_exists"]

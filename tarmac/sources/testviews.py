@@ -62,8 +62,15 @@ SELECT DISTINCT p_brand AS code, concat('Carrier ', p_brand) AS name FROM {part}
 WHERE CAST(right(p_brand, 1) AS INTEGER) <> 5
 """
 
+# Stations of twenty airports; the others have none, and some stations have no airport.
+STATION_MAP_SQL = """
+SELECT DISTINCT concat(e.event_type,'_',CAST(e.user_id % 10 AS VARCHAR(20))) AS NAME, n.n_name AS airport
+FROM {events} e JOIN {nation} n ON n.n_nationkey % 10 = e.user_id % 10
+WHERE n.n_nationkey < 20 AND e.event_type <> 'purchase'
+"""
+
 VIEWS = {"flights": FLIGHTS_SQL, "fares": FARES_SQL, "weather": WEATHER_SQL,
-         "airports": AIRPORTS_SQL, "brand_carriers": CARRIERS_SQL}
+         "airports": AIRPORTS_SQL, "brand_carriers": CARRIERS_SQL, "station_map": STATION_MAP_SQL}
 
 BASE_TABLES = ["region", "nation", "customer", "supplier", "part", "orders", "lineitem", "events"]
 
@@ -138,6 +145,10 @@ def brand_carriers(spark: SparkSession, sf_dir: str) -> DataFrame:
     return view(spark, sf_dir, "brand_carriers")
 
 
+def station_map(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return view(spark, sf_dir, "station_map")
+
+
 def duckdb_with(*names: str) -> str:
     """``WITH`` prefix defining the named views for a DuckDB oracle query."""
     return "WITH " + ",\n".join(f"{n} AS ({view_sql(n, 'duckdb')})" for n in names) + "\n"

@@ -137,3 +137,56 @@ def test_absent_key_or_clashing_columns_raise(spark, tmp_path):
         files.read_flights(spark, _write(tmp_path, "b.csv", "ORIGIN,origin,DEST,FL_DATE\nA,B,C,2015-07-04\n"))
     with pytest.raises(FileNotFoundError):
         files.read_flights(spark, str(tmp_path / "none*.csv"))
+
+
+def test_quarantine_holds_what_is_not_kept(spark, tmp_path):
+    from tarmac.sources.convert import convert_csv
+    good = "ORIGIN,DEST,FL_DATE,DEP_DELAY\nATL,ORD,2015-07-04,1.5\nATL,SFO,someday,x\nBOS,SFO,2015-07-05,\n"
+    _write(tmp_path, "a.csv", good)
+    _write(tmp_path, "b.csv", "dest,origin,fl_date,quarantined_values\nSFO,LAX,2015-07-06,own\n")
+    _write(tmp_path, "c.csv", "ORIGIN,FL_DATE\nATL,2015-07-04\n")
+    _write(tmp_path, "d.csv", "")
+    out = str(tmp_path / "table")
+    report = convert_csv(spark, "flights", str(tmp_path / "*.csv"), out, quarantine=True)
+    assert (report["rows"], report["kept"], report["quarantined"], report["unreadable_files"]) == (4, 3, 1, 1)
+    assert report["DEP_DELAY"] == 1 and report["FL_DATE"] == 1
+    back = files.read_flights(spark, out, "parquet")
+    assert {r.ORIGIN for r in back.collect()} == {"ATL", "BOS", "LAX"} and back.count() == 3
+    assert files.QUARANTINED not in back.columns
+    plan = back._jdf.queryExecution().executedPlan().toString()
+    assert "quarantined" in plan.split("PartitionFilters: [")[1].split("]")[0]
+    aside = {(r.file.rsplit("/", 1)[1], r.column, r.text, r.reason): r.row
+             for r in files.read_quarantine(spark, out).collect()}
+    assert set(aside) == {("a.csv", "FL_DATE", "someday", "not date"), ("a.csv", "DEP_DELAY", "x", "not double"),
+                          ("c.csv", None, None, "no column DEST")}
+    assert '"DEST":"SFO"' in aside["a.csv", "FL_DATE", "someday", "not date"]
+    plain = str(tmp_path / "plain")
+    convert_csv(spark, "flights", [str(tmp_path / "a.csv"), str(tmp_path / "b.csv")], plain)
+    assert files.read_flights(spark, plain, "parquet").count() == 4
+    assert files.read_quarantine(spark, plain).count() == 0
+
+
+def test_headers_of_many_files_are_read_by_tasks(spark, tmp_path):
+    land = tmp_path / "land"
+    for i in range(2000):
+        folder = land / f"day={i % 7}"
+        folder.mkdir(parents=True, exist_ok=True)
+        names = ["ORIGIN", "DEST", "FL_DATE"][:: 1 if i % 3 else -1]
+        (folder / f"f{i}.csv").write_text(",".join(names) + "\n" + "x,y,z\n" * 3)
+    headers = files._csv_headers(spark, [str(land)])
+    assert {h: len(names) for h, names in headers.items()} == {
+        ("ORIGIN", "DEST", "FL_DATE"): 1333, ("FL_DATE", "DEST", "ORIGIN"): 667}
+    assert len({n for names in headers.values() for n in names}) == 2000
+    # the shared session keeps its own settings
+    assert spark.conf.get("spark.sql.files.maxPartitionBytes") != str(1 << 60)
+
+
+def test_first_line_of_large_and_packed_files(spark, tmp_path, monkeypatch):
+    import gzip
+    monkeypatch.setattr(files, "SMALL_FILE", 1 << 20)
+    (tmp_path / "big.csv").write_text("FL_DATE,ORIGIN,DEST\n" + "2015-07-04,ATL,ORD\n" * 400_000)
+    with gzip.open(tmp_path / "z.csv.gz", "wt") as f:
+        f.write("﻿DEST,ORIGIN,FL_DATE\nORD,ATL,2015-07-04\n")
+    headers = files._csv_headers(spark, [str(tmp_path)])
+    assert set(headers) == {("FL_DATE", "ORIGIN", "DEST"), ("DEST", "ORIGIN", "FL_DATE")}
+    assert files.read_flights(spark, str(tmp_path)).where("DEST = 'ORD'").count() == 400_001
