@@ -1,8 +1,7 @@
 """The whole report pipeline (traffic, delay, fare, weather and network
 reports plus the route tables) as Spark jobs over shared summaries.
 
-Scans: flights once, fares twice (batch means, then the repaired summary),
-weather once. The three summaries are written to the session's checkpoint
+Scans: flights, fares and weather once each. The three summaries are written to the session's checkpoint
 folder, so every report after that reads a small table, lineage is cut, and
 a lost executor never triggers a rescan of the facts. Reports are written
 with distributed writers; nothing is collected to the driver.
@@ -45,12 +44,14 @@ class Reports(Mapping):
 
 def build_reports(spark: SparkSession, flights: DataFrame, fares: DataFrame, weather: DataFrame,
                   airports: DataFrame, carriers: DataFrame, thresholds: dict | None = None,
-                  top_airports: int = 25, flight_summary: DataFrame | None = None) -> Reports:
+                  top_airports: int = 25, flight_summary: DataFrame | None = None,
+                  fare_cells: DataFrame | None = None, weather_summary: DataFrame | None = None) -> Reports:
     """Every report as a DataFrame over the materialized summaries.
 
     Only what is asked for is built: without a weather report no weather is scanned.
-    ``fares`` are raw (the batch repair is applied here). ``flight_summary`` may bring
-    the summary that streaming ingestion keeps instead of a scan of ``flights``.
+    ``fares`` are raw (the batch repair is applied here). ``flight_summary``, ``fare_cells``
+    and ``weather_summary`` may bring the summaries that streaming ingestion keeps
+    instead of a scan of the facts.
     """
     t = {**THRESHOLDS, **(thresholds or {})}
 
@@ -60,18 +61,22 @@ def build_reports(spark: SparkSession, flights: DataFrame, fares: DataFrame, wea
             if flight_summary is None else flight_summary
         return materialize(made, "flight-summary")
 
+    @cache
+    def cells() -> DataFrame:
+        return materialize(sm.fare_cells(fares) if fare_cells is None else fare_cells, "fare-cells")
+
     @cache
     def means() -> DataFrame:
-        return materialize(fr.batch_fare_means(fares), "fare-batch-means")
+        return sm.cell_batch_means(cells())
 
     @cache
     def fare_sum() -> DataFrame:
-        repaired = fr.repair_fare_scale(fares, means=means())
-        return materialize(sm.fare_summary_table(fr.clean_fares(repaired)), "fare-summary")
+        return materialize(sm.settled_fares(cells()), "fare-summary")
 
     @cache
     def weather_sum() -> DataFrame:
-        return materialize(sm.weather_summary(weather), "weather-summary")
+        return materialize(sm.weather_summary(weather) if weather_summary is None else weather_summary,
+                           "weather-summary")
 
     one = lambda name, make: {(name,): lambda: {name: make()}}
     reports: Reports = Reports({
@@ -114,10 +119,12 @@ def bundle_sections_from(reports: Mapping[str, DataFrame], carriers: DataFrame
 
 def run(spark: SparkSession, flights: DataFrame, fares: DataFrame, weather: DataFrame,
         airports: DataFrame, carriers: DataFrame, out_dir: str, fmt: str = "parquet",
-        thresholds: dict | None = None, flight_summary: DataFrame | None = None) -> list[str]:
-    """Build and write every report plus the results bundle under ``out_dir``."""
-    reports = build_reports(spark, flights, fares, weather, airports, carriers, thresholds,
-                            flight_summary=flight_summary)
+        thresholds: dict | None = None, **summaries: DataFrame | None) -> list[str]:
+    """Build and write every report plus the results bundle under ``out_dir``.
+
+    ``summaries``: the streamed summaries that ``build_reports`` takes.
+    """
+    reports = build_reports(spark, flights, fares, weather, airports, carriers, thresholds, **summaries)
     for name, df in reports.items():
         save_table(df, os.path.join(out_dir, name), fmt)
     # SNK-2: the one-row fare summary is also published as a JSON record.

@@ -10,17 +10,18 @@ flights, so after the one scan every report is a small roll-up. Averages are
 ``sum / count`` of the same non-null rows ``avg`` would use, so the reports
 equal the direct operators'.
 
-Fares get the same treatment keyed by (YEAR, QUARTER, ORIGIN) after the
-batch repair, and weather keyed by (NAME, month).
+Fares get the same treatment keyed by (YEAR, QUARTER, ORIGIN), with the batch repair
+decided after the scan, and weather keyed by (NAME, month).
 """
 
 from __future__ import annotations
 
-from pyspark.sql import DataFrame
+from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
 from tarmac.functions.defaults import THRESHOLDS
 from tarmac.functions.exprs import c, quarter_label
+from tarmac.operators.fares import BATCH_KEYS, batch_status
 from tarmac.operators.recommend import delay_risk
 from tarmac.schemas import FLIGHT_SCHEMA
 
@@ -87,6 +88,13 @@ def flight_summary(flights: DataFrame, only: tuple[str, ...] | None = None,
     return out if only is None else out.select(*FLIGHT_KEYS, *only, "gid")
 
 
+def merged(parts: DataFrame, keys: list[str]) -> DataFrame:
+    """Partial summaries added up: minima and maxima by name, all else are sums."""
+    ops = {"_max": F.max, "_min": F.min}
+    return parts.groupBy(*keys).agg(*[
+        ops.get(m[-4:], F.sum)(m).alias(m) for m in parts.columns if m not in keys])
+
+
 def with_absent_measures(s: DataFrame) -> DataFrame:
     """A summary of some measures with the others as nulls, so that every report can be planned."""
     every = flight_summary(s.sparkSession.createDataFrame([], FLIGHT_SCHEMA)).schema
@@ -270,17 +278,60 @@ def network_reports(s: DataFrame, t: dict) -> dict[str, DataFrame]:
 
 
 FARE_KEYS = ["YEAR", "QUARTER", "ORIGIN"]
+#: The two readings of a batch's fares before its scale is known.
+READINGS = ("raw", "scaled")
+
 
+def fare_cells(fares: DataFrame, batch_keys=BATCH_KEYS, low: float = 10, high: float = 5000,
+               factor: float = 100.0) -> DataFrame:
+    """One scan of the raw fares, whatever the scale of their batches turns out to be.
 
-def fare_summary_table(clean: DataFrame) -> DataFrame:
-    """One scan of the cleaned (repaired, 10 < fare < 5000) fares."""
-    pos = c("DISTANCE").isNotNull() & (c("DISTANCE") > 0)
-    return clean.groupBy(*FARE_KEYS).agg(
-        F.count(F.lit(1)).alias("n"), *_sum_n("ITIN_FARE", "fare"),
-        F.min("ITIN_FARE").alias("fare_min"), F.max("ITIN_FARE").alias("fare_max"),
-        *_sum_n("ITIN_YIELD", "yield"),
-        F.count_if(pos).alias("pos_n"), *_sum_n("ITIN_FARE", "pos_fare", pos),
-        *_sum_n("DISTANCE", "pos_dist", pos), *_sum_n("ITIN_YIELD", "pos_yield", pos))
+    Whether a batch is stored ``factor`` times too small shows in the mean of all its
+    positive fares, known only after the scan. So every measure is kept for both
+    readings, as stored (``raw_``) and multiplied (``scaled_``), each with its own
+    fare range, beside the sum and count of the batch mean. Counts, sums, minima and maxima are
+    mergeable: cells of several scans or micro-batches add up, and a late file may still
+    turn its batch. ``settled_fares`` makes the choice. The cells are bounded by
+    batches x airports, not by the fares.
+    """
+    fare, miles = c("ITIN_FARE"), c("DISTANCE")
+    measures = [F.count(F.lit(1)).alias("batch_rows"), F.sum(F.when(fare > 0, fare)).alias("batch_pos_sum"),
+                F.count_if(fare > 0).alias("batch_pos_n")]
+    for reading in READINGS:
+        up = (lambda v: v) if reading == "raw" else (lambda v: v * factor)
+        clean = fare.isNotNull() & (up(fare) > low) & (up(fare) < high)
+        far = clean & miles.isNotNull() & (miles > 0)
+        sums = {"fare": (up(fare), clean), "yield": (up(c("ITIN_YIELD")), clean), "pos_fare": (up(fare), far),
+                "pos_dist": (miles, far), "pos_yield": (up(c("ITIN_YIELD")), far)}
+        measures += [F.count_if(clean).alias(f"{reading}_n"), F.count_if(far).alias(f"{reading}_pos_n"),
+                     F.min(F.when(clean, up(fare))).alias(f"{reading}_fare_min"),
+                     F.max(F.when(clean, up(fare))).alias(f"{reading}_fare_max")]
+        for name, (value, rows) in sums.items():
+            measures += [F.sum(F.when(rows, value)).alias(f"{reading}_{name}_sum"),
+                         F.count(F.when(rows, value)).alias(f"{reading}_{name}_n")]
+    return fares.groupBy(*dict.fromkeys([*FARE_KEYS, *batch_keys])).agg(*measures)
+
+
+def cell_batch_means(cells: DataFrame, batch_keys=BATCH_KEYS) -> DataFrame:
+    """``batch_fare_means`` of the fares that went into ``cells``."""
+    return cells.groupBy(*batch_keys).agg(
+        F.try_divide(F.sum("batch_pos_sum"), F.sum("batch_pos_n")).alias("batch_avg_fare"),
+        F.sum("batch_rows").alias("batch_rows"))
+
+
+def settled_fares(cells: DataFrame, batch_keys=BATCH_KEYS, threshold: float = 50.0) -> DataFrame:
+    """The summary of repaired, cleaned fares: of each cell the reading that its batch's mean asks for.
+
+    The mean is a window over the cells of a batch, at most one per airport and
+    period; null batch keys are a batch like any other.
+    """
+    batch = Window.partitionBy(*batch_keys)
+    mean = F.try_divide(F.sum("batch_pos_sum").over(batch), F.sum("batch_pos_n").over(batch))
+    known = cells.withColumn("batch_avg_fare", mean)
+    fixed = batch_status(threshold) == "fixed"
+    names = [m.removeprefix("raw_") for m in cells.columns if m.startswith("raw_")]
+    return known.select(*FARE_KEYS, *[F.when(fixed, c(f"scaled_{m}")).otherwise(c(f"raw_{m}")).alias(m)
+                                      for m in names]).where(c("n") > 0)
 
 
 def fare_reports(f: DataFrame, t: dict) -> dict[str, DataFrame]:

@@ -1,11 +1,12 @@
-"""Incremental ingestion of new flight files with Structured Streaming.
+"""Incremental ingestion of new flight, fare and weather files with Structured Streaming.
 
-The reference re-reads every flight file for each report. Flights only
-grow (one new file per month), so the flight summary of
-``tarmac.plans.summary`` can be maintained incrementally instead: a file
-stream picks up new files, each micro-batch is reduced to its partial
-summary (mergeable counts, sums and maxima) and stored under its batch id.
-Reports read the merged summary, which equals the summary of all files.
+The reference re-reads every file for each report. The tables only grow (new files each
+month or quarter), so the summaries of ``tarmac.plans.summary`` can be maintained
+incrementally instead: a file stream picks up new files, each micro-batch is reduced to
+its partial summary (mergeable counts, sums, minima and maxima) and stored under its batch
+id. Reports read the merged summary, which equals the summary of all files. Fares are
+kept as cells in which the scale repair is still open, so a late file may turn its
+batch from clean to fixed or back.
 
 Exactly once: the partial summary of batch ``b`` is written to its own
 folder with overwrite, so a retried batch replaces its own output. The stream's
@@ -25,33 +26,36 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql.streaming import StreamingQuery
 
-from tarmac.plans.summary import FLIGHT_KEYS, flight_summary
-from tarmac.schemas import FLIGHT_SCHEMA
-from tarmac.sources.files import SCHEMAS, path_exists, read_flights
+from tarmac.plans.summary import FARE_KEYS, FLIGHT_KEYS, fare_cells, flight_summary, merged, weather_summary
+from tarmac.sources.files import SCHEMAS, path_exists, read_fares, read_flights, read_weather
 
+#: Kind of table -> its batch reader, its summary, and the summary's keys.
+KINDS = {"flights": (read_flights, flight_summary, [*FLIGHT_KEYS, "gid"]),
+         "fares": (read_fares, fare_cells, FARE_KEYS),
+         "weather": (read_weather, weather_summary, ["NAME", "month"])}
+FILES = "path string, modificationTime timestamp, length long, content binary"
 
-def flight_file_stream(spark: SparkSession, source_dir: str, fmt: str = "parquet",
-                       max_files_per_trigger: int | None = None) -> DataFrame:
-    """Streaming DataFrame over the flight files landing in ``source_dir``.
+
+def file_stream(spark: SparkSession, source_dir: str, fmt: str = "parquet",
+                max_files_per_trigger: int | None = None, kind: str = "flights") -> DataFrame:
+    """Streaming DataFrame over the files of one kind landing in ``source_dir``.
 
     Parquet columns are found by name. A CSV stream gives the names of the new files
-    only (``path``): each has a header of its own, which the batch reader follows.
+    only (``path``): each has a header of its own, which the batch reader follows. The
+    files are not opened for that, as no column of their content is selected.
     """
     reader = spark.readStream
     if max_files_per_trigger:
         reader = reader.option("maxFilesPerTrigger", max_files_per_trigger)
     if fmt == "csv":
-        # header only: no column of the file is parsed to learn its name
-        return reader.schema("first string").option("header", False).csv(source_dir) \
-            .select(F.col("_metadata.file_path").alias("path")).distinct()
-    return reader.format(fmt).schema(FLIGHT_SCHEMA).load(source_dir) \
-        .select(*[f.name for f in SCHEMAS["flights"].fields])
+        return reader.format("binaryFile").schema(FILES).load(source_dir).select("path")
+    return reader.format(fmt).schema(SCHEMAS[kind]).load(source_dir)
 
 
 def start_summary_stream(spark: SparkSession, source_dir: str, table_dir: str,
                          fmt: str = "parquet", available_now: bool = True,
                          processing_time: str | None = None,
-                         max_files_per_trigger: int | None = None) -> StreamingQuery:
+                         max_files_per_trigger: int | None = None, kind: str = "flights") -> StreamingQuery:
     """Start the stream that keeps ``table_dir`` holding partial summaries.
 
     ``available_now`` processes every file present and stops (a scheduled
@@ -59,33 +63,23 @@ def start_summary_stream(spark: SparkSession, source_dir: str, table_dir: str,
     running.
     """
     deltas = os.path.join(table_dir, "deltas")
+    read, summarize, _ = KINDS[kind]
 
     def write_batch(batch: DataFrame, batch_id: int) -> None:
         if fmt == "csv":
             paths = [r["path"] for r in batch.collect()]  # the files of one batch
             if not paths:
                 return
-            batch = read_flights(spark, paths)
-        (flight_summary(batch)
-         .write.mode("overwrite").parquet(os.path.join(deltas, f"batch_id={batch_id}")))
+            batch = read(spark, paths)
+        summarize(batch).write.mode("overwrite").parquet(os.path.join(deltas, f"batch_id={batch_id}"))
 
-    stream = flight_file_stream(spark, source_dir, fmt, max_files_per_trigger)
-    writer = stream.writeStream.foreachBatch(write_batch) \
-        .option("checkpointLocation", os.path.join(table_dir, "_checkpoint"))
-    if fmt == "csv":
-        writer = writer.outputMode("update")
+    writer = file_stream(spark, source_dir, fmt, max_files_per_trigger, kind).writeStream \
+        .foreachBatch(write_batch).option("checkpointLocation", os.path.join(table_dir, "_checkpoint"))
     writer = (writer.trigger(availableNow=True) if available_now
               else writer.trigger(processingTime=processing_time or "10 minutes"))
     return writer.start()
 
 
-def _merge(parts: DataFrame) -> DataFrame:
-    keys = FLIGHT_KEYS + ["gid"]
-    measures = [c for c in parts.columns if c not in keys]
-    return parts.groupBy(*keys).agg(*[
-        (F.max(m) if m.endswith("_max") else F.sum(m)).alias(m) for m in measures])
-
-
 def _parts(spark: SparkSession, table_dir: str) -> tuple[DataFrame, int]:
     """The stored partial summaries, and the last batch folded into the compacted one."""
     upto, base = -1, None
@@ -102,16 +96,17 @@ def _parts(spark: SparkSession, table_dir: str) -> tuple[DataFrame, int]:
     return deltas, upto
 
 
-def merged_summary(spark: SparkSession, table_dir: str) -> DataFrame:
-    """Merge the stored partial summaries into one flight summary.
+def merged_summary(spark: SparkSession, table_dir: str, kind: str = "flights") -> DataFrame:
+    """Merge the stored partial summaries into one.
 
-    Counts and sums add up, maxima take the max: the result equals
-    ``flight_summary`` over all ingested files.
+    Counts and sums add up, minima and maxima take theirs: the result equals the
+    summary of all ingested files. Of fares these are the cells before the repair;
+    ``tarmac.plans.summary.settled_fares`` decides it.
     """
-    return _merge(_parts(spark, table_dir)[0])
+    return merged(_parts(spark, table_dir)[0], KINDS[kind][2])
 
 
-def compact(spark: SparkSession, table_dir: str) -> int:
+def compact(spark: SparkSession, table_dir: str, kind: str = "flights") -> int:
     """Fold every finished batch into one table; the last batch folded.
 
     The table is written first and the pointer to it after, so readers see either the old
@@ -119,7 +114,7 @@ def compact(spark: SparkSession, table_dir: str) -> int:
     """
     last = spark.read.parquet(os.path.join(table_dir, "deltas")).agg(F.max("batch_id")).first()[0]
     path = os.path.join(table_dir, f"folded-{uuid.uuid4().hex}")
-    _merge(_parts(spark, table_dir)[0]).write.parquet(path)
+    merged_summary(spark, table_dir, kind).write.parquet(path)
     spark.createDataFrame([(json.dumps({"upto": int(last), "path": path}),)], "value string") \
         .coalesce(1).write.mode("append").text(os.path.join(table_dir, "compacted"))
     return int(last)
