@@ -3,14 +3,17 @@
 Each section is a bounded table (a top-k list or a small report keyed by
 airport, month, year ...). The bundle is one row whose columns are scalar
 subqueries over the sections, in the sections' own order; carriers are a
-code -> name map. It is written as one JSON document. Sections are never re-read
-from files written by other steps: the upstream DataFrames are passed in directly.
+code -> name map. It is written as one JSON document; ``bundle_records`` takes a saved
+one apart again.
 """
 
 from __future__ import annotations
 
-from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
+from pyspark.sql import types as T
+
+from tarmac.sources.files import read_saved_report
 
 # Bundle section names, in the order of the exported document.
 SECTIONS = ["airports", "busiest_routes", "route_lookup", "carrier_names", "fare_by_year",
@@ -50,3 +53,43 @@ def results_bundle(spark: SparkSession, sections: dict[str, DataFrame]) -> DataF
                     F.size(lists["airports"]).alias("total_airports"),
                     F.size(lists["route_lookup"]).alias("total_routes")).alias("meta")
     return spark.range(1).select(meta, *[lists[name].alias(name) for name in SECTIONS])
+
+
+def canonical_json(record: Column, fields: list[T.StructField]) -> Column:
+    """The JSON text of a struct with one form per value: fields in order, fractional
+    numbers with four digits, no blanks; strings escaped; null stays null."""
+    def text(field: T.StructField) -> Column:
+        value = record[field.name]
+        if isinstance(field.dataType, T.StringType):
+            value = F.concat(F.lit('"'), F.replace(F.replace(value, F.lit("\\"), F.lit("\\\\")), F.lit('"'),
+                                                   F.lit('\\"')), F.lit('"'))
+        elif isinstance(field.dataType, T.FractionalType):
+            value = value.cast("decimal(28,4)").cast("string")
+        else:
+            value = value.cast("string")
+        return F.concat(F.lit(f'"{field.name}":'), F.coalesce(value, F.lit("null")))
+
+    return F.concat(F.lit("{"), F.concat_ws(",", *[text(f) for f in fields]), F.lit("}"))
+
+
+def bundle_records(spark: SparkSession, path: str, schema: T.StructType) -> DataFrame:
+    """``section, position, record``: every record of the bundle saved at ``path``, in order.
+
+    ``schema`` is the bundle's; a bundle that was never saved has no records. Carrier
+    names stand by code, one record ``{code: name}`` each.
+    """
+    bundle = read_saved_report(spark, path, "json", schema)
+    out = None
+    for name in SECTIONS:
+        if name == "carrier_names":
+            pair = T.StructType.fromDDL("code string, name string")
+            records = F.transform(F.array_sort(F.map_entries(name)), lambda e: F.struct(
+                e["key"].alias("code"), e["value"].alias("name")))
+            fields = pair.fields
+        else:
+            records, fields = F.col(name), schema[name].dataType.elementType.fields
+        one = bundle.select(F.posexplode(records).alias("position", "record")).select(
+            F.lit(name).alias("section"), (F.col("position") + 1).cast("long").alias("position"),
+            canonical_json(F.col("record"), fields).alias("record"))
+        out = one if out is None else out.unionByName(one)
+    return out
