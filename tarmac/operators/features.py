@@ -11,6 +11,7 @@ from pyspark.sql import functions as F
 from tarmac.functions.exprs import c, dep_hour, flag, season_flags, yield_per_mile, PEAK_QUARTERS
 from tarmac.operators.joins import DEFAULT_MAX_BROADCAST_ROWS, checked_broadcast, materialize
 
+# The columns of the three model frames, in their published order.
 RF_FEATURES = ["OP_CARRIER", "ORIGIN", "DEST", "month", "day_of_week", "is_weekend",
                "is_summer", "is_holiday_season", "is_winter", "DISTANCE", "DEP_DELAY"]
 
@@ -120,6 +121,45 @@ def split_by_key(df: DataFrame, key: str = "ROW_KEY", train_tenths: int = 8
     return df.where(is_train), df.where(~is_train)
 
 
+#: Columns that tell rows apart for key sampling where the caller names none.
+FLIGHT_KEY = ("FL_DATE", "OP_CARRIER", "ORIGIN", "DEST", "CRS_DEP_TIME")
+FARE_KEY = ("YEAR", "QUARTER", "ORIGIN", "ITIN_FARE", "ITIN_YIELD", "DISTANCE")
+_SHARES = 1 << 32
+
+
+def key_share(keys: tuple[str, ...], seed: int = 42, draw: int = 0) -> Column:
+    """A number below 2**32 from 32 MD5 bits of ``seed`` and the key's values.
+
+    It depends on nothing else: not on partitions, order or recomputation. ``draw`` (0 to
+    3) picks independent bits of the one digest.
+    """
+    text = F.concat_ws("|", F.lit(str(seed)), *[F.coalesce(c(k).cast("string"), F.lit("null")) for k in keys])
+    return F.conv(F.substring(F.md5(text.cast("binary")), 1 + 8 * draw, 8), 16, 10).cast("long")
+
+
+def in_share(keys: tuple[str, ...], fraction: float, seed: int = 42, draw: int = 0) -> Column:
+    """Whether a row's share is within ``fraction``."""
+    return key_share(keys, seed, draw) < round(fraction * _SHARES)
+
+
+def sample_by_key(df: DataFrame, fraction: float, keys: tuple[str, ...], seed: int = 42) -> DataFrame:
+    """SMP-1, repeatable form: a Bernoulli sample by the hash of each row's key.
+
+    Every run, engine and partitioning keeps the same rows. Rows with equal keys stay or go
+    together; samples of smaller fractions are parts of larger ones.
+    """
+    return df.where(in_share(keys, fraction, seed))
+
+
+def stored_split(df: DataFrame, train: str) -> tuple[DataFrame, DataFrame]:
+    """SMP-2: train and test rows by the flag column ``train``, from one stored copy of ``df``.
+
+    The several passes of a fit read the small copy instead of deriving the source again.
+    """
+    stored = materialize(df, "model-sample")
+    return stored.where(c(train)).drop(train), stored.where(~c(train)).drop(train)
+
+
 def stored_sample(df: DataFrame, sample_fraction: float, seed: int) -> DataFrame:
     """SMP-1: a Bernoulli sample (of 1.0: every row), written once for the passes of a fit."""
     if sample_fraction < 1.0:
@@ -153,28 +193,51 @@ def history_table(train: DataFrame, name: str, digits: int | None = None) -> Dat
     return train.groupBy(*keys).agg(value.alias(out))
 
 
+#: Lookups of the history: tables with the same key are one lookup.
+HISTORY_KEYS = ["ORIGIN", "DEST", "OP_CARRIER", "dep_hour"]
+
+
+def _lookups(names) -> dict[tuple[str, ...], list[str]]:
+    out: dict[tuple[str, ...], list[str]] = {}
+    for name in names:
+        out.setdefault(tuple(HISTORY_SPECS[name][0]), []).append(name)
+    return out
+
+
+def _gid(keys) -> int:
+    """``grouping_id`` of a set: one bit per HISTORY_KEYS column, 1 = rolled up."""
+    return int("".join("0" if k in keys else "1" for k in HISTORY_KEYS), 2)
+
+
 @dataclass
 class HistoryModel:
     """Materialized history tables plus the global mean used for unseen keys."""
     tables: dict[str, DataFrame]
     rows: dict[str, int]
     global_avg_delay: float | None
+    lookups: dict[tuple[str, ...], DataFrame]
     max_broadcast_rows: int = DEFAULT_MAX_BROADCAST_ROWS
 
     def transform(self, frame: DataFrame) -> DataFrame:
-        """JON-4: left-join each history table; unseen keys get the global
-        mean (weather: 0.0). Each table is broadcast only when its measured
-        row count fits; otherwise Spark shuffles for that join."""
+        """JON-4: left-join each lookup; unseen keys get the global mean (weather: 0.0).
+
+        One join per key, whatever the number of averages over it. Each side is
+        broadcast only when its measured row count fits; otherwise Spark shuffles for that
+        join.
+        """
         out, fill = frame, {}
-        for name, table in self.tables.items():
-            keys, source, col = HISTORY_SPECS[name]
-            side = checked_broadcast(table, self.rows[name], self.max_broadcast_rows)
-            out = out.join(side, on=keys, how="left")
-            if source == "weather_delay_signal":
-                fill[col] = 0.0
-            elif self.global_avg_delay is not None:
-                fill[col] = float(self.global_avg_delay)
-        return out.na.fill(fill) if fill else out
+        for keys, names in _lookups(self.tables).items():
+            side = checked_broadcast(self.lookups[keys], self.rows[names[0]], self.max_broadcast_rows)
+            out = out.join(side, on=list(keys), how="left")
+            for name in names:
+                _, source, col = HISTORY_SPECS[name]
+                if source == "weather_delay_signal":
+                    fill[col] = 0.0
+                elif self.global_avg_delay is not None:
+                    fill[col] = float(self.global_avg_delay)
+        # the averages in the order of the specs, as published
+        ordered = [*frame.columns, *[HISTORY_SPECS[n][2] for n in self.tables]]
+        return (out.na.fill(fill) if fill else out).select(*ordered)
 
 
 def fit_history(train: DataFrame, max_broadcast_rows: int = DEFAULT_MAX_BROADCAST_ROWS,
@@ -184,39 +247,31 @@ def fit_history(train: DataFrame, max_broadcast_rows: int = DEFAULT_MAX_BROADCAS
     One scan of the training rows computes every table as a grouping set;
     partial aggregation runs map-side right after the expansion, so only
     per-key partial sums cross the shuffle. The result (one row per key of
-    every table) is written to the shared checkpoint folder and counted per
-    table from that small copy, which decides broadcast vs shuffle for each
-    join. ``names`` restricts the fit to some of the tables.
+    every table) is written to the shared checkpoint folder with one folder per grouping
+    set, so a lookup reads its own rows alone, and counted per set, which decides
+    broadcast vs shuffle for each join. ``names`` restricts the fit to some of the tables.
     """
-    specs = {n: HISTORY_SPECS[n] for n in (names or HISTORY_SPECS)}
-    sets = []
-    for keys, _, _ in specs.values():
-        if keys not in sets:
-            sets.append(keys)
-    sets.append([])
-    grouped = (train.groupingSets(sets, "ORIGIN", "DEST", "OP_CARRIER", "dep_hour")
+    lookups = _lookups(names or HISTORY_SPECS)
+    grouped = (train.groupingSets([*map(list, lookups), []], *HISTORY_KEYS)
                .agg(F.avg("DEP_DELAY").alias("avg_delay"),
                     F.avg("weather_delay_signal").alias("avg_weather"),
-                    F.grouping_id().alias("gid")))
-    stored = materialize(grouped, "delay-history")
-    # grouping_id bits follow the grouping column order ORIGIN, DEST, OP_CARRIER, dep_hour
-    # (1 = rolled up), so each set has a fixed id.
-    def gid(keys):
-        bits = [0 if col in keys else 1 for col in ["ORIGIN", "DEST", "OP_CARRIER", "dep_hour"]]
-        return int("".join(str(b) for b in bits), 2)
-
+                    F.grouping_id().cast("int").alias("gid")))
+    stored = materialize(grouped, "delay-history", partition_by="gid")
     # One small job over the stored table: rows per table and the global mean
     # (the grand-total set has exactly one row).
     meta = {r["gid"]: (r["n"], r["mean"]) for r in stored.groupBy("gid").agg(
         F.count(F.lit(1)).alias("n"), F.max("avg_delay").alias("mean")).collect()}
-    tables, rows = {}, {}
-    for name, (keys, source, col) in specs.items():
-        g = gid(keys)
-        value = "avg_weather" if source == "weather_delay_signal" else "avg_delay"
-        tables[name] = stored.where(c("gid") == g).select(*keys, c(value).alias(col))
-        rows[name] = int(meta.get(g, (0, None))[0])
-    mean = meta.get(gid([]), (0, None))[1]
-    return HistoryModel(tables, rows, mean, max_broadcast_rows)
+    tables, rows, sides = {}, {}, {}
+    for keys, some in lookups.items():
+        part = stored.where(c("gid") == _gid(keys))
+        columns = {n: c("avg_weather" if HISTORY_SPECS[n][1] == "weather_delay_signal" else "avg_delay")
+                   .alias(HISTORY_SPECS[n][2]) for n in some}
+        sides[keys] = part.select(*keys, *columns.values())
+        for n in some:
+            tables[n] = part.select(*keys, columns[n])
+            rows[n] = int(meta.get(_gid(keys), (0, None))[0])
+    tables = {n: tables[n] for n in names or HISTORY_SPECS}
+    return HistoryModel(tables, rows, meta.get(_gid([]), (0, None))[1], sides, max_broadcast_rows)
 
 
 def category_cardinality(features: DataFrame) -> DataFrame:

@@ -13,6 +13,8 @@ from tarmac.operators import fares as fr
 from tarmac.plans import models
 from tarmac.sources import testviews as tv
 
+#: The fixture's row key: samples are those of the ``sampled_rows`` query.
+KEY = ("ROW_KEY",)
 _TRAINED: dict[tuple, models.TrainedModel] = {}
 
 
@@ -21,11 +23,12 @@ def _trained(spark: SparkSession, sf_dir: str, name: str) -> models.TrainedModel
     if key not in _TRAINED:
         flights = tv.flights(spark, sf_dir)
         if name == "delay_rf":
-            _TRAINED[key] = models.train_delay_rf(flights)
+            _TRAINED[key] = models.train_delay_rf(flights, sample_key=KEY)
         elif name == "fare_gbt":
-            _TRAINED[key] = models.train_fare_gbt(fr.repair_fare_scale(tv.fares(spark, sf_dir)))
+            _TRAINED[key] = models.train_fare_gbt(
+                fr.repair_fare_scale(tv.fares(spark, sf_dir)), sample_key=KEY)
         elif name == "delay_gbt":
-            _TRAINED[key] = models.train_delay_gbt(flights)
+            _TRAINED[key] = models.train_delay_gbt(flights, sample_key=KEY)
         else:
             raise KeyError(name)
     return _TRAINED[key]

@@ -63,6 +63,17 @@ def _metrics_row(metrics: DataFrame, model: str, target: str, params: dict) -> D
                           "rmse", "mae", "r2", *extra)
 
 
+#: Flag column of the rows to train with, and their part.
+IN_TRAIN, TRAIN_FRACTION = "in_train", 0.8
+
+
+def _drawn(df: DataFrame, fraction: float, keys: tuple[str, ...], seed: int) -> DataFrame:
+    """The key-hash sample with its train flag."""
+    return ft.sample_by_key(df, fraction, keys, seed).withColumn(
+        IN_TRAIN, F.coalesce(ft.in_share(keys, TRAIN_FRACTION, seed, draw=1), F.lit(False)))
+
+
+# Model inputs, in the order the published models and importances use.
 RF_INPUTS = ["carrier_idx", "origin_idx", "dest_idx", "month", "day_of_week", "is_weekend",
              "is_summer", "is_holiday_season", "is_winter", "DISTANCE"]
 RF_NAMES = ["carrier", "origin", "destination", "month", "day_of_week", "is_weekend",
@@ -70,14 +81,17 @@ RF_NAMES = ["carrier", "origin", "destination", "month", "day_of_week", "is_week
 
 
 def train_delay_rf(flights: DataFrame, sample_fraction: float = 0.40, seed: int = 42,
-                   num_trees: int = 50, max_depth: int = 8, min_instances: int = 10
-                   ) -> TrainedModel:
-    """ML-4: RandomForest on the baseline delay frame (baseline model)."""
+                   num_trees: int = 50, max_depth: int = 8, min_instances: int = 10,
+                   sample_key: tuple[str, ...] = ft.FLIGHT_KEY) -> TrainedModel:
+    """ML-4: RandomForest on the baseline delay frame (baseline model).
+
+    Sample and split follow the hash of ``sample_key``, so reruns fit the same rows.
+    """
     # Tree learners checkpoint to the shared folder (checkpointInterval) when
     # one is set; set it before fitting.
     ensure_checkpoint_dir(flights.sparkSession)
-    data = ft.rf_features(flights)
-    train, test = ft.random_split(data, sample_fraction, 0.8, seed, store=True)
+    drawn = _drawn(flights, sample_fraction, sample_key, seed)
+    train, test = ft.stored_split(ft.rf_features(drawn, keep=(IN_TRAIN,)), IN_TRAIN)
     card = ft.category_cardinality(train).first()
     max_bins = int(card["max_bins"])
     # one indexer, one counting pass for all three category columns
@@ -99,18 +113,19 @@ def train_delay_rf(flights: DataFrame, sample_fraction: float = 0.40, seed: int
     return TrainedModel(fitted, metrics, imp, preds)
 
 
+# Inputs of the fare model.
 FARE_INPUTS = ["origin_idx", "QUARTER", "YEAR", "DISTANCE", "yield_per_mile", "is_peak_quarter"]
 
 
 def train_fare_gbt(fares: DataFrame, sample_fraction: float = 0.40, seed: int = 42,
-                   max_iter: int = 50, max_depth: int = 6, step_size: float = 0.1
-                   ) -> TrainedModel:
+                   max_iter: int = 50, max_depth: int = 6, step_size: float = 0.1,
+                   sample_key: tuple[str, ...] = ft.FARE_KEY) -> TrainedModel:
     """ML-5: GBT on the fare frame (expects batch-repaired fares)."""
     # GBT checkpoints its running predictions every checkpointInterval (10)
     # iterations into the shared folder, which cuts lineage across iterations.
     ensure_checkpoint_dir(fares.sparkSession)
-    data = ft.fare_features(fares)
-    train, test = ft.random_split(data, sample_fraction, 0.8, seed, store=True)
+    drawn = _drawn(fares, sample_fraction, sample_key, seed)
+    train, test = ft.stored_split(ft.fare_features(drawn, keep=(IN_TRAIN,)), IN_TRAIN)
     max_bins = int(ft.fare_cardinality(train).first()["max_bins"])
     stages = [StringIndexer(inputCol="ORIGIN", outputCol="origin_idx", handleInvalid="keep"),
               VectorAssembler(inputCols=FARE_INPUTS, outputCol="features", handleInvalid="keep"),
@@ -123,6 +138,7 @@ def train_fare_gbt(fares: DataFrame, sample_fraction: float = 0.40, seed: int =
     return TrainedModel(fitted, metrics, None, preds)
 
 
+# Inputs of the improved delay model.
 DELAY_V2_INPUTS = ["carrier_idx", "month", "day_of_week", "dep_hour", "is_weekend", "is_summer",
                    "is_holiday_season", "is_winter", "DISTANCE", "CRS_ELAPSED_TIME",
                    "weather_delay_signal", *ft.HISTORY_COLUMNS]
@@ -131,24 +147,21 @@ DELAY_V2_INPUTS = ["carrier_idx", "month", "day_of_week", "dep_hour", "is_weeken
 def train_delay_gbt(flights: DataFrame, sample_fraction: float = 0.20, seed: int = 42,
                     max_iter: int = 30, max_depth: int = 6, max_bins: int = 64,
                     step_size: float = 0.08, subsampling_rate: float = 0.8,
-                    exclude_leaky: bool = False, split_key: str | None = None) -> TrainedModel:
+                    exclude_leaky: bool = False, split_key: str | None = None,
+                    sample_key: tuple[str, ...] = ft.FLIGHT_KEY) -> TrainedModel:
     """ML-6: improved GBT delay model with history (target-mean) features.
 
     ``exclude_leaky`` drops the same-flight weather delay, which is not known
-    before departure; the reference keeps it. ``split_key`` switches the
-    random split to the repeatable key split; the sample is drawn and stored either way.
+    before departure; the reference keeps it. ``split_key`` splits by the last digit of
+    that column instead of the hash of ``sample_key``; the sample is by the hash either way.
     """
     # GBT checkpoints its running predictions every checkpointInterval (10)
     # iterations into the shared folder, which cuts lineage across iterations.
     ensure_checkpoint_dir(flights.sparkSession)
-    keep = (split_key,) if split_key else ()
-    data = ft.delay_base(flights, keep=keep)
+    drawn = _drawn(flights, sample_fraction, sample_key, seed)
     if split_key:
-        sample = ft.stored_sample(data, sample_fraction, seed)
-        train, test = ft.split_by_key(sample, split_key, 8)
-        train, test = train.drop(split_key), test.drop(split_key)
-    else:
-        train, test = ft.random_split(data, sample_fraction, 0.8, seed, store=True)
+        drawn = drawn.withColumn(IN_TRAIN, F.pmod(F.col(split_key), F.lit(10)) < 8)
+    train, test = ft.stored_split(ft.delay_base(drawn, keep=(IN_TRAIN,)), IN_TRAIN)
     history = ft.fit_history(train)
     train_x, test_x = history.transform(train), history.transform(test)
     inputs = [c for c in DELAY_V2_INPUTS if not (exclude_leaky and c == "weather_delay_signal")]
