@@ -27,11 +27,11 @@ def route_statistics(flights: DataFrame, min_flights: int = THRESHOLDS["route_st
             .withColumn("delay_risk", delay_risk(c("hist_avg_dep_delay"))))
 
 
-def route_recommendations(route_stats: DataFrame, origin_fares: DataFrame,
-                          delay_cuts=(10, 25), fare_cuts=(300, 500), volume_cuts=(1000, 300),
-                          weights=(0.50, 0.35, 0.15), buy_at: float = 0.75,
-                          hold_at: float = 0.45) -> DataFrame:
-    """ML-13: weighted route score from delay, fare and volume tiers.
+def scored_routes(route_stats: DataFrame, origin_fares: DataFrame,
+                  delay_cuts=(10, 25), fare_cuts=(300, 500), volume_cuts=(1000, 300),
+                  weights=(0.50, 0.35, 0.15), buy_at: float = 0.75,
+                  hold_at: float = 0.45) -> DataFrame:
+    """ML-13: weighted route score from delay, fare and volume tiers, in no order.
 
     A route whose origin has no fares scores fare 0.0 (a null falls to
     ``otherwise``). Both inputs are aggregates keyed by airport or route; the
@@ -52,12 +52,16 @@ def route_recommendations(route_stats: DataFrame, origin_fares: DataFrame,
         "ensemble_score",
         F.round(c("delay_score") * w_delay + c("fare_score") * w_fare
                 + c("volume_score") * w_volume, 4))
-    scored = scored.withColumn(
+    return scored.withColumn(
         "recommendation",
         tiered(c("ensemble_score"), [(buy_at, "BUY"), (hold_at, "HOLD")], "AVOID",
                inclusive=True))
-    return scored.orderBy(F.desc("ensemble_score"), F.desc("total_flights"),
-                          F.asc_nulls_last("ORIGIN"), F.asc_nulls_last("DEST"))
+
+
+def route_recommendations(route_stats: DataFrame, origin_fares: DataFrame, **rules) -> DataFrame:
+    """ML-13: ``scored_routes``, best first (its arguments are ``rules``)."""
+    return scored_routes(route_stats, origin_fares, **rules).orderBy(
+        F.desc("ensemble_score"), F.desc("total_flights"), F.asc_nulls_last("ORIGIN"), F.asc_nulls_last("DEST"))
 
 
 def carrier_comparison(lookup: DataFrame, carriers: DataFrame) -> DataFrame:
