@@ -5,7 +5,9 @@
                                   --out processed [--input-format parquet] [--output-format csv]
     python -m tarmac.cli models   --flights wh/flights --fares wh/fares --out models \
                                   --processed processed
-    python -m tarmac.cli ingest   --source landing/flights --summary wh/flight_summary
+    python -m tarmac.cli route    --requests asked.csv --routes wh/routes --out answers \
+                                  [--flights wh/flights --fares wh/fares]
+    python -m tarmac.cli ingest   --kind flights --source landing/flights --summary wh/flight_summary
 
 Paths may be globs or folders on any Hadoop file system. The session comes
 from ``spark-submit`` (cluster settings, ``spark.checkpoint.dir``); run
@@ -27,7 +29,10 @@ def _session(args):
 def cmd_convert(args) -> None:
     from tarmac.sources.convert import convert_csv
     spark = _session(args)
-    convert_csv(spark, args.kind, args.input, args.output)
+    report = convert_csv(spark, args.kind, args.input, args.output, quarantine=not args.keep_malformed)
+    for name, n in report.items():
+        if n:
+            print(f"{name}: {n}")
 
 
 def _inputs(spark, args):
@@ -47,13 +52,37 @@ def cmd_reports(args) -> None:
     from tarmac.streaming.ingest import merged_summary
     spark = _session(args)
     flights, fares, weather, airports, carriers = _inputs(spark, args)
-    summary = merged_summary(spark, args.flight_summary) if args.flight_summary else None
+    kept = {"flight_summary": ("flights", args.flight_summary), "fare_cells": ("fares", args.fare_summary),
+            "weather_summary": ("weather", args.weather_summary)}
     run(spark, flights, fares, weather, airports, carriers, args.out, args.output_format,
-        flight_summary=summary)
+        **{name: merged_summary(spark, path, kind) for name, (kind, path) in kept.items() if path})
     save_record(ensemble_summary_record(spark), os.path.join(args.out, "ensemble_model_summary"))
     save_record(thresholds_record(spark), os.path.join(args.out, "recommendation_thresholds"))
 
 
+def cmd_route(args) -> None:
+    """Answer a file of route requests from the stored routes, made from the flights if not there yet."""
+    from tarmac.functions.defaults import THRESHOLDS
+    from tarmac.operators.joins import materialize
+    from tarmac.plans import routes, summary as sm
+    from tarmac.plans.sinks import save_table
+    from tarmac.sources.files import path_exists, read_fares, read_flights, read_requests, read_saved_report
+    spark = _session(args)
+    days = os.path.join(args.routes, "weekday_delays")
+    if args.flights and not path_exists(spark, days):
+        summary = materialize(sm.flight_summary(read_flights(spark, args.flights, args.input_format)), "flight-summary")
+        fares = sm.settled_fares(sm.fare_cells(read_fares(spark, args.fares, args.input_format)))
+        facts = routes.route_facts(summary, sm.fare_reports(fares, THRESHOLDS)["fare_by_origin"])
+        routes.save_routes(facts, "tarmac_routes", os.path.join(args.routes, "table"))
+        save_table(sm.delay_reports(summary, THRESHOLDS)["daily_delays"], days)
+    known = routes.open_routes(spark, "tarmac_routes", os.path.join(args.routes, "table"))
+    weekdays = read_saved_report(spark, days)
+    if weekdays is None:
+        raise SystemExit("no routes stored yet: name --flights and --fares")
+    save_table(routes.answer(read_requests(spark, args.requests, args.requests_format), known, weekdays),
+               args.out, args.output_format)
+
+
 def cmd_models(args) -> None:
     """Train, evaluate and save the baseline delay, fare and improved delay models."""
     from pyspark.sql import functions as F
@@ -89,11 +118,11 @@ def cmd_models(args) -> None:
 
 
 def cmd_ingest(args) -> None:
-    """Pick up new flight files and extend the stored flight summary."""
+    """Pick up new files of one kind and extend their stored summary."""
     from tarmac.streaming.ingest import start_summary_stream
     spark = _session(args)
     query = start_summary_stream(spark, args.source, args.summary, args.input_format,
-                                 available_now=not args.continuous)
+                                 available_now=not args.continuous, kind=args.kind)
     query.awaitTermination()
 
 
@@ -106,8 +135,20 @@ def main(argv=None) -> None:
     c.add_argument("--kind", choices=["flights", "fares", "weather"], required=True)
     c.add_argument("--input", nargs="+", required=True)
     c.add_argument("--output", required=True)
+    c.add_argument("--keep-malformed", action="store_true",
+                   help="keep rows with unreadable values, as nulls, instead of setting them aside")
     c.set_defaults(func=cmd_convert)
 
+    r = sub.add_parser("route")
+    r.add_argument("--requests", nargs="+", required=True)
+    r.add_argument("--routes", required=True, help="folder of the stored routes")
+    r.add_argument("--out", required=True)
+    r.add_argument("--flights", nargs="+", help="tables to make the routes from when there are none yet")
+    r.add_argument("--fares", nargs="+")
+    for name, default in (("input", "parquet"), ("requests", "csv"), ("output", "parquet")):
+        r.add_argument(f"--{name}-format", default=default, choices=["csv", "parquet"])
+    r.set_defaults(func=cmd_route)
+
     for name, func in (("reports", cmd_reports), ("models", cmd_models)):
         s = sub.add_parser(name)
         s.add_argument("--flights", nargs="+", required=True)
@@ -118,7 +159,8 @@ def main(argv=None) -> None:
         s.set_defaults(func=func)
         if name == "reports":
             s.add_argument("--output-format", default="parquet", choices=["csv", "parquet"])
-            s.add_argument("--flight-summary", help="summary table kept by the ingest command")
+            for kind in ("flight", "fare", "weather"):
+                s.add_argument(f"--{kind}-summary", help="summary table kept by the ingest command")
         else:
             s.add_argument("--processed", required=True)
             s.add_argument("--exclude-leaky", action="store_true")
@@ -126,6 +168,7 @@ def main(argv=None) -> None:
     i = sub.add_parser("ingest")
     i.add_argument("--source", required=True)
     i.add_argument("--summary", required=True)
+    i.add_argument("--kind", choices=["flights", "fares", "weather"], default="flights")
     i.add_argument("--input-format", default="parquet", choices=["csv", "parquet"])
     i.add_argument("--continuous", action="store_true")
     i.set_defaults(func=cmd_ingest)

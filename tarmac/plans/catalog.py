@@ -14,10 +14,11 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from tarmac.operators import airports as ap
-from tarmac.operators import delays, fares as fr, features as ft, network, recommend, traffic
+from tarmac.operators import delays, fares as fr, features as ft, flight_weather, network, positions
+from tarmac.operators import recommend, traffic
 from tarmac.operators import weather as wx
-from tarmac.operators.joins import checked_broadcast, materialize
-from tarmac.plans import roundtrip
+from tarmac.operators.joins import checked_broadcast, materialize, scratch_path
+from tarmac.plans import forest, roundtrip
 from tarmac.sources import dimensions
 from tarmac.sources import testviews as tv
 
@@ -30,6 +31,19 @@ FIX = {
 }
 
 
+#: A small forest over delay features, for the check of node-table scoring in both engines: per
+#: tree its weight and its nodes by number: (feature, threshold or set of left categories, left,
+#: right, gain), or a leaf's prediction.
+FOREST_INPUTS = ("DISTANCE", "dep_hour", "month", "is_weekend", "carrier_digit")
+FOREST = [
+    (0.5, {0: ("DISTANCE", 400.0, 1, 2, 30.0), 1: ("month", 6.0, 3, 4, 12.5), 2: ("carrier_digit", {1, 3}, 5, 6, 4.0),
+           3: 11.25, 4: 7.5, 5: 20.0, 6: 31.0}),
+    (0.25, {0: ("dep_hour", 11.0, 1, 2, 8.0), 1: 2.0, 2: ("is_weekend", 0.0, 3, 4, 2.25), 3: 6.0,
+            4: ("DISTANCE", 800.0, 5, 6, 1.0), 5: -3.0, 6: 4.5}),
+    (0.25, {0: 100.0}),
+]
+
+
 def _flights(spark, d):
     return tv.flights(spark, d)
 
@@ -39,8 +53,17 @@ def _fares(spark, d):
     return fr.repair_fare_scale(tv.fares(spark, d))
 
 
-def _clean_fares(spark, d):
-    return fr.clean_fares(_fares(spark, d))
+def _fare_report(name):
+    """A fare report from one scan of the raw fares: the repair is decided in the summary."""
+    def run(spark, d):
+        from tarmac.plans import summary as sm
+        return sm.fare_reports(sm.settled_fares(sm.fare_cells(tv.fares(spark, d))), FIX)[name]
+    return run
+
+
+def _batch_means(spark, d):
+    from tarmac.plans import summary as sm
+    return sm.cell_batch_means(sm.fare_cells(tv.fares(spark, d)))
 
 
 def _route_stats(spark, d):
@@ -49,7 +72,7 @@ def _route_stats(spark, d):
 
 def _recommendations(spark, d):
     return recommend.route_recommendations(
-        _route_stats(spark, d), fr.fare_by_origin(_fares(spark, d)),
+        _route_stats(spark, d), _fare_report("fare_by_origin")(spark, d),
         fare_cuts=FIX["fare_cuts"], volume_cuts=FIX["volume_cuts"])
 
 
@@ -63,21 +86,73 @@ def _delay_split(spark, d):
     return base, train, test
 
 
+def _route_facts(spark, d):
+    """Routes and weekday delays from one flight summary: one scan of flights, one of fares."""
+    from tarmac.plans import routes, summary as sm
+    measures = ("n", "date_max", "dep_sum", "dep_n", "arr_dep_sum", "arr_dep_n")
+    s = sm.with_absent_measures(materialize(sm.flight_summary(_flights(spark, d), measures), "flight-summary"))
+    return routes.route_facts(s, _fare_report("fare_by_origin")(spark, d), FIX), \
+        sm.delay_reports(s, FIX)["daily_delays"]
+
+
 def route_report(spark, d):
-    """RAM-7 over route requests derived from the data (every route on its
-    latest flight date). Requests, route statistics, carrier lookup and
-    weekday delays all come from one materialized flight summary: one scan
-    of the flights instead of four."""
-    from tarmac.plans import summary as sm
-    measures = ("n", "date_max", "dep_sum", "dep_n")
-    s = sm.with_absent_measures(materialize(sm.flight_summary(_flights(spark, d), measures),
-                                            "flight-summary"))
-    net = sm.network_reports(s, FIX)
-    recs = recommend.route_recommendations(
-        net["route_statistics"], fr.fare_by_origin(_fares(spark, d)),
-        fare_cuts=FIX["fare_cuts"], volume_cuts=FIX["volume_cuts"])
-    return recommend.route_report(sm.latest_route_dates(s), recs, net["route_lookup"],
-                                  sm.delay_reports(s, FIX)["daily_delays"])
+    """RAM-7 over requests derived from the data: every route on its latest flight date."""
+    from tarmac.plans.routes import answer
+    facts, days = _route_facts(spark, d)
+    facts = materialize(facts, "routes")
+    return answer(facts.select("ORIGIN", "DEST", F.col("latest_date").alias("travel_date")), facts, days)
+
+
+def route_requests(spark, d):
+    """RAM-7: a requests file read against the stored, bucketed routes.
+
+    Requests: every nation pair with a supplier-side flight date (known routes), the same
+    with an unknown destination, and without a date.
+    """
+    from tarmac.plans.routes import answer, open_routes, save_routes
+    from tarmac.sources.files import read_requests
+    facts, days = _route_facts(spark, d)
+    path = scratch_path(spark, "routes")
+    table = "routes_" + path.rsplit("-", 1)[1]
+    save_routes(facts, table, f"{path}/table")
+    asked = _flights(spark, d).where("ROW_KEY % 50 = 0").select(
+        "ROW_KEY", "ORIGIN", F.when(F.col("ROW_KEY") % 3 == 0, F.lit("NOWHERE")).otherwise(F.col("DEST")).alias("DEST"),
+        F.when(F.col("ROW_KEY") % 4 > 0, F.col("FL_DATE")).alias("travel_date"))
+    asked.drop("ROW_KEY").write.option("header", True).csv(f"{path}/requests")
+    return answer(read_requests(spark, f"{path}/requests"), open_routes(spark, table, f"{path}/table"), days)
+
+
+def sampled_rows(spark, d):
+    """SMP-1/2: the rows that the three model fits draw, and which of them train."""
+    def drawn(model, view, fraction):
+        return ft.sample_by_key(view, fraction, ("ROW_KEY",)).select(
+            F.lit(model).alias("model"), "ROW_KEY", ft.in_share(("ROW_KEY",), 0.8, draw=1).alias("in_train"))
+    flights, fares = _flights(spark, d), tv.fares(spark, d)
+    return drawn("delay_rf", flights, 0.4).unionByName(drawn("fare_gbt", fares, 0.4)) \
+        .unionByName(drawn("delay_gbt", flights, 0.2))
+
+
+def _literal_forest(spark):
+    return forest.forest_from_rows(spark, FOREST, FOREST_INPUTS)
+
+
+def forest_scores(spark, d):
+    """ML-4..7: scores of a small literal forest for every flight, by its node table."""
+    base, _, _ = _delay_split(spark, d)
+    carriers = F.substring("OP_CARRIER", -1, 1).cast("double").alias("carrier_digit")
+    rows = base.select("ROW_KEY", "DISTANCE", "dep_hour", "month", "is_weekend", carriers)
+    scored = forest.score(rows, _literal_forest(spark), list(FOREST_INPUTS))
+    return scored.select("ROW_KEY", F.round("prediction", 6).alias("prediction"))
+
+
+def forest_importances(spark, d):
+    """ML-9: importances of the literal forest, weighted by the flights that reach each node."""
+    base, _, _ = _delay_split(spark, d)
+    carriers = F.substring("OP_CARRIER", -1, 1).cast("double").alias("carrier_digit")
+    rows = base.select("ROW_KEY", "DISTANCE", "dep_hour", "month", "is_weekend", carriers)
+    nodes = forest.with_visits(rows, _literal_forest(spark), list(FOREST_INPUTS))
+    return forest.importances(nodes, list(FOREST_INPUTS)).select(
+        "feature", F.round("importance", 6).alias("importance"))
 
 
 def delay_features(spark, d):
@@ -189,6 +264,69 @@ def record_counts(spark, d):
     return flights.unionByName(fares).unionByName(weather)
 
 
+#: The reports that come in an order, and the columns that identify their rows.
+ORDERED = {
+    "airport_traffic_top": ("airport",), "most_departures": ("ORIGIN",), "most_arrivals": ("DEST",),
+    "busiest_airports": ("airport",), "top_dep_delays": ("ORIGIN",), "top_arr_delays": ("DEST",),
+    "monthly_delays": ("month",), "daily_delays": ("day_of_week",), "cancellation_rates": ("OP_CARRIER",),
+    "fare_by_year": ("YEAR",), "fare_by_quarter": ("QUARTER",), "most_expensive_airports": ("ORIGIN",),
+    "cheapest_airports": ("ORIGIN",), "price_trend": ("YEAR", "QUARTER"), "best_value_airports": ("ORIGIN",),
+    "fare_batch_audit": ("YEAR", "QUARTER"), "weather_by_station": ("NAME",), "seasonal_weather": ("month",),
+    "weather_delays_by_airport": ("ORIGIN",), "weather_delays_by_month": ("month",),
+    "worst_weather_airports": ("ORIGIN",), "airport_nodes": ("airport",), "route_edges": ("ORIGIN", "DEST"),
+    "route_recommendations": ("ORIGIN", "DEST"), "airport_nodes_geo": ("code",),
+    "busiest_routes": ("origin", "dest"), "route_lookup_export": ("origin", "dest", "carrier"),
+}
+
+
+def _reports(spark, d, carriers):
+    """Every report over the whole tables, each fact table scanned once."""
+    from tarmac.plans.batch_reports import build_reports
+    return build_reports(spark, _flights(spark, d), tv.fares(spark, d), tv.weather(spark, d),
+                         tv.airports(spark, d), carriers, thresholds=FIX)
+
+
+#: The fixture's flights end before its weather begins: days by which weather is taken back.
+WEATHER_SHIFT = 6205
+
+
+def _daily(spark, d):
+    weather = tv.weather(spark, d).withColumn("DATE", F.date_sub("DATE", WEATHER_SHIFT))
+    return flight_weather.flight_weather_daily(_flights(spark, d), weather, tv.station_map(spark, d))
+
+
+def flight_weather_daily(spark, d):
+    """Flights and weather of each airport and day."""
+    return flight_weather.rounded(_daily(spark, d))
+
+
+def weather_delay_corr(spark, d):
+    """Correlation of a day's weather with its mean departure delay, by airport and over all."""
+    return flight_weather.weather_delay_corr(_daily(spark, d))
+
+
+def report_positions(spark, d):
+    """SRT-1..3, LIM-1/2: the place of every row in every ordered report."""
+    return positions.positions(_reports(spark, d, dimensions.carriers(spark)), ORDERED)
+
+
+def _bundle(spark, d):
+    """RAM-6: the results bundle, from reports over one scan of each fact table."""
+    from tarmac.plans.batch_reports import bundle_sections_from
+    from tarmac.plans.bundle import results_bundle
+    carriers = tv.brand_carriers(spark, d)
+    return results_bundle(spark, bundle_sections_from(_reports(spark, d, carriers), carriers))
+
+
+def bundle_records(spark, d):
+    """SNK-4, RAM-6, SRC-8: the bundle written as JSON, read back, and taken apart into records."""
+    from tarmac.plans.bundle import bundle_records as records
+    from tarmac.plans.sinks import save_record
+    bundle, path = _bundle(spark, d), scratch_path(spark, "bundle")
+    save_record(bundle, path)
+    return records(spark, path, bundle.schema)
+
+
 def bundle_sections(spark, d):
     """RAM-6: rows per section of the results bundle.
 
@@ -196,11 +334,9 @@ def bundle_sections(spark, d):
     each scanned once into a shared summary), not from ~20 separate scans.
     """
     from tarmac.plans.bundle import section_counts
-    from tarmac.plans.batch_reports import build_reports, bundle_sections_from
+    from tarmac.plans.batch_reports import bundle_sections_from
     carriers = dimensions.carriers(spark)
-    reports = build_reports(spark, _flights(spark, d), tv.fares(spark, d), tv.weather(spark, d),
-                            tv.airports(spark, d), carriers, thresholds=FIX)
-    return section_counts(bundle_sections_from(reports, carriers))
+    return section_counts(bundle_sections_from(_reports(spark, d, carriers), carriers))
 
 
 def queries() -> dict[str, Callable[[SparkSession, str], DataFrame]]:
@@ -228,19 +364,11 @@ def queries() -> dict[str, Callable[[SparkSession, str], DataFrame]]:
         "airports_by_state": lambda s, d: ap.airports_by_state(tv.airports(s, d)),
         # fares
         "fare_scale_repair": lambda s, d: _fares(s, d),
-        "fare_batch_audit": lambda s, d: fr.fare_batch_audit(tv.fares(s, d)),
-        "fare_batch_status": lambda s, d: fr.fare_batch_status(tv.fares(s, d)),
-        "fare_by_year": lambda s, d: fr.fare_by_year(_clean_fares(s, d)),
-        "fare_by_quarter": lambda s, d: fr.fare_by_quarter(_clean_fares(s, d)),
-        "most_expensive_airports": lambda s, d: fr.most_expensive_airports(
-            _clean_fares(s, d), FIX["origin_fares"]),
-        "cheapest_airports": lambda s, d: fr.cheapest_airports(_clean_fares(s, d),
-                                                               FIX["origin_fares"]),
-        "price_trend": lambda s, d: fr.price_trend(_clean_fares(s, d)),
-        "best_value_airports": lambda s, d: fr.best_value_airports(_clean_fares(s, d),
-                                                                   FIX["origin_fares"]),
-        "fare_summary": lambda s, d: fr.fare_summary(_clean_fares(s, d)),
-        "fare_by_origin": lambda s, d: fr.fare_by_origin(_fares(s, d)),
+        "fare_batch_audit": lambda s, d: fr.fare_batch_audit(tv.fares(s, d), means=_batch_means(s, d)),
+        "fare_batch_status": lambda s, d: fr.fare_batch_status(tv.fares(s, d), means=_batch_means(s, d)),
+        **{name: _fare_report(name) for name in (
+            "fare_by_year", "fare_by_quarter", "most_expensive_airports", "cheapest_airports", "price_trend",
+            "best_value_airports", "fare_summary", "fare_by_origin")},
         # weather
         "weather_by_station": lambda s, d: wx.weather_by_station(tv.weather(s, d)),
         "weather_delays_by_airport": lambda s, d: wx.weather_delays_by_airport(
@@ -265,6 +393,7 @@ def queries() -> dict[str, Callable[[SparkSession, str], DataFrame]]:
         "carrier_comparison": lambda s, d: recommend.carrier_comparison(
             _lookup(s, d), tv.brand_carriers(s, d)),
         "route_report": route_report,
+        "route_requests": route_requests,
         # features
         "rf_features": lambda s, d: ft.rf_features(_flights(s, d)),
         "fare_features": lambda s, d: ft.fare_features(_fares(s, d)),
@@ -277,8 +406,15 @@ def queries() -> dict[str, Callable[[SparkSession, str], DataFrame]]:
         "index_tables": index_tables,
         "assembled_features": assembled_features,
         "metrics_comparison": metrics_comparison,
+        "sampled_rows": sampled_rows,
+        "flight_weather_daily": flight_weather_daily,
+        "weather_delay_corr": weather_delay_corr,
+        "forest_scores": forest_scores,
+        "forest_importances": forest_importances,
         "record_counts": record_counts,
         "bundle_sections": bundle_sections,
+        "bundle_records": bundle_records,
+        "report_positions": report_positions,
     }
     q.update(roundtrip.queries())
     for name in ft.HISTORY_SPECS:

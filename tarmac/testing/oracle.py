@@ -10,7 +10,7 @@ INTEGER / BIGINT casts where DuckDB widens types.
 from __future__ import annotations
 
 from tarmac.operators.features import HISTORY_SPECS
-from tarmac.plans.catalog import FIX
+from tarmac.plans.catalog import FIX, FOREST, FOREST_INPUTS, ORDERED
 from tarmac.sources.testviews import duckdb_with
 
 
@@ -131,7 +131,16 @@ NEEDS = {
     "recs": ["flights", "route_stats", "fares", "batch", "rfares", "cfares", "fbo"],
     "carriers": [],
 }
-VIEW_NAMES = ["flights", "fares", "weather", "airports", "brand_carriers"]
+DERIVED["daily_weather"] = (
+    "station_days AS (SELECT m.airport, w.DATE - 6205 AS day, count(*) AS station_days, avg(PRCP) AS PRCP, "
+    "avg(SNOW) AS SNOW, avg(TMAX) AS TMAX, avg(TMIN) AS TMIN, avg(AWND) AS AWND FROM weather w JOIN station_map m "
+    "ON w.NAME = m.NAME GROUP BY 1, 2),\n"
+    "daily_weather AS (SELECT f.*, s.station_days, s.PRCP, s.SNOW, s.TMAX, s.TMIN, s.AWND FROM ("
+    "SELECT ORIGIN AS airport, FL_DATE AS day, count(*) AS flights, avg(DEP_DELAY) AS dep_delay, "
+    "avg(WEATHER_DELAY) AS weather_delay FROM flights GROUP BY 1, 2) f "
+    "LEFT JOIN station_days s ON f.airport = s.airport AND f.day = s.day)")
+NEEDS["daily_weather"] = ["flights", "weather", "station_map"]
+VIEW_NAMES = ["flights", "fares", "weather", "airports", "brand_carriers", "station_map"]
 
 
 def sql(body: str, *ctes: str) -> str:
@@ -278,7 +287,8 @@ def _record_counts() -> str:
     return sql(body, "flights", "weather", "cfares", "base")
 
 
-def _route_report() -> str:
+def _route_report(requests: str = "SELECT ORIGIN, DEST, max(FL_DATE) AS travel_date FROM flights WHERE ORIGIN IS "
+                                  "NOT NULL AND DEST IS NOT NULL GROUP BY ORIGIN, DEST") -> str:
     body = (
         "SELECT q.ORIGIN, q.DEST, q.travel_date, "
         "CAST(dayofweek(q.travel_date) + 1 AS INTEGER) AS day_of_week, "
@@ -286,8 +296,7 @@ def _route_report() -> str:
         "r.hist_avg_dep_delay AS expected_delay_min, r.hist_avg_fare AS estimated_fare_usd, "
         "r.delay_risk, r.ensemble_score, r.recommendation, dd.avg_dep_delay AS weekday_avg_delay, "
         "b.carriers_on_route, b.best_carrier FROM "
-        "(SELECT ORIGIN, DEST, max(FL_DATE) AS travel_date FROM flights WHERE ORIGIN IS NOT NULL "
-        "AND DEST IS NOT NULL GROUP BY ORIGIN, DEST) q "
+        f"({requests}) q "
         "LEFT JOIN recs r ON q.ORIGIN = r.ORIGIN AND q.DEST = r.DEST "
         "LEFT JOIN (SELECT ORIGIN, DEST, count(*) AS carriers_on_route, "
         "min(CASE WHEN rn = 1 THEN OP_CARRIER END) AS best_carrier FROM "
@@ -332,6 +341,172 @@ def _bundle_sections() -> str:
     return sql(body, "nodes", "edges", "lookup", "carriers", "cfares", "daily")
 
 
+
+def _desc(*parts: str) -> str:
+    return ", ".join(f"{p} DESC NULLS LAST" if i == 0 else f"{p} ASC NULLS LAST" for i, p in enumerate(parts))
+
+
+REPORT_ORDER = {
+    "airport_traffic_top": _desc("total_traffic", "airport"),
+    "most_departures": _desc("total_departures", "ORIGIN"), "most_arrivals": _desc("total_arrivals", "DEST"),
+    "busiest_airports": _desc("total_traffic", "airport"),
+    "top_dep_delays": _desc("avg_dep_delay_min", "ORIGIN"), "top_arr_delays": _desc("avg_arr_delay_min", "DEST"),
+    "monthly_delays": "month ASC NULLS FIRST", "daily_delays": "day_of_week ASC NULLS FIRST",
+    "cancellation_rates": _desc("cancellation_rate_pct", "OP_CARRIER"),
+    "fare_by_year": "YEAR ASC NULLS FIRST", "fare_by_quarter": "QUARTER ASC NULLS FIRST",
+    "most_expensive_airports": _desc("avg_fare_usd", "ORIGIN"),
+    "cheapest_airports": "avg_fare_usd ASC NULLS FIRST, ORIGIN ASC NULLS LAST",
+    "price_trend": "YEAR ASC NULLS FIRST, QUARTER ASC NULLS FIRST",
+    "best_value_airports": "avg_cents_per_mile ASC NULLS FIRST, ORIGIN ASC NULLS LAST",
+    "fare_batch_audit": "YEAR ASC NULLS FIRST, QUARTER ASC NULLS FIRST",
+    "weather_by_station": _desc("avg_daily_precipitation", "NAME"), "seasonal_weather": "month ASC NULLS FIRST",
+    "weather_delays_by_airport": _desc("avg_weather_delay_min", "ORIGIN"),
+    "weather_delays_by_month": "month ASC NULLS FIRST",
+    "worst_weather_airports": _desc("avg_weather_delay_min", "ORIGIN"),
+    "airport_nodes": _desc("total_traffic", "airport"), "route_edges": _desc("flight_count", "ORIGIN", "DEST"),
+    "route_recommendations": "ensemble_score DESC NULLS LAST, total_flights DESC NULLS LAST, "
+                             "ORIGIN ASC NULLS LAST, DEST ASC NULLS LAST",
+    "airport_nodes_geo": _desc("total_traffic", "code"), "busiest_routes": _desc("flight_count", "origin", "dest"),
+    "route_lookup_export": _desc("total_flights", "origin", "dest", "carrier"),
+    "delay_causes": "avg_weather_delay_min",
+}
+
+
+def _report_positions(q: dict[str, str]) -> str:
+    parts = []
+    for name, keys in ORDERED.items():
+        key = ", ".join(f"coalesce(CAST({k} AS VARCHAR), 'null')" for k in keys)
+        parts.append(f"SELECT '{name}' AS report, row_number() OVER (ORDER BY {REPORT_ORDER[name]}) AS position, "
+                     f"concat_ws('|', {key}) AS key FROM ({q[name]}) r")
+    return " UNION ALL ".join(parts)
+
+
+#: The bundle's sections: report, then its fields as written, d: fractional, i: whole, s: text.
+BUNDLE_FIELDS = {
+    "airports": ("airport_nodes_geo", "code:s lat:d lon:d state:s total_departures:i total_arrivals:i "
+                 "total_traffic:i outbound_routes:i avg_dep_delay:d avg_arr_delay:d network_score:d"),
+    "busiest_routes": ("busiest_routes", "origin:s dest:s flight_count:i avg_delay:d avg_distance:d"),
+    "route_lookup": ("route_lookup_export", "origin:s dest:s carrier:s total_flights:i avg_dep_delay:d "
+                     "avg_arr_delay:d avg_weather_delay:d avg_carrier_delay:d pct_delayed:d cancellation_rate:d"),
+    "fare_by_year": ("fare_by_year", "YEAR:i avg_fare_usd:d min_fare_usd:d max_fare_usd:d total_itineraries:i"),
+    "fare_by_quarter": ("fare_by_quarter", "QUARTER:i avg_fare_usd:d total_itineraries:i quarter_label:s"),
+    "monthly_delays": ("monthly_delays", "month:i avg_dep_delay:d"),
+    "daily_delays": ("daily_delays", "day_of_week:i avg_dep_delay:d"),
+    "delay_causes": ("delay_causes", "avg_carrier_delay_min:d avg_weather_delay_min:d avg_nas_delay_min:d "
+                     "avg_security_delay_min:d avg_late_aircraft_min:d"),
+    "most_expensive": ("most_expensive_airports", "ORIGIN:s avg_fare_usd:d avg_yield_per_mile:d total_itineraries:i"),
+    "cheapest": ("cheapest_airports", "ORIGIN:s avg_fare_usd:d avg_yield_per_mile:d total_itineraries:i"),
+    "best_value": ("best_value_airports", "ORIGIN:s avg_fare_usd:d avg_distance_miles:d avg_cents_per_mile:d "
+                   "total_itineraries:i"),
+    "worst_weather": ("worst_weather_airports", "ORIGIN:s avg_weather_delay_min:d pct_severe_weather_delay:d "
+                      "total_flights:i"),
+    "top_dep_delays": ("top_dep_delays", "ORIGIN:s avg_dep_delay_min:d total_flights:i pct_over_15min:d"),
+    "top_arr_delays": ("top_arr_delays", "DEST:s avg_arr_delay_min:d total_flights:i pct_over_15min:d"),
+}
+
+
+def _json_text(fields: str) -> str:
+    """One record as JSON: missing numbers 0, fractional ones with four digits."""
+    def text(field: str) -> str:
+        name, kind = field.split(":")
+        value = {"s": f"'\"' || replace(replace({name}, '\\', '\\\\'), '\"', '\\\"') || '\"'",
+                 "i": f"CAST(coalesce({name}, 0) AS VARCHAR)",
+                 "d": f"CAST(CAST(coalesce({name}, 0.0) AS DECIMAL(28,4)) AS VARCHAR)"}[kind]
+        return f"'\"{name}\":' || coalesce({value}, 'null')"
+    return "'{' || " + " || ',' || ".join(text(f) for f in fields.split()) + " || '}'"
+
+
+def _bundle_records(q: dict[str, str]) -> str:
+    parts = [f"SELECT '{section}' AS section, row_number() OVER (ORDER BY {REPORT_ORDER[report]}) AS position, "
+             f"{_json_text(fields)} AS record FROM ({q[report]}) r"
+             for section, (report, fields) in BUNDLE_FIELDS.items()]
+    names = sql("SELECT code, name FROM brand_carriers", "brand_carriers")
+    parts.append("SELECT 'carrier_names' AS section, row_number() OVER (ORDER BY code) AS position, " +
+                 _json_text("code:s name:s") + f" AS record FROM ({names}) r")
+    return " UNION ALL ".join(parts)
+
+
+def _in_share(fraction: float, draw: int = 0) -> str:
+    return (f"CAST('0x' || substr(md5('42|' || CAST(ROW_KEY AS VARCHAR)), {1 + 8 * draw}, 8) AS BIGINT) < "
+            f"{round(fraction * 2 ** 32)}")
+
+
+def _sampled_rows() -> str:
+    parts = [f"SELECT '{model}' AS model, ROW_KEY, {_in_share(0.8, 1)} AS in_train FROM {view} "
+             f"WHERE {_in_share(fraction)}"
+             for model, view, fraction in (("delay_rf", "flights", 0.4), ("fare_gbt", "fares", 0.4),
+                                           ("delay_gbt", "flights", 0.2))]
+    return sql(" UNION ALL ".join(parts), "flights", "fares")
+
+
+FOREST_ROWS = ("(SELECT ROW_KEY, DISTANCE, dep_hour, month, is_weekend, "
+               "CAST(right(OP_CARRIER, 1) AS DOUBLE) AS carrier_digit FROM base) x")
+
+
+def _left(split: tuple) -> str:
+    feature, cut = split[:2]
+    return (f"{feature} IN ({', '.join(str(float(v)) for v in sorted(cut))})" if isinstance(cut, set)
+            else f"{feature} <= {cut}")
+
+
+def _forest_scores() -> str:
+    def tree(nodes: dict, i: int) -> str:
+        node = nodes[i]
+        if not isinstance(node, tuple):
+            return f"CAST({node} AS DOUBLE)"
+        return f"CASE WHEN {_left(node)} THEN {tree(nodes, node[2])} ELSE {tree(nodes, node[3])} END"
+    total = " + ".join(f"CAST({weight} AS DOUBLE) * ({tree(nodes, 0)})" for weight, nodes in FOREST)
+    return sql(f"SELECT ROW_KEY, {R(total, 6)} AS prediction FROM {FOREST_ROWS}", "base")
+
+
+def _forest_importances() -> str:
+    rows = []
+
+    def walk(t: int, nodes: dict, i: int, path: str) -> None:
+        node = nodes[i]
+        if isinstance(node, tuple):
+            rows.append(f"SELECT {t} AS tree, '{node[0]}' AS feature, {node[4]} * count(CASE WHEN {path} THEN 1 END) "
+                        f"AS g FROM {FOREST_ROWS}")
+            walk(t, nodes, node[2], f"{path} AND {_left(node)}")
+            walk(t, nodes, node[3], f"{path} AND NOT ({_left(node)})")
+    for t, (_, nodes) in enumerate(FOREST):
+        walk(t, nodes, 0, "TRUE")
+    names = " UNION ALL ".join(f"SELECT '{name}' AS feature" for name in FOREST_INPUTS)
+    body = (f"SELECT n.feature, {R('coalesce(s.g / s.whole, 0.0)', 6)} AS importance FROM ({names}) n LEFT JOIN ("
+            "SELECT feature, sum(share) AS g, sum(sum(share)) OVER () AS whole FROM ("
+            "SELECT feature, g / sum(g) OVER (PARTITION BY tree) AS share FROM (" + " UNION ALL ".join(rows) +
+            ") a) b GROUP BY feature) s ON n.feature = s.feature")
+    return sql(body, "base")
+
+
+def _malformed_values() -> str:
+    spoiled = [("DEP_DELAY", 97, "'n/a'", "double"), ("FL_DATE", 101, "'someday'", "date"),
+               ("DISTANCE", 103, "CAST(DISTANCE AS VARCHAR) || ' mi'", "double")]
+    parts = [f"SELECT ROW_KEY AS row_key, '{name}' AS column_name, {text} AS text, 'not {kind}' AS reason "
+             f"FROM flights WHERE ROW_KEY % {every} = 0" for name, every, text, kind in spoiled]
+    good = " AND ".join(f"ROW_KEY % {every} <> 0" for _, every, _, _ in spoiled)
+    parts.append(f"SELECT NULL AS row_key, 'kept' AS column_name, CAST(count(*) AS VARCHAR) AS text, "
+                 f"NULL AS reason FROM flights WHERE {good}")
+    return sql(" UNION ALL ".join(parts), "flights")
+
+
+def _flight_weather() -> str:
+    measures = {"dep_delay": 2, "weather_delay": 2, "PRCP": 4, "SNOW": 4, "TMAX": 2, "TMIN": 2, "AWND": 2}
+    columns = ", ".join(f"{R(m, digits)} AS {m}" for m, digits in measures.items())
+    return sql(f"SELECT airport, day, flights, station_days, {columns} FROM daily_weather", "daily_weather")
+
+
+def _weather_corr() -> str:
+    def one(m: str) -> str:
+        both = f"CASE WHEN {m} IS NOT NULL AND dep_delay IS NOT NULL THEN"
+        flat = f"coalesce(var_pop({both} {m} END), 0) = 0 OR coalesce(var_pop({both} dep_delay END), 0) = 0"
+        return f"CASE WHEN {flat} THEN NULL ELSE {R(f'corr({m}, dep_delay)', 6)} END AS corr_{m.lower()}"
+    columns = ", ".join(one(m) for m in ("PRCP", "SNOW", "TMAX", "TMIN", "AWND"))
+    return sql(f"SELECT airport, count(*) AS days, {columns} FROM daily_weather WHERE airport IS NOT NULL "
+               f"GROUP BY airport UNION ALL SELECT NULL AS airport, count(*) AS days, {columns} FROM daily_weather "
+               "WHERE airport IS NOT NULL", "daily_weather")
+
+
 def oracle_sql() -> dict[str, str]:
     st = FIX["state"]
     q = {
@@ -472,6 +647,9 @@ def oracle_sql() -> dict[str, str]:
             "AS rank_on_route FROM lookup l LEFT JOIN brand_carriers c ON l.OP_CARRIER = c.code",
             "lookup", "brand_carriers"),
         "route_report": _route_report(),
+        "route_requests": _route_report(
+            "SELECT ORIGIN, CASE WHEN ROW_KEY % 3 = 0 THEN 'NOWHERE' ELSE DEST END AS DEST, CASE WHEN ROW_KEY % 4 > 0 "
+            "THEN FL_DATE END AS travel_date FROM flights WHERE ROW_KEY % 50 = 0"),
         "rf_features": sql(RF_SELECT, "flights"),
         "fare_features": sql(FARE_FEATURE_SELECT, "rfares"),
         "delay_features": _delay_features(),
@@ -493,6 +671,12 @@ def oracle_sql() -> dict[str, str]:
         "assembled_features": sql(
             "SELECT ROW_KEY, CAST(month AS DOUBLE) AS f0, CAST(day_of_week AS DOUBLE) AS f1, dep_hour AS f2, "
             "is_weekend AS f3, DISTANCE AS f4, CAST(weather_delay_signal AS DOUBLE) AS f5 FROM base", "base"),
+        "sampled_rows": _sampled_rows(),
+        "flight_weather_daily": _flight_weather(),
+        "weather_delay_corr": _weather_corr(),
+        "forest_scores": _forest_scores(),
+        "forest_importances": _forest_importances(),
+        "malformed_values": _malformed_values(),
         "record_counts": _record_counts(),
         "bundle_sections": _bundle_sections(),
         "flights_roundtrip": sql(
@@ -518,4 +702,6 @@ def oracle_sql() -> dict[str, str]:
     }
     for name in HISTORY_SPECS:
         q[f"delay_history_{name}"] = _history(name)
+    q["report_positions"] = _report_positions(q)
+    q["bundle_records"] = _bundle_records(q)
     return q
