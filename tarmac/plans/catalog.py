@@ -239,6 +239,13 @@ def model_eval(spark, d):
     return regression_metrics(preds, "DEP_DELAY", "prediction")
 
 
+def metrics_record(spark, d):
+    """ML-10: the metrics record of the route-mean predictor, with its settings."""
+    from tarmac.plans.models import metrics_record as record
+    return record(model_eval(spark, d), "RouteMean", "DEP_DELAY",
+                  {"train_tenths": 8, "feature_count": 2, "fallback": "global mean"})
+
+
 def record_counts(spark, d):
     """AGG-33: row totals of the inputs and of the model frames.
 
@@ -406,6 +413,7 @@ def queries() -> dict[str, Callable[[SparkSession, str], DataFrame]]:
         "index_tables": index_tables,
         "assembled_features": assembled_features,
         "metrics_comparison": metrics_comparison,
+        "metrics_record": metrics_record,
         "sampled_rows": sampled_rows,
         "flight_weather_daily": flight_weather_daily,
         "weather_delay_corr": weather_delay_corr,

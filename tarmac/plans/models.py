@@ -57,7 +57,8 @@ class TrainedModel:
         save_model(self.pipeline, path)
 
 
-def _metrics_row(metrics: DataFrame, model: str, target: str, params: dict) -> DataFrame:
+def metrics_record(metrics: DataFrame, model: str, target: str, params: dict) -> DataFrame:
+    """ML-10: one row: model, target, rmse, mae, r2, then the hyper-parameters."""
     extra = [F.lit(v).alias(k) for k, v in params.items()]
     return metrics.select(F.lit(model).alias("model"), F.lit(target).alias("target"),
                           "rmse", "mae", "r2", *extra)
@@ -106,7 +107,7 @@ def train_delay_rf(flights: DataFrame, sample_fraction: float = 0.40, seed: int
                                         featureSubsetStrategy="auto", seed=seed))
     fitted = Pipeline(stages=stages).fit(train)
     preds = fitted.transform(test)
-    metrics = _metrics_row(regression_metrics(preds, "DEP_DELAY"), "RandomForestRegressor",
+    metrics = metrics_record(regression_metrics(preds, "DEP_DELAY"), "RandomForestRegressor",
                            "DEP_DELAY", {"num_trees": num_trees, "max_depth": max_depth,
                                          "max_bins": max_bins})
     imp = importance_table(flights.sparkSession, RF_NAMES, fitted.stages[-1])
@@ -133,7 +134,7 @@ def train_fare_gbt(fares: DataFrame, sample_fraction: float = 0.40, seed: int =
                            maxDepth=max_depth, maxBins=max_bins, stepSize=step_size, seed=seed)]
     fitted = Pipeline(stages=stages).fit(train)
     preds = fitted.transform(test)
-    metrics = _metrics_row(regression_metrics(preds, "ITIN_FARE"), "GBTRegressor", "ITIN_FARE",
+    metrics = metrics_record(regression_metrics(preds, "ITIN_FARE"), "GBTRegressor", "ITIN_FARE",
                            {"max_iter": max_iter, "max_depth": max_depth, "max_bins": max_bins})
     return TrainedModel(fitted, metrics, None, preds)
 
@@ -172,7 +173,7 @@ def train_delay_gbt(flights: DataFrame, sample_fraction: float = 0.20, seed: int
                            subsamplingRate=subsampling_rate, seed=seed)]
     fitted = Pipeline(stages=stages).fit(train_x)
     preds = fitted.transform(test_x)
-    metrics = _metrics_row(regression_metrics(preds, "DEP_DELAY"), "GBTRegressor", "DEP_DELAY",
+    metrics = metrics_record(regression_metrics(preds, "DEP_DELAY"), "GBTRegressor", "DEP_DELAY",
                            {"sample_fraction": sample_fraction, "max_iter": max_iter,
                             "max_depth": max_depth, "max_bins": max_bins,
                             "feature_count": len(inputs)})

@@ -15,7 +15,8 @@ from tarmac.operators import fares as fr
 from tarmac.operators.joins import scratch_path
 from tarmac.sources import testviews as tv
 from tarmac.sources.convert import convert_csv
-from tarmac.sources.files import SOURCE_FILE, read_fares, read_flights, read_quarantine, read_weather
+from tarmac.sources.files import (JUNK_COLUMN, SOURCE_FILE, read_fares, read_flights, read_quarantine,
+                                  read_saved_report, read_weather)
 
 
 def _folder(spark) -> str:
@@ -23,9 +24,10 @@ def _folder(spark) -> str:
 
 
 def _drops(view: DataFrame, folder: str, second) -> list[str]:
-    """Two drops: rows where ``second`` holds have reversed columns and lower-case names."""
+    """Two drops: rows where ``second`` holds have reversed columns and lower-case names; the others
+    the junk column that a pandas export leaves."""
     first = F.coalesce(~second, F.lit(True))
-    view.where(first).write.option("header", True).csv(f"{folder}/first")
+    view.where(first).withColumn(JUNK_COLUMN, F.lit("x")).write.option("header", True).csv(f"{folder}/first")
     view.where(~first).select([F.col(c).alias(c.lower()) for c in reversed(view.columns)]) \
         .write.option("header", True).csv(f"{folder}/second")
     return [f"{folder}/first", f"{folder}/second"]
@@ -102,7 +104,36 @@ def malformed_values(spark, sf_dir: str) -> DataFrame:
             F.lit(None).cast("string").alias("reason")))
 
 
+def saved_reports(spark, sf_dir: str) -> DataFrame:
+    """SNK-1, SNK-2, SRC-5, SRC-8: reports saved as CSV, parquet and JSON, and read back."""
+    from tarmac.operators import delays, traffic, weather
+    from tarmac.plans.sinks import save_record, save_table
+    folder = _folder(spark)
+    flights, station = tv.flights(spark, sf_dir), tv.weather(spark, sf_dir)
+    causes, months = delays.delay_causes(flights), delays.monthly_delays(flights)
+    departures, stations = traffic.most_departures(flights), weather.weather_by_station(station)
+    save_table(departures, f"{folder}/departures", "csv")
+    save_table(stations, f"{folder}/stations")
+    save_record(causes, f"{folder}/causes")
+    read = lambda name, fmt, schema, columns: read_saved_report(
+        spark, f"{folder}/{name}", fmt, schema, columns)
+    rows = [
+        read("departures", "csv", departures.schema, ["ORIGIN", "total_departures", "gone"]).select(
+            F.lit("departures").alias("report"), F.col("ORIGIN").alias("key"),
+            F.col("total_departures").cast("double").alias("value")),
+        read("stations", "parquet", stations.schema, ["NAME", "avg_wind_speed"]).select(
+            F.lit("stations"), "NAME", "avg_wind_speed"),
+        read("causes", "json", causes.schema, None).select(
+            F.lit("causes"), F.lit(None).cast("string"), "avg_nas_delay_min"),
+        read("never_saved", "parquet", months.schema, None).select(
+            F.lit("never"), F.col("month").cast("string"), "avg_dep_delay")]
+    out = rows[0]
+    for more in rows[1:]:
+        out = out.union(more)
+    return out
+
+
 def queries() -> dict:
     return {"flights_roundtrip": flights_roundtrip, "fares_roundtrip": fares_roundtrip,
             "weather_roundtrip": weather_roundtrip, "fare_file_audit": fare_file_audit,
-            "malformed_values": malformed_values}
+            "malformed_values": malformed_values, "saved_reports": saved_reports}

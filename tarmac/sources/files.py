@@ -280,10 +280,12 @@ def read_metrics_if_exists(spark: SparkSession, path: str) -> DataFrame | None:
     return spark.read.json(path)
 
 
-def read_saved_report(spark: SparkSession, path: str, fmt: str = "parquet",
-                      schema: StructType | None = None) -> DataFrame | None:
+def read_saved_report(spark: SparkSession, path: str, fmt: str = "parquet", schema: StructType | None = None,
+                      columns: Iterable[str] | None = None) -> DataFrame | None:
     """SRC-8: a report saved by an earlier run, missing numbers as 0.
 
+    ``columns``: those to take, as far as the report has them (an older run may not).
+
     A report that was never written gives an empty DataFrame of ``schema``
     (or None without one) instead of failing, so a later step can still
     assemble what exists.
@@ -295,7 +297,8 @@ def read_saved_report(spark: SparkSession, path: str, fmt: str = "parquet",
         reader = reader.schema(schema)
     if fmt == "csv":
         reader = reader.option("header", True)
-    return reader.load(path).na.fill(0)
+    report = reader.load(path).na.fill(0)
+    return report if columns is None else select_existing(report, columns)
 
 
 __all__ = ["drop_if_present", "select_existing", "read_flights", "read_fares", "read_weather",

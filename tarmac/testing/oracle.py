@@ -702,6 +702,13 @@ def oracle_sql() -> dict[str, str]:
     }
     for name in HISTORY_SPECS:
         q[f"delay_history_{name}"] = _history(name)
+    q["metrics_record"] = ("SELECT 'RouteMean' AS model, 'DEP_DELAY' AS target, rmse, mae, r2, 8 AS train_tenths, "
+                           f"2 AS feature_count, 'global mean' AS fallback FROM ({q['model_eval']}) e")
+    q["saved_reports"] = (
+        "SELECT 'departures' AS report, ORIGIN AS key, CAST(total_departures AS DOUBLE) AS value "
+        f"FROM ({q['most_departures']}) d UNION ALL SELECT 'stations' AS report, NAME AS key, "
+        f"coalesce(avg_wind_speed, 0.0) AS value FROM ({q['weather_by_station']}) w UNION ALL SELECT 'causes' AS report, "
+        f"NULL AS key, coalesce(avg_nas_delay_min, 0.0) AS value FROM ({q['delay_causes']}) c")
     q["report_positions"] = _report_positions(q)
     q["bundle_records"] = _bundle_records(q)
     return q
