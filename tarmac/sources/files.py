@@ -11,9 +11,9 @@ to Catalyst: operators select what they use, so ``ReadSchema`` lists the used co
 
 from __future__ import annotations
 
-from collections.abc import Iterable, Iterator
+import functools
+from collections.abc import Iterable
 
-import pyarrow as pa
 from pyspark.errors import AnalysisException
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
@@ -85,39 +85,35 @@ def _conform(df: DataFrame, kind: str, cast, where: str) -> DataFrame:
     ] + carried)
 
 
-def _large_files(spark: SparkSession) -> SparkSession:
-    """A session that plans one partition for each file, however large, and hands rows on one by one."""
-    whole = spark.newSession()
-    for name, value in {"spark.sql.files.maxPartitionBytes": str(1 << 60),
-                        "spark.sql.files.openCostInBytes": str(1 << 60),
-                        "spark.sql.files.minPartitionNum": "1",
-                        "spark.sql.execution.arrow.maxRecordsPerBatch": "1"}.items():
-        whole.conf.set(name, value)
-    return whole
+def _split_files(spark: SparkSession) -> SparkSession:
+    """A session that plans one partition for each split of a file."""
+    split = spark.newSession()
+    for name, value in {"spark.sql.files.openCostInBytes": str(1 << 60),
+                        "spark.sql.files.minPartitionNum": "1"}.items():
+        split.conf.set(name, value)
+    return split
 
 
 def _first_lines(spark: SparkSession, paths: list[str]) -> list[tuple[str, str]]:
     """(file, first line) of every file of ``paths``, read by tasks; the driver opens no file.
 
-    Files below ``SMALL_FILE`` bytes are packed and read through; of each larger one a task of
-    its own takes the first line and reads no further. Either plan lists its files alone.
+    Files below ``SMALL_FILE`` bytes are packed and read through. Of larger ones every split is
+    a partition, and the first row of the split at byte 0 is kept: the scan runs in the JVM
+    and no task reads more than one split. Either plan lists its files alone.
     """
     def lines(session: SparkSession) -> DataFrame:
         return session.read.option("recursiveFileLookup", True).text(paths)
 
     file, size = F.col("_metadata.file_path").alias("file"), F.col("_metadata.file_size")
-    small = lines(spark).where((size < SMALL_FILE) & (F.col("_metadata.file_block_start") == 0)) \
+    start = F.col("_metadata.file_block_start")
+    small = lines(spark).where((size < SMALL_FILE) & (start == 0)) \
         .select(file, "value", F.monotonically_increasing_id().alias("at")) \
         .groupBy("file").agg(F.min_by("value", "at").alias("value"))
-
-    def first(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        for batch in batches:
-            if batch.num_rows:
-                yield batch.slice(0, 1)
-                return
-
-    large = lines(_large_files(spark)).where(size >= SMALL_FILE).select(file, "value") \
-        .mapInArrow(first, "file string, value string")
+    # the lower 33 bits number the rows of a partition
+    row = F.monotonically_increasing_id().bitwiseAND((1 << 33) - 1)
+    large = lines(_split_files(spark)).where(size >= SMALL_FILE) \
+        .select(file, "value", start.alias("start"), row.alias("row")) \
+        .where("row = 0 and start = 0").select("file", "value")
     return [tuple(r) for part in (small, large) for r in part.collect()]
 
 
