@@ -16,8 +16,8 @@ from pyspark.sql import DataFrame, Observation, SparkSession
 from pyspark.sql import functions as F
 
 from tarmac.sources.files import (MALFORMED, PART_YEAR, QUARANTINED, RECORD, SCHEMAS, SOURCE_FILE, _conform,
-                                  _csv_headers, _csv_parts, _faulty, _paths, malformed_counts,
-                                  malformed_values, row_year)
+                                  _csv_headers, _csv_parts, _faulty, _paths, any_malformed,
+                                  malformed_counts, malformed_values, row_year, with_typed)
 
 #: What a quarantined row has beside the columns of its table.
 ASIDE = f"{RECORD} string, {MALFORMED} array<struct<column:string,text:string,reason:string>>"
@@ -54,16 +54,16 @@ def convert_csv(spark: SparkSession, kind: str, paths, out_dir: str, quarantine:
             raise ValueError(f"no readable file: {bad_files}")
     observed, df = [], None
     for raw in _csv_parts(spark, files, quarantine or kind == "fares", headers):
-        seen = Observation()
+        seen, record = Observation(), [f"`{c}`" for c in raw.columns if c != SOURCE_FILE]
+        raw = with_typed(kind, raw)
         counts = [agg.alias(n) for n, agg in malformed_counts(kind, raw).items()]
-        bad = malformed_values(kind, raw)
+        bad = any_malformed(kind, raw)
         if quarantine:
-            counts += [F.count(F.lit(1)).alias("rows"), F.count_if(F.size(bad) > 0).alias("quarantined")]
+            counts += [F.count(F.lit(1)).alias("rows"), F.count_if(bad).alias("quarantined")]
         part = _conform(raw.observe(seen, *counts).withColumns({
-            QUARANTINED: (F.size(bad) > 0).cast("int"),
-            RECORD: F.when(F.size(bad) > 0, F.to_json(F.struct(*[
-                f"`{c}`" for c in raw.columns if c != SOURCE_FILE]))),
-            MALFORMED: F.when(F.size(bad) > 0, bad)} if quarantine else {}), kind,
+            QUARANTINED: bad.cast("int"),
+            RECORD: F.when(bad, F.to_json(F.struct(*record))),
+            MALFORMED: F.when(bad, malformed_values(kind, raw))} if quarantine else {}), kind,
             lambda col, t: col.try_cast(t), ", ".join(files))
         df = part if df is None else df.unionByName(part)
         observed.append(seen)

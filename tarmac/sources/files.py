@@ -33,6 +33,8 @@ SMALL_FILE = 8 << 20
 QUARANTINED = "quarantined"
 #: Beside them the record as it was read, and what is wrong with it.
 RECORD, MALFORMED = "quarantined_record", "quarantined_values"
+#: Prefix of the columns that hold the converted texts (``with_typed``).
+TYPED = "_typed_"
 
 KEY_COLUMNS = {
     "flights": ("FL_DATE", "ORIGIN", "DEST"),
@@ -76,10 +78,12 @@ def _conform(df: DataFrame, kind: str, cast, where: str) -> DataFrame:
     have = _named(df.columns, where)
     missing = [k for k in KEY_COLUMNS[kind] if k.lower() not in have]
     if missing:
-        raise ValueError(f"{where}: no column {', '.join(missing)} among {', '.join(df.columns)}")
+        raise ValueError(f"{where}: no column {', '.join(missing)} among "
+                         + ", ".join(c for c in df.columns if not c.startswith(TYPED)))
     carried = [c for c in (PART_YEAR, SOURCE_FILE, QUARANTINED, RECORD, MALFORMED) if c in df.columns]
     return df.select([
-        (cast(F.col(f"`{have[f.name.lower()]}`"), f.dataType) if f.name.lower() in have
+        (F.col(f"`{TYPED}{f.name}`") if f"{TYPED}{f.name}" in df.columns
+         else cast(F.col(f"`{have[f.name.lower()]}`"), f.dataType) if f.name.lower() in have
          else F.lit(None).cast(f.dataType)).alias(f.name)
         for f in SCHEMAS[kind].fields
     ] + carried)
@@ -199,6 +203,14 @@ def row_year(kind: str):
     return {"flights": F.year("FL_DATE"), "weather": F.year("DATE"), "fares": F.col("YEAR")}[kind]
 
 
+def with_typed(kind: str, raw: DataFrame) -> DataFrame:
+    """``raw`` with every text that needs conversion converted once, for counts, checks and the table alike."""
+    have = _named(raw.columns, kind)
+    return raw.withColumns({
+        f"{TYPED}{f.name}": F.col(f"`{have[f.name.lower()]}`").try_cast(f.dataType)
+        for f in SCHEMAS[kind].fields if f.name.lower() in have and not isinstance(f.dataType, StringType)})
+
+
 def _malformed(kind: str, raw: DataFrame) -> dict[str, tuple[Column, Column, str]]:
     """Column -> (whether its text is malformed, the text, the type it should have)."""
     have = _named(raw.columns, kind)
@@ -206,7 +218,9 @@ def _malformed(kind: str, raw: DataFrame) -> dict[str, tuple[Column, Column, str
     for f in SCHEMAS[kind].fields:
         if f.name.lower() in have:
             text = F.col(f"`{have[f.name.lower()]}`")
-            out[f.name] = (text.isNotNull() & text.try_cast(f.dataType).isNull(), text, f.dataType.simpleString())
+            typed = f"{TYPED}{f.name}"
+            value = F.col(f"`{typed}`") if typed in raw.columns else text.try_cast(f.dataType)
+            out[f.name] = (text.isNotNull() & value.isNull(), text, f.dataType.simpleString())
     return out
 
 
@@ -215,6 +229,11 @@ def malformed_counts(kind: str, raw: DataFrame) -> dict[str, Column]:
     return {name: F.count_if(bad) for name, (bad, _, _) in _malformed(kind, raw).items()}
 
 
+def any_malformed(kind: str, raw: DataFrame) -> Column:
+    """Whether a row has a malformed value."""
+    return functools.reduce(lambda a, b: a | b, [bad for bad, _, _ in _malformed(kind, raw).values()])
+
+
 def malformed_values(kind: str, raw: DataFrame) -> Column:
     """The malformed values of a row: array of (column, text, reason), empty for a good row."""
     return F.filter(F.array(*[

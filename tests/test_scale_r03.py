@@ -45,3 +45,25 @@ def test_first_lines_of_split_files(spark, tmp_path, monkeypatch):
     monkeypatch.setattr(files, "_split_files", tiny)
     lines = files._first_lines(spark, [folder])
     assert [line for _, line in lines] == ["only", "only"] and len({f for f, _ in lines}) == 2
+
+
+def test_conversion_casts_each_text_once(spark, tmp_path, monkeypatch):
+    from pyspark.sql import Column
+    from pyspark.sql.types import StringType
+    from tarmac.sources import files
+    from tarmac.sources.convert import convert_csv
+    folder, table = str(tmp_path / "drop"), str(tmp_path / "table")
+    _drop(spark, folder, 970)
+    casts, kind = [], type(F.col("x"))
+    real = kind.try_cast
+    monkeypatch.setattr(kind, "try_cast", lambda self, t: casts.append(t) or real(self, t))
+    assert issubclass(kind, Column)
+    report = convert_csv(spark, "flights", folder, table, quarantine=True)
+    assert len([t for t in casts if not isinstance(t, StringType)]) == 3  # FL_DATE, DEP_DELAY, ARR_DELAY
+    assert (report["rows"], report["kept"], report["quarantined"], report["DEP_DELAY"]) == (970, 960, 10, 10)
+    bad = files.read_quarantine(spark, table).collect()
+    assert {(r["column"], r["text"], r["reason"]) for r in bad} == {("DEP_DELAY", "n/a", "not double")}
+    assert all('"note":"xxxxxxxxxxxxxxxxxxxx"' in r["row"] and files.TYPED not in r["row"] for r in bad)
+    kept = files.read_flights(spark, table, "parquet")
+    assert kept.where("ARR_DELAY = 12.5 and DEP_DELAY = 5").count() == 951
+    assert not [c for c in spark.read.parquet(table).columns if c.startswith(files.TYPED)]
