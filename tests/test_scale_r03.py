@@ -67,3 +67,27 @@ def test_conversion_casts_each_text_once(spark, tmp_path, monkeypatch):
     kept = files.read_flights(spark, table, "parquet")
     assert kept.where("ARR_DELAY = 12.5 and DEP_DELAY = 5").count() == 951
     assert not [c for c in spark.read.parquet(table).columns if c.startswith(files.TYPED)]
+
+
+def test_forest_keeps_the_nodes_of_its_rows(spark):
+    """The splits are those of a fit that searches every row's node from the roots."""
+    from pyspark.ml import Pipeline
+    from tarmac.operators import features as ft
+    from tarmac.plans import forest, models
+    i = F.col("id")
+    flights = spark.range(0, 600, 1, 1).select(
+        F.date_add(F.lit("2015-01-01").cast("date"), (i % 365).cast("int")).alias("FL_DATE"),
+        F.concat(F.lit("C"), i % 5).alias("OP_CARRIER"), F.concat(F.lit("A"), i % 7).alias("ORIGIN"),
+        F.concat(F.lit("B"), i % 11).alias("DEST"), (i % 24).cast("int").alias("CRS_DEP_TIME"),
+        (i % 13 * 100).cast("double").alias("DISTANCE"), (i * 37 % 101).cast("double").alias("DEP_DELAY"))
+    got = models.train_delay_rf(flights, sample_fraction=1.0, num_trees=3, max_depth=4).pipeline.stages
+    rf = got[-1]
+    assert rf.getCacheNodeIds()
+    train, _ = ft.stored_split(ft.rf_features(models._drawn(flights, 1.0, ft.FLIGHT_KEY, 42),
+                                              keep=(models.IN_TRAIN,)), models.IN_TRAIN)
+    plain = models.RandomForestRegressor(
+        featuresCol="features", labelCol="DEP_DELAY", numTrees=3, maxDepth=4, maxBins=rf.getMaxBins(),
+        minInstancesPerNode=10, featureSubsetStrategy="auto", seed=42, cacheNodeIds=False)
+    other = Pipeline(stages=[*got[:-1], plain]).fit(train).stages[-1]
+    nodes = [sorted(forest.node_table(m).toPandas().astype(str).itertuples(index=False)) for m in (rf, other)]
+    assert len(nodes[0]) > 9 and nodes[0] == nodes[1]
