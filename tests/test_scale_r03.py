@@ -91,3 +91,16 @@ def test_forest_keeps_the_nodes_of_its_rows(spark):
     other = Pipeline(stages=[*got[:-1], plain]).fit(train).stages[-1]
     nodes = [sorted(forest.node_table(m).toPandas().astype(str).itertuples(index=False)) for m in (rf, other)]
     assert len(nodes[0]) > 9 and nodes[0] == nodes[1]
+
+
+def test_model_sample_is_read_by_all_cores(spark, monkeypatch):
+    """Rows of one writing task reach the passes of a fit in even tasks, each row once."""
+    from tarmac.operators import features as ft
+    monkeypatch.setattr(ft, "SAMPLE_FILE_ROWS", 1000, raising=False)
+    rows = spark.range(0, 40_000, 1, 1).select("id", (F.col("id") % 5 > 0).alias("t"))
+    train, test = ft.stored_split(rows, "t")
+    sizes = [r["count"] for r in train.groupBy(F.spark_partition_id()).count().collect()]
+    assert len(sizes) >= spark.sparkContext.defaultParallelism
+    assert max(sizes) <= 1.5 * 32_000 / spark.sparkContext.defaultParallelism
+    assert {r.id for r in train.collect()} == {i for i in range(40_000) if i % 5}
+    assert train.count() == 32_000 and test.count() == 8_000
